@@ -44,3 +44,88 @@ def for_compare(df: DataFrame, digits: int = COMPARE_DIGITS) -> DataFrame:
 def q_city_top_products(spark, sf):
     users, orders, prods = A.load_many(spark, sf, "shop_users", "shop_orders", "shop_products")
     return for_compare(products.city_top_products(users, orders, prods, n=2))
+
+
+# ---------------------------------------------------------------- production
+from derrick.plans import production as P  # noqa: E402
+
+
+def _features(spark, sf):
+    prod, tele = A.load_many(spark, sf, "production", "telemetry")
+    return P.feature_table(P.clean_production(prod), tele)
+
+
+@register("clean_production")
+def q_clean_production(spark, sf):
+    return for_compare(P.clean_production(A.load(spark, sf, "production")))
+
+
+@register("feature_table")
+def q_feature_table(spark, sf):
+    return for_compare(_features(spark, sf))
+
+
+@register("mart_daily_production")
+def q_daily_production(spark, sf):
+    return for_compare(P.daily_production(_features(spark, sf), exact=True))
+
+
+@register("mart_well_kpi")
+def q_well_kpi(spark, sf):
+    return for_compare(P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True))
+
+
+@register("best_worst_wells")
+def q_best_worst(spark, sf):
+    kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
+    return for_compare(P.best_worst_wells(kpi))
+
+
+@register("corr_influence")
+def q_influence(spark, sf):
+    return for_compare(P.influence_factors(_features(spark, sf)))
+
+
+# ----------------------------------------------------------------- logistics
+from derrick.plans import logistics as L  # noqa: E402
+
+
+def _enriched(spark, sf):
+    return L.enrich_deliveries(*A.load_many(spark, sf, "deliveries", "drivers", "vehicles"))
+
+
+@register("enrich_deliveries")
+def q_enrich(spark, sf):
+    return for_compare(_enriched(spark, sf))
+
+
+@register("mart_delay_vs_weather")
+def q_delay_weather(spark, sf):
+    return for_compare(L.delay_vs_weather(_enriched(spark, sf), exact=True))
+
+
+@register("mart_cost_vs_distance")
+def q_cost_distance(spark, sf):
+    return for_compare(L.cost_vs_distance(_enriched(spark, sf)))
+
+
+@register("mart_driver_kpi")
+def q_driver_kpi(spark, sf):
+    return for_compare(L.driver_kpi(_enriched(spark, sf), exact=True))
+
+
+@register("agg_factor_long")
+def q_delay_factors(spark, sf):
+    return for_compare(L.delay_factors(_enriched(spark, sf), exact=True))
+
+
+@register("agg_full_domain")
+def q_full_domain(spark, sf):
+    short_trips = _enriched(spark, sf).where(F.col("distance_km") <= 160)
+    return for_compare(L.delay_factors(short_trips, exact=True)
+                       .where(F.col("factor_type") == "distance_bucket"))
+
+
+@register("mart_route_optimization")
+def q_routes(spark, sf):
+    return for_compare(L.route_optimization(_enriched(spark, sf), exact=True))

@@ -20,3 +20,219 @@ ranked AS (
 SELECT city, product_id, product_name, orders_cnt, qty_sum,
        round(CAST(revenue_sum AS DOUBLE), 6) AS revenue_sum
 FROM ranked WHERE rn <= 2"""
+
+
+def R(expr: str, alias: str) -> str:
+    """Rounded double output column."""
+    return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
+
+
+def EXACT_AVG(col: str, scale: int) -> str:
+    return f"CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE) / COUNT({col})"
+
+
+def EXACT_SUM(col: str, scale: int) -> str:
+    return f"coalesce(CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE), 0)"
+
+
+# ---------------------------------------------------------------- production
+# pandas: flows fillna(0); temperature/pressure fillna(well median);
+# downtime_coef = clip(downtime/24, 0, 1); then the IQR rule on oil,
+# temperature, pressure, each on the rows the previous one left.
+CLEAN = """,
+p0 AS (
+  SELECT well_id, CAST(date AS DATE) AS date,
+         coalesce(oil_ton, 0) AS oil_ton, coalesce(gas_m3, 0) AS gas_m3,
+         coalesce(water_m3, 0) AS water_m3, coalesce(energy_kwh, 0) AS energy_kwh,
+         coalesce(downtime_hours, 0) AS downtime_hours,
+         CASE WHEN well_id IS NOT NULL THEN
+           coalesce(temperature, median(temperature) OVER (PARTITION BY well_id)) END AS temperature,
+         CASE WHEN well_id IS NOT NULL THEN
+           coalesce(pressure, median(pressure) OVER (PARTITION BY well_id)) END AS pressure,
+         least(greatest(coalesce(downtime_hours, 0) / 24.0, 0), 1) AS downtime_coef
+  FROM production),
+b1 AS (SELECT quantile_cont(oil_ton, 0.25) AS q1, quantile_cont(oil_ton, 0.75) AS q3 FROM p0),
+p1 AS (SELECT p0.* FROM p0, b1
+       WHERE oil_ton >= q1 - 1.5 * (q3 - q1) AND oil_ton <= q3 + 1.5 * (q3 - q1)),
+b2 AS (SELECT quantile_cont(temperature, 0.25) AS q1, quantile_cont(temperature, 0.75) AS q3 FROM p1),
+p2 AS (SELECT p1.* FROM p1, b2
+       WHERE temperature >= q1 - 1.5 * (q3 - q1) AND temperature <= q3 + 1.5 * (q3 - q1)),
+b3 AS (SELECT quantile_cont(pressure, 0.25) AS q1, quantile_cont(pressure, 0.75) AS q3 FROM p2),
+clean AS (SELECT p2.* FROM p2, b3
+       WHERE pressure >= q1 - 1.5 * (q3 - q1) AND pressure <= q3 + 1.5 * (q3 - q1))
+"""
+
+FEATURES = CLEAN + """,
+td AS (
+  SELECT well_id, CAST(timestamp AS DATE) AS date, avg(pressure_out) AS avg_pressure,
+         avg(temperature) AS avg_temperature, avg(vibration) AS avg_vibration,
+         avg(pump_speed_rpm) AS avg_rpm, avg(pump_current) AS avg_current
+  FROM telemetry WHERE well_id IS NOT NULL AND timestamp IS NOT NULL GROUP BY 1, 2),
+f0 AS (SELECT c.*, td.avg_pressure, td.avg_temperature, td.avg_vibration, td.avg_rpm, td.avg_current
+       FROM clean c LEFT JOIN td ON c.well_id = td.well_id AND c.date = td.date),
+features AS (
+  SELECT well_id, date, oil_ton, gas_m3, water_m3, energy_kwh, downtime_hours, temperature,
+         pressure, downtime_coef,
+         coalesce(avg_pressure, median(avg_pressure) OVER (PARTITION BY well_id)) AS avg_pressure,
+         coalesce(avg_temperature, median(avg_temperature) OVER (PARTITION BY well_id)) AS avg_temperature,
+         coalesce(avg_vibration, median(avg_vibration) OVER (PARTITION BY well_id)) AS avg_vibration,
+         coalesce(avg_rpm, median(avg_rpm) OVER (PARTITION BY well_id)) AS avg_rpm,
+         coalesce(avg_current, median(avg_current) OVER (PARTITION BY well_id)) AS avg_current
+  FROM f0)
+"""
+
+CLEAN_COLS = ("well_id, date, " + ", ".join(
+    R(c, c) for c in ["oil_ton", "gas_m3", "water_m3", "energy_kwh", "downtime_hours",
+                      "temperature", "pressure", "downtime_coef"]))
+FEATURE_COLS = CLEAN_COLS + ", " + ", ".join(
+    R(c, c) for c in ["avg_pressure", "avg_temperature", "avg_vibration", "avg_rpm", "avg_current"])
+
+ORACLE["clean_production"] = W("production") + CLEAN + f"SELECT {CLEAN_COLS} FROM clean"
+ORACLE["feature_table"] = W("production", "telemetry") + FEATURES + f"SELECT {FEATURE_COLS} FROM features"
+
+ORACLE["mart_daily_production"] = W("production", "telemetry") + FEATURES + f"""
+SELECT date, {R(EXACT_SUM('oil_ton', 2), 'total_oil_ton')},
+       {R('avg(avg_pressure)', 'avg_pressure')}, {R('avg(avg_temperature)', 'avg_temperature')},
+       {R('avg(downtime_coef)', 'avg_downtime_coef')},
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
+FROM features WHERE date IS NOT NULL GROUP BY date"""
+
+WELL_KPI = FEATURES + f""",
+kpi AS (
+  SELECT well_id, {EXACT_AVG('oil_ton', 2)} AS avg_oil_ton, avg(downtime_coef) * 100 AS downtime_pct,
+         avg(avg_pressure) AS avg_pressure, avg(avg_temperature) AS avg_temperature
+  FROM features WHERE well_id IS NOT NULL GROUP BY well_id),
+well_kpi AS (
+  SELECT k.*, w.name, w.field_name, w.region, w.status,
+         ROW_NUMBER() OVER (ORDER BY k.avg_oil_ton DESC NULLS LAST, k.well_id) AS performance_rank
+  FROM kpi k LEFT JOIN wells w ON k.well_id = w.well_id)
+"""
+KPI_COLS = ("well_id, " + ", ".join(R(c, c) for c in ["avg_oil_ton", "downtime_pct", "avg_pressure",
+                                                      "avg_temperature"])
+            + ", name, field_name, region, status, CAST(performance_rank AS INTEGER) AS performance_rank")
+
+ORACLE["mart_well_kpi"] = W("production", "telemetry", "wells") + WELL_KPI + f"SELECT {KPI_COLS} FROM well_kpi"
+
+ORACLE["best_worst_wells"] = W("production", "telemetry", "wells") + WELL_KPI + f"""
+SELECT {KPI_COLS}, 'best' AS segment FROM well_kpi WHERE performance_rank <= 3
+UNION ALL
+SELECT {KPI_COLS}, 'worst' AS segment FROM well_kpi
+WHERE performance_rank > (SELECT count(*) FROM well_kpi) - 3"""
+
+ORACLE["corr_influence"] = W("production", "telemetry") + FEATURES + f"""
+SELECT 'avg_temperature' AS factor, {R('corr(avg_temperature, oil_ton)', 'corr_with_oil_ton')} FROM features
+UNION ALL
+SELECT 'avg_pressure' AS factor, {R('corr(avg_pressure, oil_ton)', 'corr_with_oil_ton')} FROM features"""
+
+
+# ----------------------------------------------------------------- logistics
+ENRICHED = """,
+enriched AS (
+  SELECT d.delivery_id, CAST(d.date AS DATE) AS date, d.driver_id, d.vehicle_id, d.source,
+         d.destination, d.weather_conditions, d.volume_ton, d.cost_usd, d.delay_hours,
+         d.distance_km, dr.name AS driver_name, CAST(dr.experience_years AS DOUBLE) AS experience_years,
+         dr.region AS driver_region,
+         v.capacity_ton, v.fuel_type,
+         d.source || ' -> ' || d.destination AS route,
+         CASE WHEN d.delay_hours > 0 THEN 1 ELSE 0 END AS delay_flag,
+         CASE WHEN d.distance_km <> 0 THEN d.cost_usd / d.distance_km END AS cost_per_km,
+         CASE WHEN v.capacity_ton <> 0 THEN greatest(d.volume_ton / v.capacity_ton, 0) END AS load_factor,
+         CASE WHEN d.distance_km >= 0 AND d.distance_km <= 120 THEN 'short'
+              WHEN d.distance_km > 120 AND d.distance_km <= 160 THEN 'medium'
+              WHEN d.distance_km > 160 AND d.distance_km <= 200 THEN 'long'
+              WHEN d.distance_km > 200 THEN 'very_long' END AS distance_bucket
+  FROM deliveries d
+  LEFT JOIN drivers dr ON d.driver_id = dr.driver_id
+  LEFT JOIN vehicles v ON d.vehicle_id = v.vehicle_id)
+"""
+LOGI = W("deliveries", "drivers", "vehicles") + ENRICHED
+
+ORACLE["enrich_deliveries"] = LOGI + "SELECT delivery_id, date, driver_id, vehicle_id, source, " \
+    "destination, weather_conditions, driver_name, experience_years, driver_region, fuel_type, " \
+    "route, delay_flag, distance_bucket, " + ", ".join(
+        R(c, c) for c in ["volume_ton", "cost_usd", "delay_hours", "distance_km", "capacity_ton",
+                          "cost_per_km", "load_factor"]) + " FROM enriched"
+
+ORACLE["mart_delay_vs_weather"] = LOGI + f"""
+SELECT weather_conditions, count(delivery_id) AS trips,
+       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')},
+       {R('avg(delay_flag) * 100', 'delay_rate_pct')},
+       {R(EXACT_AVG('distance_km', 5), 'avg_distance_km')}
+FROM enriched WHERE weather_conditions IS NOT NULL GROUP BY weather_conditions"""
+
+ORACLE["mart_cost_vs_distance"] = LOGI + "SELECT delivery_id, date, route, source, destination, " \
+    "driver_name, weather_conditions, " + ", ".join(
+        R(c, c) for c in ["distance_km", "volume_ton", "cost_usd", "cost_per_km", "delay_hours"]) \
+    + " FROM enriched"
+
+ORACLE["mart_driver_kpi"] = LOGI + f"""
+SELECT driver_id, driver_name, experience_years, driver_region, count(delivery_id) AS trips,
+       {R(EXACT_SUM('volume_ton', 2), 'total_volume_ton')},
+       {R(EXACT_SUM('cost_usd', 4), 'total_cost_usd')},
+       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')},
+       {R('avg(delay_flag) * 100', 'delay_rate_pct')},
+       {R('avg(cost_per_km)', 'avg_cost_per_km')},
+       {R(EXACT_AVG('distance_km', 5), 'avg_distance_km')},
+       {R('avg(load_factor)', 'avg_load_factor')}
+FROM enriched
+WHERE driver_id IS NOT NULL AND driver_name IS NOT NULL AND experience_years IS NOT NULL
+  AND driver_region IS NOT NULL
+GROUP BY driver_id, driver_name, experience_years, driver_region"""
+
+FACTOR_BUCKETS = f"""
+SELECT b.factor_value, coalesce(a.trips, 0) AS trips, a.avg_delay_hours, 'distance_bucket' AS factor_type
+FROM (VALUES ('short'), ('medium'), ('long'), ('very_long')) AS b(factor_value)
+LEFT JOIN (SELECT distance_bucket, count(delivery_id) AS trips,
+                  {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')}
+           FROM enriched_f WHERE distance_bucket IS NOT NULL GROUP BY distance_bucket) a
+  ON a.distance_bucket = b.factor_value"""
+
+ORACLE["agg_factor_long"] = LOGI + ", enriched_f AS (SELECT * FROM enriched)" + f"""
+SELECT weather_conditions AS factor_value, count(delivery_id) AS trips,
+       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')}, 'weather' AS factor_type
+FROM enriched WHERE weather_conditions IS NOT NULL GROUP BY weather_conditions
+UNION ALL {FACTOR_BUCKETS}
+UNION ALL
+SELECT driver_name AS factor_value, count(delivery_id) AS trips,
+       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')}, 'driver' AS factor_type
+FROM enriched WHERE driver_name IS NOT NULL GROUP BY driver_name"""
+
+ORACLE["agg_full_domain"] = LOGI + ", enriched_f AS (SELECT * FROM enriched WHERE distance_km <= 160)" \
+    + FACTOR_BUCKETS
+
+# pandas rank(pct=True): (rows below + (ties + 1) / 2) / non-null count
+ORACLE["mart_route_optimization"] = LOGI + f""",
+routes AS (
+  SELECT route, source, destination, count(delivery_id) AS trips,
+         {EXACT_SUM('volume_ton', 2)} AS total_volume_ton,
+         {EXACT_AVG('distance_km', 5)} AS avg_distance_km,
+         {EXACT_AVG('delay_hours', 2)} AS avg_delay_hours,
+         avg(delay_flag) * 100 AS delay_rate_pct,
+         avg(cost_per_km) AS avg_cost_per_km
+  FROM enriched
+  WHERE route IS NOT NULL AND source IS NOT NULL AND destination IS NOT NULL
+  GROUP BY route, source, destination),
+keyed AS (SELECT *, round(avg_delay_hours, 9) AS kd, round(avg_cost_per_km, 9) AS kc FROM routes),
+ranked AS (
+  SELECT *,
+    CASE WHEN kd IS NOT NULL THEN
+      ((rank() OVER (PARTITION BY kd IS NULL ORDER BY kd) - 1)
+       + (count(*) OVER (PARTITION BY kd) + 1) / 2.0) / count(kd) OVER () END AS dn,
+    CASE WHEN kc IS NOT NULL THEN
+      ((rank() OVER (PARTITION BY kc IS NULL ORDER BY kc) - 1)
+       + (count(*) OVER (PARTITION BY kc) + 1) / 2.0) / count(kc) OVER () END AS cn
+  FROM keyed),
+scored AS (SELECT *, round_even((0.6 * dn + 0.4 * cn) * 100.0 * 10, 0) / 10 AS route_risk_score FROM ranked),
+prio AS (
+  SELECT *, CASE WHEN route_risk_score > -0.1 AND route_risk_score <= 33 THEN 'low'
+                 WHEN route_risk_score > 33 AND route_risk_score <= 66 THEN 'medium'
+                 WHEN route_risk_score > 66 AND route_risk_score <= 100 THEN 'high' END AS priority
+  FROM scored)
+SELECT route, source, destination, trips, {R('total_volume_ton', 'total_volume_ton')},
+       {R('avg_distance_km', 'avg_distance_km')}, {R('avg_delay_hours', 'avg_delay_hours')},
+       {R('delay_rate_pct', 'delay_rate_pct')}, {R('avg_cost_per_km', 'avg_cost_per_km')},
+       {R('route_risk_score', 'route_risk_score')}, priority,
+       CASE WHEN priority = 'high' THEN 'replan immediately'
+            WHEN priority = 'medium' THEN 'monitor and optimize' ELSE 'keep current' END
+         AS recommended_action
+FROM prio"""
