@@ -1,0 +1 @@
+"""Model jobs on Spark ML (forests, least squares) and the isolation forest."""

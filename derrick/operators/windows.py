@@ -41,25 +41,22 @@ def row_number_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFra
     return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
 
 
-def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Last row per key under ``order`` (given ascending, last wins).
+def latest_per_key(df: DataFrame, key: str | Sequence[str],
+                   order: Sequence[str | Column]) -> DataFrame:
+    """Last row per key when sorted by ``order`` ascending with NULLs last
+    (plain columns, not sort orders); a NULL therefore wins.
 
     Expressed as ``row_number() = 1`` over the reversed order, which Spark
     plans with a partial WindowGroupLimit before the shuffle, so every task
     forwards at most one row per key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rev = [_reverse(c) for c in order]
+    rev = [as_col(c).desc_nulls_first() for c in order]
     w = Window.partitionBy(*keys).orderBy(*rev)
     return (df.withColumn("__rn", F.row_number().over(w))
             .where(F.col("__rn") == 1).drop("__rn"))
 
 
-def _reverse(c: Column) -> Column:
-    """Reverse an ascending-nulls-last order into descending-nulls-first."""
-    return c.desc_nulls_first()
-
-
 def topn_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Column],
                    n: int) -> DataFrame:
     """Rows ranked 1..n per group by ``order`` (unique tie-break expected)."""

@@ -129,3 +129,68 @@ def q_full_domain(spark, sf):
 @register("mart_route_optimization")
 def q_routes(spark, sf):
     return for_compare(L.route_optimization(_enriched(spark, sf), exact=True))
+
+
+# ----------------------------------------------------------------- equipment
+from derrick.plans import equipment as EQ  # noqa: E402
+
+
+def _pumps(spark, sf):
+    return A.load_many(spark, sf, "pump_sensors", "pump_failures")
+
+
+@register("zscore_global")
+def q_zscore(spark, sf):
+    sens, _ = _pumps(spark, sf)
+    z = EQ.pump_zscores(sens)
+    return for_compare(z.select("record_id", "pump_id", "timestamp", "max_abs_zscore",
+                                "is_anomaly_zscore"))
+
+
+@register("join_time_range")
+def q_pre_failure(spark, sf):
+    return for_compare(EQ.pre_failure_signals(*_pumps(spark, sf), horizon_hours=24))
+
+
+@register("join_next_event")
+def q_next_failure(spark, sf):
+    lab = EQ.label_next_failure(*_pumps(spark, sf))
+    return for_compare(lab.select("record_id", "pump_id", "timestamp", "hours_to_failure",
+                                  "will_fail_24h"))
+
+
+@register("latest_per_key")
+def q_latest(spark, sf):
+    lab = EQ.label_next_failure(*_pumps(spark, sf))
+    return for_compare(EQ.latest_readings(lab).select("pump_id", "record_id", "timestamp",
+                                                      "will_fail_24h"))
+
+
+@register("risk_heuristic")
+def q_heuristic(spark, sf):
+    return for_compare(EQ.risk_heuristic(EQ.label_next_failure(*_pumps(spark, sf))))
+
+
+@register("mart_pump_anomalies")
+def q_anomalies(spark, sf):
+    sens, _ = _pumps(spark, sf)
+    return for_compare(EQ.pump_anomalies(sens, contamination=0.1, n_trees=100, seed=42))
+
+
+@register("isolation_forest")
+def q_iforest(spark, sf):
+    sens, _ = _pumps(spark, sf)
+    return for_compare(EQ.pump_anomalies(sens).select(
+        "record_id", "iforest_score", "is_anomaly_iforest"))
+
+
+@register("mart_pump_risk")
+def q_pump_risk(spark, sf):
+    risk, _ = EQ.pump_risk(*_pumps(spark, sf), num_trees=300, seed=42)
+    return for_compare(risk)
+
+
+@register("fit_failure_classifier")
+def q_pump_risk_metrics(spark, sf):
+    _, metrics = EQ.pump_risk(*_pumps(spark, sf), num_trees=300, seed=42)
+    return for_compare(metrics)

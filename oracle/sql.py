@@ -236,3 +236,84 @@ SELECT route, source, destination, trips, {R('total_volume_ton', 'total_volume_t
             WHEN priority = 'medium' THEN 'monitor and optimize' ELSE 'keep current' END
          AS recommended_action
 FROM prio"""
+
+
+# ----------------------------------------------------------------- equipment
+PUMPS = W("pump_sensors", "pump_failures")
+COERCED = """,
+coerced AS (
+  SELECT record_id, pump_id, timestamp,
+         TRY_CAST(temperature AS DOUBLE) AS temperature, TRY_CAST(vibration AS DOUBLE) AS vibration,
+         TRY_CAST(current AS DOUBLE) AS current, TRY_CAST(rpm AS DOUBLE) AS rpm,
+         TRY_CAST(pressure AS DOUBLE) AS pressure
+  FROM pump_sensors)
+"""
+# readings with all five features, hours to the next failure of the pump at
+# or after the reading (infinity if none), and the 24 h label
+LABELLED = COERCED + """,
+complete AS (
+  SELECT * FROM coerced
+  WHERE temperature IS NOT NULL AND vibration IS NOT NULL AND current IS NOT NULL
+    AND rpm IS NOT NULL AND pressure IS NOT NULL),
+nxt AS (
+  SELECT c.*, (SELECT min(f.failure_date) FROM pump_failures f
+               WHERE f.pump_id = c.pump_id AND f.failure_date >= c.timestamp) AS next_failure
+  FROM complete c),
+labelled AS (
+  SELECT *, coalesce((epoch_us(next_failure) - epoch_us(timestamp)) / 3.6e9,
+                     'inf'::DOUBLE) AS hours_to_failure
+  FROM nxt),
+lab AS (SELECT *, CASE WHEN hours_to_failure <= 24 THEN 1 ELSE 0 END AS will_fail_24h FROM labelled),
+latest AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY pump_id
+                                 ORDER BY timestamp DESC NULLS FIRST, record_id DESC) AS rn
+    FROM lab) WHERE rn = 1)
+"""
+
+ORACLE["zscore_global"] = PUMPS + COERCED + f""",
+clean AS (SELECT * FROM coerced WHERE temperature IS NOT NULL AND vibration IS NOT NULL
+          AND current IS NOT NULL AND rpm IS NOT NULL),
+st AS (SELECT avg(temperature) AS mt, stddev_pop(temperature) AS st, avg(vibration) AS mv,
+              stddev_pop(vibration) AS sv, avg(current) AS mc, stddev_pop(current) AS sc,
+              avg(rpm) AS mr, stddev_pop(rpm) AS sr FROM clean),
+z AS (
+  SELECT record_id, pump_id, timestamp, greatest(
+      abs(CASE WHEN st > 0 THEN (temperature - mt) / st ELSE 0 END),
+      abs(CASE WHEN sv > 0 THEN (vibration - mv) / sv ELSE 0 END),
+      abs(CASE WHEN sc > 0 THEN (current - mc) / sc ELSE 0 END),
+      abs(CASE WHEN sr > 0 THEN (rpm - mr) / sr ELSE 0 END)) AS m
+  FROM clean, st)
+SELECT record_id, pump_id, timestamp, {R('m', 'max_abs_zscore')}, m > 3 AS is_anomaly_zscore FROM z"""
+
+ORACLE["join_time_range"] = PUMPS + f"""
+SELECT f.failure_id, s.pump_id, f.failure_type, s.timestamp,
+       {R('(epoch_us(f.failure_date) - epoch_us(s.timestamp)) / 3.6e9', 'hours_before_failure')},
+       s.temperature, s.vibration, s.current, s.rpm, s.pressure
+FROM pump_failures f JOIN pump_sensors s
+  ON s.pump_id = f.pump_id
+ AND s.timestamp >= f.failure_date - INTERVAL 24 HOUR AND s.timestamp <= f.failure_date"""
+
+ORACLE["join_next_event"] = PUMPS + LABELLED + f"""
+SELECT record_id, pump_id, timestamp, {R('hours_to_failure', 'hours_to_failure')},
+       will_fail_24h FROM lab"""
+
+ORACLE["latest_per_key"] = PUMPS + LABELLED + """
+SELECT pump_id, record_id, timestamp, will_fail_24h FROM latest"""
+
+# pandas rank(pct=True) over the latest reading of each pump
+PCT = ("((rank() OVER (ORDER BY {c}) - 1) + (count(*) OVER (PARTITION BY {c}) + 1) / 2.0)"
+       " / count({c}) OVER ()")
+ORACLE["risk_heuristic"] = PUMPS + LABELLED + f""",
+ranked AS (
+  SELECT *, ({PCT.format(c='vibration')} + {PCT.format(c='temperature')}
+             + {PCT.format(c='current')}) / 3.0 AS risk_probability
+  FROM latest),
+scored AS (SELECT *, round_even(risk_probability * 100.0 * 10, 0) / 10 AS risk_score FROM ranked)
+SELECT pump_id, timestamp, {R('temperature', 'temperature')}, {R('vibration', 'vibration')},
+       {R('current', 'current')}, {R('rpm', 'rpm')}, {R('pressure', 'pressure')},
+       {R('risk_probability', 'risk_probability')}, {R('risk_score', 'risk_score')},
+       CASE WHEN risk_score > -0.1 AND risk_score <= 33 THEN 'low'
+            WHEN risk_score > 33 AND risk_score <= 66 THEN 'medium'
+            WHEN risk_score > 66 AND risk_score <= 100 THEN 'high' END AS risk_level
+FROM scored"""
