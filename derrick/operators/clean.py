@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from derrick.operators.stats import median as global_median
-from derrick.operators.stats import quantiles
+from derrick.operators.stats import quantiles, quantiles_multi
 
 
 def iqr_filter(df: DataFrame, columns: Sequence[str], k: float = 1.5,
@@ -65,11 +64,12 @@ def impute_group_median(df: DataFrame, key: str, columns: Sequence[str],
 def impute_global_median(df: DataFrame, columns: Sequence[str],
                          method: str = "exact") -> DataFrame:
     """NULL -> median of the whole column (a scalar per column)."""
-    fills = {}
-    for c in columns:
-        m = global_median(df, c, method=method)
-        fills[c] = F.coalesce(F.col(c), F.lit(m).cast("double"))
-    return df.withColumns(fills)
+    if method == "approx":
+        meds = {c: quantiles(df, c, [0.5], method="approx")[0] for c in columns}
+    else:
+        meds = {c: v[0] for c, v in quantiles_multi(df, {c: [0.5] for c in columns}).items()}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(meds[c]).cast("double"))
+                           for c in columns})
 
 
 def impute_group_then_global(df: DataFrame, key: str, columns: Sequence[str],

@@ -1,95 +1,145 @@
-"""Exact quantiles over a whole column without gathering it in one task.
+"""Exact quantiles over whole columns without gathering a column in one task.
 
 ``percentile``/``median`` aggregates keep a map of every distinct value of a
 group in one task. For a global quantile over billions of high-cardinality
 readings that map is unbounded, so the exact global quantile is found by
 bracketing instead:
 
-1. one pass counts the non-null values ``n`` and estimates distinct values;
-2. if the distinct count is small, the (value, count) pairs are fetched
-   (bounded by ``max_values``) and the rank is read off directly;
-3. otherwise ``percentile_approx`` brackets the wanted rank, the rows below
-   the bracket are counted, and the search continues inside the bracket.
+1. one pass counts the non-null values ``n`` of every requested column and
+   estimates their distinct values;
+2. columns with few distinct values send their (value, count) pairs to the
+   driver in one more pass (at most ``max_values`` pairs in total) and the
+   ranks are read off directly;
+3. a column with many distinct values is bracketed: ``percentile_approx``
+   brackets the wanted rank, the rows below the bracket are counted, and the
+   search continues inside the bracket, which shrinks by about ``accuracy``
+   per round.
 
-Each round shrinks the candidate set by roughly ``accuracy``; the driver only
-ever receives at most ``max_values`` (value, count) pairs. Interpolation is
-linear between the two neighbouring ranks (pandas ``quantile``, Spark
-``percentile``, DuckDB ``quantile_cont``).
+Interpolation is linear between the two neighbouring ranks (pandas
+``quantile``, Spark ``percentile``, DuckDB ``quantile_cont``).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _ranks_in(values: DataFrame, ranks: Sequence[int], offset: int,
-              max_values: int, accuracy: int, depth: int = 0) -> dict[int, float]:
-    """Values at 0-based ``ranks`` of column ``v``; ``offset`` rows lie below."""
-    stats = values.agg(F.count("v").alias("m"),
-                       F.approx_count_distinct("v").alias("d")).first()
-    m, d = stats["m"], stats["d"]
-    if d <= max_values // 2 or depth >= 8:
-        pairs = values.groupBy("v").count().orderBy("v").collect()
-        if len(pairs) <= max_values or depth >= 8:
-            out, seen, i = {}, offset, 0
-            for k in sorted(ranks):
-                while seen + pairs[i]["count"] <= k:
-                    seen += pairs[i]["count"]
-                    i += 1
-                out[k] = pairs[i]["v"]
-            return out
-    # too many distinct values: bracket each rank and recurse inside
+def _walk(pairs, ranks, offset):
+    """Values at 0-based ``ranks`` from sorted (value, count) pairs."""
+    out, seen, i = {}, offset, 0
+    for k in sorted(ranks):
+        while seen + pairs[i][1] <= k:
+            seen += pairs[i][1]
+            i += 1
+        out[k] = pairs[i][0]
+    return out
+
+
+def _bracket(values: DataFrame, ranks: Sequence[int], offset: int, m: int,
+             max_values: int, accuracy: int, depth: int = 0) -> dict[int, float]:
+    """Ranks of column ``v`` (``m`` rows, ``offset`` rows below) by bracketing."""
+    if depth >= 8:
+        pairs = [(r["v"], r["count"]) for r in values.groupBy("v").count().orderBy("v").collect()]
+        return _walk(pairs, ranks, offset)
     out = {}
     margin = 4.0 / accuracy
     for k in ranks:
         frac = (k - offset) / max(m - 1, 1)
         lo_f, hi_f = max(frac - margin, 0.0), min(frac + margin, 1.0)
-        lo, hi = values.agg(F.percentile_approx(
-            "v", F.array(F.lit(lo_f), F.lit(hi_f)), accuracy)).first()[0]
-        if lo_f == 0.0:
-            lo = values.agg(F.min("v")).first()[0]
-        if hi_f == 1.0:
-            hi = values.agg(F.max("v")).first()[0]
+        row = values.agg(F.percentile_approx("v", F.array(F.lit(lo_f), F.lit(hi_f)), accuracy),
+                         F.min("v"), F.max("v")).first()
+        lo = row[1] if lo_f == 0.0 else row[0][0]
+        hi = row[2] if hi_f == 1.0 else row[0][1]
         if lo == hi:
             out[k] = lo
             continue
-        below = values.where(F.col("v") < lo).count()
         inner = values.where(F.col("v").between(lo, hi))
-        out.update(_ranks_in(inner, [k], offset + below, max_values, accuracy, depth + 1))
+        stats = values.agg(F.count_if(F.col("v") < lo).alias("below"),
+                           F.count_if(F.col("v").between(lo, hi)).alias("m"),
+                           F.approx_count_distinct(
+                               F.when(F.col("v").between(lo, hi), F.col("v"))).alias("d")).first()
+        if stats["d"] <= max_values // 2:
+            pairs = [(r["v"], r["count"])
+                     for r in inner.groupBy("v").count().orderBy("v").collect()]
+            out.update(_walk(pairs, [k], offset + stats["below"]))
+        else:
+            out.update(_bracket(inner, [k], offset + stats["below"], stats["m"], max_values,
+                                accuracy, depth + 1))
+    return out
+
+
+def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
+                    max_values: int = 200_000, accuracy: int = 10_000
+                    ) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns: ``{column: [q1, q2, ...]}``."""
+    cols = list(wanted)
+    if not cols:
+        return {}
+    stats = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    ranks, small, budget = {}, [], max_values // 2
+    for i, c in enumerate(cols):
+        n = stats[f"n{i}"]
+        if n == 0:
+            continue
+        rs = set()
+        for p in wanted[c]:
+            pos = p * (n - 1)
+            rs.update({math.floor(pos), math.ceil(pos)})
+        ranks[c] = sorted(rs)
+        d = stats[f"d{i}"]
+        if d <= budget:
+            small.append(c)
+            budget -= d
+    got: dict[str, dict[int, float]] = {}
+    if small:
+        # one pass: (column index, value) pairs of the low-cardinality columns
+        stacked = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+            for i, c in enumerate(small)])).alias("s")).select("s.c", "s.v")
+        rows = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
+                .orderBy("c", "v").collect())
+        by_col: dict[int, list] = {}
+        for r in rows:
+            by_col.setdefault(r["c"], []).append((r["v"], r["count"]))
+        for i, c in enumerate(small):
+            got[c] = _walk(by_col[i], ranks[c], 0)
+    for i, c in enumerate(cols):
+        if c in ranks and c not in small:
+            values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
+            got[c] = _bracket(values, ranks[c], 0, stats[f"n{i}"], max_values, accuracy)
+    out = {}
+    for i, c in enumerate(cols):
+        n = stats[f"n{i}"]
+        if n == 0:
+            out[c] = [None] * len(wanted[c])
+            continue
+        res = []
+        for p in wanted[c]:
+            pos = p * (n - 1)
+            lo, hi = got[c][math.floor(pos)], got[c][math.ceil(pos)]
+            res.append(lo + (hi - lo) * (pos - math.floor(pos)))
+        out[c] = res
     return out
 
 
-def quantiles(df: DataFrame, column: str, probs: Sequence[float],
-              method: str = "exact", max_values: int = 200_000,
-              accuracy: int = 10_000) -> list[float | None]:
-    """Quantiles of ``column`` (nulls ignored) as Python floats.
+def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str = "exact",
+              max_values: int = 200_000, accuracy: int = 10_000) -> list[float | None]:
+    """Quantiles of ``column`` (NULLs ignored) as Python floats.
 
-    ``method="approx"`` uses one ``percentile_approx`` pass (bounded memory,
-    rank error ``n/accuracy``).
+    ``method="approx"`` is one ``percentile_approx`` pass (bounded memory,
+    rank error about ``n / accuracy``).
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     if method == "approx":
+        values = df.select(F.col(column).cast("double").alias("v"))
         row = values.agg(F.percentile_approx("v", F.array(*[F.lit(p) for p in probs]),
                                              accuracy)).first()[0]
         return list(row) if row is not None else [None] * len(probs)
-    n = values.count()
-    if n == 0:
-        return [None] * len(probs)
-    wanted = set()
-    for p in probs:
-        pos = p * (n - 1)
-        wanted.update({math.floor(pos), math.ceil(pos)})
-    got = _ranks_in(values, sorted(wanted), 0, max_values, accuracy)
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo, hi = got[math.floor(pos)], got[math.ceil(pos)]
-        out.append(lo + (hi - lo) * (pos - math.floor(pos)))
-    return out
+    return quantiles_multi(df, {column: list(probs)}, max_values, accuracy)[column]
 
 
 def median(df: DataFrame, column: str, **kw) -> float | None:

@@ -194,3 +194,86 @@ def q_pump_risk(spark, sf):
 def q_pump_risk_metrics(spark, sf):
     _, metrics = EQ.pump_risk(*_pumps(spark, sf), num_trees=300, seed=42)
     return for_compare(metrics)
+
+
+# ------------------------------------------------------------------ forecast
+from derrick.models import training as MT  # noqa: E402
+from derrick.operators.aggregates import regression_metrics  # noqa: E402
+from derrick.plans import forecast as FC  # noqa: E402
+
+
+def _target_inputs(spark, sf):
+    return A.load_many(spark, sf, "well_targets", "telemetry", "production")
+
+
+@register("agg_telemetry_daily")
+def q_tele_daily(spark, sf):
+    return for_compare(P.telemetry_daily(A.load(spark, sf, "telemetry")))
+
+
+@register("agg_telemetry_power")
+def q_tele_power(spark, sf):
+    return for_compare(FC.telemetry_power_daily(A.load(spark, sf, "telemetry")))
+
+
+@register("target_dataset")
+def q_target_dataset(spark, sf):
+    return for_compare(FC.target_dataset(*_target_inputs(spark, sf)))
+
+
+@register("fit_linear")
+def q_fit_linear(spark, sf):
+    """Least squares of target on pressure over the whole training set."""
+    ds = FC.target_dataset(*_target_inputs(spark, sf)).dropna(subset=["pressure"])
+    model = MT.fit_linear(ds, ["pressure"], "target_oil_ton")
+    lr = model.stages[-1]
+    n = lr.summary.numInstances
+    return for_compare(spark.createDataFrame(
+        [(float(lr.coefficients[0]), float(lr.intercept), int(n))],
+        "slope double, intercept double, rows_used long"))
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf):
+    """Reported production as a naive forecast of the target, per dataset."""
+    targets, _, prod = _target_inputs(spark, sf)
+    pairs = (targets.join(prod.select("well_id", "date", "oil_ton"), ["well_id", "date"])
+             .dropna(subset=["daily_oil_ton", "oil_ton"]))
+    return for_compare(regression_metrics(pairs, "daily_oil_ton", "oil_ton"))
+
+
+@register("score_and_stack")
+def q_actual_vs_predicted(spark, sf):
+    _, preds, _ = FC.train_and_score(FC.target_dataset(*_target_inputs(spark, sf)))
+    return for_compare(preds)
+
+
+@register("fit_target_forest")
+def q_target_metrics(spark, sf):
+    metrics, _, _ = FC.train_and_score(FC.target_dataset(*_target_inputs(spark, sf)))
+    return for_compare(metrics)
+
+
+@register("error_over_time")
+def q_error_over_time(spark, sf):
+    _, _, err = FC.train_and_score(FC.target_dataset(*_target_inputs(spark, sf)))
+    return for_compare(err)
+
+
+@register("fit_production_forest")
+def q_ml_metrics(spark, sf):
+    return for_compare(FC.production_forest_metrics(_features(spark, sf)))
+
+
+@register("split_train_test")
+def q_split(spark, sf):
+    ds = FC.target_dataset(*_target_inputs(spark, sf))
+    s = MT.split_train_test(ds, ["well_id", "date"], 0.25, 42)
+    return s.groupBy("is_test").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("split_stratified")
+def q_split_strat(spark, sf):
+    lab = EQ.label_next_failure(*_pumps(spark, sf))
+    s = MT.split_stratified(lab, ["record_id"], "will_fail_24h", 0.25, 42)
+    return s.groupBy("will_fail_24h", "is_test").agg(F.count(F.lit(1)).alias("rows"))

@@ -32,6 +32,9 @@ def build_session(master: str | None = None, app_name: str = "derrick",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM
+        conf["spark.driver.memory"] = os.environ.get("DERRICK_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

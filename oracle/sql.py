@@ -317,3 +317,79 @@ SELECT pump_id, timestamp, {R('temperature', 'temperature')}, {R('vibration', 'v
             WHEN risk_score > 33 AND risk_score <= 66 THEN 'medium'
             WHEN risk_score > 66 AND risk_score <= 100 THEN 'high' END AS risk_level
 FROM scored"""
+
+
+# ------------------------------------------------------------------ forecast
+TELE_DAILY = """
+SELECT well_id, CAST(timestamp AS DATE) AS date, {cols}
+FROM telemetry WHERE well_id IS NOT NULL AND timestamp IS NOT NULL GROUP BY 1, 2"""
+
+ORACLE["agg_telemetry_daily"] = W("telemetry") + TELE_DAILY.format(cols=", ".join([
+    R("avg(pressure_out)", "avg_pressure"), R("avg(temperature)", "avg_temperature"),
+    R("avg(vibration)", "avg_vibration"), R("avg(pump_speed_rpm)", "avg_rpm"),
+    R("avg(pump_current)", "avg_current")]))
+
+ORACLE["agg_telemetry_power"] = W("telemetry") + TELE_DAILY.format(cols=", ".join([
+    R("avg(pressure_out)", "pressure"), R("avg(temperature)", "temperature"),
+    R("avg(pump_current * pump_speed_rpm / 1000.0)", "pump_power_kw"),
+    "CAST(count(timestamp) AS DOUBLE) AS pump_runtime_hours"]))
+
+# targets <- daily telemetry <- raw production fallbacks; well median, then
+# overall median (taken after the well step); rows without target dropped
+TARGETS = """,
+tp AS (
+  SELECT well_id, CAST(timestamp AS DATE) AS date, avg(pressure_out) AS pressure,
+         avg(temperature) AS temperature, avg(pump_current * pump_speed_rpm / 1000.0) AS pump_power_kw,
+         CAST(count(timestamp) AS DOUBLE) AS pump_runtime_hours
+  FROM telemetry WHERE well_id IS NOT NULL AND timestamp IS NOT NULL GROUP BY 1, 2),
+pf AS (
+  SELECT well_id, CAST(date AS DATE) AS date, pressure AS prod_pressure,
+         temperature AS prod_temperature, energy_kwh / 24.0 AS prod_power_kw,
+         CASE WHEN downtime_hours IS NOT NULL THEN least(greatest(24 - downtime_hours, 0), 24) END
+           AS prod_runtime_hours
+  FROM production),
+ds0 AS (
+  SELECT t.well_id, CAST(t.date AS DATE) AS date, t.daily_oil_ton AS target_oil_ton,
+         coalesce(tp.pressure, pf.prod_pressure) AS pressure,
+         coalesce(tp.temperature, pf.prod_temperature) AS temperature,
+         coalesce(tp.pump_power_kw, pf.prod_power_kw) AS pump_power_kw,
+         coalesce(tp.pump_runtime_hours, pf.prod_runtime_hours) AS pump_runtime_hours
+  FROM well_targets t
+  LEFT JOIN tp ON t.well_id = tp.well_id AND CAST(t.date AS DATE) = tp.date
+  LEFT JOIN pf ON t.well_id IS NOT DISTINCT FROM pf.well_id
+              AND CAST(t.date AS DATE) IS NOT DISTINCT FROM pf.date),
+ds1 AS (
+  SELECT well_id, date, target_oil_ton,
+    CASE WHEN well_id IS NOT NULL THEN coalesce(pressure, median(pressure) OVER (PARTITION BY well_id)) END AS pressure,
+    CASE WHEN well_id IS NOT NULL THEN coalesce(temperature, median(temperature) OVER (PARTITION BY well_id)) END AS temperature,
+    CASE WHEN well_id IS NOT NULL THEN coalesce(pump_power_kw, median(pump_power_kw) OVER (PARTITION BY well_id)) END AS pump_power_kw,
+    CASE WHEN well_id IS NOT NULL THEN coalesce(pump_runtime_hours, median(pump_runtime_hours) OVER (PARTITION BY well_id)) END AS pump_runtime_hours
+  FROM ds0),
+ds AS (
+  SELECT well_id, date, target_oil_ton,
+         coalesce(pressure, (SELECT median(pressure) FROM ds1)) AS pressure,
+         coalesce(temperature, (SELECT median(temperature) FROM ds1)) AS temperature,
+         coalesce(pump_power_kw, (SELECT median(pump_power_kw) FROM ds1)) AS pump_power_kw,
+         coalesce(pump_runtime_hours, (SELECT median(pump_runtime_hours) FROM ds1)) AS pump_runtime_hours
+  FROM ds1 WHERE target_oil_ton IS NOT NULL)
+"""
+TGT = W("well_targets", "telemetry", "production") + TARGETS
+
+ORACLE["target_dataset"] = TGT + "SELECT well_id, date, " + ", ".join(
+    R(c, c) for c in ["target_oil_ton", "pressure", "temperature", "pump_power_kw",
+                      "pump_runtime_hours"]) + " FROM ds"
+
+ORACLE["fit_linear"] = TGT + f"""
+SELECT {R('regr_slope(target_oil_ton, pressure)', 'slope')},
+       {R('regr_intercept(target_oil_ton, pressure)', 'intercept')},
+       count(*) AS rows_used
+FROM ds WHERE pressure IS NOT NULL"""
+
+ORACLE["regression_metrics"] = W("well_targets", "production") + f""",
+pairs AS (SELECT t.daily_oil_ton AS y, p.oil_ton AS yhat
+          FROM well_targets t JOIN production p ON t.well_id = p.well_id AND t.date = p.date
+          WHERE t.daily_oil_ton IS NOT NULL AND p.oil_ton IS NOT NULL)
+SELECT {R('avg(abs(y - yhat))', 'mae')}, {R('sqrt(avg((y - yhat) * (y - yhat)))', 'rmse')},
+       {R('1 - sum((y - yhat) * (y - yhat)) / (count(y) * var_pop(y))', 'r2')},
+       count(*) AS rows_used
+FROM pairs"""
