@@ -277,3 +277,41 @@ def q_split_strat(spark, sf):
     lab = EQ.label_next_failure(*_pumps(spark, sf))
     s = MT.split_stratified(lab, ["record_id"], "will_fail_24h", 0.25, 42)
     return s.groupBy("will_fail_24h", "is_test").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ------------------------------------------------------------------- changes
+from derrick.operators import changes as CH  # noqa: E402
+
+
+def _changes(spark, sf):
+    return A.load(spark, sf, "item_changes")
+
+
+@register("changes_validate")
+def q_changes_validate(spark, sf):
+    return CH.changes_validate(_changes(spark, sf)).select("seq", "op", "id", "reason", "valid")
+
+
+@register("changes_apply")
+def q_changes_apply(spark, sf):
+    snap, _ = CH.changes_apply(_changes(spark, sf))
+    return snap
+
+
+@register("changes_rejects")
+def q_changes_rejects(spark, sf):
+    _, rejects = CH.changes_apply(_changes(spark, sf))
+    return rejects.select("seq", "op", "id", "reason")
+
+
+@register("lookup_by_id")
+def q_lookup(spark, sf):
+    ch = _changes(spark, sf)
+    snap, _ = CH.changes_apply(ch)
+    return CH.lookup_by_id(snap, ch.where(F.col("op") != "create"))
+
+
+@register("snapshot_newest_first")
+def q_snapshot_newest(spark, sf):
+    snap, _ = CH.changes_apply(_changes(spark, sf))
+    return CH.snapshot_newest_first(snap)

@@ -108,6 +108,28 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 JOIN {part} ON l_partkey = p_partkey""",
     "shop_products": """
 SELECT p_partkey AS product_id, p_name AS product_name FROM {part}""",
+    # change log of the keyed item table: signups create, some errors delete,
+    # the rest update; some titles empty or too long, some fields left out
+    "item_changes": """
+SELECT event_id AS seq,
+       CASE WHEN event_type = 'signup' THEN 'create'
+            WHEN event_type = 'error' AND event_id % 29 = 0 THEN 'delete'
+            ELSE 'update' END AS op,
+       user_id AS id,
+       CASE WHEN event_type = 'error' AND event_id % 29 = 0 THEN NULL
+            WHEN event_id % 13 = 0 THEN ''
+            WHEN event_id % 17 = 0 THEN repeat('t', 201)
+            WHEN event_id % 19 = 0 THEN repeat('t', 200)
+            WHEN event_type <> 'signup' AND event_id % 3 = 0 THEN NULL
+            ELSE concat('item ', CAST(event_id AS STRING)) END AS title,
+       CASE WHEN (event_type = 'error' AND event_id % 29 = 0) OR event_id % 5 = 0 THEN NULL
+            WHEN event_id % 101 = 0 THEN repeat(props, 250)
+            ELSE props END AS description,
+       CASE WHEN event_type = 'signup' OR (event_type = 'error' AND event_id % 29 = 0)
+                 OR event_id % 4 = 0 THEN NULL
+            ELSE value > 100 END AS completed,
+       ts
+FROM {events}""",
 }
 # --- end of fixed values ---
 

@@ -393,3 +393,53 @@ SELECT {R('avg(abs(y - yhat))', 'mae')}, {R('sqrt(avg((y - yhat) * (y - yhat)))'
        {R('1 - sum((y - yhat) * (y - yhat)) / (count(y) * var_pop(y))', 'r2')},
        count(*) AS rows_used
 FROM pairs"""
+
+
+# ------------------------------------------------------------------- changes
+# Replay per id: an item exists from its first valid create up to the first
+# delete after it; updates/deletes outside that span are "not found", any
+# other create "id exists". Latest given field values win; a create sets
+# completed to false.
+CHANGES = W("item_changes") + """,
+v AS (
+  SELECT *, CASE
+      WHEN op NOT IN ('create', 'update', 'delete') THEN 'unknown operation'
+      WHEN op = 'create' AND title IS NULL THEN 'title required'
+      WHEN op IN ('create', 'update') AND title IS NOT NULL
+           AND (length(title) < 1 OR length(title) > 200) THEN 'title length'
+      WHEN op IN ('create', 'update') AND description IS NOT NULL
+           AND length(description) > 2000 THEN 'description length' END AS reason
+  FROM item_changes),
+v1 AS (SELECT *, min(CASE WHEN reason IS NULL AND op = 'create' THEN seq END)
+                   OVER (PARTITION BY id) AS c0 FROM v),
+v2 AS (SELECT *, min(CASE WHEN reason IS NULL AND op = 'delete' AND seq > c0 THEN seq END)
+                   OVER (PARTITION BY id) AS d0 FROM v1),
+decided AS (
+  SELECT *, CASE
+      WHEN reason IS NOT NULL THEN reason
+      WHEN op = 'create' AND seq = c0 THEN NULL
+      WHEN op IN ('update', 'delete') AND seq > c0 AND (d0 IS NULL OR seq <= d0) THEN NULL
+      WHEN op = 'create' THEN 'id exists'
+      ELSE 'not found' END AS outcome
+  FROM v2),
+snap AS (
+  SELECT id,
+         arg_max(title, seq) FILTER (WHERE title IS NOT NULL) AS title,
+         arg_max(description, seq) FILTER (WHERE description IS NOT NULL) AS description,
+         arg_max(CASE WHEN op = 'create' THEN false ELSE completed END, seq)
+           FILTER (WHERE op = 'create' OR completed IS NOT NULL) AS completed,
+         min(CASE WHEN op = 'create' THEN ts END) AS created_at
+  FROM decided WHERE outcome IS NULL AND d0 IS NULL GROUP BY id)
+"""
+
+ORACLE["changes_validate"] = CHANGES + "SELECT seq, op, id, reason, reason IS NULL AS valid FROM v"
+ORACLE["changes_apply"] = CHANGES + "SELECT * FROM snap"
+ORACLE["changes_rejects"] = CHANGES + \
+    "SELECT seq, op, id, outcome AS reason FROM decided WHERE outcome IS NOT NULL"
+ORACLE["lookup_by_id"] = CHANGES + """
+SELECT r.id, s.title, s.description, s.completed, s.created_at, s.id IS NOT NULL AS found
+FROM (SELECT DISTINCT id FROM item_changes WHERE op <> 'create') r
+LEFT JOIN snap s ON r.id = s.id"""
+ORACLE["snapshot_newest_first"] = CHANGES + """
+SELECT id, title, description, CAST(completed AS BOOLEAN) AS completed, created_at
+FROM snap ORDER BY id DESC"""
