@@ -46,10 +46,10 @@ def production_fallbacks(production: DataFrame) -> DataFrame:
         clip(F.lit(24.0) - nan_to_null("downtime_hours"), 0.0, 24.0).alias("prod_runtime_hours"))
 
 
-def target_dataset(targets: DataFrame, telemetry: DataFrame, production: DataFrame,
-                   approx_medians: bool = False) -> DataFrame:
-    """Targets with telemetry features, production fallbacks, well-median then
-    overall-median fills; rows without a target dropped at the end."""
+def target_with_fallbacks(targets: DataFrame, telemetry: DataFrame,
+                          production: DataFrame) -> DataFrame:
+    """Targets with daily telemetry features; a missing feature takes the
+    production-derived value of the same well and day."""
     t = (targets.withColumn("date", F.col("date").cast("date"))
          .withColumnRenamed("daily_oil_ton", "target_oil_ton")
          .withColumn("target_oil_ton", nan_to_null("target_oil_ton")))
@@ -62,6 +62,14 @@ def target_dataset(targets: DataFrame, telemetry: DataFrame, production: DataFra
         "pump_power_kw": fallback("pump_power_kw", "prod_power_kw"),
         "pump_runtime_hours": fallback("pump_runtime_hours", "prod_runtime_hours"),
     })
+    return ds.select(*DATASET_COLUMNS)
+
+
+def target_dataset(targets: DataFrame, telemetry: DataFrame, production: DataFrame,
+                   approx_medians: bool = False) -> DataFrame:
+    """Targets with telemetry features, production fallbacks, well-median then
+    overall-median fills; rows without a target dropped at the end."""
+    ds = target_with_fallbacks(targets, telemetry, production)
     ds = impute_group_then_global(ds, "well_id", TARGET_FEATURES, approx=approx_medians)
     return ds.dropna(subset=["target_oil_ton"]).select(*DATASET_COLUMNS)
 

@@ -1,5 +1,5 @@
-"""Oracle SQL per registered query. Every double is rounded to 6 digits,
-matching :func:`derrick.plans.catalog.for_compare`."""
+"""Oracle SQL per registered query. Every double is snapped to single
+precision, matching :func:`derrick.plans.catalog.for_compare`."""
 
 from __future__ import annotations
 
@@ -18,13 +18,14 @@ ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY city ORDER BY revenue_sum DESC, product_id) AS rn
   FROM agg)
 SELECT city, product_id, product_name, orders_cnt, qty_sum,
-       round(CAST(revenue_sum AS DOUBLE), 6) AS revenue_sum
+       CAST(CAST(CAST(revenue_sum AS DOUBLE) AS FLOAT) AS DOUBLE) AS revenue_sum
 FROM ranked WHERE rn <= 2"""
 
 
 def R(expr: str, alias: str) -> str:
-    """Rounded double output column."""
-    return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
+    """Double output column snapped to single precision (see
+    ``derrick.plans.catalog.normalise_double``)."""
+    return f"CAST(CAST(CAST({expr} AS DOUBLE) AS FLOAT) AS DOUBLE) AS {alias}"
 
 
 def EXACT_AVG(col: str, scale: int) -> str:
