@@ -73,7 +73,8 @@ def fit_forest_regressor(train: DataFrame, features: Sequence[str], label: str,
                          num_trees: int = 200, max_depth: int = 10, seed: int = 42) -> PipelineModel:
     rf = RandomForestRegressor(featuresCol="__features", labelCol=label, predictionCol="prediction",
                                numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                               featureSubsetStrategy="all", subsamplingRate=1.0)
+                               featureSubsetStrategy="all", subsamplingRate=1.0,
+                               cacheNodeIds=True, maxMemoryInMB=1024)
     return Pipeline(stages=[_assembler(features), rf]).fit(train)
 
 
@@ -84,7 +85,8 @@ def fit_forest_classifier(train: DataFrame, features: Sequence[str], label: str,
     rf = RandomForestClassifier(featuresCol="__features", labelCol=label,
                                 predictionCol="prediction", probabilityCol="probability",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                                featureSubsetStrategy="sqrt", **kw)
+                                featureSubsetStrategy="sqrt", cacheNodeIds=True,
+                                maxMemoryInMB=1024, **kw)
     return Pipeline(stages=[_assembler(features), rf]).fit(train)
 
 

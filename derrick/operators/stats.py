@@ -5,12 +5,10 @@ group in one task. For a global quantile over billions of high-cardinality
 readings that map is unbounded, so the exact global quantile is found by
 bracketing instead:
 
-1. one pass counts the non-null values ``n`` of every requested column and
-   estimates their distinct values;
-2. columns with few distinct values send their (value, count) pairs to the
-   driver in one more pass (at most ``max_values`` pairs in total) and the
-   ranks are read off directly;
-3. a column with many distinct values is bracketed: ``percentile_approx``
+1. one pass aggregates (value, count) pairs of the requested columns and
+   fetches at most ``max_values`` of them (a bounded ``limit``); if they
+   all fit, the ranks are read off directly;
+2. otherwise each column is bracketed: ``percentile_approx``
    brackets the wanted rank, the rows below the bracket are counted, and the
    search continues inside the bracket, which shrinks by about ``accuracy``
    per round.
@@ -75,47 +73,43 @@ def _bracket(values: DataFrame, ranks: Sequence[int], offset: int, m: int,
 def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
                     max_values: int = 200_000, accuracy: int = 10_000
                     ) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns: ``{column: [q1, q2, ...]}``."""
+    """Exact quantiles of several columns: ``{column: [q1, q2, ...]}``.
+
+    First pass: the (column, value, count) pairs of all columns, fetched only
+    up to ``max_values`` pairs (``limit``); when they all fit, that single
+    pass is the answer. A column whose pairs do not fit is bracketed.
+    """
     cols = list(wanted)
     if not cols:
         return {}
-    stats = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    ranks, small, budget = {}, [], max_values // 2
-    for i, c in enumerate(cols):
-        n = stats[f"n{i}"]
-        if n == 0:
-            continue
-        rs = set()
-        for p in wanted[c]:
-            pos = p * (n - 1)
-            rs.update({math.floor(pos), math.ceil(pos)})
-        ranks[c] = sorted(rs)
-        d = stats[f"d{i}"]
-        if d <= budget:
-            small.append(c)
-            budget -= d
-    got: dict[str, dict[int, float]] = {}
-    if small:
-        # one pass: (column index, value) pairs of the low-cardinality columns
-        stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-            for i, c in enumerate(small)])).alias("s")).select("s.c", "s.v")
-        rows = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
-                .orderBy("c", "v").collect())
-        by_col: dict[int, list] = {}
-        for r in rows:
-            by_col.setdefault(r["c"], []).append((r["v"], r["count"]))
-        for i, c in enumerate(small):
-            got[c] = _walk(by_col[i], ranks[c], 0)
-    for i, c in enumerate(cols):
-        if c in ranks and c not in small:
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+        for i, c in enumerate(cols)])).alias("s")).select("s.c", "s.v")
+    pairs = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
+             .limit(max_values + 1).collect())
+    if len(pairs) <= max_values:
+        by_col: dict[int, list] = {i: [] for i in range(len(cols))}
+        for r in pairs:
+            by_col[r["c"]].append((r["v"], r["count"]))
+        for lst in by_col.values():
+            lst.sort()
+        counts = {c: sum(n for _, n in by_col[i]) for i, c in enumerate(cols)}
+        got = {}
+        for i, c in enumerate(cols):
+            if counts[c]:
+                got[c] = _walk(by_col[i], _ranks(wanted[c], counts[c]), 0)
+    else:
+        counts, got = {}, {}
+        for c in cols:
             values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-            got[c] = _bracket(values, ranks[c], 0, stats[f"n{i}"], max_values, accuracy)
+            n = values.count()
+            counts[c] = n
+            if n:
+                got[c] = _bracket(values, _ranks(wanted[c], n), 0, n, max_values, accuracy)
     out = {}
-    for i, c in enumerate(cols):
-        n = stats[f"n{i}"]
-        if n == 0:
+    for c in cols:
+        n = counts[c]
+        if not n:
             out[c] = [None] * len(wanted[c])
             continue
         res = []
@@ -127,6 +121,14 @@ def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
     return out
 
 
+def _ranks(probs: Sequence[float], n: int) -> list[int]:
+    rs = set()
+    for p in probs:
+        pos = p * (n - 1)
+        rs.update({math.floor(pos), math.ceil(pos)})
+    return sorted(rs)
+
+
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str = "exact",
               max_values: int = 200_000, accuracy: int = 10_000) -> list[float | None]:
     """Quantiles of ``column`` (NULLs ignored) as Python floats.

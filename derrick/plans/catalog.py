@@ -20,8 +20,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(name: str):
+    """Add ``fn(spark, sf_dir)`` as query ``name``; its result is passed
+    through :func:`for_compare`."""
     def deco(fn):
-        QUERIES[name] = fn
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return for_compare(fn(spark, sf_dir))
+        query.__name__ = query.__qualname__ = f"q_{name}"
+        query.__doc__ = fn.__doc__
+        QUERIES[name] = query
         return fn
     return deco
 
@@ -39,11 +45,15 @@ def normalise_double(c):
 
 
 def for_compare(df: DataFrame) -> DataFrame:
-    """Normalise every double/decimal column for cross-engine comparison."""
+    """Normalise columns for cross-engine comparison: doubles and decimals
+    snapped to single precision; calendar dates as midnight timestamps (the
+    datetime values the marts carry in pandas)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             cols.append(normalise_double(F.col(f.name).cast("double")).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -3,6 +3,7 @@ well KPIs, best/worst wells and influence factors."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,10 @@ def clean_production(production: DataFrame, quantile_method: str = "exact",
     df = impute_group_median(df, "well_id", STATE_MEASURES, approx=approx_medians)
     df = df.withColumns({c: fill_const(c, 0.0) for c in FLOW_MEASURES})
     df = df.withColumn("downtime_coef", clip(F.col("downtime_hours") / 24.0, 0.0, 1.0))
-    return iqr_filter(df, IQR_COLUMNS, method=quantile_method)
+    # the IQR loop reads this frame once per column: keep it instead of
+    # recomputing the imputation each time
+    return iqr_filter(df.persist(StorageLevel.MEMORY_AND_DISK), IQR_COLUMNS,
+                      method=quantile_method)
 
 
 def telemetry_daily(telemetry: DataFrame) -> DataFrame:

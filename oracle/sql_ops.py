@@ -275,3 +275,24 @@ UNION ALL
 SELECT well_id, date, {R('daily_oil_ton', 'value')}, 'target' AS kind FROM well_targets"""
 
 _unused = (CLEAN, FEATURES)
+
+
+# Calendar dates leave both engines as midnight timestamps (pandas datetime64).
+DATE_COLUMNS = {
+    "clean_production": ["date"], "feature_table": ["date"], "mart_daily_production": ["date"],
+    "enrich_deliveries": ["date"], "mart_cost_vs_distance": ["date"],
+    "agg_telemetry_daily": ["date"], "agg_telemetry_power": ["date"], "target_dataset": ["date"],
+    "scan_table": ["date"], "cast_datetime": ["failure_day"], "fill_const": ["date"],
+    "fallback_coalesce": ["date"], "clip_range": ["date"], "date_truncate": ["date"],
+    "date_parts": ["date"], "join_left_composite": ["date"], "join_using_limit": ["date"],
+    "impute_group_median": ["date"], "impute_group_then_global": ["date"], "union_all": ["date"],
+}
+
+
+def _as_timestamps(sql: str, cols: list[str]) -> str:
+    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
+
+
+for _name, _cols in DATE_COLUMNS.items():
+    ORACLE[_name] = _as_timestamps(ORACLE[_name], _cols)
