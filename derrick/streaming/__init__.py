@@ -1,0 +1,7 @@
+"""Structured Streaming.
+
+The reproduced pipeline is finite batch work only (no watermarks, windows
+over event time, state or late data), so this package defines no streaming
+operators. Every operator in ``derrick.operators`` is a pure DataFrame
+transformation and can be applied inside ``foreachBatch`` where needed.
+"""

@@ -61,7 +61,8 @@ ORACLE["concat_route"] = W("deliveries") + """
 SELECT delivery_id, source, destination, source || ' -> ' || destination AS route FROM deliveries"""
 
 ORACLE["bool_flag"] = W("deliveries") + """
-SELECT delivery_id, delay_hours, CASE WHEN delay_hours > 0 THEN 1 ELSE 0 END AS delay_flag
+SELECT delivery_id, CAST(CAST(delay_hours AS FLOAT) AS DOUBLE) AS delay_hours,
+       CASE WHEN delay_hours > 0 THEN 1 ELSE 0 END AS delay_flag
 FROM deliveries"""
 
 ORACLE["bin_distance"] = W("deliveries") + f"""
@@ -138,13 +139,13 @@ ends AS (SELECT well_id, max(timestamp) AS e FROM telemetry WHERE well_id IS NOT
 SELECT t.well_id, t.timestamp FROM telemetry t JOIN ends ON t.well_id = ends.well_id
 WHERE t.timestamp >= ends.e - INTERVAL 24 HOUR AND t.timestamp <= ends.e"""
 
-ORACLE["filter_topn"] = """
-SELECT user_id, event_id, value FROM (
+ORACLE["filter_topn"] = f"""
+SELECT user_id, event_id, {R('value', 'value')} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn
   FROM events) WHERE rn <= 2"""
 
 ORACLE["filter_threshold"] = W("telemetry") + \
-    "SELECT well_id, timestamp, pump_current FROM telemetry WHERE pump_current > 50"
+    f"SELECT well_id, timestamp, {R('pump_current', 'pump_current')} FROM telemetry WHERE pump_current > 50"
 
 # ------------------------------------------------------------- joins
 ORACLE["join_left_composite"] = W("production", "telemetry") + f""",
@@ -249,8 +250,8 @@ _ROUTES = ORACLE["mart_route_optimization"]
 ORACLE["weighted_risk_score"] = _ROUTES[:_ROUTES.rindex("SELECT route, source")] + \
     f"SELECT route, {R('route_risk_score', 'route_risk_score')} FROM prio"
 
-ORACLE["topn_per_group"] = """
-SELECT event_type, event_id, value FROM (
+ORACLE["topn_per_group"] = f"""
+SELECT event_type, event_id, {R('value', 'value')} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rn
   FROM events) WHERE rn <= 3"""
 
