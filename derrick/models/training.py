@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from derrick.operators.aggregates import regression_metrics
 
 HASH_BUCKETS = 1_000_000
+MAX_CLASSES = 10_000
 
 
 def _unit_hash(keys: Sequence[str | Column], seed: int) -> Column:
@@ -38,23 +39,33 @@ def split_stratified(df: DataFrame, keys: Sequence[str], label: str, test_share:
     below that class's ``test_share`` hash quantile. The per-class thresholds
     come from one ``percentile_approx`` aggregate (one row per class)."""
     h = df.withColumn("__u", _unit_hash(keys, seed))
-    cuts = h.groupBy(label).agg(F.percentile_approx("__u", test_share, 100_000).alias("__cut"))
-    return (h.join(F.broadcast(cuts), label, "left")
-            .withColumn(out, F.col("__u") <= F.col("__cut")).drop("__u", "__cut"))
+    # one threshold per class, fetched once: recomputing the plan after a
+    # lost executor cannot move the split
+    cuts = {r[0]: r[1] for r in h.groupBy(label).agg(
+        F.percentile_approx("__u", test_share, 100_000)).limit(MAX_CLASSES + 1).collect()}
+    if len(cuts) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    cut = None
+    for cls, value in cuts.items():
+        cond = F.col(label).isNull() if cls is None else F.col(label) == F.lit(cls)
+        cut = F.when(cond, F.lit(value)) if cut is None else cut.when(cond, F.lit(value))
+    return h.withColumn(out, F.col("__u") <= (cut if cut is not None else F.lit(-1.0))).drop("__u")
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """scikit-learn ``class_weight="balanced"``: n / (k * n_class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    k = F.count(F.lit(1)).over(_all())
-    n = F.sum("__nc").over(_all())
-    counts = counts.withColumn("__w", n / (k * F.col("__nc"))).select(label, "__w")
-    return df.join(F.broadcast(counts), label, "left").withColumnRenamed("__w", out)
-
-
-def _all():
-    from pyspark.sql import Window
-    return Window.partitionBy(F.lit(1))
+    """scikit-learn ``class_weight="balanced"``: n / (k * n_class).
+
+    The class counts (one number per class) are fetched once."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()}
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    n, k = sum(counts.values()), len(counts)
+    w = None
+    for cls, nc in counts.items():
+        cond = F.col(label).isNull() if cls is None else F.col(label) == F.lit(cls)
+        val = F.lit(n / (k * nc))
+        w = F.when(cond, val) if w is None else w.when(cond, val)
+    return df.withColumn(out, w if w is not None else F.lit(None).cast("double"))
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:

@@ -9,36 +9,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from derrick.functions.exprs import as_col
+from derrick.operators.ranking import (DEFAULT_ROWS_PER_BUCKET, global_rank_pct,
+                                       global_row_number)
 
 
-def rank_pct(df: DataFrame, column: str, out: str, sort_key: Column | None = None) -> DataFrame:
+def rank_pct(df: DataFrame, column: str, out: str, sort_key: Column | None = None,
+             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """pandas ``rank(pct=True)``: average rank of ties / number of non-null.
 
-    Rows are first reduced to (value, count) pairs by a map-side aggregate;
-    the running count runs over distinct values only, then joins back on the
-    value. NULL values get a NULL rank. ``sort_key`` (e.g. a rounded copy of
-    the column) decides ties and order.
+    NULL values get a NULL rank. ``sort_key`` (e.g. a rounded copy of the
+    column) decides ties and order. Distributed over value buckets, see
+    :mod:`derrick.operators.ranking`.
     """
     key = sort_key if sort_key is not None else F.col(column)
-    keyed = df.withColumn("__rk", key)
-    vals = keyed.where(F.col("__rk").isNotNull()).groupBy("__rk").agg(F.count("*").alias("__n"))
-    # single ordered pass over distinct values of the ranked column
-    w_before = Window.orderBy("__rk").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(F.lit(1))
-    vals = vals.select(
-        "__rk",
-        ((F.coalesce(F.sum("__n").over(w_before), F.lit(0)) + (F.col("__n") + 1) / 2.0)
-         / F.sum("__n").over(w_all)).alias(out))
-    return keyed.join(vals, "__rk", "left").drop("__rk")
-
-
-def row_number_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
-    """1..n over the whole frame in ``order`` (unique tie-break expected).
-
-    Meant for report tables that are already aggregated to one row per
-    entity (wells, routes): the ordered pass runs in one task over them.
-    """
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+    return global_rank_pct(df, key, out, rows_per_bucket)
+
+
+def row_number_rank(df: DataFrame, column: str, descending: bool, tiebreak: Sequence[str],
+                    out: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """1..n over the whole frame by ``column`` (NULLs last), then ``tiebreak``."""
+    return global_row_number(df, column, descending, tiebreak, out, rows_per_bucket)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str],

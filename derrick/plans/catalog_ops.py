@@ -339,8 +339,7 @@ def q_impute_global(spark, sf):
 @register("row_number_rank")
 def q_row_number(spark, sf):
     kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
-    r = WN.row_number_rank(kpi, [F.col("total_cost_usd").desc(), F.col("driver_id").asc()],
-                           "cost_rank")
+    r = WN.row_number_rank(kpi, "total_cost_usd", True, ["driver_id"], "cost_rank")
     return for_compare(r.select("driver_id", "total_cost_usd", "cost_rank"))
 
 

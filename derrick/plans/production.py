@@ -84,8 +84,7 @@ def well_kpi(features: DataFrame, wells: DataFrame, exact: bool = False) -> Data
         F.avg("avg_pressure").alias("avg_pressure"),
         F.avg("avg_temperature").alias("avg_temperature"))
     kpi = join_left_dim(kpi, wells, "well_id", ["name", "field_name", "region", "status"])
-    ranked = row_number_rank(kpi, [F.col("avg_oil_ton").desc_nulls_last(), F.col("well_id").asc()],
-                             "performance_rank")
+    ranked = row_number_rank(kpi, "avg_oil_ton", True, ["well_id"], "performance_rank")
     return ranked.select(*WELL_KPI_COLUMNS)
 
 

@@ -14,7 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from derrick.session import build_session, ensure_checkpoint_dir
     s = build_session("local[4]", app_name="derrick-tests", shuffle_partitions=4,
-                      extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ckpt-")})
+                      extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ckpt-"),
+                                  "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wh-")})
     ensure_checkpoint_dir(s)
     yield s
     s.stop()

@@ -156,3 +156,22 @@ def test_result_independent_of_shuffle_partitions(spark):
         outs.append(rows(QUERIES["mart_route_optimization"](spark, "/root/testdata/sf0.001")))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert outs[0] == outs[1]
+
+
+def test_global_ranks_many_buckets_match_pandas(spark):
+    from derrick.operators.ranking import global_rank_pct, global_row_number
+    rng = np.random.default_rng(5)
+    vals = rng.integers(0, 300, size=2000).astype(float)
+    vals[::97] = np.nan
+    pdf = pd.DataFrame({"i": np.arange(2000), "x": vals})
+    df = spark.createDataFrame([(int(i), None if np.isnan(x) else float(x)) for i, x in
+                                zip(pdf.i, pdf.x)], "i long, x double")
+    exp_pct = pdf.x.rank(pct=True)
+    got = {r["i"]: r["p"] for r in global_rank_pct(df, F.col("x"), "p", rows_per_bucket=37).collect()}
+    for i, e in zip(pdf.i, exp_pct):
+        assert (got[i] is None) if pd.isna(e) else abs(got[i] - e) < 1e-12
+    exp_rn = pdf.sort_values(["x", "i"], ascending=[False, True], na_position="last").i.tolist()
+    rn = global_row_number(df, "x", True, ["i"], "rn", rows_per_bucket=100)
+    got_rn = [r["i"] for r in rn.orderBy("rn").collect()]
+    assert got_rn == exp_rn
+    assert [r["rn"] for r in rn.orderBy("rn").collect()] == list(range(1, 2001))
