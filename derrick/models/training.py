@@ -68,6 +68,18 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     return df.withColumn(out, w if w is not None else F.lit(None).cast("double"))
 
 
+def training_partitions(df: DataFrame, n_rows: int | None = None,
+                        rows_per_partition: int = 1_000_000) -> DataFrame:
+    """Spread training rows over max(cores, rows / rows_per_partition)
+    partitions. Forest training builds per-partition histograms for every
+    open node of every tree, so extra small partitions only add merge work;
+    fewer than one per core leaves cores idle."""
+    sc = df.sparkSession.sparkContext
+    n = n_rows if n_rows is not None else df.count()
+    target = max(sc.defaultParallelism, -(-n // rows_per_partition))
+    return df.repartition(target)
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="__features", handleInvalid="error")
 
@@ -82,6 +94,7 @@ def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> Pipelin
 
 def fit_forest_regressor(train: DataFrame, features: Sequence[str], label: str,
                          num_trees: int = 200, max_depth: int = 10, seed: int = 42) -> PipelineModel:
+    train = training_partitions(train)
     rf = RandomForestRegressor(featuresCol="__features", labelCol=label, predictionCol="prediction",
                                numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                featureSubsetStrategy="all", subsamplingRate=1.0,
@@ -93,6 +106,7 @@ def fit_forest_classifier(train: DataFrame, features: Sequence[str], label: str,
                           weight: str | None = None, num_trees: int = 300, max_depth: int = 10,
                           seed: int = 42) -> PipelineModel:
     kw = {"weightCol": weight} if weight else {}
+    train = training_partitions(train)
     rf = RandomForestClassifier(featuresCol="__features", labelCol=label,
                                 predictionCol="prediction", probabilityCol="probability",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed,

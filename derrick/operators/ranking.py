@@ -14,6 +14,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,49 +23,51 @@ DEFAULT_ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 
 
-def value_buckets(df: DataFrame, column: str, out: str,
-                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+def value_buckets(df: DataFrame, column: str, out: str, n: int,
+                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
     """Add ``out``: 0..k-1 by value of ``column`` (NULL for NULL values);
-    equal values share a bucket and bucket order follows value order."""
-    n = df.where(F.col(column).isNotNull()).count()
+    equal values share a bucket and bucket order follows value order.
+    ``n`` is the number of non-null values. Returns (frame, k)."""
     k = int(min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))))
     if k == 1:
-        return df.withColumn(out, F.when(F.col(column).isNotNull(), F.lit(0.0)))
+        return df.withColumn(out, F.when(F.col(column).isNotNull(), F.lit(0.0))), 1
     probs = [i / k for i in range(1, k)]
     cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), probs, 10 * k)).first()[0]
     splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
     b = Bucketizer(splits=splits, inputCol="__bv", outputCol=out, handleInvalid="keep")
-    tmp = df.withColumn("__bv", F.col(column).cast("double"))
-    return b.transform(tmp.fillna({"__bv": float("nan")})).drop("__bv") \
-        .withColumn(out, F.when(F.col(column).isNotNull(), F.col(out)))
+    tmp = df.withColumn("__bv", F.col(column).cast("double")).fillna({"__bv": float("nan")})
+    out_df = b.transform(tmp).drop("__bv").withColumn(out, F.when(F.col(column).isNotNull(),
+                                                                  F.col(out)))
+    return out_df, k
 
 
-def _offsets(df: DataFrame, bucket: str, weight: Column, descending: bool) -> Column:
+def _offsets(df: DataFrame, bucket: str, weight: Column, descending: bool, k: int) -> Column:
     """Rows (or weights) in all earlier buckets, as a literal lookup."""
+    if k == 1:
+        return F.when(F.col(bucket).isNotNull(), F.lit(0))
     counts = {r[0]: r[1] for r in df.where(F.col(bucket).isNotNull()).groupBy(bucket)
               .agg(F.sum(weight)).collect()}
     order = sorted(counts, reverse=descending)
     acc = dict(zip(order, itertools.accumulate([0] + [counts[b] for b in order[:-1]])))
-    if not acc:
-        return F.lit(0)
     expr = None
     for b, off in acc.items():
         cond = F.col(bucket) == F.lit(b)
         expr = F.when(cond, F.lit(off)) if expr is None else expr.when(cond, F.lit(off))
-    return expr
+    return expr if expr is not None else F.lit(None).cast("long")
 
 
 def global_row_number(df: DataFrame, column: str, descending: bool, tiebreak: Sequence[str],
                       out: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """1..n over the whole frame ordered by ``column`` (NULLs last), then by
     ``tiebreak`` ascending. The tiebreak should make the order total."""
-    b = value_buckets(df, column, "__bucket", rows_per_bucket)
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    nonnull = base.agg(F.count(column)).first()[0]
+    b, k = value_buckets(base, column, "__bucket", nonnull, rows_per_bucket)
     lead = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
     order = [lead, *[F.col(c).asc() for c in tiebreak]]
     local = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
     # NULL values form a bucket of their own, placed after all others
-    nonnull = df.where(F.col(column).isNotNull()).count()
-    offset = F.coalesce(_offsets(b, "__bucket", F.lit(1), descending), F.lit(nonnull))
+    offset = F.coalesce(_offsets(b, "__bucket", F.lit(1), descending, k), F.lit(nonnull))
     return b.withColumn(out, (local + offset).cast("int")).drop("__bucket")
 
 
@@ -77,13 +80,14 @@ def global_rank_pct(df: DataFrame, key: Column, out: str,
     """
     keyed = df.withColumn("__rk", key)
     vals = (keyed.where(F.col("__rk").isNotNull()).groupBy("__rk")
-            .agg(F.count(F.lit(1)).alias("__n")))
-    vb = value_buckets(vals, "__rk", "__bucket", rows_per_bucket)
-    total = vals.agg(F.sum("__n")).first()[0] or 0
+            .agg(F.count(F.lit(1)).alias("__n"))).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = vals.agg(F.count(F.lit(1)).alias("d"), F.sum("__n").alias("t")).first()
+    total = stats["t"] or 0
+    vb, k = value_buckets(vals, "__rk", "__bucket", stats["d"], rows_per_bucket)
     before_in_bucket = F.coalesce(F.sum("__n").over(
         Window.partitionBy("__bucket").orderBy("__rk")
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offset = _offsets(vb, "__bucket", F.col("__n"), descending=False)
+    offset = _offsets(vb, "__bucket", F.col("__n"), False, k)
     ranked = vb.select("__rk", ((offset + before_in_bucket + (F.col("__n") + 1) / 2.0)
                                 / F.lit(float(max(total, 1)))).alias(out))
     return keyed.join(ranked, "__rk", "left").drop("__rk")
