@@ -81,3 +81,30 @@ def test_run_all_small(spark, tmp_dir):
     assert len(marts) == 19
     assert os.path.isdir(os.path.join(tmp_dir, "marts", "daily_production"))
     assert os.path.isdir(os.path.join(tmp_dir, "ml", "pump_risk_scores.csv"))
+
+
+def test_jdbc_round_trip_in_process_derby(spark):
+    """Table replace and partitioned read over JDBC against an in-memory
+    Derby database inside this JVM (no server, no port)."""
+    cfg = LakeConfig(jdbc_url="jdbc:derby:memory:derrick_test;create=true",
+                     jdbc_driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    df = spark.range(1, 101).select(F.col("id").alias("well_id"),
+                                    (F.col("id") * 1.5).alias("oil_ton"))
+    SK.write_table_replace(df, "daily", cfg, schema="mart")
+    SK.write_table_replace(df.where("well_id <= 10"), "daily", cfg, schema="mart")
+    back = TB.scan_jdbc(spark, cfg, "mart.daily", partition_column="WELL_ID", lower=1, upper=100,
+                        num_partitions=4)
+    assert back.rdd.getNumPartitions() == 4
+    assert sorted(r[0] for r in back.collect()) == list(range(1, 11))
+
+
+def test_parquet_overwrite_scan_mart_and_show(spark, tmp_dir, capsys):
+    df = spark.createDataFrame([("Berlin", 2.0), ("Munich", 1.0)], "city string, revenue double")
+    root = os.path.join(tmp_dir, "lake")
+    SK.write_parquet_overwrite(df, os.path.join(root, "marts", "top"))
+    SK.write_parquet_overwrite(df.limit(1), os.path.join(root, "marts", "top"))
+    cfg = LakeConfig(lake_root=root, mart_schema="no_such_schema")
+    assert TB.scan_mart(spark, "top", cfg).count() == 1
+    SK.show_result(df, F.col("revenue").desc())
+    out = capsys.readouterr().out
+    assert out.index("Berlin") < out.index("Munich")
