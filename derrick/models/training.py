@@ -80,6 +80,27 @@ def training_partitions(df: DataFrame, n_rows: int | None = None,
     return df.repartition(target)
 
 
+def _node_stats_mb(df: DataFrame) -> int:
+    """Per-task memory for one round of forest node statistics.
+
+    Every running task holds its own statistics, so a quarter of the heap of
+    the JVM that runs the tasks is shared by its concurrent tasks (the local
+    cores, or ``spark.executor.cores``); kept between 16 and 1024 MB.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    conf = sc.getConf()
+    if sc.master.startswith("local") or not conf.contains("spark.executor.memory"):
+        heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory()
+        slots = sc.defaultParallelism if sc.master.startswith("local") else \
+            int(conf.get("spark.executor.cores", "1"))
+    else:
+        heap = sc._jvm.org.apache.spark.util.Utils.memoryStringToMb(
+            conf.get("spark.executor.memory")) * 1024 * 1024
+        slots = int(conf.get("spark.executor.cores", "1"))
+    return int(max(16, min(1024, heap / 4 / max(slots, 1) / 2 ** 20)))
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="__features", handleInvalid="error")
 
@@ -98,7 +119,7 @@ def fit_forest_regressor(train: DataFrame, features: Sequence[str], label: str,
     rf = RandomForestRegressor(featuresCol="__features", labelCol=label, predictionCol="prediction",
                                numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                featureSubsetStrategy="all", subsamplingRate=1.0,
-                               cacheNodeIds=True, maxMemoryInMB=1024)
+                               cacheNodeIds=True, maxMemoryInMB=_node_stats_mb(train))
     return Pipeline(stages=[_assembler(features), rf]).fit(train)
 
 
@@ -111,7 +132,7 @@ def fit_forest_classifier(train: DataFrame, features: Sequence[str], label: str,
                                 predictionCol="prediction", probabilityCol="probability",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                 featureSubsetStrategy="sqrt", cacheNodeIds=True,
-                                maxMemoryInMB=1024, **kw)
+                                maxMemoryInMB=_node_stats_mb(train), **kw)
     return Pipeline(stages=[_assembler(features), rf]).fit(train)
 
 
