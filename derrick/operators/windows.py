@@ -68,6 +68,3 @@ def head_tail_segments(df: DataFrame, order: Sequence[Column], reverse: Sequence
     tail = df.orderBy(*reverse).limit(n).withColumn(segment, F.lit(labels[1]))
     return head.unionByName(tail)
 
-
-def col_or_name(c: str | Column) -> Column:
-    return as_col(c)

@@ -5,7 +5,6 @@ tables; see :mod:`derrick.plans.catalog` for the marts."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from derrick.functions import exprs as X
 from derrick.operators import aggregates as AG
@@ -17,6 +16,7 @@ from derrick.operators.stats import quantiles
 from derrick.plans import equipment as EQ
 from derrick.plans import forecast as FC
 from derrick.plans import logistics as L
+from derrick.plans import notebook as NB
 from derrick.plans import production as P
 from derrick.plans import products as PR
 from derrick.plans.catalog import _enriched, _features, _pumps, _target_inputs, for_compare, register
@@ -260,10 +260,7 @@ def q_join_inner(spark, sf):
 @register("join_using_limit")
 def q_join_using_limit(spark, sf):
     kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
-    prod = A.load(spark, sf, "production")
-    j = kpi.select("well_id", "avg_pressure", "avg_temperature").join(
-        prod.select("well_id", "date", "oil_ton"), "well_id")
-    return for_compare(j.orderBy("well_id", "date").limit(1000))
+    return NB.kpi_with_production(kpi, A.load(spark, sf, "production"), 1000)
 
 
 # ------------------------------------------------------------- aggregates
@@ -313,13 +310,9 @@ def q_product_revenue(spark, sf):
 @register("pivot_mean")
 def q_pivot_mean(spark, sf):
     kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
-    prod = A.load(spark, sf, "production")
-    j = (kpi.select("well_id", "avg_pressure", "avg_temperature")
-         .join(prod.select("well_id", "oil_ton"), "well_id")
-         .withColumn("temperature_band", (F.floor(F.col("avg_temperature") / 10.0) * 10).cast("int"))
-         .withColumn("pressure_band", F.floor(F.col("avg_pressure") / 50.0).cast("int")))
-    return for_compare(AG.pivot_mean(j, "temperature_band", "pressure_band", "oil_ton",
-                                     [0, 1, 2, 3, 4, 5, 6, 7]))
+    pairs = kpi.select("well_id", "avg_pressure", "avg_temperature").join(
+        A.load(spark, sf, "production").select("well_id", "oil_ton"), "well_id")
+    return NB.oil_pivot(pairs)
 
 
 # ------------------------------------------------------------- windows
@@ -382,8 +375,7 @@ def q_head_tail(spark, sf):
 @register("limit_n")
 def q_limit(spark, sf):
     kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
-    return for_compare(kpi.orderBy("performance_rank").limit(10)
-                       .select("well_id", "name", "avg_oil_ton"))
+    return NB.top_wells(kpi, 10).select("well_id", "name", "avg_oil_ton")
 
 
 @register("union_all")
@@ -395,5 +387,3 @@ def q_union(spark, sf):
                   F.lit("target").alias("kind"))
     return for_compare(a.unionByName(b))
 
-
-_ = T  # types kept for callers building schemas

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,7 +116,8 @@ def _finish(latest: DataFrame, prob_col: str = "risk_probability") -> DataFrame:
 def risk_heuristic(labelled: DataFrame) -> DataFrame:
     """Mean percentile rank of vibration, temperature and current over the
     latest reading of each pump."""
-    latest = latest_readings(labelled)
+    # one row per pump, read by the three rank passes
+    latest = latest_readings(labelled).persist(StorageLevel.MEMORY_AND_DISK)
     r = rank_pct(latest, "vibration", "__rv")
     r = rank_pct(r, "temperature", "__rt")
     r = rank_pct(r, "current", "__rc")

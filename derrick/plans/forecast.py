@@ -11,7 +11,6 @@ from derrick.models import training as M
 from derrick.operators.aggregates import group_by_dropna, regression_metrics
 from derrick.operators.clean import impute_group_then_global
 from derrick.operators.joins import join_left_composite
-from derrick.plans.production import clean_production  # noqa: F401  (re-export for jobs)
 
 TARGET_FEATURES = ["pressure", "temperature", "pump_power_kw", "pump_runtime_hours"]
 DATASET_COLUMNS = ["well_id", "date", "target_oil_ton", *TARGET_FEATURES]

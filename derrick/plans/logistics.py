@@ -3,6 +3,7 @@ driver KPIs, delay factors and route priorities."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +123,8 @@ def route_optimization(enriched: DataFrame, exact: bool = False) -> DataFrame:
         _mean("delay_hours", exact).alias("avg_delay_hours"),
         rate_pct("delay_flag").alias("delay_rate_pct"),
         F.avg("cost_per_km").alias("avg_cost_per_km"))
+    # one row per route, read by both rank passes
+    routes = routes.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = rank_pct(routes, "avg_delay_hours", "__delay_norm",
                       sort_key=F.round("avg_delay_hours", 9))
     ranked = rank_pct(ranked, "avg_cost_per_km", "__cost_norm",

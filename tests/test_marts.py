@@ -3,7 +3,6 @@
 from datetime import date, datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from derrick.plans import equipment as EQ
 from derrick.plans import forecast as FC
