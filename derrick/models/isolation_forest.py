@@ -109,15 +109,19 @@ class IsolationForestModel:
     def score_column(self, cols: Sequence[Column]) -> Column:
         """Anomaly score in (0, 1] as an Arrow-batched column expression."""
         from pyspark.sql import SparkSession
-        sc = SparkSession.getActiveSession().sparkContext
-        shared = sc.broadcast(self.arrays())   # sent once per executor
+        arrays = self.arrays()
+        try:
+            shared = SparkSession.getActiveSession().sparkContext.broadcast(arrays)
+            get = lambda: shared.value  # noqa: E731  (sent once per executor)
+        except Exception:  # noqa: BLE001  (no SparkContext: ship with the function)
+            get = lambda: arrays
         c_psi = float(average_path_length([self.max_samples])[0]) or 1.0
         path_lengths = IsolationForestModel.path_lengths
 
         @F.pandas_udf("double")
         def _score(*series: pd.Series) -> pd.Series:
             x = np.column_stack([s.to_numpy(dtype=float) for s in series])
-            return pd.Series(np.power(2.0, -path_lengths(shared.value, x) / c_psi))
+            return pd.Series(np.power(2.0, -path_lengths(get(), x) / c_psi))
 
         return _score(*cols)
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from derrick.operators.aggregates import regression_metrics
+from derrick.session import default_parallelism
 
 HASH_BUCKETS = 1_000_000
 MAX_CLASSES = 10_000
@@ -74,9 +75,8 @@ def training_partitions(df: DataFrame, n_rows: int | None = None,
     partitions. Forest training builds per-partition histograms for every
     open node of every tree, so extra small partitions only add merge work;
     fewer than one per core leaves cores idle."""
-    sc = df.sparkSession.sparkContext
     n = n_rows if n_rows is not None else df.count()
-    target = max(sc.defaultParallelism, -(-n // rows_per_partition))
+    target = max(default_parallelism(df.sparkSession), -(-n // rows_per_partition))
     return df.repartition(target)
 
 
@@ -87,7 +87,13 @@ def _node_stats_mb(df: DataFrame) -> int:
     the JVM that runs the tasks is shared by its concurrent tasks (the local
     cores, or ``spark.executor.cores``); kept between 16 and 1024 MB.
     """
-    spark = df.sparkSession
+    try:
+        return _node_stats_mb_jvm(df.sparkSession)
+    except Exception:  # noqa: BLE001  (no JVM access, e.g. Spark Connect)
+        return 256
+
+
+def _node_stats_mb_jvm(spark) -> int:
     sc = spark.sparkContext
     conf = sc.getConf()
     if sc.master.startswith("local") or not conf.contains("spark.executor.memory"):

@@ -75,3 +75,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    """Task slots of the application (``defaultParallelism``); falls back to
+    ``spark.default.parallelism`` or ``fallback`` where the SparkContext is
+    not reachable (Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism", str(fallback)))

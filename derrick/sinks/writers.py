@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrick.config import LakeConfig
+from derrick.session import default_parallelism
 
 __all__ = ["write_partitioned_parquet", "write_csv", "write_table_replace", "create_schema",
            "write_parquet_overwrite", "show_result", "layout_for_access"]
@@ -66,6 +67,6 @@ def layout_for_access(df: DataFrame, path: str, keys: Sequence[str],
     """Write ``df`` range-clustered and sorted on ``keys`` so Parquet min/max
     statistics let readers skip files and row groups for key/range filters
     (what a B-tree index on the same keys gives a database)."""
-    n = partitions or max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    n = partitions or max(default_parallelism(df.sparkSession), 1)
     (df.repartitionByRange(n, *[F.col(k) for k in keys])
      .sortWithinPartitions(*keys).write.mode("overwrite").parquet(path))
