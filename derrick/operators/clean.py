@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +17,10 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], k: float = 1.5,
 
     The bounds of each column are computed on the rows left by the previous
     column, as in the sequential pandas filter. NULLs fail the test and are
-    dropped. Bounds are two scalars per column (see :mod:`stats`).
+    dropped. Bounds are two scalars per column (see :mod:`stats`); the input
+    is persisted because every column reads it again.
     """
-    out = df
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
     for c in columns:
         q1, q3 = quantiles(out, c, [0.25, 0.75], method=method)
         if q1 is None:

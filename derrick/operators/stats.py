@@ -5,10 +5,12 @@ group in one task. For a global quantile over billions of high-cardinality
 readings that map is unbounded, so the exact global quantile is found by
 bracketing instead:
 
-1. one pass aggregates (value, count) pairs of the requested columns and
-   fetches at most ``max_values`` of them (a bounded ``limit``); if they
-   all fit, the ranks are read off directly;
-2. otherwise each column is bracketed: ``percentile_approx``
+1. a sketch pass counts the non-null values of each column and estimates
+   their distinct values;
+2. columns with few distinct values send their (value, count) pairs to the
+   driver in one more pass (at most ``max_values`` pairs, a bounded
+   ``limit``) and the ranks are read off directly;
+3. a column with many distinct values is bracketed: ``percentile_approx``
    brackets the wanted rank, the rows below the bracket are counted, and the
    search continues inside the bracket, which shrinks by about ``accuracy``
    per round.
@@ -75,37 +77,42 @@ def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
                     ) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns: ``{column: [q1, q2, ...]}``.
 
-    First pass: the (column, value, count) pairs of all columns, fetched only
-    up to ``max_values`` pairs (``limit``); when they all fit, that single
-    pass is the answer. A column whose pairs do not fit is bracketed.
+    Pass 1 (sketches only, no shuffle of values): non-null count and a
+    distinct estimate per column. Pass 2: (column, value, count) pairs of
+    every column whose distinct values fit the budget, at most
+    ``max_values`` pairs in all. Wider columns are bracketed instead, so a
+    high-cardinality column is never aggregated value by value.
     """
     cols = list(wanted)
     if not cols:
         return {}
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(cols)])).alias("s")).select("s.c", "s.v")
-    pairs = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
-             .limit(max_values + 1).collect())
-    if len(pairs) <= max_values:
-        by_col: dict[int, list] = {i: [] for i in range(len(cols))}
-        for r in pairs:
-            by_col[r["c"]].append((r["v"], r["count"]))
-        for lst in by_col.values():
-            lst.sort()
-        counts = {c: sum(n for _, n in by_col[i]) for i, c in enumerate(cols)}
-        got = {}
-        for i, c in enumerate(cols):
-            if counts[c]:
-                got[c] = _walk(by_col[i], _ranks(wanted[c], counts[c]), 0)
-    else:
-        counts, got = {}, {}
-        for c in cols:
+    stats = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    counts = {c: stats[f"n{i}"] for i, c in enumerate(cols)}
+    small, budget = [], max_values // 2
+    for i, c in enumerate(cols):
+        d = stats[f"d{i}"]
+        if counts[c] and d <= budget:
+            small.append(c)
+            budget -= d
+    got: dict[str, dict[int, float]] = {}
+    if small:
+        stacked = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+            for i, c in enumerate(small)])).alias("s")).select("s.c", "s.v")
+        pairs = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
+                 .limit(max_values + 1).collect())
+        if len(pairs) <= max_values:
+            by_col: dict[int, list] = {i: [] for i in range(len(small))}
+            for r in pairs:
+                by_col[r["c"]].append((r["v"], r["count"]))
+            for i, c in enumerate(small):
+                got[c] = _walk(sorted(by_col[i]), _ranks(wanted[c], counts[c]), 0)
+    for c in cols:
+        if counts[c] and c not in got:
             values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-            n = values.count()
-            counts[c] = n
-            if n:
-                got[c] = _bracket(values, _ranks(wanted[c], n), 0, n, max_values, accuracy)
+            got[c] = _bracket(values, _ranks(wanted[c], counts[c]), 0, counts[c], max_values,
+                              accuracy)
     out = {}
     for c in cols:
         n = counts[c]
