@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from derrick.operators.group_stats import group_quantile
 from derrick.operators.stats import quantiles, quantiles_multi
 
 
@@ -31,19 +32,34 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], k: float = 1.5,
 
 
 def group_medians(df: DataFrame, key: str | Sequence[str], columns: Sequence[str],
-                  approx: bool = False, prefix: str = "__med_") -> DataFrame:
+                  approx: bool = False, prefix: str = "__med_",
+                  max_values: int = 100_000) -> DataFrame:
     """One row per non-null key with the median of each column.
 
-    Partial aggregation runs map-side; only (key, value-count map) pairs are
-    shuffled. ``approx=True`` bounds the per-group memory for huge groups.
+    A sketch pass finds each column's widest group (distinct values, HLL).
+    Columns whose groups all hold at most ``max_values`` distinct values use
+    the plain aggregate (partial aggregation map-side, bounded per-group
+    maps); wider columns go through :func:`group_stats.group_quantile`, which
+    narrows hot groups instead of gathering them. ``approx=True`` uses
+    ``percentile_approx`` (bounded sketch per group).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    agg = (F.percentile_approx(c, 0.5, 10_000) if approx else F.median(c) for c in columns)
     cond = None
     for k_ in keys:
         cond = F.col(k_).isNotNull() if cond is None else cond & F.col(k_).isNotNull()
-    return (df.where(cond).groupBy(*keys)
-            .agg(*[a.cast("double").alias(prefix + c) for a, c in zip(agg, columns)]))
+    base = df.where(cond)
+    if approx:
+        return base.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5, 10_000).cast("double")
+                                         .alias(prefix + c) for c in columns])
+    widest = (base.groupBy(*keys).agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
+              .agg(*[F.max(c).alias(c) for c in columns]).first())
+    narrow = [c for c in columns if (widest[c] or 0) <= max_values]
+    out = base.groupBy(*keys).agg(*[F.median(c).cast("double").alias(prefix + c) for c in narrow]) \
+        if narrow else base.select(*keys).distinct()
+    for c in columns:
+        if c not in narrow:
+            out = out.join(group_quantile(base, keys, c, 0.5, prefix + c, max_values), keys, "left")
+    return out.select(*keys, *[prefix + c for c in columns])
 
 
 def impute_group_median(df: DataFrame, key: str, columns: Sequence[str],

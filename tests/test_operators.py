@@ -175,3 +175,20 @@ def test_global_ranks_many_buckets_match_pandas(spark):
     got_rn = [r["i"] for r in rn.orderBy("rn").collect()]
     assert got_rn == exp_rn
     assert [r["rn"] for r in rn.orderBy("rn").collect()] == list(range(1, 2001))
+
+
+def test_group_quantile_hot_group_exact(spark):
+    from derrick.operators.clean import group_medians
+    rng = np.random.default_rng(11)
+    n = 20_000
+    k = np.where(rng.uniform(size=n) < 0.35, 0, rng.integers(1, 6, size=n))
+    v = rng.normal(size=n).round(6)
+    v[::500] = np.nan
+    pdf = pd.DataFrame({"k": k, "v": v, "w": (v * 0).round(1)})
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "k long, v double, w double")
+    got = {r["k"]: (r["__med_v"], r["__med_w"]) for r in
+           group_medians(df, "k", ["v", "w"], max_values=300).collect()}
+    exp_v, exp_w = pdf.groupby("k")["v"].median(), pdf.groupby("k")["w"].median()
+    for kk in exp_v.index:
+        assert abs(got[kk][0] - exp_v[kk]) < 1e-12
+        assert got[kk][1] == exp_w[kk]
