@@ -72,6 +72,8 @@ def impute_group_median(df: DataFrame, key: str, columns: Sequence[str],
     AQE broadcasts the per-key table when it is small at run time.
     """
     prefix = "__med_"
+    # read three times (sketch, medians, join back): keep it once
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     meds = group_medians(df, key, columns, approx=approx, prefix=prefix)
     joined = df.join(meds, on=key, how="left")
     filled = {c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(c), F.col(prefix + c)))
