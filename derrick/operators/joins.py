@@ -107,10 +107,12 @@ def join_next_event(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     * inside a (key, bucket) slot: union of left and right rows, ``min`` of
       right times over a RANGE frame from the current time onwards (equal
       times count);
-    * across slots: per (key, slot) the earliest right time, suffix-minimum
-      over later slots of the key on the compact slot table, joined back.
-    The slot table has one row per occupied (key, slot), so a hot key is split
-    over its time slots and the cross-slot window works on slots, not rows.
+    * across slots: per (key, slot) the earliest right time and its suffix
+      minimum, spread over the slots up to the previous event slot (a table
+      built from the right side only, one row per (key, slot) of the key's
+      event span), joined back on (key, slot).
+    A hot key is split over its time slots, the left side is scanned and
+    shuffled once, and no window runs over the rows of a whole key.
     """
     width = int(bucket_hours * 3.6e9)
     lt_type = left.schema[left_ts].dataType
@@ -130,13 +132,27 @@ def join_next_event(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     same_slot = (lhs.unionByName(rhs)
                  .withColumn("__same", F.min("__rts").over(w))
                  .where(F.col("__is_left")))
-    # level 2: earliest event in any later slot of the key (compact slot table)
+    # level 2: earliest event in any later slot of the key, from the events
+    # alone. Per key, fs_1 < fs_2 < ... are the slots holding events; every
+    # slot s in [fs_{i-1}, fs_i) has as "later" minimum the suffix minimum at
+    # fs_i, and slots before fs_1 the suffix minimum at fs_1. The dense table
+    # has one row per (key, slot) between a key's first and last event slot:
+    # its size follows the time span, not the number of readings.
     slot_min = r.groupBy(key, "__slot").agg(F.min("__rts").alias("__smin"))
-    slots = (l.select(key, "__slot").distinct()
-             .join(slot_min, [key, "__slot"], "full_outer"))
-    ws = (Window.partitionBy(key).orderBy("__slot")
-          .rowsBetween(1, Window.unboundedFollowing))
-    later = slots.withColumn("__later", F.min("__smin").over(ws)).select(key, "__slot", "__later")
+    by_slot = Window.partitionBy(key).orderBy("__slot")
+    suffix = (slot_min
+              .withColumn("__suf", F.min("__smin").over(
+                  by_slot.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+              .withColumn("__prev", F.lag("__slot").over(by_slot)))
+    dense = (suffix.where(F.col("__prev").isNotNull())
+             .select(key, F.explode(F.sequence("__prev", F.col("__slot") - 1)).alias("__slot"),
+                     F.col("__suf").alias("__later")))
+    first = (suffix.where(F.col("__prev").isNull())
+             .select(key, F.col("__slot").alias("__first"), F.col("__suf").alias("__before")))
+    later = dense
     return (same_slot.join(later, [key, "__slot"], "left")
-            .withColumn(out, F.coalesce("__same", "__later"))
+            .join(first, key, "left")
+            .withColumn(out, F.coalesce(
+                "__same", "__later",
+                F.when(F.col("__slot") < F.col("__first"), F.col("__before"))))
             .select(*left.columns, out))

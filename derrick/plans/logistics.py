@@ -101,15 +101,15 @@ def delay_factors(enriched: DataFrame, exact: bool = False) -> DataFrame:
     long = (agg.select(factor_value.alias("factor_value"), "trips", "avg_delay_hours",
                        factor_type.alias("factor_type"))
             .where(F.col("factor_value").isNotNull()))
-    # full bucket domain (observed=False): missing buckets get 0 trips
+    # full bucket domain (observed=False): buckets without trips appear with
+    # 0 trips; one outer join against the 4-row domain, so the aggregate above
+    # is computed once
     spark = enriched.sparkSession
     domain = spark.createDataFrame([(b, "distance_bucket") for b in DISTANCE_LABELS],
                                    "factor_value string, factor_type string")
-    present = long.where(F.col("factor_type") == "distance_bucket")
-    buckets = (F.broadcast(domain).join(present, ["factor_value", "factor_type"], "left")
-               .select("factor_value", F.coalesce("trips", F.lit(0)).alias("trips"),
-                       "avg_delay_hours", "factor_type"))
-    return long.where(F.col("factor_type") != "distance_bucket").unionByName(buckets)
+    return (long.join(domain, ["factor_value", "factor_type"], "full_outer")
+            .select("factor_value", F.coalesce("trips", F.lit(0)).alias("trips"),
+                    "avg_delay_hours", "factor_type"))
 
 
 def route_optimization(enriched: DataFrame, exact: bool = False) -> DataFrame:
