@@ -16,17 +16,28 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # ~256 MB per task after AQE coalescing; file splits of the same size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+# On a cluster the first shuffle of a 100 TB job needs many partitions: AQE
+# merges small ones after the fact but cannot split large ones (outside skewed
+# joins), so start high and let it coalesce to the advisory size.
+CLUSTER_SHUFFLE_PARTITIONS = 16384
+
+
 def build_session(master: str | None = None, app_name: str = "derrick",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with :data:`BASE_CONF` applied.
 
     ``master`` is only set when given, so on a cluster the launcher decides.
+    ``extra_conf`` overrides any default here (e.g. a different
+    ``spark.sql.shuffle.partitions`` for a cluster of another size).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -37,6 +48,8 @@ def build_session(master: str | None = None, app_name: str = "derrick",
         conf["spark.driver.memory"] = os.environ.get("DERRICK_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not (master or "").startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
