@@ -339,7 +339,7 @@ def q_row_number(spark, sf):
 @register("rank_pct")
 def q_rank_pct(spark, sf):
     kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
-    r = WN.rank_pct(kpi, "avg_delay_hours", "delay_rank", sort_key=F.round("avg_delay_hours", 9))
+    r = WN.rank_pct(kpi, "avg_delay_hours", "delay_rank")
     return for_compare(r.select("driver_id", "delay_rank"))
 
 

@@ -125,8 +125,10 @@ def route_optimization(enriched: DataFrame, exact: bool = False) -> DataFrame:
         F.avg("cost_per_km").alias("avg_cost_per_km"))
     # one row per route, read by both rank passes
     routes = routes.persist(StorageLevel.MEMORY_AND_DISK)
-    ranked = rank_pct(routes, "avg_delay_hours", "__delay_norm",
-                      sort_key=F.round("avg_delay_hours", 9))
+    # ranks need ties that do not depend on summation order: the exact delay
+    # mean is bit-stable as it is; a mean of ratios is compared at 9 decimals
+    delay_key = F.col("avg_delay_hours") if exact else F.round("avg_delay_hours", 9)
+    ranked = rank_pct(routes, "avg_delay_hours", "__delay_norm", sort_key=delay_key)
     ranked = rank_pct(ranked, "avg_cost_per_km", "__cost_norm",
                       sort_key=F.round("avg_cost_per_km", 9))
     score = round_half_even((F.lit(0.6) * F.col("__delay_norm")

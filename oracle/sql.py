@@ -213,7 +213,7 @@ routes AS (
   FROM enriched
   WHERE route IS NOT NULL AND source IS NOT NULL AND destination IS NOT NULL
   GROUP BY route, source, destination),
-keyed AS (SELECT *, round(avg_delay_hours, 9) AS kd, round(avg_cost_per_km, 9) AS kc FROM routes),
+keyed AS (SELECT *, avg_delay_hours AS kd, round(avg_cost_per_km, 9) AS kc FROM routes),
 ranked AS (
   SELECT *,
     CASE WHEN kd IS NOT NULL THEN

@@ -243,7 +243,7 @@ SELECT driver_id, {R('total_cost_usd', 'total_cost_usd')},
 FROM dk"""
 
 ORACLE["rank_pct"] = LOGI + DRIVER_KPI + f"""
-, k AS (SELECT *, round(avg_delay_hours, 9) AS kd FROM dk)
+, k AS (SELECT *, avg_delay_hours AS kd FROM dk)
 SELECT driver_id, {R(f"CASE WHEN kd IS NOT NULL THEN {PCT.format(c='kd')} END", 'delay_rank')} FROM k"""
 
 _ROUTES = ORACLE["mart_route_optimization"]
