@@ -62,7 +62,7 @@ def for_compare(df: DataFrame) -> DataFrame:
 @register("mart_city_top_products")
 def q_city_top_products(spark, sf):
     users, orders, prods = A.load_many(spark, sf, "shop_users", "shop_orders", "shop_products")
-    return for_compare(products.city_top_products(users, orders, prods, n=2))
+    return products.city_top_products(users, orders, prods, n=2)
 
 
 # ---------------------------------------------------------------- production
@@ -76,33 +76,33 @@ def _features(spark, sf):
 
 @register("clean_production")
 def q_clean_production(spark, sf):
-    return for_compare(P.clean_production(A.load(spark, sf, "production")))
+    return P.clean_production(A.load(spark, sf, "production"))
 
 
 @register("feature_table")
 def q_feature_table(spark, sf):
-    return for_compare(_features(spark, sf))
+    return _features(spark, sf)
 
 
 @register("mart_daily_production")
 def q_daily_production(spark, sf):
-    return for_compare(P.daily_production(_features(spark, sf), exact=True))
+    return P.daily_production(_features(spark, sf), exact=True)
 
 
 @register("mart_well_kpi")
 def q_well_kpi(spark, sf):
-    return for_compare(P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True))
+    return P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
 
 
 @register("best_worst_wells")
 def q_best_worst(spark, sf):
     kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
-    return for_compare(P.best_worst_wells(kpi))
+    return P.best_worst_wells(kpi)
 
 
 @register("corr_influence")
 def q_influence(spark, sf):
-    return for_compare(P.influence_factors(_features(spark, sf)))
+    return P.influence_factors(_features(spark, sf))
 
 
 # ----------------------------------------------------------------- logistics
@@ -115,39 +115,39 @@ def _enriched(spark, sf):
 
 @register("enrich_deliveries")
 def q_enrich(spark, sf):
-    return for_compare(_enriched(spark, sf))
+    return _enriched(spark, sf)
 
 
 @register("mart_delay_vs_weather")
 def q_delay_weather(spark, sf):
-    return for_compare(L.delay_vs_weather(_enriched(spark, sf), exact=True))
+    return L.delay_vs_weather(_enriched(spark, sf), exact=True)
 
 
 @register("mart_cost_vs_distance")
 def q_cost_distance(spark, sf):
-    return for_compare(L.cost_vs_distance(_enriched(spark, sf)))
+    return L.cost_vs_distance(_enriched(spark, sf))
 
 
 @register("mart_driver_kpi")
 def q_driver_kpi(spark, sf):
-    return for_compare(L.driver_kpi(_enriched(spark, sf), exact=True))
+    return L.driver_kpi(_enriched(spark, sf), exact=True)
 
 
 @register("agg_factor_long")
 def q_delay_factors(spark, sf):
-    return for_compare(L.delay_factors(_enriched(spark, sf), exact=True))
+    return L.delay_factors(_enriched(spark, sf), exact=True)
 
 
 @register("agg_full_domain")
 def q_full_domain(spark, sf):
     short_trips = _enriched(spark, sf).where(F.col("distance_km") <= 160)
-    return for_compare(L.delay_factors(short_trips, exact=True)
+    return (L.delay_factors(short_trips, exact=True)
                        .where(F.col("factor_type") == "distance_bucket"))
 
 
 @register("mart_route_optimization")
 def q_routes(spark, sf):
-    return for_compare(L.route_optimization(_enriched(spark, sf), exact=True))
+    return L.route_optimization(_enriched(spark, sf), exact=True)
 
 
 # ----------------------------------------------------------------- equipment
@@ -162,57 +162,57 @@ def _pumps(spark, sf):
 def q_zscore(spark, sf):
     sens, _ = _pumps(spark, sf)
     z = EQ.pump_zscores(sens)
-    return for_compare(z.select("record_id", "pump_id", "timestamp", "max_abs_zscore",
+    return (z.select("record_id", "pump_id", "timestamp", "max_abs_zscore",
                                 "is_anomaly_zscore"))
 
 
 @register("join_time_range")
 def q_pre_failure(spark, sf):
-    return for_compare(EQ.pre_failure_signals(*_pumps(spark, sf), horizon_hours=24))
+    return EQ.pre_failure_signals(*_pumps(spark, sf), horizon_hours=24)
 
 
 @register("join_next_event")
 def q_next_failure(spark, sf):
     lab = EQ.label_next_failure(*_pumps(spark, sf))
-    return for_compare(lab.select("record_id", "pump_id", "timestamp", "hours_to_failure",
+    return (lab.select("record_id", "pump_id", "timestamp", "hours_to_failure",
                                   "will_fail_24h"))
 
 
 @register("latest_per_key")
 def q_latest(spark, sf):
     lab = EQ.label_next_failure(*_pumps(spark, sf))
-    return for_compare(EQ.latest_readings(lab).select("pump_id", "record_id", "timestamp",
+    return (EQ.latest_readings(lab).select("pump_id", "record_id", "timestamp",
                                                       "will_fail_24h"))
 
 
 @register("risk_heuristic")
 def q_heuristic(spark, sf):
-    return for_compare(EQ.risk_heuristic(EQ.label_next_failure(*_pumps(spark, sf))))
+    return EQ.risk_heuristic(EQ.label_next_failure(*_pumps(spark, sf)))
 
 
 @register("mart_pump_anomalies")
 def q_anomalies(spark, sf):
     sens, _ = _pumps(spark, sf)
-    return for_compare(EQ.pump_anomalies(sens, contamination=0.1, n_trees=100, seed=42))
+    return EQ.pump_anomalies(sens, contamination=0.1, n_trees=100, seed=42)
 
 
 @register("isolation_forest")
 def q_iforest(spark, sf):
     sens, _ = _pumps(spark, sf)
-    return for_compare(EQ.pump_anomalies(sens).select(
+    return (EQ.pump_anomalies(sens).select(
         "record_id", "iforest_score", "is_anomaly_iforest"))
 
 
 @register("mart_pump_risk")
 def q_pump_risk(spark, sf):
     risk, _ = EQ.pump_risk(*_pumps(spark, sf), num_trees=300, seed=42)
-    return for_compare(risk)
+    return risk
 
 
 @register("fit_failure_classifier")
 def q_pump_risk_metrics(spark, sf):
     _, metrics = EQ.pump_risk(*_pumps(spark, sf), num_trees=300, seed=42)
-    return for_compare(metrics)
+    return metrics
 
 
 # ------------------------------------------------------------------ forecast
@@ -227,17 +227,17 @@ def _target_inputs(spark, sf):
 
 @register("agg_telemetry_daily")
 def q_tele_daily(spark, sf):
-    return for_compare(P.telemetry_daily(A.load(spark, sf, "telemetry")))
+    return P.telemetry_daily(A.load(spark, sf, "telemetry"))
 
 
 @register("agg_telemetry_power")
 def q_tele_power(spark, sf):
-    return for_compare(FC.telemetry_power_daily(A.load(spark, sf, "telemetry")))
+    return FC.telemetry_power_daily(A.load(spark, sf, "telemetry"))
 
 
 @register("target_dataset")
 def q_target_dataset(spark, sf):
-    return for_compare(FC.target_dataset(*_target_inputs(spark, sf)))
+    return FC.target_dataset(*_target_inputs(spark, sf))
 
 
 @register("fit_linear")
@@ -247,7 +247,7 @@ def q_fit_linear(spark, sf):
     model = MT.fit_linear(ds, ["pressure"], "target_oil_ton")
     lr = model.stages[-1]
     n = lr.summary.numInstances
-    return for_compare(spark.createDataFrame(
+    return (spark.createDataFrame(
         [(float(lr.coefficients[0]), float(lr.intercept), int(n))],
         "slope double, intercept double, rows_used long"))
 
@@ -258,30 +258,30 @@ def q_regression_metrics(spark, sf):
     targets, _, prod = _target_inputs(spark, sf)
     pairs = (targets.join(prod.select("well_id", "date", "oil_ton"), ["well_id", "date"])
              .dropna(subset=["daily_oil_ton", "oil_ton"]))
-    return for_compare(regression_metrics(pairs, "daily_oil_ton", "oil_ton"))
+    return regression_metrics(pairs, "daily_oil_ton", "oil_ton")
 
 
 @register("score_and_stack")
 def q_actual_vs_predicted(spark, sf):
     _, preds, _ = FC.train_and_score(FC.target_dataset(*_target_inputs(spark, sf)))
-    return for_compare(preds)
+    return preds
 
 
 @register("fit_target_forest")
 def q_target_metrics(spark, sf):
     metrics, _, _ = FC.train_and_score(FC.target_dataset(*_target_inputs(spark, sf)))
-    return for_compare(metrics)
+    return metrics
 
 
 @register("error_over_time")
 def q_error_over_time(spark, sf):
     _, _, err = FC.train_and_score(FC.target_dataset(*_target_inputs(spark, sf)))
-    return for_compare(err)
+    return err
 
 
 @register("fit_production_forest")
 def q_ml_metrics(spark, sf):
-    return for_compare(FC.production_forest_metrics(_features(spark, sf)))
+    return FC.production_forest_metrics(_features(spark, sf))
 
 
 @register("split_train_test")

@@ -19,7 +19,7 @@ from derrick.plans import logistics as L
 from derrick.plans import notebook as NB
 from derrick.plans import production as P
 from derrick.plans import products as PR
-from derrick.plans.catalog import _enriched, _features, _pumps, _target_inputs, for_compare, register
+from derrick.plans.catalog import _enriched, _features, _pumps, _target_inputs, register
 from derrick.schemas import INPUTS
 from derrick.sources import adapters as A
 from derrick.sources import tables as TB
@@ -28,19 +28,19 @@ from derrick.sources import tables as TB
 # ------------------------------------------------------------- scans
 @register("scan_table")
 def q_scan_table(spark, sf):
-    return for_compare(TB.enforce_schema(A.load(spark, sf, "production"), INPUTS["production"]))
+    return TB.enforce_schema(A.load(spark, sf, "production"), INPUTS["production"])
 
 
 @register("scan_ordered")
 def q_scan_ordered(spark, sf):
-    return for_compare(TB.scan_ordered(A.load(spark, sf, "telemetry"), "timestamp", "well_id"))
+    return TB.scan_ordered(A.load(spark, sf, "telemetry"), "timestamp", "well_id")
 
 
 @register("scan_parquet")
 def q_scan_parquet(spark, sf):
     schema = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
               "l_quantity double, l_extendedprice double")
-    return for_compare(TB.scan_parquet(spark, f"{sf}/lineitem.parquet", schema))
+    return TB.scan_parquet(spark, f"{sf}/lineitem.parquet", schema)
 
 
 # ------------------------------------------------------------- scalar functions
@@ -56,26 +56,26 @@ def q_cast_datetime(spark, sf):
 @register("cast_numeric_coerce")
 def q_coerce(spark, sf):
     s = A.load(spark, sf, "pump_sensors")
-    return for_compare(s.select("record_id", *[X.coerce_numeric(c).alias(c)
+    return (s.select("record_id", *[X.coerce_numeric(c).alias(c)
                                                for c in EQ.SENSOR_COLUMNS]))
 
 
 @register("fill_const")
 def q_fill_const(spark, sf):
     p = A.load(spark, sf, "production")
-    return for_compare(p.select("well_id", "date", *[X.fill_const(c, 0.0).alias(c)
+    return (p.select("well_id", "date", *[X.fill_const(c, 0.0).alias(c)
                                                      for c in P.FLOW_MEASURES]))
 
 
 @register("fallback_coalesce")
 def q_fallback(spark, sf):
-    return for_compare(FC.target_with_fallbacks(*_target_inputs(spark, sf)))
+    return FC.target_with_fallbacks(*_target_inputs(spark, sf))
 
 
 @register("clip_range")
 def q_clip(spark, sf):
     p = A.load(spark, sf, "production")
-    return for_compare(p.select(
+    return (p.select(
         "well_id", "date",
         X.clip(F.col("downtime_hours") / 24.0, 0.0, 1.0).alias("downtime_coef"),
         X.clip(F.lit(24.0) - F.col("downtime_hours"), 0.0, 24.0).alias("runtime_hours"),
@@ -86,7 +86,7 @@ def q_clip(spark, sf):
 def q_safe_ratio(spark, sf):
     d, v = A.load_many(spark, sf, "deliveries", "vehicles")
     j = J.join_left_dim(d, v, "vehicle_id", ["capacity_ton"])
-    return for_compare(j.select("delivery_id", "vehicle_id",
+    return (j.select("delivery_id", "vehicle_id",
                                 X.safe_div("cost_usd", "distance_km").alias("cost_per_km"),
                                 X.safe_div("volume_ton", "capacity_ton").alias("load_factor")))
 
@@ -94,7 +94,7 @@ def q_safe_ratio(spark, sf):
 @register("arith_derive")
 def q_arith(spark, sf):
     t = A.load(spark, sf, "telemetry")
-    return for_compare(t.select(
+    return (t.select(
         "well_id", "timestamp",
         (F.col("pump_current") * F.col("pump_speed_rpm") / 1000.0).alias("power_kw"),
         (F.lit(24.0) - F.col("vibration")).alias("hours_left"),
@@ -119,7 +119,7 @@ def q_bool_flag(spark, sf):
 @register("bin_distance")
 def q_bin_distance(spark, sf):
     d = A.load(spark, sf, "deliveries")
-    return for_compare(d.select("delivery_id", "distance_km",
+    return (d.select("delivery_id", "distance_km",
                                 X.bin_distance("distance_km").alias("distance_bucket")))
 
 
@@ -127,7 +127,7 @@ def q_bin_distance(spark, sf):
 def q_bin_risk(spark, sf):
     e = A.read_source(spark, sf, "events")
     score = X.round_half_even(F.col("value") / 3.5, 1)
-    return for_compare(e.select("event_id", score.alias("score"), X.bin_risk(score).alias("level")))
+    return e.select("event_id", score.alias("score"), X.bin_risk(score).alias("level"))
 
 
 @register("case_action")
@@ -153,13 +153,13 @@ def q_date_parts(spark, sf):
 def q_hours_between(spark, sf):
     e = A.read_source(spark, sf, "events")
     midnight = X.to_day("ts").cast("timestamp_ntz")
-    return for_compare(e.select("event_id", X.hours_between(midnight, "ts").alias("hours")))
+    return e.select("event_id", X.hours_between(midnight, "ts").alias("hours"))
 
 
 @register("round_half_even")
 def q_round_half_even(spark, sf):
     e = A.read_source(spark, sf, "events")
-    return for_compare(e.select("event_id", X.round_half_even(F.col("value") * 0.05, 1)
+    return (e.select("event_id", X.round_half_even(F.col("value") * 0.05, 1)
                                 .alias("rounded")))
 
 
@@ -168,13 +168,13 @@ def q_sqrt(spark, sf):
     t = A.load(spark, sf, "telemetry")
     g = AG.group_by_dropna(t, ["well_id"]).agg(
         F.sqrt(F.avg(F.col("temperature") * F.col("temperature"))).alias("rms_temperature"))
-    return for_compare(g)
+    return g
 
 
 @register("row_max_abs")
 def q_row_max_abs(spark, sf):
     t = A.load(spark, sf, "telemetry")
-    return for_compare(t.select("well_id", "timestamp", X.row_max_abs(
+    return (t.select("well_id", "timestamp", X.row_max_abs(
         [F.col("pressure_out") - 250.0, F.col("temperature") - 100.0,
          F.col("vibration") - 4.0]).alias("max_abs_dev")))
 
@@ -203,7 +203,7 @@ def q_tag(spark, sf):
 @register("iqr_filter")
 def q_iqr(spark, sf):
     d = A.load(spark, sf, "deliveries")
-    return for_compare(CL.iqr_filter(d, ["cost_usd", "distance_km"]).select(
+    return (CL.iqr_filter(d, ["cost_usd", "distance_km"]).select(
         "delivery_id", "cost_usd", "distance_km"))
 
 
@@ -239,7 +239,7 @@ def q_join_composite(spark, sf):
     prod, tele = A.load_many(spark, sf, "production", "telemetry")
     j = J.join_left_composite(prod.select("well_id", "date", "oil_ton"), P.telemetry_daily(tele),
                               ["well_id", "date"])
-    return for_compare(j)
+    return j
 
 
 @register("join_left_dim")
@@ -253,7 +253,7 @@ def q_join_dim(spark, sf):
 def q_join_inner(spark, sf):
     users, orders, prods = A.load_many(spark, sf, "shop_users", "shop_orders", "shop_products")
     e = PR.enrich_orders(orders, users).join(prods, "product_id", "inner")
-    return for_compare(e.select("order_id", "product_id", "user_id", "city", "product_name",
+    return (e.select("order_id", "product_id", "user_id", "city", "product_name",
                                 "qty", "revenue"))
 
 
@@ -267,7 +267,7 @@ def q_join_using_limit(spark, sf):
 @register("rate_pct")
 def q_rate_pct(spark, sf):
     e = _enriched(spark, sf)
-    return for_compare(AG.group_by_dropna(e, ["source"]).agg(
+    return (AG.group_by_dropna(e, ["source"]).agg(
         AG.rate_pct("delay_flag").alias("delay_rate_pct")))
 
 
@@ -276,13 +276,13 @@ def q_quantiles(spark, sf):
     li = A.read_source(spark, sf, "lineitem")
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
     qs = quantiles(li, "l_extendedprice", probs)
-    return for_compare(spark.createDataFrame(list(zip(probs, qs)), "p double, q double"))
+    return spark.createDataFrame(list(zip(probs, qs)), "p double, q double")
 
 
 @register("group_median")
 def q_group_median(spark, sf):
     p = A.load(spark, sf, "production")
-    return for_compare(CL.group_medians(p, "well_id", ["oil_ton", "pressure"], prefix="median_"))
+    return CL.group_medians(p, "well_id", ["oil_ton", "pressure"], prefix="median_")
 
 
 @register("count_distinct_class")
@@ -304,7 +304,7 @@ def q_row_count(spark, sf):
 @register("agg_product_revenue")
 def q_product_revenue(spark, sf):
     users, orders, prods = A.load_many(spark, sf, "shop_users", "shop_orders", "shop_products")
-    return for_compare(PR.city_product_totals(PR.enrich_orders(orders, users), prods))
+    return PR.city_product_totals(PR.enrich_orders(orders, users), prods)
 
 
 @register("pivot_mean")
@@ -319,34 +319,34 @@ def q_pivot_mean(spark, sf):
 @register("impute_group_median")
 def q_impute_group(spark, sf):
     p = A.load(spark, sf, "production")
-    return for_compare(CL.impute_group_median(p, "well_id", ["temperature", "pressure"])
+    return (CL.impute_group_median(p, "well_id", ["temperature", "pressure"])
                        .select("well_id", "date", "temperature", "pressure"))
 
 
 @register("impute_group_then_global")
 def q_impute_global(spark, sf):
     ds = FC.target_with_fallbacks(*_target_inputs(spark, sf))
-    return for_compare(CL.impute_group_then_global(ds, "well_id", FC.TARGET_FEATURES))
+    return CL.impute_group_then_global(ds, "well_id", FC.TARGET_FEATURES)
 
 
 @register("row_number_rank")
 def q_row_number(spark, sf):
     kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
     r = WN.row_number_rank(kpi, "total_cost_usd", True, ["driver_id"], "cost_rank")
-    return for_compare(r.select("driver_id", "total_cost_usd", "cost_rank"))
+    return r.select("driver_id", "total_cost_usd", "cost_rank")
 
 
 @register("rank_pct")
 def q_rank_pct(spark, sf):
     kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
     r = WN.rank_pct(kpi, "avg_delay_hours", "delay_rank")
-    return for_compare(r.select("driver_id", "delay_rank"))
+    return r.select("driver_id", "delay_rank")
 
 
 @register("weighted_risk_score")
 def q_weighted(spark, sf):
     r = L.route_optimization(_enriched(spark, sf), exact=True)
-    return for_compare(r.select("route", "route_risk_score"))
+    return r.select("route", "route_risk_score")
 
 
 @register("topn_per_group")
@@ -360,7 +360,7 @@ def q_topn(spark, sf):
 @register("sort_output")
 def q_sort(spark, sf):
     kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
-    return for_compare(kpi.orderBy(F.col("delay_rate_pct").asc_nulls_last(),
+    return (kpi.orderBy(F.col("delay_rate_pct").asc_nulls_last(),
                                    F.col("avg_delay_hours").asc_nulls_last(), "driver_id"))
 
 
@@ -369,7 +369,7 @@ def q_head_tail(spark, sf):
     r = L.route_optimization(_enriched(spark, sf), exact=True)
     seg = WN.head_tail_segments(r, [F.col("route_risk_score").desc(), F.col("route").asc()],
                                 [F.col("route_risk_score").asc(), F.col("route").desc()], n=3)
-    return for_compare(seg.select("route", "route_risk_score", "segment"))
+    return seg.select("route", "route_risk_score", "segment")
 
 
 @register("limit_n")
@@ -385,5 +385,5 @@ def q_union(spark, sf):
                     F.lit("production").alias("kind"))
     b = tg.select("well_id", "date", F.col("daily_oil_ton").alias("value"),
                   F.lit("target").alias("kind"))
-    return for_compare(a.unionByName(b))
+    return a.unionByName(b)
 
