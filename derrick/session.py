@@ -48,12 +48,17 @@ def build_session(master: str | None = None, app_name: str = "derrick",
         conf["spark.driver.memory"] = os.environ.get("DERRICK_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    elif not (master or "").startswith("local"):
-        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if "spark.sql.shuffle.partitions" not in conf \
+            and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        # still Spark's default: size it for where the session actually runs
+        local = spark.sparkContext.master.startswith("local")
+        spark.conf.set("spark.sql.shuffle.partitions",
+                       str(2 * default_parallelism(spark) if local
+                           else CLUSTER_SHUFFLE_PARTITIONS))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
