@@ -122,4 +122,6 @@ def run_all(spark: SparkSession, lake_root: str, cfg: LakeConfig | None = None,
             tables: bool = False) -> dict[str, DataFrame]:
     marts = build_marts(read_inputs(spark, cfg, sf_dir), settings)
     write_marts(marts, lake_root, cfg, tables)
+    # intermediate frames were persisted for the marts that share them
+    spark.catalog.clearCache()
     return marts
