@@ -1,9 +1,10 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as a Spark job.
 
-* Sampling: tree ``t`` takes the ``max_samples`` rows of lowest
-  ``xxhash64(id, seed, t)`` among a Bernoulli pre-sample of about four times
-  that size, so no row is exploded into every tree and the sample does not
-  depend on partitioning.
+* Sampling, independent of partitioning: with at least four times
+  ``n_trees * max_samples`` rows, one seeded hash keeps about that many rows
+  and a second deals them to trees; with fewer rows, tree ``t`` takes the
+  ``max_samples`` rows of lowest ``xxhash64(id, seed, t)`` among a Bernoulli
+  pre-sample, so trees may share rows. No row is exploded into every tree.
 * Growth: ``groupBy(tree).applyInPandas``; each task grows one tree from at
   most ``max_samples`` rows (random feature, uniform split between the node's
   min and max, depth limit ceil(log2(max_samples))).
@@ -134,15 +135,30 @@ def fit(df: DataFrame, features: Sequence[str], id_col: str, n_trees: int = 100,
     psi = int(min(max_samples, n))
     if psi == 0:
         return IsolationForestModel(list(features), pd.DataFrame(columns=TREE_SCHEMA), 1)
-    frac = min(1.0, 4.0 * psi / n)
-    limit = int(frac * 2 ** 63) if frac < 1.0 else None
-    # one hash per (row, tree) inside the JVM; only pre-sampled pairs are exploded
-    h = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                    lambda t: F.struct(t.alias("tree"),
-                                       F.abs(F.xxhash64(F.col(id_col), F.lit(seed), t)).alias("h")))
-    picked = h if limit is None else F.filter(h, lambda s: s["h"] < F.lit(limit))
-    pairs = (df.select(*features, F.explode(picked).alias("__s"))
-             .select(*features, F.col("__s.tree").alias("tree"), F.col("__s.h").alias("__h")))
+    if n >= 4 * n_trees * psi:
+        # many rows: one hash keeps about 4 * trees * psi rows, a second hash
+        # deals them to trees (samples of different trees do not overlap,
+        # which at this size is what independent draws give anyway)
+        keep = int(4.0 * n_trees * psi / n * 2 ** 63)
+        h0 = F.abs(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-1)))
+        pairs = (df.where(h0 < F.lit(keep))
+                 .select(*features,
+                         F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-2)),
+                                F.lit(n_trees)).cast("int").alias("tree"),
+                         F.abs(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-3))).alias("__h")))
+    else:
+        # few rows: every tree draws its own sample (trees may share rows);
+        # one hash per (row, tree) inside the JVM, only pre-sampled pairs are
+        # exploded
+        frac = min(1.0, 4.0 * psi / n)
+        limit = int(frac * 2 ** 63) if frac < 1.0 else None
+        h = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                        lambda t: F.struct(t.alias("tree"),
+                                           F.abs(F.xxhash64(F.col(id_col), F.lit(seed), t))
+                                           .alias("h")))
+        picked = h if limit is None else F.filter(h, lambda s: s["h"] < F.lit(limit))
+        pairs = (df.select(*features, F.explode(picked).alias("__s"))
+                 .select(*features, F.col("__s.tree").alias("tree"), F.col("__s.h").alias("__h")))
     w = F.row_number().over(Window.partitionBy("tree").orderBy("__h"))
     sample = pairs.withColumn("__rn", w).where(F.col("__rn") <= psi).drop("__rn", "__h")
     depth = int(math.ceil(math.log2(max(psi, 2))))

@@ -63,3 +63,16 @@ def test_splits(spark):
     w = M.balanced_weights(df, "label")
     got = {r["label"]: r["weight"] for r in w.select("label", "weight").distinct().collect()}
     assert got == {0: 20000 / (2 * 16000), 1: 20000 / (2 * 4000)}
+
+
+def test_isolation_forest_many_rows_branch(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 2))
+    x[:5] += 15.0
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]).assign(rid=np.arange(4000)))
+    model = IF.fit(df, ["a", "b"], "rid", n_trees=10, max_samples=32)   # 4000 >= 4 * 10 * 32
+    assert sorted(model.trees.tree.unique()) == list(range(10))
+    assert model.trees.groupby("tree")["size"].max().le(32).all()
+    out = IF.fit_predict(df, ["a", "b"], "rid", contamination=0.05, n_trees=10, max_samples=32)
+    res = out.toPandas()
+    assert res.loc[res.rid < 5, "is_anomaly_iforest"].all()
