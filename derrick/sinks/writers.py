@@ -16,18 +16,24 @@ __all__ = ["write_partitioned_parquet", "write_csv", "write_table_replace", "cre
 SMALL_MART_ROWS = 1_000_000
 
 
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def write_partitioned_parquet(df: DataFrame, path: str, partition_cols: Sequence[str],
-                              mode: str = "overwrite") -> None:
+                              mode: str = "overwrite",
+                              max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Hive-style ``col=value`` folders; only the partitions present in
     ``df`` are replaced (dynamic partition overwrite), others are kept.
 
-    Rows are clustered by the partition columns first, so each task writes
-    few files per partition.
+    No shuffle by the partition columns (that would send a whole month to one
+    task): every task sorts its own rows by them and writes one file per
+    value it holds, split at ``max_records_per_file`` rows.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.repartition(*partition_cols).write.mode(mode).partitionBy(*partition_cols)
-     .parquet(path))
+    (df.sortWithinPartitions(*partition_cols).write.mode(mode)
+     .option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, single_file_max_rows: int = SMALL_MART_ROWS) -> None:
