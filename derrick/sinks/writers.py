@@ -45,11 +45,16 @@ def write_csv(df: DataFrame, path: str, single_file_max_rows: int = SMALL_MART_R
 
 
 def write_table_replace(df: DataFrame, name: str, cfg: LakeConfig | None = None,
-                        schema: str = "mart") -> None:
-    """Replace ``schema.name``: over JDBC when configured, else in the catalog."""
+                        schema: str = "mart", max_connections: int = 32,
+                        batch_rows: int = 10_000) -> None:
+    """Replace ``schema.name``: over JDBC when configured, else in the catalog.
+
+    JDBC writes use at most ``max_connections`` parallel connections (Spark
+    coalesces to that many partitions) and batched inserts."""
     if cfg is not None and cfg.jdbc_url:
         (df.write.mode("overwrite").format("jdbc").option("url", cfg.jdbc_url)
-         .option("dbtable", f"{schema}.{name}").options(**cfg.jdbc_properties()).save())
+         .option("dbtable", f"{schema}.{name}").option("numPartitions", max_connections)
+         .option("batchsize", batch_rows).options(**cfg.jdbc_properties()).save())
     else:
         df.write.mode("overwrite").saveAsTable(f"{schema}.{name}")
 
