@@ -108,3 +108,14 @@ def test_parquet_overwrite_scan_mart_and_show(spark, tmp_dir, capsys):
     SK.show_result(df, F.col("revenue").desc())
     out = capsys.readouterr().out
     assert out.index("Berlin") < out.index("Munich")
+
+
+def test_cut_lineage_checkpoints_to_shared_folder(spark):
+    from derrick.session import cut_lineage, ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark)
+    assert folder and spark.sparkContext.getCheckpointDir()
+    df = spark.range(100).withColumn("sq", F.col("id") * F.col("id")).where("id % 3 = 0")
+    cut = cut_lineage(df)
+    assert sorted(r["sq"] for r in cut.collect()) == sorted(r["sq"] for r in df.collect())
+    plan = cut._jdf.queryExecution().analyzed().toString()
+    assert "Range" not in plan and "LogicalRDD" in plan
