@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from derrick.config import LakeConfig
 from derrick.session import default_parallelism
@@ -36,12 +37,26 @@ def write_partitioned_parquet(df: DataFrame, path: str, partition_cols: Sequence
      .partitionBy(*partition_cols).parquet(path))
 
 
-def write_csv(df: DataFrame, path: str, single_file_max_rows: int = SMALL_MART_ROWS) -> None:
+def write_csv(df: DataFrame, path: str, single_file_max_rows: int = SMALL_MART_ROWS,
+              pandas_style: bool = True) -> None:
     """CSV with a header. A mart below ``single_file_max_rows`` (checked with a
-    bounded count) is written as one file; larger ones stay split."""
+    bounded count) is written as one file; larger ones stay split.
+
+    ``pandas_style`` writes what ``DataFrame.to_csv`` writes: booleans as
+    True/False, timestamps as ``yyyy-MM-dd HH:mm:ss[.ffffff]``, NULL empty.
+    """
     n = df.limit(single_file_max_rows + 1).count()
     out = df.coalesce(1) if n <= single_file_max_rows else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    writer = out
+    if pandas_style:
+        writer = out.select(*[
+            F.when(F.col(f.name), F.lit("True")).when(~F.col(f.name), F.lit("False"))
+            .alias(f.name) if isinstance(f.dataType, T.BooleanType) else F.col(f.name)
+            for f in out.schema.fields])
+    (writer.write.mode("overwrite").option("header", True)
+     .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+     .csv(path))
 
 
 def write_table_replace(df: DataFrame, name: str, cfg: LakeConfig | None = None,
