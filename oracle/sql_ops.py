@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from derrick.sources.adapters import with_clause as W
-from oracle.sql import (CLEAN, ENRICHED, EXACT_AVG, EXACT_SUM, FEATURES, LABELLED, ORACLE, PCT,
-                        R, TARGETS, WELL_KPI)
+from oracle.sql import (ENRICHED, EXACT_AVG, EXACT_SUM, LABELLED, ORACLE, PCT, R, TARGETS,
+                        WELL_KPI)
 
 # ------------------------------------------------------------- scans
 ORACLE["scan_table"] = W("production") + "SELECT well_id, date, " + ", ".join(
@@ -275,7 +275,6 @@ SELECT well_id, date, {R('oil_ton', 'value')}, 'production' AS kind FROM product
 UNION ALL
 SELECT well_id, date, {R('daily_oil_ton', 'value')}, 'target' AS kind FROM well_targets"""
 
-_unused = (CLEAN, FEATURES)
 
 
 # Calendar dates leave both engines as midnight timestamps (pandas datetime64).
