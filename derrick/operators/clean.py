@@ -22,8 +22,18 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], k: float = 1.5,
     is persisted because every column reads it again.
     """
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    bounds = None
+    if method == "exact":
+        # filtering only removes values: the distinct counts of the input
+        # bound those of every later step (one sketch pass for all columns)
+        row = out.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+        bounds = {c: int(row[c] * 1.05) + 1 for c in columns}
     for c in columns:
-        q1, q3 = quantiles(out, c, [0.25, 0.75], method=method)
+        if method == "exact":
+            q1, q3 = quantiles_multi(out, {c: [0.25, 0.75]},
+                                     distinct_bounds={c: bounds[c]})[c]
+        else:
+            q1, q3 = quantiles(out, c, [0.25, 0.75], method=method)
         if q1 is None:
             return out.where(F.lit(False))
         iqr = q3 - q1

@@ -73,7 +73,8 @@ def _bracket(values: DataFrame, ranks: Sequence[int], offset: int, m: int,
 
 
 def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
-                    max_values: int = 200_000, accuracy: int = 10_000
+                    max_values: int = 200_000, accuracy: int = 10_000,
+                    distinct_bounds: Mapping[str, int] | None = None
                     ) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns: ``{column: [q1, q2, ...]}``.
 
@@ -86,15 +87,23 @@ def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
     cols = list(wanted)
     if not cols:
         return {}
-    stats = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    counts = {c: stats[f"n{i}"] for i, c in enumerate(cols)}
+    counts: dict[str, int | None] = {}
     small, budget = [], max_values // 2
-    for i, c in enumerate(cols):
-        d = stats[f"d{i}"]
-        if counts[c] and d <= budget:
-            small.append(c)
-            budget -= d
+    if distinct_bounds is not None and sum(distinct_bounds[c] for c in cols) <= budget:
+        # known upper bounds (e.g. from an unfiltered superset): no sketch pass;
+        # the counts come from the pairs themselves
+        small = list(cols)
+        counts = {c: None for c in cols}
+    else:
+        stats = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                       *[F.approx_count_distinct(c).alias(f"d{i}")
+                         for i, c in enumerate(cols)]).first()
+        counts = {c: stats[f"n{i}"] for i, c in enumerate(cols)}
+        for i, c in enumerate(cols):
+            d = stats[f"d{i}"]
+            if counts[c] and d <= budget:
+                small.append(c)
+                budget -= d
     got: dict[str, dict[int, float]] = {}
     if small:
         stacked = df.select(F.explode(F.array(*[
@@ -107,8 +116,13 @@ def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
             for r in pairs:
                 by_col[r["c"]].append((r["v"], r["count"]))
             for i, c in enumerate(small):
-                got[c] = _walk(sorted(by_col[i]), _ranks(wanted[c], counts[c]), 0)
+                if counts[c] is None:
+                    counts[c] = sum(k for _, k in by_col[i])
+                if counts[c]:
+                    got[c] = _walk(sorted(by_col[i]), _ranks(wanted[c], counts[c]), 0)
     for c in cols:
+        if counts[c] is None:
+            counts[c] = df.where(F.col(c).isNotNull()).count()
         if counts[c] and c not in got:
             values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
             got[c] = _bracket(values, _ranks(wanted[c], counts[c]), 0, counts[c], max_values,
