@@ -46,14 +46,15 @@ def normalise_double(c):
 
 def for_compare(df: DataFrame) -> DataFrame:
     """Normalise columns for cross-engine comparison: doubles and decimals
-    snapped to single precision; calendar dates as midnight timestamps (the
-    datetime values the marts carry in pandas)."""
+    snapped to single precision; dates and timestamps as ISO text
+    (``2024-01-01``, ``2024-01-01 00:03:52.824425``), which both engines
+    print identically, while their pandas datetime units differ (ns / us)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             cols.append(normalise_double(F.col(f.name).cast("double")).alias(f.name))
-        elif isinstance(f.dataType, T.DateType):
-            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
+        elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            cols.append(F.col(f.name).cast("string").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -277,22 +277,29 @@ SELECT well_id, date, {R('daily_oil_ton', 'value')}, 'target' AS kind FROM well_
 
 
 
-# Calendar dates leave both engines as midnight timestamps (pandas datetime64).
-DATE_COLUMNS = {
-    "clean_production": ["date"], "feature_table": ["date"], "mart_daily_production": ["date"],
-    "enrich_deliveries": ["date"], "mart_cost_vs_distance": ["date"],
-    "agg_telemetry_daily": ["date"], "agg_telemetry_power": ["date"], "target_dataset": ["date"],
-    "scan_table": ["date"], "cast_datetime": ["failure_day"], "fill_const": ["date"],
-    "fallback_coalesce": ["date"], "clip_range": ["date"], "date_truncate": ["date"],
-    "date_parts": ["date"], "join_left_composite": ["date"], "join_using_limit": ["date"],
-    "impute_group_median": ["date"], "impute_group_then_global": ["date"], "union_all": ["date"],
+# Dates and timestamps leave both engines as ISO text (identical in both; the
+# pandas datetime units of the two engines differ).
+TEMPORAL_COLUMNS = {
+    "agg_telemetry_daily": ["date"], "agg_telemetry_power": ["date"], "arith_derive": ["timestamp"],
+    "cast_datetime": ["failure_day", "failure_ts"], "changes_apply": ["created_at"],
+    "clean_production": ["date"], "clip_range": ["date"], "date_parts": ["date"],
+    "date_truncate": ["timestamp", "date"], "enrich_deliveries": ["date"],
+    "fallback_coalesce": ["date"], "feature_table": ["date"], "fill_const": ["date"],
+    "filter_threshold": ["timestamp"], "filter_time_range": ["timestamp"],
+    "impute_group_median": ["date"], "impute_group_then_global": ["date"],
+    "join_left_composite": ["date"], "join_next_event": ["timestamp"],
+    "join_time_range": ["timestamp"], "join_using_limit": ["date"], "latest_per_key": ["timestamp"],
+    "lookup_by_id": ["created_at"], "mart_cost_vs_distance": ["date"],
+    "mart_daily_production": ["date"], "risk_heuristic": ["timestamp"], "row_max_abs": ["timestamp"],
+    "scan_ordered": ["timestamp"], "scan_table": ["date"], "snapshot_newest_first": ["created_at"],
+    "target_dataset": ["date"], "union_all": ["date"], "zscore_global": ["timestamp"],
 }
 
 
-def _as_timestamps(sql: str, cols: list[str]) -> str:
-    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+def _as_text(sql: str, cols: list[str]) -> str:
+    rep = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
 
 
-for _name, _cols in DATE_COLUMNS.items():
-    ORACLE[_name] = _as_timestamps(ORACLE[_name], _cols)
+for _name, _cols in TEMPORAL_COLUMNS.items():
+    ORACLE[_name] = _as_text(ORACLE[_name], _cols)
