@@ -1,8 +1,11 @@
 """Registered queries: one callable per operator of the inventory.
 
 Each takes ``(spark, sf_dir)``, reads the driver tables through the adapters
-and returns a DataFrame whose doubles are rounded for comparison
-(:func:`for_compare`). Column names equal those of the oracle SQL.
+and returns a DataFrame normalised for cross-engine comparison
+(:func:`for_compare`: doubles snapped to single precision, dates and
+timestamps as ISO text). Column names equal those of the oracle SQL. Marts
+are built with ``exact=True`` (decimal sums), so results do not depend on
+summation order.
 """
 
 from __future__ import annotations
