@@ -94,6 +94,8 @@ def impute_group_median(df: DataFrame, key: str, columns: Sequence[str],
 def impute_global_median(df: DataFrame, columns: Sequence[str],
                          method: str = "exact") -> DataFrame:
     """NULL -> median of the whole column (a scalar per column)."""
+    # read by the median passes and again by the fill
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if method == "approx":
         meds = {c: quantiles(df, c, [0.5], method="approx")[0] for c in columns}
     else:
