@@ -50,6 +50,10 @@ def test_iqr_output_is_subset_and_matches_pandas(spark, vals):
     kept = {r["i"] for r in CL.iqr_filter(df, ["x"]).collect()}
     s = pd.Series(vals)
     q1, q3 = s.quantile(0.25), s.quantile(0.75)
-    exp = set(np.flatnonzero((s >= q1 - 1.5 * (q3 - q1)) & (s <= q3 + 1.5 * (q3 - q1))))
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    exp = set(np.flatnonzero((s >= lo) & (s <= hi)))
     assert kept <= set(range(len(vals)))
-    assert kept == exp
+    # pandas and Spark interpolate quantiles with formulas that may differ in
+    # the last bit; a value lying on a bound may fall either way
+    on_bound = set(np.flatnonzero((abs(s - lo) < 1e-9) | (abs(s - hi) < 1e-9)))
+    assert kept - on_bound == exp - on_bound
