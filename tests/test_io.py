@@ -54,8 +54,19 @@ def test_layout_for_access_sorted_files(spark, tmp_dir):
     SK.layout_for_access(df, path, ["well_id", "v"], partitions=4)
     back = spark.read.parquet(path)
     assert back.count() == 1000
+    # each file covers its own well_id range (min/max statistics skip the rest)
+    import pyarrow.parquet as pq
+    ranges = []
+    for f in sorted(glob.glob(os.path.join(path, "part-*.parquet"))):
+        col = pq.read_table(f, columns=["well_id"]).column("well_id").to_pylist()
+        if col:
+            assert col == sorted(col)
+            ranges.append((min(col), max(col)))
+    ranges.sort()
+    # range partitioning on (well_id, v): neighbours share at most a boundary well
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
     plan = back.where("well_id = 3")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan or "well_id" in plan
+    assert "PushedFilters: [IsNotNull(well_id), EqualTo(well_id,3)]" in plan
 
 
 def test_lake_config_from_env(monkeypatch):
