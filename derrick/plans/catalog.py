@@ -30,6 +30,7 @@ def register(name: str):
             return for_compare(fn(spark, sf_dir))
         query.__name__ = query.__qualname__ = f"q_{name}"
         query.__doc__ = fn.__doc__
+        query.__wrapped__ = fn
         QUERIES[name] = query
         return fn
     return deco
