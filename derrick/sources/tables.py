@@ -36,10 +36,49 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
     return reader.parquet(path)
 
 
-def scan_table(spark: SparkSession, cfg: LakeConfig, table: str, **jdbc_kw) -> DataFrame:
+# numeric key each input table is split on for parallel JDBC reads
+SPLIT_COLUMNS = {
+    "wells": "well_id", "production": "well_id", "telemetry": "well_id",
+    "well_targets": "well_id", "pump_sensors": "record_id", "pump_failures": "failure_id",
+    "deliveries": "delivery_id", "drivers": "driver_id", "vehicles": "vehicle_id",
+    "items": "id", "item_changes": "seq",
+}
+
+
+def _quote(spark: SparkSession, url: str, column: str) -> str:
+    """The column quoted the way Spark's JDBC dialect for ``url`` does."""
+    try:
+        dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+        return dialect.quoteIdentifier(column)
+    except Exception:  # noqa: BLE001  (no JVM access: standard SQL quoting)
+        return '"' + column.replace('"', '""') + '"'
+
+
+def jdbc_bounds(spark: SparkSession, cfg: LakeConfig, table: str, column: str):
+    """(min, max) of ``column``, computed by the database (one row back)."""
+    q = _quote(spark, cfg.jdbc_url, column)
+    row = scan_jdbc(spark, cfg, f"(SELECT MIN({q}) AS lo, MAX({q}) AS hi FROM {table}) b").first()
+    return row[0], row[1]
+
+
+def scan_table(spark: SparkSession, cfg: LakeConfig, table: str, num_partitions: int = 64,
+               **jdbc_kw) -> DataFrame:
     """An input table from JDBC or from ``source_root/table``, with the
-    declared schema enforced (columns cast, extra columns kept)."""
+    declared schema enforced (columns cast, extra columns kept).
+
+    Over JDBC a known table is read as ``num_partitions`` parallel range
+    queries on its key (bounds asked from the database); pass
+    ``partition_column``/``lower``/``upper`` to override."""
     if cfg.jdbc_url:
+        col = jdbc_kw.pop("partition_column", None) or SPLIT_COLUMNS.get(table.split(".")[-1])
+        if col is not None and "lower" not in jdbc_kw:
+            lo, hi = jdbc_bounds(spark, cfg, table, col)
+            if lo is None:                       # empty table: one plain read
+                col = None
+            else:
+                jdbc_kw.update(lower=int(lo), upper=int(hi) + 1)
+        if col is not None:
+            jdbc_kw.update(partition_column=col, num_partitions=num_partitions)
         df = scan_jdbc(spark, cfg, table, **jdbc_kw)
     else:
         df = spark.read.parquet(f"{cfg.source_root.rstrip('/')}/{table}")

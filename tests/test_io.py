@@ -132,3 +132,14 @@ def test_cut_lineage_checkpoints_to_shared_folder(spark):
     assert sorted(r["sq"] for r in cut.collect()) == sorted(r["sq"] for r in df.collect())
     plan = cut._jdf.queryExecution().analyzed().toString()
     assert "Range" not in plan and "LogicalRDD" in plan
+
+
+def test_scan_table_jdbc_parallel_ranges(spark):
+    cfg = LakeConfig(jdbc_url="jdbc:derby:memory:derrick_scan;create=true",
+                     jdbc_driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    wells = spark.createDataFrame([(i, f"w{i}", "f", "r", "active") for i in range(1, 51)],
+                                  TB.INPUTS["wells"])
+    SK.write_table_replace(wells, "wells", cfg, schema="app")
+    df = TB.scan_table(spark, cfg, "app.wells", num_partitions=5)   # split column known
+    assert df.rdd.getNumPartitions() == 5
+    assert sorted(r["well_id"] for r in df.collect()) == list(range(1, 51))
