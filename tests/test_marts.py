@@ -128,3 +128,22 @@ def test_pre_failure_exact_bounds(spark):
                                   TB.INPUTS["pump_failures"])
     got = rows(EQ.pre_failure_signals(sens, fails).select("failure_id", "hours_before_failure"))
     assert got == [(10, 0.0), (10, 24.0), (11, 1.0)]
+
+
+def test_approximate_paths_run_and_stay_close(spark):
+    """The bounded-memory settings for huge inputs: percentile_approx for the
+    IQR bounds and the medians. Same schema; row counts close to exact."""
+    from derrick.sources import adapters as A
+    prod, tele, targets = A.load_many(spark, "/root/testdata/sf0.01", "production", "telemetry",
+                                      "well_targets")
+    exact = P.clean_production(prod)
+    approx = P.clean_production(prod, quantile_method="approx", approx_medians=True)
+    assert approx.columns == exact.columns
+    n_e, n_a = exact.count(), approx.count()
+    assert abs(n_e - n_a) <= 0.02 * n_e
+    feats = P.feature_table(approx, tele, approx_medians=True)
+    assert feats.count() == n_a
+    ds_e = FC.target_dataset(targets, tele, prod)
+    ds_a = FC.target_dataset(targets, tele, prod, approx_medians=True)
+    assert ds_a.count() == ds_e.count()
+    assert ds_a.where("pressure IS NULL OR temperature IS NULL").count() == 0
