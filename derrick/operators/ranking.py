@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
@@ -79,6 +80,9 @@ def global_rank_pct(df: DataFrame, key: Column, out: str,
     distinct values. NULL keys get NULL.
     """
     keyed = df.withColumn("__rk", key)
+    if isinstance(keyed.schema["__rk"].dataType, (T.DoubleType, T.FloatType)):
+        # NaN is missing (pandas), not the largest value (Spark ordering)
+        keyed = keyed.withColumn("__rk", F.nanvl("__rk", F.lit(None).cast("double")))
     vals = (keyed.where(F.col("__rk").isNotNull()).groupBy("__rk")
             .agg(F.count(F.lit(1)).alias("__n"))).persist(StorageLevel.MEMORY_AND_DISK)
     stats = vals.agg(F.count(F.lit(1)).alias("d"), F.sum("__n").alias("t")).first()

@@ -60,7 +60,7 @@ def test_impute_group_median_pandas(spark):
 
 
 def test_rank_pct_matches_pandas(spark):
-    vals = [3.0, 1.0, 3.0, None, 2.0, 3.0, 1.0]
+    vals = [3.0, 1.0, 3.0, None, 2.0, 3.0, 1.0, float("nan")]
     exp = pd.Series(vals).rank(pct=True)
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
     got = [r["r"] for r in WN.rank_pct(df, "x", "r").orderBy("i").collect()]
