@@ -12,6 +12,7 @@ buckets are added as an offset (one count per bucket, fetched once). Below
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -25,21 +26,31 @@ MAX_BUCKETS = 4096
 
 
 def value_buckets(df: DataFrame, column: str, out: str, n: int,
-                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
+                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                  heavy: list | None = None) -> tuple[DataFrame, int]:
     """Add ``out``: 0..k-1 by value of ``column`` (NULL for NULL values);
     equal values share a bucket and bucket order follows value order.
-    ``n`` is the number of non-null values. Returns (frame, k)."""
+    ``n`` is the number of non-null values. Returns (frame, k).
+
+    A value that fills more than one bucket (it repeats among the cut points)
+    gets a bucket of its own; if ``heavy`` is a list, (value, bucket) pairs of
+    such values are appended to it."""
     k = int(min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))))
     if k == 1:
         return df.withColumn(out, F.when(F.col(column).isNotNull(), F.lit(0.0))), 1
     probs = [i / k for i in range(1, k)]
-    cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), probs, 10 * k)).first()[0]
-    splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
+    cuts = [float(c) for c in
+            df.agg(F.percentile_approx(F.col(column).cast("double"), probs, 10 * k)).first()[0]]
+    repeated = sorted({c for c, d in zip(cuts, cuts[1:]) if c == d})
+    edges = set(cuts) | {math.nextafter(v, math.inf) for v in repeated}
+    splits = [float("-inf")] + sorted(edges) + [float("inf")]
+    if heavy is not None:
+        heavy.extend((v, float(splits.index(v))) for v in repeated)
     b = Bucketizer(splits=splits, inputCol="__bv", outputCol=out, handleInvalid="keep")
     tmp = df.withColumn("__bv", F.col(column).cast("double")).fillna({"__bv": float("nan")})
     out_df = b.transform(tmp).drop("__bv").withColumn(out, F.when(F.col(column).isNotNull(),
                                                                   F.col(out)))
-    return out_df, k
+    return out_df, len(splits) - 1
 
 
 def _offsets(df: DataFrame, bucket: str, weight: Column, descending: bool, k: int) -> Column:
@@ -63,13 +74,33 @@ def global_row_number(df: DataFrame, column: str, descending: bool, tiebreak: Se
     ``tiebreak`` ascending. The tiebreak should make the order total."""
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
     nonnull = base.agg(F.count(column)).first()[0]
-    b, k = value_buckets(base, column, "__bucket", nonnull, rows_per_bucket)
+    heavy: list = []
+    b, k = value_buckets(base, column, "__bucket", nonnull, rows_per_bucket,
+                         heavy if tiebreak else None)
     lead = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
     order = [lead, *[F.col(c).asc() for c in tiebreak]]
-    local = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
     # NULL values form a bucket of their own, placed after all others
     offset = F.coalesce(_offsets(b, "__bucket", F.lit(1), descending, k), F.lit(nonnull))
-    return b.withColumn(out, (local + offset).cast("int")).drop("__bucket")
+    b = b.withColumn("__off", offset)
+    heavy_buckets = [hb for _, hb in heavy]
+    is_heavy = F.col("__bucket").isin(heavy_buckets) if heavy_buckets else F.lit(False)
+    light = b.where(~is_heavy | F.col("__bucket").isNull())
+    local = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
+    parts = [light.withColumn(out, (local + F.col("__off")).cast("int"))]
+    for _, hb in heavy:
+        # one value fills this bucket: its rows are ordered by the tiebreak,
+        # itself numbered over value buckets (never one task for the tie)
+        tie = (b.where(F.col("__bucket") == F.lit(hb))
+               .withColumnRenamed("__off", "__tie_off").drop("__bucket"))
+        sub = global_row_number(tie, tiebreak[0], False, list(tiebreak[1:]), "__sub",
+                                rows_per_bucket)
+        parts.append(sub.withColumn(out, (F.col("__sub") + F.col("__tie_off")).cast("int"))
+                     .drop("__sub", "__tie_off")
+                     .withColumn("__bucket", F.lit(hb)).withColumn("__off", F.lit(0)))
+    res = parts[0]
+    for p_ in parts[1:]:
+        res = res.unionByName(p_)
+    return res.drop("__bucket", "__off")
 
 
 def global_rank_pct(df: DataFrame, key: Column, out: str,

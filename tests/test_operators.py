@@ -192,3 +192,18 @@ def test_group_quantile_hot_group_exact(spark):
     for kk in exp_v.index:
         assert abs(got[kk][0] - exp_v[kk]) < 1e-12
         assert got[kk][1] == exp_w[kk]
+
+
+def test_global_row_number_heavy_tie_split(spark):
+    from derrick.operators.ranking import global_row_number
+    rng = np.random.default_rng(9)
+    n = 3000
+    x = np.where(rng.uniform(size=n) < 0.4, 5.0, rng.integers(0, 50, size=n).astype(float))
+    pdf = pd.DataFrame({"i": rng.permutation(n), "x": x})
+    df = spark.createDataFrame([(int(i), float(v)) for i, v in zip(pdf.i, pdf.x)], "i long, x double")
+    for desc in (False, True):
+        rn = global_row_number(df, "x", desc, ["i"], "rn", rows_per_bucket=200)
+        got = [r["i"] for r in rn.orderBy("rn").collect()]
+        exp = pdf.sort_values(["x", "i"], ascending=[not desc, True]).i.tolist()
+        assert got == exp
+        assert sorted(r["rn"] for r in rn.collect()) == list(range(1, n + 1))
