@@ -143,3 +143,26 @@ def test_scan_table_jdbc_parallel_ranges(spark):
     df = TB.scan_table(spark, cfg, "app.wells", num_partitions=5)   # split column known
     assert df.rdd.getNumPartitions() == 5
     assert sorted(r["well_id"] for r in df.collect()) == list(range(1, 51))
+
+
+def test_run_all_over_jdbc(spark, tmp_dir):
+    """The batch as the original runs it: nine tables read from a database
+    (in-process Derby here), marts written back as mart.* tables."""
+    from derrick.plans.jobs import INPUT_TABLES, JobSettings, build_marts, write_marts
+    from derrick.sources import adapters as A
+    cfg = LakeConfig(jdbc_url="jdbc:derby:memory:derrick_job;create=true",
+                     jdbc_driver="org.apache.derby.iapi.jdbc.AutoloadedDriver",
+                     mart_schema="mart")
+    for t in INPUT_TABLES:
+        SK.write_table_replace(TB.enforce_schema(A.load(spark, "/root/testdata/sf0.001", t),
+                                                 TB.INPUTS[t]), t, cfg, schema="app")
+    cfg_app = LakeConfig(jdbc_url=cfg.jdbc_url, jdbc_driver=cfg.jdbc_driver, mart_schema="mart")
+    prod = TB.scan_table(spark, cfg_app, "app.production", num_partitions=4)
+    assert prod.rdd.getNumPartitions() == 4
+    s = JobSettings(forest_trees=3, target_forest_trees=3, classifier_trees=3, iforest_trees=10,
+                    max_depth=4)
+    inputs = {t: TB.scan_table(spark, cfg_app, f"app.{t}", num_partitions=4) for t in INPUT_TABLES}
+    marts = build_marts(inputs, s)
+    write_marts(marts, tmp_dir, cfg, tables=True)
+    back = TB.scan_jdbc(spark, cfg, "mart.well_kpi")
+    assert back.count() == marts["well_kpi"].count() > 0
