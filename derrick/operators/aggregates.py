@@ -31,10 +31,6 @@ def rate_pct(flag: str | Column) -> Column:
     return F.avg(as_col(flag).cast("double")) * F.lit(100.0)
 
 
-def trips(c: str | Column) -> Column:
-    return F.count(as_col(c))
-
-
 def corr_pairwise(x: str | Column, y: str | Column) -> Column:
     """Pearson correlation over rows where both are present.
 
