@@ -43,8 +43,12 @@ def _bracket(values: DataFrame, ranks: Sequence[int], offset: int, m: int,
              max_values: int, accuracy: int, depth: int = 0) -> dict[int, float]:
     """Ranks of column ``v`` (``m`` rows, ``offset`` rows below) by bracketing."""
     if depth >= 8:
-        pairs = [(r["v"], r["count"]) for r in values.groupBy("v").count().orderBy("v").collect()]
-        return _walk(pairs, ranks, offset)
+        # eight rounds shrink a bracket by about (accuracy / 8) ** 8; reaching
+        # here means the sketch did not narrow, so fetch only a bounded set
+        rows = values.groupBy("v").count().limit(max_values + 1).collect()
+        if len(rows) > max_values:
+            raise RuntimeError("quantile bracket did not narrow; use method='approx'")
+        return _walk(sorted((r["v"], r["count"]) for r in rows), ranks, offset)
     out = {}
     margin = 4.0 / accuracy
     for k in ranks:
@@ -62,9 +66,14 @@ def _bracket(values: DataFrame, ranks: Sequence[int], offset: int, m: int,
                            F.count_if(F.col("v").between(lo, hi)).alias("m"),
                            F.approx_count_distinct(
                                F.when(F.col("v").between(lo, hi), F.col("v"))).alias("d")).first()
+        rows = None
         if stats["d"] <= max_values // 2:
-            pairs = [(r["v"], r["count"])
-                     for r in inner.groupBy("v").count().orderBy("v").collect()]
+            # the distinct estimate decides; the limit makes the fetch bounded
+            rows = inner.groupBy("v").count().limit(max_values + 1).collect()
+            if len(rows) > max_values:
+                rows = None
+        if rows is not None:
+            pairs = sorted((r["v"], r["count"]) for r in rows)
             out.update(_walk(pairs, [k], offset + stats["below"]))
         else:
             out.update(_bracket(inner, [k], offset + stats["below"], stats["m"], max_values,
