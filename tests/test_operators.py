@@ -207,3 +207,25 @@ def test_global_row_number_heavy_tie_split(spark):
         exp = pdf.sort_values(["x", "i"], ascending=[not desc, True]).i.tolist()
         assert got == exp
         assert sorted(r["rn"] for r in rn.collect()) == list(range(1, n + 1))
+
+
+def test_temporal_joins_with_a_hot_pump(spark):
+    """One pump holds 40 % of readings and failures: both joins still equal
+    the brute-force theta join."""
+    rnd = random.Random(21)
+    t0 = datetime(2024, 1, 1)
+    pump = lambda: 0 if rnd.random() < 0.4 else rnd.randrange(1, 6)
+    sens = [(i, pump(), t0 + timedelta(minutes=rnd.randrange(60 * 24 * 20))) for i in range(600)]
+    fails = [(1000 + j, pump(), t0 + timedelta(minutes=rnd.randrange(60 * 24 * 20)))
+             for j in range(60)]
+    s = spark.createDataFrame(sens, "record_id long, pump_id long, timestamp timestamp_ntz")
+    f = spark.createDataFrame(fails, "failure_id long, pump_id long, failure_date timestamp_ntz")
+    got = {r["record_id"]: r["nxt"] for r in
+           J.join_next_event(s, f, "pump_id", "timestamp", "failure_date", "nxt", 6.0).collect()}
+    for rid, p, ts in sens:
+        cands = [fd for _, fp, fd in fails if fp == p and fd >= ts]
+        assert got[rid] == (min(cands) if cands else None)
+    pairs = rows(J.join_time_range(s, f, "pump_id", "timestamp", "failure_date", 24.0)
+                 .select("failure_id", "record_id"))
+    assert pairs == sorted((fid, rid) for fid, fp, fd in fails for rid, sp, ts in sens
+                           if sp == fp and fd - timedelta(hours=24) <= ts <= fd)
