@@ -81,3 +81,13 @@ def test_lookup_and_newest_first(spark):
     req = spark.createDataFrame([(1,), (2,)], "id long")
     assert rows(CH.lookup_by_id(items, req).select("id", "found")) == [(1, True), (2, False)]
     assert [r["id"] for r in CH.snapshot_newest_first(items).collect()] == [3, 1]
+
+
+def test_changes_apply_equals_replay_large(spark):
+    log = random_log(n=4000, ids=200, seed=42)
+    df = spark.createDataFrame(log, "seq long, op string, id long, title string, "
+                                    "description string, completed boolean, ts timestamp")
+    snap, rej = CH.changes_apply(df)
+    exp_items, exp_rej = replay(log)
+    assert rows(snap.select(*CH.ITEM_COLUMNS)) == exp_items
+    assert sorted(r["seq"] for r in rej.collect()) == exp_rej
