@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,7 @@ def build_session(master: str | None = None, app_name: str = "derrick",
                        str(2 * default_parallelism(spark) if local
                            else CLUSTER_SHUFFLE_PARTITIONS))
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -95,6 +97,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``.
+
+    Functions sent to workers refer to the package by name; a cluster's workers
+    do not have the driver's working folder on their path. Done once per
+    application, with a zip that Spark distributes itself.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = f"{os.path.basename(root)}.zip"
+    if any(os.path.basename(f) == name for f in sc._python_includes):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="derrick-zip-"), name)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+
+
 def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
     """Task slots of the application (``defaultParallelism``); falls back to
     ``spark.default.parallelism`` or ``fallback`` where the SparkContext is
