@@ -45,7 +45,7 @@ BLOCK = 1 << 20
 #: contexts of one bucket that are refined in a task; larger buckets are halved
 BUCKET = 4096
 #: contexts per task group
-GROUP = 40_000
+GROUP = 8_000
 
 _SIGN = np.uint64(1)
 
