@@ -68,6 +68,14 @@ def packed_texts(docs: DataFrame) -> DataFrame:
         pack, "doc_id long, _th long, z binary")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has it already."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def unpack(z: bytes | None) -> bytes:
     """The UTF-8 bytes of a packed text (null: empty)."""
     return b"" if z is None else zstandard.ZstdDecompressor().decompressobj().decompress(z)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from derrick.llm import suffix_dedup
+import corpus_pipeline
+from derrick.llm import (ann, decontaminate, language, line_dedup, packing, quality, secret_scan, simhash,
+                         suffix_dedup, token_files)
 from derrick.llm.common import read
 
 
@@ -15,11 +18,68 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                       read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "_hit.n_words", "_hit.n_hit", "_hit.n_items", "_hit.items_sha256", "_hit.contaminated")
+
+
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 100 = 0"), 10)
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents")).drop("ids")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs, read(spark, sf_dir, "labels"), *quality.site(docs)).select(
+        "doc_id", "_quality.evidence", "_quality.posterior", "_quality.rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_simhash": op2_simhash,
+        "op3_token_files": op3_token_files,
+        "op4_line_dedup": op4_line_dedup,
+        "op5_language": op5_language,
+        "op6_decontaminate": op6_decontaminate,
+        "op7_ann": op7_ann,
+        "op8_secret_scan": op8_secret_scan,
+        "op9_packing": op9_packing,
+        "op10_quality": op10_quality,
+        "pipeline": corpus_pipeline.run,
     }
 
 
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
