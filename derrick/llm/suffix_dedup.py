@@ -42,8 +42,9 @@ from derrick.llm.rolling import Prefix, mix, runs, sliding
 LENGTH = 200
 #: bytes hashed at once, so a very long text never needs more memory
 BLOCK = 1 << 20
-#: contexts of one bucket that are refined in a task; larger buckets are halved
-BUCKET = 4096
+#: contexts of one bucket that are refined in a task (some 2.5 kB each); larger
+#: buckets are halved
+BUCKET = 50_000
 #: contexts per task group
 GROUP = 8_000
 
@@ -163,32 +164,41 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         run, "doc_id long, _th long, a long, h long, single boolean, start long, ctx binary")
 
 
-def repeated_starts(doc: np.ndarray, start: np.ndarray, texts: list[bytes], length: int) -> list[np.ndarray]:
-    """For every context (document number, first byte, bytes), the starts inside
-    it whose string also starts elsewhere in these contexts."""
+def repeated_starts(doc: np.ndarray, anchor: np.ndarray, start: np.ndarray, texts: list[bytes],
+                    length: int) -> list[np.ndarray]:
+    """For every context (document number, anchor, first byte, bytes), the sorted
+    starts of its strings that also start elsewhere in these contexts. Equal strings
+    have their anchor at the same offset, so each offset is sorted by itself."""
     q = length // 2
-    bounds = np.cumsum([0] + [len(t) for t in texts])
-    buf = np.frombuffer(b"".join(texts), np.uint8)
-    if len(buf) < length:
-        return [np.zeros(0, np.int64)] * len(texts)
-    gram = Prefix(buf).grams(q)                      # identifiers of the initial buckets
-    count = np.maximum(0, np.diff(bounds) - length + 1)
-    owner = np.repeat(np.arange(len(texts)), count)
-    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    at = bounds[:-1][owner] + inside
-    place = doc[owner] * (1 << 40) + start[owner] + inside
-    one, two = gram[at], gram[at + length - q]       # refinement: the identifier further on
-    key = mix(one * np.uint64(3) + two)
-    order = np.argsort(key, kind="stable")
-    k1, k2 = one[order], two[order]
-    cut = np.concatenate([[0], np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1])
-    lo = np.minimum.reduceat(place[order], cut)
-    hi = np.maximum.reduceat(place[order], cut)
-    many = np.repeat(lo != hi, np.diff(np.append(cut, len(order))))
-    hit = np.zeros(len(order), bool)
-    hit[order] = many
-    split = np.split(np.flatnonzero(hit), np.searchsorted(np.flatnonzero(hit), np.cumsum(count))[:-1])
-    return [inside[s] for s in split]
+    far = length - q
+    left = anchor - start
+    size = np.array([len(t) for t in texts], np.int64)
+    n = len(texts)
+    key, two = np.zeros((far + 1, n), np.uint64), np.zeros((far + 1, n), np.uint64)
+    fits = np.zeros((far + 1, n), bool)
+    for x in range(0, n, 2000):
+        own = slice(x, min(n, x + 2000))
+        base = np.cumsum(size[own]) - size[own]
+        gram = Prefix(np.frombuffer(b"".join(texts[own]), np.uint8)).grams(q)   # initial buckets
+        for d in range(far + 1):
+            s = left[own] - d
+            ok = (s >= 0) & (s + length <= size[own])
+            at = (base + s)[ok]
+            one, later = gram[at], gram[at + far]       # refinement: the identifier further on
+            i = x + np.flatnonzero(ok)
+            key[d, i], two[d, i], fits[d, i] = mix(one * np.uint64(3) + later), later, True
+    hits = np.zeros((far + 1, n), bool)
+    for d in range(far + 1):
+        i = np.flatnonzero(fits[d])
+        if len(i) < 2:
+            continue
+        i = i[np.argsort(key[d, i], kind="stable")]
+        k1, k2 = key[d, i], two[d, i]
+        cut = np.concatenate([[0], np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1])
+        place = doc[i] * (1 << 40) + anchor[i] - d
+        many = np.minimum.reduceat(place, cut) != np.maximum.reduceat(place, cut)
+        hits[d, i] = np.repeat(many, np.diff(np.append(cut, len(i))))
+    return [anchor[i] - np.flatnonzero(hits[:, i])[::-1] for i in range(n)]
 
 
 def merged(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -210,13 +220,13 @@ def _refined(contexts: DataFrame, groups: int, length: int) -> DataFrame:
         ids, th = table.column("doc_id").to_pylist(), table.column("_th").to_pylist()
         number: dict = {}
         doc = np.array([number.setdefault(k, len(number)) for k in zip(ids, th)], np.int64)
-        start = table.column("start").to_numpy()
+        anchor, start = table.column("a").to_numpy(), table.column("start").to_numpy()
         single = table.column("single").to_pylist()
         out = []
-        found = repeated_starts(doc, start, table.column("ctx").to_pylist(), length)
+        found = repeated_starts(doc, anchor, start, table.column("ctx").to_pylist(), length)
         for i, s in enumerate(found):
             if single[i] and len(s):
-                out += [(ids[i], th[i], a, b) for a, b in merged(s + start[i], length)]
+                out += [(ids[i], th[i], a, b) for a, b in merged(s, length)]
         cols = list(zip(*out)) if out else [()] * 4
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "_th", "start", "stop"])
     return (contexts.withColumn("_g", common.hashed("h", groups)).groupBy("_g")
