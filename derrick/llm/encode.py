@@ -3,8 +3,8 @@
 A text is cut where white space begins after something else; no token crosses
 such a place, so the pieces' ids joined are the text's ids. Texts with white
 space other than space and newline go to the tokenizer whole. Pieces seen before
-come from a cache that stops growing at ``CACHE`` entries; new ones are cut into
-words by the tokenizer's own pattern and the words are encoded by the library.
+come from a cache that stops growing at ``CACHE`` entries; new ones are normalised and
+cut into words as the tokenizer does, and the library's model encodes each word.
 """
 
 from __future__ import annotations
@@ -19,10 +19,21 @@ CACHE = 250_000
 
 _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD = re.compile(r"[^\S \n]")
+#: no combining marks and no letters whose lower case depends on their place
+_PLAIN = re.compile(r"[\x00-\u012f]*")
+_STOPS = frozenset(".,;:!?")
 _BYTE_WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+def _byte_letters() -> list[str]:
+    """The character that byte-level models use for each byte: printable ones stand
+    for themselves, the others follow from U+0100 in order."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)]
+
+
 def tokenizer_file(name: str) -> str:
     """A path as it is; else the file of that name among the public tokenizers."""
     if os.path.exists(name):
@@ -46,7 +57,11 @@ class Encoder:
         self.normal = self.tokenizer.normalizer
         split = [p for p in (spec["pre_tokenizer"].get("pretokenizers") or [spec["pre_tokenizer"]])
                  if p["type"] == "Split"]
-        self.words = regex.compile(split[0]["pattern"]["Regex"]) if split else _BYTE_WORDS
+        self.spaced = not split                   # words keep the space before them
+        self.words = _BYTE_WORDS if self.spaced else regex.compile(split[0]["pattern"]["Regex"])
+        self.lowers = self.normal is not None
+        self.model = self.tokenizer.model
+        self.letters = dict(enumerate(_byte_letters()))
         self.raw = [i.to_bytes(4, "little") for i in range(max(self.size, 1))]
         self.pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
@@ -54,50 +69,65 @@ class Encoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.raw[i] for i in ids])
 
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        cut, missing = {}, {}
-        for p in pieces:
-            if any(s in p for s in self.special):
-                cut[p] = None
-                continue
-            w = self.words.findall(self.normal.normalize_str(p) if self.normal else p)
-            cut[p] = w
-            for x in w:
-                if x not in self.known:
-                    missing[x] = b""
-        new = list(missing)
-        for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            missing[x] = self._bytes(e.ids)
-        room = CACHE - len(self.known)
-        for x in new[:room] if room > 0 else ():
-            self.known[x] = missing[x]
-        out = {}
-        for p, w in cut.items():
-            if w is None:
-                out[p] = self._bytes(self.tokenizer.encode(p, add_special_tokens=False).ids)
-            else:
-                out[p] = b"".join([self.known[x] if x in self.known else missing[x] for x in w])
-        return out
+    def _cut(self, p: str) -> list[str]:
+        """Words of a piece."""
+        if self.lowers:
+            p = p.lower() if _PLAIN.fullmatch(p) else self.normal.normalize_str(p)
+        if self.spaced:
+            w = p[1:] if p[:1] == " " else p
+            if w.isalpha():
+                return [p]
+            if w[-1:] in _STOPS and w[:-1].isalpha():
+                return [p[:-1], w[-1]]
+            if p[:1] == "\n" and p[1:].isalpha():
+                return ["\n", p[1:]]
+        else:
+            w = p.strip(" \n")
+            if w.isalpha():
+                return [w]
+            if w[-1:] in _STOPS and w[:-1].isalpha():
+                return [w[:-1], w[-1]]
+        return self.words.findall(p)
+
+    def _word(self, w: str) -> bytes:
+        if w.isascii() and w.isalpha():
+            form = w
+        elif w[:1] == " " and w[1:].isascii() and w[1:].isalpha():
+            form = self.letters[32] + w[1:]
+        else:
+            form = w.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.raw[t.id] for t in self.model.tokenize(form)])
+
+    def _piece(self, p: str) -> bytes:
+        for s in self.special:
+            if s in p:
+                return self._bytes(self.tokenizer.encode(p, add_special_tokens=False).ids)
+        known, out = self.known, []
+        for w in self._cut(p):
+            ids = known.get(w)
+            if ids is None:
+                ids = self._word(w)
+                if len(known) < CACHE:
+                    known[w] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        cut = [None if t and _ODD.search(t) else _PIECE.findall(t or "") for t in texts]
-        have = self.pieces
-        new = {p for c in cut if c for p in c if p not in have}
-        fresh = self._new(list(new)) if new else {}
-        room = CACHE - len(have)
-        if room > 0:
-            for k, p in enumerate(fresh):
-                if k >= room:
-                    break
-                have[p] = fresh[p]
-        out = []
-        for t, c in zip(texts, cut):
-            if c is None:
+        have, out = self.pieces, []
+        for t in texts:
+            if t and _ODD.search(t):
                 out.append(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids))
-            elif fresh:
-                out.append(b"".join([have[p] if p in have else fresh[p] for p in c]))
-            else:
-                out.append(b"".join([have[p] for p in c]))
+                continue
+            cut = _PIECE.findall(t or "")
+            got = list(map(have.get, cut))
+            if None in got:
+                for i, ids in enumerate(got):
+                    if ids is None:
+                        p = cut[i]
+                        got[i] = ids = self._piece(p)
+                        if len(have) < CACHE:
+                            have[p] = ids
+            out.append(b"".join(got))
         return out
 
 
