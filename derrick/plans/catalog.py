@@ -145,8 +145,7 @@ def q_delay_factors(spark, sf):
 
 @register("agg_full_domain")
 def q_full_domain(spark, sf):
-    short_trips = _enriched(spark, sf).where(F.col("distance_km") <= 160)
-    return (L.delay_factors(short_trips, exact=True)
+    return (L.delay_factors(_enriched(spark, sf), exact=True)
                        .where(F.col("factor_type") == "distance_bucket"))
 
 

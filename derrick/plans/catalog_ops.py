@@ -38,9 +38,7 @@ def q_scan_ordered(spark, sf):
 
 @register("scan_parquet")
 def q_scan_parquet(spark, sf):
-    schema = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-              "l_quantity double, l_extendedprice double")
-    return TB.scan_parquet(spark, f"{sf}/lineitem.parquet", schema)
+    return TB.scan_parquet(spark, f"{sf}/lineitem.parquet")
 
 
 # ------------------------------------------------------------- scalar functions

@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 from derrick.operators.aggregates import pivot_mean
 
 
-def daily_series(daily: DataFrame) -> DataFrame:
-    """The daily production mart in date order."""
-    return daily.orderBy("date")
-
-
 def top_wells(kpi: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` wells of highest mean oil (by their performance rank)."""
     return kpi.orderBy("performance_rank").limit(n)
@@ -36,12 +31,16 @@ def oil_pivot(pairs: DataFrame, temperature_step: float = 10.0, pressure_step: f
     """Mean oil per temperature band (rows) and pressure band (columns).
 
     The axes are continuous, so both are cut into fixed-width bands; the
-    pressure bands are passed explicitly so no extra job looks for them.
+    pressure bands are passed explicitly so no extra job looks for them, and
+    the columns ``below`` and ``above`` take what lies outside them.
     """
+    first, last = min(pressure_bands), max(pressure_bands)
     banded = (pairs
               .withColumn("temperature_band",
                           (F.floor(F.col("avg_temperature") / temperature_step)
                            * temperature_step).cast("int"))
-              .withColumn("pressure_band",
-                          F.floor(F.col("avg_pressure") / pressure_step).cast("int")))
-    return pivot_mean(banded, "temperature_band", "pressure_band", "oil_ton", list(pressure_bands))
+              .withColumn("_band", F.floor(F.col("avg_pressure") / pressure_step).cast("long"))
+              .withColumn("pressure_band", F.when(F.col("_band") < first, "below")
+                          .when(F.col("_band") > last, "above").otherwise(F.col("_band").cast("string"))))
+    return pivot_mean(banded, "temperature_band", "pressure_band", "oil_ton",
+                      ["below", *map(str, pressure_bands), "above"])

@@ -14,7 +14,6 @@ from derrick.session import default_parallelism
 __all__ = ["write_partitioned_parquet", "write_csv", "write_table_replace", "create_schema",
            "write_parquet_overwrite", "show_result", "layout_for_access"]
 
-SMALL_MART_ROWS = 1_000_000
 
 
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -30,23 +29,21 @@ def write_partitioned_parquet(df: DataFrame, path: str, partition_cols: Sequence
     task): every task sorts its own rows by them and writes one file per
     value it holds, split at ``max_records_per_file`` rows.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.sortWithinPartitions(*partition_cols).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partition_cols).parquet(path))
 
 
-def write_csv(df: DataFrame, path: str, single_file_max_rows: int = SMALL_MART_ROWS,
+def write_csv(df: DataFrame, path: str, single_file: bool = False,
               pandas_style: bool = True) -> None:
-    """CSV with a header. A mart below ``single_file_max_rows`` (checked with a
-    bounded count) is written as one file; larger ones stay split.
+    """CSV with a header, one file per partition; ``single_file`` (the caller's
+    choice, for marts known to be small) writes through one task.
 
     ``pandas_style`` writes what ``DataFrame.to_csv`` writes: booleans as
     True/False, timestamps as ``yyyy-MM-dd HH:mm:ss[.ffffff]``, NULL empty.
     """
-    n = df.limit(single_file_max_rows + 1).count()
-    out = df.coalesce(1) if n <= single_file_max_rows else df
+    out = df.coalesce(1) if single_file else df
     writer = out
     if pandas_style:
         writer = out.select(*[

@@ -82,16 +82,17 @@ def scan_table(spark: SparkSession, cfg: LakeConfig, table: str, num_partitions:
         df = scan_jdbc(spark, cfg, table, **jdbc_kw)
     else:
         df = spark.read.parquet(f"{cfg.source_root.rstrip('/')}/{table}")
-    return enforce_schema(df, INPUTS.get(table))
+    return enforce_schema(df, INPUTS.get(table.split(".")[-1]), table)
 
 
-def enforce_schema(df: DataFrame, schema: T.StructType | None) -> DataFrame:
+def enforce_schema(df: DataFrame, schema: T.StructType | None, table: str = "input") -> DataFrame:
+    """``df`` with the declared types; a declared column that is absent is an error."""
     if schema is None:
         return df
-    cols = []
-    for f in schema.fields:
-        cols.append((F.col(f.name) if f.name in df.columns else F.lit(None))
-                    .cast(f.dataType).alias(f.name))
+    absent = [c for c in schema.fieldNames() if c not in df.columns]
+    if absent:
+        raise ValueError(f"{table} lacks the columns {', '.join(absent)}")
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     extra = [c for c in df.columns if c not in schema.fieldNames()]
     return df.select(*cols, *extra)
 

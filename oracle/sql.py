@@ -198,7 +198,7 @@ SELECT driver_name AS factor_value, count(delivery_id) AS trips,
        {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')}, 'driver' AS factor_type
 FROM enriched WHERE driver_name IS NOT NULL GROUP BY driver_name"""
 
-ORACLE["agg_full_domain"] = LOGI + ", enriched_f AS (SELECT * FROM enriched WHERE distance_km <= 160)" \
+ORACLE["agg_full_domain"] = LOGI + ", enriched_f AS (SELECT * FROM enriched)" \
     + FACTOR_BUCKETS
 
 # pandas rank(pct=True): (rows below + (ties + 1) / 2) / non-null count

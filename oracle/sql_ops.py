@@ -16,8 +16,9 @@ ORACLE["scan_ordered"] = W("telemetry") + "SELECT well_id, timestamp, " + ", ".j
                       "pump_current"]) + " FROM telemetry ORDER BY timestamp, well_id"
 
 ORACLE["scan_parquet"] = """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, """ + R("l_quantity", "l_quantity") + \
-    ", " + R("l_extendedprice", "l_extendedprice") + " FROM lineitem"
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus,
+       CAST(l_shipdate AS VARCHAR) AS l_shipdate, """ + ", ".join(
+    R(c, c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")) + " FROM lineitem"
 
 # ------------------------------------------------------------- scalar functions
 ORACLE["cast_datetime"] = W("pump_failures") + """
@@ -212,7 +213,8 @@ j AS (
          CAST(floor(k.avg_pressure / 50.0) AS INTEGER) AS pressure_band, p.oil_ton
   FROM well_kpi k JOIN production p USING (well_id))
 SELECT temperature_band, """ + ", ".join(
-    R(f"avg(CASE WHEN pressure_band = {b} THEN oil_ton END)", f'"{b}"') for b in range(8)) + \
+    R(f"avg(CASE WHEN pressure_band {c} THEN oil_ton END)", f'"{b}"') for b, c in
+    [("below", "< 0"), *((str(b), f"= {b}") for b in range(8)), ("above", "> 7")]) + \
     " FROM j GROUP BY temperature_band"
 
 # ------------------------------------------------------------- windows

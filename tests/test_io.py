@@ -3,11 +3,14 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from derrick.config import LakeConfig
 from derrick.sinks import writers as SK
+from derrick.sources import adapters as A
 from derrick.sources import tables as TB
+from tests.conftest import rows
 
 
 def test_partitioned_parquet_hive_layout_and_dynamic_overwrite(spark, tmp_dir):
@@ -25,7 +28,7 @@ def test_csv_round_trip_single_file(spark, tmp_dir):
     df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, true AS c, "
                    "TIMESTAMP_NTZ'2024-01-01 00:03:52.824425' AS t")
     path = os.path.join(tmp_dir, "m.csv")
-    SK.write_csv(df, path)
+    SK.write_csv(df, path, single_file=True)
     files = glob.glob(os.path.join(path, "part-*.csv"))
     assert len(files) == 1
     text = open(files[0]).read().splitlines()
@@ -79,7 +82,7 @@ def test_lake_config_from_env(monkeypatch):
 
 def test_scan_table_parquet_enforces_schema(spark, tmp_dir):
     root = os.path.join(tmp_dir, "src")
-    spark.createDataFrame([(1, "2")], "vehicle_id int, capacity_ton string") \
+    spark.createDataFrame([(1, "2", "diesel")], "vehicle_id int, capacity_ton string, fuel_type string") \
         .write.parquet(os.path.join(root, "vehicles"))
     df = TB.scan_table(spark, LakeConfig(source_root=root), "vehicles")
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["bigint", "double", "string"]
@@ -166,3 +169,21 @@ def test_run_all_over_jdbc(spark, tmp_dir):
     write_marts(marts, tmp_dir, cfg, tables=True)
     back = TB.scan_jdbc(spark, cfg, "mart.well_kpi")
     assert back.count() == marts["well_kpi"].count() > 0
+
+
+def test_absent_column_is_an_error_and_names_may_be_qualified(spark, tmp_dir):
+    whole = A.load(spark, "/root/testdata/sf0.001", "production")
+    with pytest.raises(ValueError, match="oil_ton"):
+        TB.enforce_schema(whole.drop("oil_ton"), TB.INPUTS["production"])
+    whole.drop("oil_ton").write.parquet(f"{tmp_dir}/app.production")
+    with pytest.raises(ValueError, match="app.production"):
+        TB.scan_table(spark, LakeConfig(source_root=tmp_dir), "app.production")
+
+
+def test_partition_overwrite_leaves_the_session_as_it_is(spark, tmp_dir):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    df = spark.createDataFrame([(1, 1), (2, 2)], "a int, m int")
+    SK.write_partitioned_parquet(df, f"{tmp_dir}/p", ["m"])
+    SK.write_partitioned_parquet(df.where("m = 2").selectExpr("a + 5 AS a", "m"), f"{tmp_dir}/p", ["m"])
+    assert rows(spark.read.parquet(f"{tmp_dir}/p").select("a", "m")) == [(1, 1), (7, 2)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
