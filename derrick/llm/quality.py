@@ -42,6 +42,8 @@ LEAST_Z = 6.0
 BEGINNINGS = (4, 5)
 STEPS = 400
 REJECT = 0.5
+#: largest table of site posteriors that is sent to all executors
+BROADCAST_BYTES = 8 << 20
 
 _UPPER = bytes(range(65, 91))
 _LETTER = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
@@ -202,7 +204,8 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column, name:
         .agg(F.count(F.lit(1)).alias("n"), F.sum("_evidence").alias("p"),
              (F.sum(F.pow("_evidence", F.lit(2.0))) - F.pow(F.sum("_evidence"), F.lit(2.0)) / F.count(F.lit(1)))
              .alias("v")))
-    whole = sums.agg(F.sum("p").alias("p"), F.sum("n").alias("n")).first()
+    whole = sums.agg(F.sum("p").alias("p"), F.sum("n").alias("n"), F.sum(
+        32 + F.coalesce(F.octet_length(F.concat_ws("", "_host", "_path")), F.lit(0))).alias("bytes")).first()
     mean = min(max(whole["p"] / whole["n"], 1e-6), 1 - 1e-6) if whole["n"] else 0.5
     hosts = sums.groupBy("_host").agg(F.sum("p").alias("hp"), F.sum("n").alias("n"), F.sum("v").alias("v"))
     k_host = _spread(hosts, "hp", F.lit(mean))
@@ -211,6 +214,8 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column, name:
     k_path = _spread(paths, "p", F.col("host_mean"))
     paths = paths.select(F.col("_host").alias(h), F.col("_path").alias(p),
                          ((F.col("p") + k_path * F.col("host_mean")) / (F.col("n") + k_path)).alias(s))
+    if (whole["bytes"] or 0) <= BROADCAST_BYTES:      # beyond that the join shuffles
+        paths = F.broadcast(paths)
     judged = with_evidence(docs.withColumn(h, host).withColumn(p, path), model, e)
     out = common.null_safe(judged, paths, [h, p], "left")
     prior = F.coalesce(F.least(F.greatest(F.col(s), F.lit(1e-6)), F.lit(1 - 1e-6)), F.lit(mean))
