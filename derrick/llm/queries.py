@@ -81,5 +81,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+_OP6 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+ahead AS (
+  SELECT doc_id, pos, list(word) OVER (PARTITION BY doc_id ORDER BY pos
+                                       ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l FROM words),
+grams AS (
+  SELECT doc_id, pos, k, array_to_string(l[1:k], ' ') AS g
+  FROM ahead, (SELECT DISTINCT k FROM iw) WHERE len(l) >= k),
+h AS (SELECT doc_id, pos, grams.k, item_id FROM grams JOIN iw ON grams.k = iw.k AND grams.g = iw.g),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + k)) AS p FROM h) GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries use models, tokenizers, hashes or searches that SQL lacks,
+    or (suffix dedup) would be too slow on whole tables; they are tested by brute
+    force in tests/llm."""
+    return {"op6_decontaminate": _OP6}
