@@ -104,8 +104,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
     hint = d.where(r"text rlike '(?i)(passw(or)?d|secret|token|api_?key)[\"\' :=]' or text rlike '[0-9a-f]{24}'")
     texts = []
     for part in (hint, d):
-        texts += [r[0] for r in part.withColumn("text", F.substring("text", 1, 20_000))
-                  .orderBy("o", "text").limit(sample).collect()]
+        texts += [r[0] for r in common.smallest(part, "o", sample).select(
+            F.substring("text", 1, 20_000)).collect()]
     yes, no = labelled(texts)
     return (train(yes), train(no)) if yes and no else None
 

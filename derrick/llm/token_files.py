@@ -72,9 +72,9 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int =
     """Encode all documents and write the files under ``path``."""
     spark = docs.sparkSession
     d = common.documents(docs)
-    sample = [r[0] for r in d.where("text is not null").select(
-        F.substring("text", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("doc_id", "_th").alias("o"))
-        .orderBy("o", "t").limit(SAMPLE).collect()]
+    hashed = d.where("text is not null").withColumn("o", F.xxhash64("doc_id", "_th"))
+    sample = [r[0] for r in common.smallest(hashed, "o", SAMPLE).select(
+        F.substring("text", 1, SAMPLE_CHARS)).collect()]
     enc = encoder(tokenizer)
     width = 2 if max(enc.size, end_id + 1) <= 1 << 16 else 4
     end = end_id.to_bytes(4, "little")
