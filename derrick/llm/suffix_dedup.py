@@ -92,10 +92,12 @@ def pieces(texts: list[bytes], length: int, block: int = BLOCK):
         yield held
 
 
-def text_anchors(texts: list[bytes], length: int, with_context: bool):
-    """(document number, position, gram hash, context hash) arrays per block."""
+def text_anchors(texts: list[bytes], length: int, with_context: bool, block: int = BLOCK):
+    """(document number, position, gram hash, context hash) arrays per block, every
+    anchor once."""
     q = length // 2
-    for held in pieces(texts, length):
+    open_doc, seen = -1, np.zeros(0, np.int64)      # the last text of the block before
+    for held in pieces(texts, length, block):
         starts = np.cumsum([0] + [len(p[2]) for p in held])
         at, g = block_anchors(np.frombuffer(b"".join(p[2] for p in held), np.uint8), starts, length)
         piece = np.searchsorted(starts, at, "right") - 1
@@ -106,7 +108,12 @@ def text_anchors(texts: list[bytes], length: int, with_context: bool):
         doc, pos, g = doc[order], pos[order], g[order]
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])
+        # a text cut between two blocks shows the anchors of the overlap in both
+        new &= (doc != open_doc) | ~np.isin(pos, seen)
         doc, pos, g = doc[new], pos[new], g[new]
+        last = held[-1][0]
+        seen = np.concatenate([seen if last == open_doc else seen[:0], pos[doc == last]])
+        seen, open_doc = seen[seen >= held[-1][1]], last
         ctx = None
         if with_context:
             low, high = np.maximum(0, pos - (length - q)), pos + length
@@ -121,8 +128,7 @@ def _texts(batch) -> list[bytes]:
 
 
 def _anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, _th, a, h, c) of every anchor. Anchors found in two pieces of a
-    very long text may come twice, with equal rows."""
+    """(doc_id, _th, a, h, c) of every anchor."""
     def run(batches):
         for b in batches:
             ids, th = b.column("doc_id"), b.column("_th")

@@ -62,6 +62,24 @@ def test_suffix_edges(spark):
     assert suffix_dedup.dedup(make(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("block", [30, 64, 1000])
+def test_suffix_anchors_of_cut_texts_come_once(block):
+    rnd = random.Random(block)
+    texts = ["".join(rnd.choice("ab") for _ in range(n)).encode() for n in (3, 500, 25, 700, 90)]
+    whole = [np.concatenate(x) for x in zip(*((d, p) for d, p, _, _ in suffix_dedup.text_anchors(texts, 20, False)))]
+    parts = [np.concatenate(x) for x in zip(*((d, p) for d, p, _, _ in
+                                              suffix_dedup.text_anchors(texts, 20, False, block)))]
+    assert len(set(zip(*(x.tolist() for x in parts)))) == len(parts[0])
+    assert set(zip(*(x.tolist() for x in parts))) == set(zip(*(x.tolist() for x in whole)))
+
+
+def test_suffix_keeps_long_clean_texts(spark):
+    rnd = random.Random(8)
+    text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=2_300_000))
+    got = suffix_dedup.dedup(make(spark, [text, None])).select("n_bytes", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(0, 0), (2_300_000, 0)]
+
+
 def brute_print(text):
     raw = b"" if text is None else text.encode()
     raw = bytes(c + 32 if 65 <= c <= 90 else c for c in raw)
