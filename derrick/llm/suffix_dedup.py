@@ -277,10 +277,11 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -
     d = common.documents(docs)
     anchors = _anchors(d, length)
     # one gram value with one context value needs no comparison: all copies
-    counts = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"),
-                                      F.max("c").alias("c1")).where("n > 1")
-    shared = common.shared_table(anchors.join(
-        counts.select("h", (F.col("c0") != F.col("c1")).alias("mixed")), "h"))
+    # (written before the join: AQE splits a hot gram only if no aggregate shares its stage)
+    counts = common.shared_table(anchors.groupBy("h").agg(
+        F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1")
+        .select("h", (F.col("c0") != F.col("c1")).alias("mixed")))
+    shared = common.shared_table(anchors.join(counts, "h"))
     whole = shared.where("not mixed")
     mixed = shared.where("mixed").groupBy("h", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "_th", "a")).alias("rep"))
