@@ -1,128 +1,78 @@
 """Global ranks without a single-task window.
 
 A global ``row_number`` or percentile rank needs, for every row, the number of
-rows before it. Here the ordering column is cut into value buckets whose
-boundaries come from ``percentile_approx`` (fetched once, so the assignment
-is a pure function of the value and survives recomputation); each bucket is
-ranked by a window partitioned by the bucket, and the rows of all earlier
-buckets are added as an offset (one count per bucket, fetched once). Below
-``rows_per_bucket`` rows there is one bucket.
+rows before it. Rows are range-partitioned and sorted on the whole order, so
+every partition holds one stretch of it; a row's place is its place inside the
+partition plus the rows of the partitions before. The numbered stretches are
+checkpointed first, so partition numbers and totals always belong together, and
+the totals (one row per partition) are joined back as a table.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+from derrick.session import cut_lineage
 
 
-def value_buckets(df: DataFrame, column: str, out: str, n: int,
-                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                  heavy: list | None = None) -> tuple[DataFrame, int]:
-    """Add ``out``: 0..k-1 by value of ``column`` (NULL for NULL values);
-    equal values share a bucket and bucket order follows value order.
-    ``n`` is the number of non-null values. Returns (frame, k).
+def _stretches(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """``df`` with ``__part`` (numbers of partitions follow the order) and ``__at``
+    (0, 1, ... inside the partition), checkpointed. ``partitions`` is Spark's
+    shuffle setting unless given."""
+    ranged = (df.repartitionByRange(*order) if partitions is None
+              else df.repartitionByRange(partitions, *order))
+    # the id holds the partition in its upper bits and counts rows in the lower 33
+    numbered = ranged.sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    return cut_lineage(numbered.withColumn("__part", F.shiftright("__id", 33))
+                       .withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
+                       .drop("__id"))
 
-    A value that fills more than one bucket (it repeats among the cut points)
-    gets a bucket of its own; if ``heavy`` is a list, (value, bucket) pairs of
-    such values are appended to it."""
-    k = int(min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))))
-    if k == 1:
-        return df.withColumn(out, F.when(F.col(column).isNotNull(), F.lit(0.0))), 1
-    probs = [i / k for i in range(1, k)]
-    cuts = [float(c) for c in
-            df.agg(F.percentile_approx(F.col(column).cast("double"), probs, 10 * k)).first()[0]]
-    repeated = sorted({c for c, d in zip(cuts, cuts[1:]) if c == d})
-    edges = set(cuts) | {math.nextafter(v, math.inf) for v in repeated}
-    splits = [float("-inf")] + sorted(edges) + [float("inf")]
-    if heavy is not None:
-        heavy.extend((v, float(splits.index(v))) for v in repeated)
-    b = Bucketizer(splits=splits, inputCol="__bv", outputCol=out, handleInvalid="keep")
-    tmp = df.withColumn("__bv", F.col(column).cast("double")).fillna({"__bv": float("nan")})
-    out_df = b.transform(tmp).drop("__bv").withColumn(out, F.when(F.col(column).isNotNull(),
-                                                                  F.col(out)))
-    return out_df, len(splits) - 1
 
-
-def _offsets(df: DataFrame, bucket: str, weight: Column, descending: bool, k: int) -> Column:
-    """Rows (or weights) in all earlier buckets, as a literal lookup."""
-    if k == 1:
-        return F.when(F.col(bucket).isNotNull(), F.lit(0))
-    counts = {r[0]: r[1] for r in df.where(F.col(bucket).isNotNull()).groupBy(bucket)
-              .agg(F.sum(weight)).collect()}
-    order = sorted(counts, reverse=descending)
-    acc = dict(zip(order, itertools.accumulate([0] + [counts[b] for b in order[:-1]])))
-    expr = None
-    for b, off in acc.items():
-        cond = F.col(bucket) == F.lit(b)
-        expr = F.when(cond, F.lit(off)) if expr is None else expr.when(cond, F.lit(off))
-    return expr if expr is not None else F.lit(None).cast("long")
+def _before(stretches: DataFrame, weight: Column) -> DataFrame:
+    """(__part, __before): weight of all partitions before each; one row per
+    partition, so its window is small whatever the input."""
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    return (stretches.groupBy("__part").agg(F.sum(weight).alias("__w"))
+            .select("__part", F.coalesce(F.sum("__w").over(earlier), F.lit(0)).alias("__before")))
 
 
 def global_row_number(df: DataFrame, column: str, descending: bool, tiebreak: Sequence[str],
-                      out: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """1..n over the whole frame ordered by ``column`` (NULLs last), then by
-    ``tiebreak`` ascending. The tiebreak should make the order total."""
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    nonnull = base.agg(F.count(column)).first()[0]
-    heavy: list = []
-    b, k = value_buckets(base, column, "__bucket", nonnull, rows_per_bucket,
-                         heavy if tiebreak else None)
+                      out: str, partitions: int | None = None) -> DataFrame:
+    """1..n (long) over the whole frame ordered by ``column`` (NULLs last), then by
+    ``tiebreak`` ascending, of any orderable type. The tiebreak should make the
+    order total: only rows equal in every column share a partition, so neither a
+    heavy tie nor many NULLs land in one task."""
     lead = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
-    order = [lead, *[F.col(c).asc() for c in tiebreak]]
-    # NULL values form a bucket of their own, placed after all others
-    offset = F.coalesce(_offsets(b, "__bucket", F.lit(1), descending, k), F.lit(nonnull))
-    b = b.withColumn("__off", offset)
-    heavy_buckets = [hb for _, hb in heavy]
-    is_heavy = F.col("__bucket").isin(heavy_buckets) if heavy_buckets else F.lit(False)
-    light = b.where(~is_heavy | F.col("__bucket").isNull())
-    local = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
-    parts = [light.withColumn(out, (local + F.col("__off")).cast("int"))]
-    for _, hb in heavy:
-        # one value fills this bucket: its rows are ordered by the tiebreak,
-        # itself numbered over value buckets (never one task for the tie)
-        tie = (b.where(F.col("__bucket") == F.lit(hb))
-               .withColumnRenamed("__off", "__tie_off").drop("__bucket"))
-        sub = global_row_number(tie, tiebreak[0], False, list(tiebreak[1:]), "__sub",
-                                rows_per_bucket)
-        parts.append(sub.withColumn(out, (F.col("__sub") + F.col("__tie_off")).cast("int"))
-                     .drop("__sub", "__tie_off")
-                     .withColumn("__bucket", F.lit(hb)).withColumn("__off", F.lit(0)))
-    res = parts[0]
-    for p_ in parts[1:]:
-        res = res.unionByName(p_)
-    return res.drop("__bucket", "__off")
+    rows = _stretches(df, [lead, *[F.col(c).asc() for c in tiebreak]], partitions)
+    before = F.broadcast(_before(rows, F.lit(1)))       # one row per shuffle partition
+    return rows.join(before, "__part").select(
+        *df.columns, (F.col("__before") + F.col("__at") + 1).alias(out))
 
 
-def global_rank_pct(df: DataFrame, key: Column, out: str,
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+def global_rank_pct(df: DataFrame, key: Column, out: str, partitions: int | None = None) -> DataFrame:
     """pandas ``rank(pct=True)`` of ``key``: (rows below + (ties + 1) / 2) / n.
 
-    Rows are first reduced to (value, count) pairs; buckets run over the
-    distinct values. NULL keys get NULL.
+    Rows are first reduced to (value, count) pairs, which are then spread by value.
+    NULL keys get NULL.
     """
     keyed = df.withColumn("__rk", key)
     if isinstance(keyed.schema["__rk"].dataType, (T.DoubleType, T.FloatType)):
         # NaN is missing (pandas), not the largest value (Spark ordering)
         keyed = keyed.withColumn("__rk", F.nanvl("__rk", F.lit(None).cast("double")))
     vals = (keyed.where(F.col("__rk").isNotNull()).groupBy("__rk")
-            .agg(F.count(F.lit(1)).alias("__n"))).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = vals.agg(F.count(F.lit(1)).alias("d"), F.sum("__n").alias("t")).first()
-    total = stats["t"] or 0
-    vb, k = value_buckets(vals, "__rk", "__bucket", stats["d"], rows_per_bucket)
-    before_in_bucket = F.coalesce(F.sum("__n").over(
-        Window.partitionBy("__bucket").orderBy("__rk")
+            .agg(F.count(F.lit(1)).alias("__n")))
+    vals = _stretches(vals, [F.col("__rk").asc()], partitions)
+    totals = _before(vals, F.col("__n"))
+    n = vals.agg(F.sum("__n").alias("__total"))         # one row
+    inside = F.coalesce(F.sum("__n").over(
+        Window.partitionBy("__part").orderBy("__at")
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offset = _offsets(vb, "__bucket", F.col("__n"), False, k)
-    ranked = vb.select("__rk", ((offset + before_in_bucket + (F.col("__n") + 1) / 2.0)
-                                / F.lit(float(max(total, 1)))).alias(out))
+    ranked = (vals.withColumn("__inside", inside).join(F.broadcast(totals), "__part")
+              .join(F.broadcast(n))
+              .select("__rk", ((F.col("__before") + F.col("__inside") + (F.col("__n") + 1) / 2.0)
+                               / F.col("__total")).alias(out)))
     return keyed.join(ranked, "__rk", "left").drop("__rk")

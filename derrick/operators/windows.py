@@ -9,26 +9,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from derrick.functions.exprs import as_col
-from derrick.operators.ranking import (DEFAULT_ROWS_PER_BUCKET, global_rank_pct,
-                                       global_row_number)
+from derrick.operators.ranking import global_rank_pct, global_row_number
 
 
 def rank_pct(df: DataFrame, column: str, out: str, sort_key: Column | None = None,
-             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+             partitions: int | None = None) -> DataFrame:
     """pandas ``rank(pct=True)``: average rank of ties / number of non-null.
 
     NULL values get a NULL rank. ``sort_key`` (e.g. a rounded copy of the
-    column) decides ties and order. Distributed over value buckets, see
+    column) decides ties and order. Spread by value, see
     :mod:`derrick.operators.ranking`.
     """
     key = sort_key if sort_key is not None else F.col(column)
-    return global_rank_pct(df, key, out, rows_per_bucket)
+    return global_rank_pct(df, key, out, partitions)
 
 
 def row_number_rank(df: DataFrame, column: str, descending: bool, tiebreak: Sequence[str],
-                    out: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """1..n over the whole frame by ``column`` (NULLs last), then ``tiebreak``."""
-    return global_row_number(df, column, descending, tiebreak, out, rows_per_bucket)
+                    out: str, partitions: int | None = None) -> DataFrame:
+    """1..n (long) over the whole frame by ``column`` (NULLs last), then ``tiebreak``."""
+    return global_row_number(df, column, descending, tiebreak, out, partitions)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str],

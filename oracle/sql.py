@@ -110,7 +110,7 @@ well_kpi AS (
 """
 KPI_COLS = ("well_id, " + ", ".join(R(c, c) for c in ["avg_oil_ton", "downtime_pct", "avg_pressure",
                                                       "avg_temperature"])
-            + ", name, field_name, region, status, CAST(performance_rank AS INTEGER) AS performance_rank")
+            + ", name, field_name, region, status, CAST(performance_rank AS BIGINT) AS performance_rank")
 
 ORACLE["mart_well_kpi"] = W("production", "telemetry", "wells") + WELL_KPI + f"SELECT {KPI_COLS} FROM well_kpi"
 

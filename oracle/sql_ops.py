@@ -241,7 +241,7 @@ dk AS (
 """
 ORACLE["row_number_rank"] = LOGI + DRIVER_KPI + f"""
 SELECT driver_id, {R('total_cost_usd', 'total_cost_usd')},
-       CAST(ROW_NUMBER() OVER (ORDER BY total_cost_usd DESC, driver_id) AS INTEGER) AS cost_rank
+       CAST(ROW_NUMBER() OVER (ORDER BY total_cost_usd DESC, driver_id) AS BIGINT) AS cost_rank
 FROM dk"""
 
 ORACLE["rank_pct"] = LOGI + DRIVER_KPI + f"""

@@ -167,11 +167,11 @@ def test_global_ranks_many_buckets_match_pandas(spark):
     df = spark.createDataFrame([(int(i), None if np.isnan(x) else float(x)) for i, x in
                                 zip(pdf.i, pdf.x)], "i long, x double")
     exp_pct = pdf.x.rank(pct=True)
-    got = {r["i"]: r["p"] for r in global_rank_pct(df, F.col("x"), "p", rows_per_bucket=37).collect()}
+    got = {r["i"]: r["p"] for r in global_rank_pct(df, F.col("x"), "p", partitions=50).collect()}
     for i, e in zip(pdf.i, exp_pct):
         assert (got[i] is None) if pd.isna(e) else abs(got[i] - e) < 1e-12
     exp_rn = pdf.sort_values(["x", "i"], ascending=[False, True], na_position="last").i.tolist()
-    rn = global_row_number(df, "x", True, ["i"], "rn", rows_per_bucket=100)
+    rn = global_row_number(df, "x", True, ["i"], "rn", partitions=20)
     got_rn = [r["i"] for r in rn.orderBy("rn").collect()]
     assert got_rn == exp_rn
     assert [r["rn"] for r in rn.orderBy("rn").collect()] == list(range(1, 2001))
@@ -202,13 +202,31 @@ def test_global_row_number_heavy_tie_split(spark):
     pdf = pd.DataFrame({"i": rng.permutation(n), "x": x})
     df = spark.createDataFrame([(int(i), float(v)) for i, v in zip(pdf.i, pdf.x)], "i long, x double")
     for desc in (False, True):
-        rn = global_row_number(df, "x", desc, ["i"], "rn", rows_per_bucket=200)
+        rn = global_row_number(df, "x", desc, ["i"], "rn", partitions=15)
         got = [r["i"] for r in rn.orderBy("rn").collect()]
         exp = pdf.sort_values(["x", "i"], ascending=[not desc, True]).i.tolist()
         assert got == exp
         assert sorted(r["rn"] for r in rn.collect()) == list(range(1, n + 1))
 
 
+def test_global_row_number_string_tiebreak_and_nulls(spark):
+    """A string tie-break, 30 % NULLs, a heavy tie, many partitions and int results
+    past what one partition holds: still 1..n in order."""
+    from derrick.operators.ranking import global_row_number
+    rng = np.random.default_rng(4)
+    n = 4000
+    u = rng.uniform(size=n)
+    data = [(f"k{i:05d}", None if a < 0.3 else 7.0 if a < 0.6 else float(rng.integers(0, 500)))
+            for i, a in zip(rng.permutation(n), u)]
+    df = spark.createDataFrame(data, "k string, x double")
+    got = global_row_number(df, "x", True, ["k"], "rn", partitions=500)
+    assert dict(got.dtypes)["rn"] == "bigint" and got.columns == ["k", "x", "rn"]
+    exp = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0.0), r[0]))
+    assert [(r["k"], r["rn"]) for r in got.orderBy("rn").collect()] == [
+        (k, i + 1) for i, (k, _) in enumerate(exp)]
+    assert global_row_number(df.limit(0), "x", True, ["k"], "rn").count() == 0
+
+
 def test_temporal_joins_with_a_hot_pump(spark):
     """One pump holds 40 % of readings and failures: both joins still equal
     the brute-force theta join."""
