@@ -5,6 +5,8 @@ such a place, so the pieces' ids joined are the text's ids. Texts with white
 space other than space and newline go to the tokenizer whole. Pieces seen before
 come from a cache that stops growing at ``CACHE`` entries; new ones are normalised and
 cut into words as the tokenizer does, and the library's model encodes each word.
+Where a text has single spaces and newlines only, its pieces are those of a plain
+split at spaces (kept without the space in front, in a cache of their own).
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import re
 
 import regex
 
-CACHE = 250_000
+CACHE = 500_000
 
 _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD = re.compile(r"[^\S \n]")
@@ -64,6 +66,7 @@ class Encoder:
         self.letters = dict(enumerate(_byte_letters()))
         self.raw = [i.to_bytes(4, "little") for i in range(max(self.size, 1))]
         self.pieces: dict[str, bytes] = {}
+        self.after: dict[str, bytes] = {}         # pieces less the space before them
         self.known: dict[str, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
@@ -112,21 +115,34 @@ class Encoder:
             out.append(ids)
         return b"".join(out)
 
+    def _cached(self, have: dict[str, bytes], cut: list[str], space: str = "") -> list[bytes]:
+        """Ids of pieces through the cache ``have``; ``space`` was left off pieces
+        that don't begin with a newline."""
+        got = list(map(have.get, cut))
+        i = -1
+        for _ in range(got.count(None)):
+            i = got.index(None, i + 1)
+            p = cut[i]
+            ids = have.get(p)                     # met twice in this text
+            if ids is None:
+                ids = self._piece(p if p[:1] == "\n" else space + p)
+                if len(have) < CACHE:
+                    have[p] = ids
+            got[i] = ids
+        return got
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        have, out = self.pieces, []
+        out = []
         for t in texts:
             if t and _ODD.search(t):
                 out.append(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids))
                 continue
-            cut = _PIECE.findall(t or "")
-            got = list(map(have.get, cut))
-            if None in got:
-                for i, ids in enumerate(got):
-                    if ids is None:
-                        p = cut[i]
-                        got[i] = ids = self._piece(p)
-                        if len(have) < CACHE:
-                            have[p] = ids
+            cut = (t or "").replace("\n", " \n").split(" ")
+            if "" in cut or "\n" in cut:          # runs of white space, or some at an end
+                got = self._cached(self.pieces, _PIECE.findall(t or ""))
+            else:
+                got = self._cached(self.pieces, cut[:1])
+                got += self._cached(self.after, cut[1:], " ")
             out.append(b"".join(got))
         return out
 
