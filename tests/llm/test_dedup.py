@@ -188,6 +188,18 @@ def test_lines_random(spark, monkeypatch, shingle, tile):
     assert removed(make(spark, texts), shingle) == brute_lines(list(enumerate(texts)), shingle)
 
 
+def test_lines_that_repeat_a_phrase(spark):
+    """Different lines with one and the same small token set."""
+    phrases = ["der", "ja nein", "eins zwei drei", "one two three four"]
+    texts = [" ".join((p.split() * 50)[:n]) for n in (3, 5, 8, 9, 24, 41) for p in phrases]
+    texts += ["der " * 7 + "ende", "der " * 12 + "ende", "nur der der der der der", "a b c d e f", "A b  c d e f"]
+    docs = list(enumerate(texts))
+    expected = brute_lines(docs)
+    assert (20, 0) in expected and (25, 0) in expected
+    assert removed(make(spark, texts)) == expected
+    assert removed(make(spark, texts), 1) == brute_lines(docs, 1)
+
+
 def test_lines_edges(spark):
     df = make(spark, EDGE, EDGE_IDS).withColumn("_th", F.lit(1)).withColumn("_n_removed", F.lit("x"))
     out = line_dedup.dedup(df).collect()
