@@ -5,10 +5,9 @@ hash): a hierarchy of balanced two-way splits cuts it into lists of equal sample
 size, whose means are the centroids; a neighbour graph over the centroids is
 searched best-first in memory. Every row is indexed: a vector goes to its nearest
 list and, near a boundary, to further lists within ``REPLICA_RATIO`` of the
-nearest centroid's distance (at most ``REPLICAS``, skipping a list that is closer
-to one already chosen than to the vector). A query visits the lists whose centroid
-lies within ``PROBE_RATIO`` of its nearest one (at least ``LEAST_PROBES``, at most
-``PROBES``). Distances inside the lists are exact, in double precision.
+nearest centroid's distance (at most ``REPLICAS``). A query visits the lists whose
+centroid lies within ``PROBE_RATIO`` of its nearest one (at least ``LEAST_PROBES``,
+at most ``PROBE_SHARE`` of all lists or ``PROBES``, whichever is more). Distances inside the lists are exact, in double precision.
 
 Equal vectors beyond the ``k`` + 1 smallest ids can't be in any answer (ties go to
 smaller ids), so a per-key top-k keeps a hot vector out of the lists. A list of
@@ -36,7 +35,7 @@ SAMPLE = 16_384
 #: rows aimed at per list; the sample's share per list is never below LEAST_SAMPLE
 LIST, LEAST_SAMPLE = 100, 8
 REPLICAS, REPLICA_RATIO = 6, 1.15
-PROBES, LEAST_PROBES, PROBE_RATIO = 96, 24, 1.6
+PROBES, PROBE_SHARE, LEAST_PROBES, PROBE_RATIO = 96, 0.25, 24, 1.6
 NEIGHBOURS, BEAM = 24, 128
 PART = 20_000
 
@@ -138,8 +137,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     leaf = max(LEAST_SAMPLE, int(LIST * len(x) / max(n, 1)))
     c = balanced_centroids(x, leaf)
     graph = centroid_graph(c)
-    gap = distances(c, c) if len(c) <= 4096 else None
-    bc = rows.sparkSession.sparkContext.broadcast((c, graph, gap))
+    probes_at_most = max(PROBES, math.ceil(PROBE_SHARE * len(c)))
+    bc = rows.sparkSession.sparkContext.broadcast((c, graph))
 
     def rank_of(name):
         return F.row_number().over(Window.partitionBy(*name[0]).orderBy(*name[1]))
@@ -147,37 +146,30 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     kept = v.withColumn("_n", rank_of((["v"], ["vec_id"]))).where(F.col("_n") <= k + 1).drop("_n")
 
     def post(batches):
-        cent, _, gaps = bc.value
+        cent, _ = bc.value
         for b in batches:
             m = _matrix(b.column("v"), dim)
-            row, lst = [], []
+            row, lst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for a in range(0, len(m), 1024):
                 d = distances(m[a:a + 1024], cent)
-                near = np.argsort(d, axis=1, kind="stable")[:, :3 * REPLICAS]
+                near = np.argsort(d, axis=1, kind="stable")[:, :REPLICAS]
                 dn = np.take_along_axis(d, near, axis=1)
-                for i, (who, far) in enumerate(zip(near, dn)):
-                    chosen = [int(who[0])]
-                    for w, f in zip(who[1:].tolist(), far[1:].tolist()):
-                        if f > REPLICA_RATIO * far[0] or len(chosen) == REPLICAS:
-                            break
-                        between = (gaps[w, chosen] if gaps is not None
-                                   else np.sqrt(((cent[chosen] - cent[w]) ** 2).sum(axis=1)))
-                        if (between > 0.6 * f).all():
-                            chosen.append(w)
-                    row += [a + i] * len(chosen)
-                    lst += chosen
+                i, j = np.nonzero(dn <= REPLICA_RATIO * dn[:, :1])
+                row.append(a + i)
+                lst.append(near[i, j])
+            row, lst = np.concatenate(row), np.concatenate(lst)
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lst, pa.int64()), b.column("vec_id").take(take), b.column("v").take(take)],
                 names=["list", "vec_id", "v"])
 
     def probe(batches):
-        cent, g, _ = bc.value
+        cent, g = bc.value
         for b in batches:
             m = _matrix(b.column("v"), dim)
             row, lst = [], []
             for i in range(len(m)):
-                who, far = graph_search(m[i], cent, g, PROBES)
+                who, far = graph_search(m[i], cent, g, probes_at_most)
                 few = max(LEAST_PROBES, int((far <= PROBE_RATIO * far[0]).sum())) if len(far) else 0
                 row += [i] * len(who[:few])
                 lst += who[:few].tolist()

@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from derrick.llm import ann, decontaminate, language, quality, secret_scan
@@ -79,6 +80,23 @@ def test_nearest_neighbours(spark):
     assert same / total >= 0.9
 
 
+def test_nearest_neighbours_recall_with_many_lists(spark):
+    """Spread-out vectors in more lists than a query visits."""
+    rnd = np.random.default_rng(20)
+    x = rnd.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    v = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x)}),
+                              "vec_id long, embedding array<double>")
+    asked = np.arange(0, len(x), 200)
+    got = {}
+    for r in ann.search(v, v.where("vec_id % 200 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    d = ann.distances(x[asked], x)
+    d[np.arange(len(asked)), asked] = np.inf
+    best = np.argsort(d, axis=1)[:, :10]
+    assert np.mean([i in got[q] for q, own in zip(asked.tolist(), best.tolist()) for i in own]) >= 0.95
+
+
 def test_nearest_neighbours_edges(spark):
     rnd = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, 0.5]) for i in range(60)]                      # one vector, many ids
