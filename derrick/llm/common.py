@@ -83,6 +83,16 @@ def smallest(df: DataFrame, order: str, n: int) -> DataFrame:
     return df.where(F.col(order) <= cut) if cut is not None else df.limit(0)
 
 
+def broadcast_if_small(df: DataFrame, limit: int = 64 << 20) -> DataFrame:
+    """``broadcast(df)`` if its rows hold at most ``limit`` bytes, else ``df``: 16 bytes
+    a cell and the lengths of texts and binaries. ``df`` is read once for the check."""
+    wide = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    held = F.count(F.lit(1)) * (16 * len(df.columns))
+    for c in wide:
+        held = held + F.coalesce(F.sum(F.octet_length(c)), F.lit(0))
+    return F.broadcast(df) if df.agg(held).first()[0] <= limit else df
+
+
 def unpack(z: bytes | None) -> bytes:
     """The UTF-8 bytes of a packed text (null: empty)."""
     return b"" if z is None else zstandard.ZstdDecompressor().decompressobj().decompress(z)
