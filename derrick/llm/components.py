@@ -12,32 +12,34 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) for links (u, v) of longs; component is the smallest node
     reachable. Nodes without a link are not in the result.
 
-    Alternating large-star and small-star rounds: each round is two map-side
-    combined minima and two joins, so a hub's links are never gathered, and
-    every round is written to the shared folder. Null ends and loops are ignored.
+    Alternating large-star and small-star rounds: minima are combined on the map side
+    and joined back, so a hub's links are never gathered, and every round is written to
+    the shared folder. It ends when all links are stars: no node has two links upwards,
+    none has links both ways. Null ends and loops are ignored.
     """
     edges = shared_table(links.where("u <> v").select(F.greatest("u", "v").alias("u"),
                                                       F.least("u", "v").alias("v")).distinct())
-    before = None
-    while True:
+    while not _stars(edges):
         # large star: larger neighbours move to the smallest neighbour (or the node)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = (both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .repartition("u"))
         # small star: smaller neighbours and the node move to the smallest neighbour
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         edges = shared_table(
             large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        now = edges.agg(F.count(F.lit(1)).alias("n"),
-                        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == before:
-            break
-        before = now
-    nodes = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return nodes.select(F.col("u").alias("node"), F.col("m").alias("component")).unionByName(
-        nodes.select(F.col("m").alias("node"), F.col("m").alias("component")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+    held = ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    # a node with two links up, or with one up and one down
+    return not held.where("up > 1 or (up = 1 and least = 0)").limit(1).count()
 
 
 def local_roots(n: int, left: list[int], right: list[int]) -> list[int]:

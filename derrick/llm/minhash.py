@@ -50,7 +50,7 @@ PERCENT = 80
 TREES, LEVELS, DEPTH = 24, 4, 3
 AGREE = 54
 REGION, WINDOW = 1_024, 256
-BLOCK = 1 << 20
+BLOCK = 1 << 21
 
 _SIZE = TREES * LEVELS
 _rng = np.random.default_rng(977)
