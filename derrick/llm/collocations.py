@@ -8,7 +8,9 @@ texts. The last words of a piece, behind which no third (or second) word comes,
 its piece-end corrections: edges to an empty word.
 
 1. Tasks count the edges of some million words at a time by numbers of their own and
-   send (lang, node, next word, count); one shuffle by node adds them up.
+   deal them by node to buckets. What goes to a bucket is one packed row: the words it
+   uses and arrays of numbers and counts. One shuffle by bucket adds them up; there are
+   as many buckets as the bytes of all texts ask for, so a bucket fits a task.
 2. Shorter counts come from the flow: f(w1 w2) is the weight that leaves the node plus
    its piece ends, f(w) the flow of all nodes that begin with w plus the pieces that
    end with it, n the flow of all words.
@@ -34,17 +36,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from derrick.llm import common
+from derrick.llm.rolling import mix, runs
 
 LEAST = 10
 SHARE = 50
 PER_LANG = 2_000
 #: words a task counts at a time
 WORDS = 1 << 22
+#: bytes of text per bucket
+BUCKET = 12 << 20
 _BITS = 21
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 #: characters of text split into words at a time (at most half as many words)
 _CUT = 1 << 21
 
@@ -78,10 +86,10 @@ def _segments(text: str):
 
 
 class EdgeCounts:
-    """Counts edges of a stream of texts and gives them out block by block."""
+    """Counts edges of a stream of texts and gives them out block by block, packed."""
 
-    def __init__(self, block: int = WORDS):
-        self.block = block
+    def __init__(self, buckets: int, block: int = WORDS):
+        self.buckets, self.block = buckets, block
         self.numbers = _Numbers({_BREAK: 0})
         self.held: dict[str, list[np.ndarray]] = {}
         self.size = 0
@@ -99,54 +107,140 @@ class EdgeCounts:
         held.append(np.zeros(2, np.int64))
 
     def flush(self, going_on: str | None = None):
-        """Batches of everything held. A text that goes on keeps its last two words."""
-        vocabulary = pa.array([b"", *list(self.numbers)[1:]], pa.binary()).cast(pa.string())
-        tails = {}
+        """(lang, bucket, packed edges) of everything held. A text that goes on keeps its
+        last two words."""
+        names = list(self.numbers)
+        names[0] = b""
+        hashes = np.fromiter(map(_hash, names), np.uint64, len(names))
+        remap = np.zeros(len(names), np.uint32)
+        tails, mask = {}, (1 << _BITS) - 1
         for lang, held in self.held.items():
             ids = np.concatenate([*held, np.zeros(0 if lang == going_on else 2, np.int64)])
             if lang == going_on:
-                tails[lang] = ids[-2:]
+                tails[lang] = [names[i] or _BREAK for i in ids[-2:].tolist()]
             a, b, c = ids[:-2], ids[1:-1], ids[2:]
             c = np.where(b > 0, c, 0)
             key = (a << (2 * _BITS) | b << _BITS | c)[a > 0]
             edges, n = np.unique(key, return_counts=True)
-            mask = (1 << _BITS) - 1
-            for s in range(0, len(edges), 1 << 17):
-                e = edges[s:s + (1 << 17)]
-                w1, w2, w3 = (vocabulary.take(pa.array((e >> k) & mask)) for k in (2 * _BITS, _BITS, 0))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(e), pa.string()), w1, w2, w3, pa.array(n[s:s + (1 << 17)], pa.int64())],
-                    names=["lang", "w1", "w2", "w3", "c"])
-        old = list(self.numbers)
+            w = [(edges >> k) & mask for k in (2 * _BITS, _BITS, 0)]
+            node = mix((hashes[w[0]] ^ np.uint64(_hash(lang.encode()))) * _ODD + hashes[w[1]])
+            bucket = (node % np.uint64(self.buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cut = runs(bucket[order])
+            for s, e in zip(cut[:-1], cut[1:]):
+                own = order[s:e]
+                used = np.unique(np.concatenate([x[own] for x in w]))
+                remap[used] = np.arange(len(used), dtype=np.uint32)
+                yield lang, int(bucket[own[0]]), pack([names[i] for i in used.tolist()],
+                                                      [remap[x[own]] for x in w], n[own])
         self.numbers, self.held, self.size = _Numbers({_BREAK: 0}), {}, 0
-        for lang, ids in tails.items():
-            self.held[lang] = [np.array([self.numbers[old[i]] for i in ids.tolist()], np.int64)]
+        for lang, tail in tails.items():
+            self.held[lang] = [np.array([self.numbers[x] for x in tail], np.int64)]
+
+
+def _hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def pack(names: list[bytes], w: list[np.ndarray], n: np.ndarray) -> bytes:
+    """Words and edges as one zstandard frame; numbers byte plane by byte plane. No word
+    holds a line feed."""
+    text = b"\n".join(names)
+    planes = [x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in (*w, n)]
+    head = np.array([len(text), len(n)], "<i8").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + text + b"".join(planes))
+
 
+def unpack(data: bytes) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
+    raw = common.unpack(data)
+    size, rows = np.frombuffer(raw, "<i8", 2).tolist()
+    x = np.frombuffer(raw, np.uint8, offset=16 + size).reshape(4, 4, rows).transpose(0, 2, 1)
+    cols = [np.ascontiguousarray(c).view("<u4").ravel().astype(np.int64) for c in x]
+    return raw[16:16 + size].split(b"\n"), cols[:3], cols[3]
 
-def edge_counts(docs: DataFrame, block: int = WORDS) -> DataFrame:
-    """(lang, w1, w2, w3, c) as counted by the tasks; w3, or w2 and w3, are empty behind
-    the last words of a piece."""
+
+def edge_counts(docs: DataFrame, buckets: int, block: int = WORDS) -> DataFrame:
+    """(lang, bucket, packed): edges w1 w2 w3 as counted by the tasks; w3, or w2 and w3,
+    are empty behind the last words of a piece."""
     common.ship_package(docs.sparkSession)
 
     def run(batches):
-        counts = EdgeCounts(block)
+        counts = EdgeCounts(buckets, block)
+
+        def rows(found):
+            for lang, bucket, data in found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()), pa.array([bucket], pa.int64()), pa.array([data], pa.binary())],
+                    names=["lang", "bucket", "packed"])
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 if text:
-                    yield from counts.add(lang, text)
-        yield from counts.flush()
+                    yield from rows(counts.add(lang, text))
+        yield from rows(counts.flush())
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").mapInArrow(
-        run, "lang string, w1 string, w2 string, w3 string, c long")
-
-
-def nodes(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, w1, w2, f, edges) with the flow f of every node and its edges (w3, c) that
-    weigh ``least`` or more; w2 is empty for the last word of a piece."""
-    # one shuffle: rows that share a node share a partition, for edges and flow alike
-    edges = (edge_counts(docs).repartition("lang", "w1", "w2")
-             .groupBy("lang", "w1", "w2", "w3").agg(F.sum("c").alias("c")))
-    heavy = F.when((F.col("c") >= least) & (F.col("w3") != ""), F.struct("w3", "c"))
-    return edges.groupBy("lang", "w1", "w2").agg(F.sum("c").alias("f"), F.collect_list(heavy).alias("edges"))
+        run, "lang string, bucket long, packed binary")
+
+
+def merged(packed: list[bytes]) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
+    """(words, edges as three arrays of numbers, counts) of several packed rows, sorted
+    by node; every edge once."""
+    numbers = _Numbers()
+    cols, counts = [[], [], []], []
+    for data in packed:
+        names, w, n = unpack(data)
+        to = np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
+        for held, x in zip(cols, w):
+            held.append(to[x])
+        counts.append(n)
+    w1, w2, w3 = (np.concatenate(c) for c in cols)
+    nodes_, of = np.unique(w1 << 32 | w2, return_inverse=True)
+    edges, at = np.unique(of.ravel() << 32 | w3, return_inverse=True)
+    n = np.zeros(len(edges), np.int64)
+    np.add.at(n, at.ravel(), np.concatenate(counts))
+    node = nodes_[edges >> 32]
+    return list(numbers), [node >> 32, node & 0xFFFFFFFF, edges & 0xFFFFFFFF], n
+
+
+def nodes(docs: DataFrame, least: int = LEAST, block: int = WORDS) -> DataFrame:
+    """(lang, w1, w2, f, edges): nodes of flow ``least`` or more with their edges (w3, c)
+    of ``least`` or more; and, with w2 null, a bucket's flow of all nodes that begin with
+    w1."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = common.groups_for(size, BUCKET)
+
+    def add_up(table: pa.Table) -> pa.Table:
+        by_lang: dict[str, list[bytes]] = {}
+        for lang, data in zip(table.column("lang").to_pylist(), table.column("packed").to_pylist()):
+            by_lang.setdefault(lang, []).append(data)
+        parts = []
+        for lang, packed in by_lang.items():
+            names, (w1, w2, w3), n = merged(packed)
+            words_ = pa.array(names, pa.binary()).cast(pa.string())
+            end = names.index(b"") if b"" in names else -1
+            first = runs(w1 << 32 | w2)
+            f = np.add.reduceat(n, first[:-1])
+            a, b = w1[first[:-1]], w2[first[:-1]]
+            # flow of the words
+            start = runs(a)
+            parts.append((lang, words_.take(pa.array(a[start[:-1]])), None, np.add.reduceat(f, start[:-1]), None))
+            # frequent nodes and their frequent edges
+            keep = (f >= least) & (b != end)
+            heavy = (n >= least) & (w3 != end) & np.repeat(keep, np.diff(first))
+            per_node = np.add.reduceat(heavy.astype(np.int64), first[:-1])[keep]
+            edges = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(per_node)]).astype(np.int32)),
+                pa.StructArray.from_arrays([words_.take(pa.array(w3[heavy])), pa.array(n[heavy])], names=["w3", "c"]))
+            parts.append((lang, words_.take(pa.array(a[keep])), words_.take(pa.array(b[keep])), f[keep], edges))
+        kind = pa.list_(pa.struct([("w3", pa.string()), ("c", pa.int64())]))
+        schema = pa.schema([("lang", pa.string()), ("w1", pa.string()), ("w2", pa.string()), ("f", pa.int64()),
+                            ("edges", kind)])
+        return pa.concat_tables([pa.table([
+            pa.array([lang] * len(f), pa.string()), w1, pa.nulls(len(f), pa.string()) if w2 is None else w2,
+            pa.array(f), pa.nulls(len(f), kind) if edges is None else edges], schema=schema)
+            for lang, w1, w2, f, edges in parts])
+
+    return edge_counts(docs, buckets, block).groupBy("bucket").applyInArrow(
+        add_up, "lang string, w1 string, w2 string, f long, edges array<struct<w3:string,c:long>>")
 
 
 def unary_paths(edges: DataFrame, flow: DataFrame) -> DataFrame:
@@ -190,10 +284,9 @@ def _score(a: Column, l_: Column, r: Column) -> Column:
 def mine(docs: DataFrame, least: int = LEAST, share: int = SHARE, per_lang: int = PER_LANG) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each lang's ``per_lang`` best phrases."""
     graph = common.shared_table(nodes(docs, least))
-    flow = graph.where((F.col("w2") != "") & (F.col("f") >= least)).select("lang", "w1", "w2", "f")
-    every = common.shared_table(graph.groupBy("lang", F.col("w1").alias("w")).agg(F.sum("f").alias("f")))
+    flow = graph.where("w2 is not null").select("lang", "w1", "w2", "f")
+    every = common.shared_table(graph.where("w2 is null").groupBy("lang", F.col("w1").alias("w")).agg(F.sum("f").alias("f")))
     total = every.groupBy("lang").agg(F.sum("f").alias("n"))
-    flow = common.shared_table(flow)
     edges = graph.select("lang", "w1", "w2", F.explode("edges").alias("e")).select(
         "lang", "w1", "w2", "e.w3", "e.c")
     paths = common.shared_table(unary_paths(edges, flow))

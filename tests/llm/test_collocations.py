@@ -67,11 +67,35 @@ def test_blocks_of_a_task_do_not_matter(spark, sample, block):
     df = sample[1].limit(20)
 
     def total(b):
-        return sorted(tuple(r) for r in collocations.edge_counts(df, b).groupBy("lang", "w1", "w2", "w3").agg(
-            {"c": "sum"}).collect())
+        rows = collocations.edge_counts(df, 3, b).collect()
+        assert {r.bucket for r in rows} <= {0, 1, 2}
+        out = Counter()
+        for r in rows:
+            names, w, n = collocations.merged([r.packed])
+            for i in range(len(n)):
+                out[r.lang, r.bucket, *(names[x[i]] for x in w)] += int(n[i])
+        return out
     assert total(block) == total(1 << 22)
 
 
+def test_flow_from_several_tasks(spark, sample):
+    """Edges of many blocks and buckets add up to the same nodes."""
+    df = sample[1].limit(40)
+
+    def total(block, per):
+        collocations.BUCKET, old = per, collocations.BUCKET
+        try:
+            rows = collocations.nodes(df.repartition(5), 2, block).collect()
+        finally:
+            collocations.BUCKET = old
+        words = Counter()
+        for r in rows:
+            if r.w2 is None:
+                words[r.lang, r.w1] += r.f
+        return words, sorted((r.lang, r.w1, r.w2, r.f, sorted(tuple(e) for e in r.edges)) for r in rows if r.w2 is not None)
+    assert total(300, 4000) == total(1 << 22, 1 << 30)
+
+
 def test_long_text_in_segments(monkeypatch):
     monkeypatch.setattr(collocations, "_CUT", 16)
     text = "one two\tthree.four five six\nseven " * 20 + "x" * 100
