@@ -1,10 +1,10 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as a Spark job.
 
-* Sampling, independent of partitioning: with at least four times
-  ``n_trees * max_samples`` rows, one seeded hash keeps about that many rows
-  and a second deals them to trees; with fewer rows, tree ``t`` takes the
-  ``max_samples`` rows of lowest ``xxhash64(id, seed, t)`` among a Bernoulli
-  pre-sample, so trees may share rows. No row is exploded into every tree.
+* Sampling, one rule at every size: tree ``t`` takes the ``max_samples`` rows of
+  lowest hash of (id, seed, t), all rows if there are no more. Tasks keep the lowest
+  rows of every tree while they read (bottom-k, mergeable) and send only those; a
+  second level merges groups of tasks, so no task sees more than a share of them. The
+  sample of a tree does not depend on partitioning, nor on rows that are not in it.
 * Growth: ``groupBy(tree).applyInPandas``; each task grows one tree from at
   most ``max_samples`` rows (random feature, uniform split between the node's
   min and max, depth limit ceil(log2(max_samples))).
@@ -22,11 +22,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from derrick.models.forest import mix
 from derrick.operators.stats import quantiles
+from derrick.session import cut_lineage, ship_package
 
+#: tasks whose samples of a tree are merged before the last merge
+MERGES = 64
 EULER_GAMMA = 0.5772156649015329
 TREE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "size long")
@@ -42,6 +47,13 @@ def average_path_length(n) -> np.ndarray:
     return out
 
 
+def tree_hashes(key: np.ndarray, n_trees: int) -> np.ndarray:
+    """63-bit hash of every row (columns) for every tree (rows)."""
+    tree = np.arange(1, n_trees + 1, dtype=np.uint64)[:, None]
+    with np.errstate(over="ignore"):
+        return (mix(key[None] + tree * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)).astype(np.int64)
+
+
 def _grow(tree: int, x: np.ndarray, seed: int, max_depth: int) -> pd.DataFrame:
     rng = np.random.default_rng([seed, tree])
     rows = []  # node, feature, threshold, left, right, size
@@ -131,46 +143,59 @@ def fit(df: DataFrame, features: Sequence[str], id_col: str, n_trees: int = 100,
         max_samples: int = 256, seed: int = 42) -> IsolationForestModel:
     """Grow the forest on rows of ``df`` (rows with NULL features must be
     removed by the caller)."""
-    n = df.count()
-    psi = int(min(max_samples, n))
-    if psi == 0:
-        return IsolationForestModel(list(features), pd.DataFrame(columns=TREE_SCHEMA), 1)
-    if n >= 4 * n_trees * psi:
-        # many rows: one hash keeps about 4 * trees * psi rows, a second hash
-        # deals them to trees (samples of different trees do not overlap,
-        # which at this size is what independent draws give anyway)
-        keep = int(4.0 * n_trees * psi / n * 2 ** 63)
-        h0 = F.abs(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-1)))
-        pairs = (df.where(h0 < F.lit(keep))
-                 .select(*features,
-                         F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-2)),
-                                F.lit(n_trees)).cast("int").alias("tree"),
-                         F.abs(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-3))).alias("__h")))
-    else:
-        # few rows: every tree draws its own sample (trees may share rows);
-        # one hash per (row, tree) inside the JVM, only pre-sampled pairs are
-        # exploded
-        frac = min(1.0, 4.0 * psi / n)
-        limit = int(frac * 2 ** 63) if frac < 1.0 else None
-        h = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                        lambda t: F.struct(t.alias("tree"),
-                                           F.abs(F.xxhash64(F.col(id_col), F.lit(seed), t))
-                                           .alias("h")))
-        picked = h if limit is None else F.filter(h, lambda s: s["h"] < F.lit(limit))
-        pairs = (df.select(*features, F.explode(picked).alias("__s"))
-                 .select(*features, F.col("__s.tree").alias("tree"), F.col("__s.h").alias("__h")))
-    w = F.row_number().over(Window.partitionBy("tree").orderBy("__h"))
-    sample = pairs.withColumn("__rn", w).where(F.col("__rn") <= psi).drop("__rn", "__h")
-    depth = int(math.ceil(math.log2(max(psi, 2))))
     feats = list(features)
+    ship_package(df.sparkSession)
+    rows = df.select(F.xxhash64(F.col(id_col), F.lit(seed)).alias("__k"),
+                     *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(feats)])
+    cols = [f"x{j}" for j in range(len(feats))]
+    schema = "tree int, h long, " + ", ".join(f"{c} double" for c in cols)
+
+    def lowest(tree: np.ndarray, h: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Row numbers of the ``max_samples`` lowest rows of every tree."""
+        order = np.lexsort((*x.T, h, tree))
+        t = tree[order]
+        first = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+        place = np.arange(len(t)) - np.repeat(first, np.diff(np.append(first, len(t))))
+        return order[place < max_samples]
+
+    def bottom(batches):
+        held = [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, len(cols)))]
+        limit = np.full(n_trees, np.iinfo(np.int64).max)
+        for b in batches:
+            key = b.column("__k").to_numpy().view(np.uint64)
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in cols])
+            for a in range(0, len(key), 2048):
+                h = tree_hashes(key[a:a + 2048], n_trees)
+                tree, row = np.nonzero(h <= limit[:, None])      # beyond the limit a row can't be in
+                held = [np.concatenate(c) for c in zip(held, (tree.astype(np.int32), h[tree, row], x[a:a + 2048][row]))]
+                if len(held[0]) > 4 * n_trees * max_samples:
+                    held = [c[lowest(*held)] for c in held]
+                    for t in np.flatnonzero(np.bincount(held[0], minlength=n_trees) >= max_samples):
+                        limit[t] = held[1][held[0] == t].max()
+        held = [c[lowest(*held)] for c in held]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held[0]), pa.array(held[1]), *[pa.array(held[2][:, j]) for j in range(len(cols))]],
+            names=["tree", "h", *cols])
+
+    def merge(table: pa.Table) -> pa.Table:
+        x = np.column_stack([table.column(c).to_numpy() for c in cols])
+        return table.select(["tree", "h", *cols]).take(
+            pa.array(lowest(table.column("tree").to_numpy(), table.column("h").to_numpy(), x)))
+
+    # the id's upper bits are the task's number
+    share = F.pmod(F.shiftright(F.monotonically_increasing_id(), 33), F.lit(MERGES))
+    sample = (rows.mapInArrow(bottom, schema).withColumn("share", share)
+              .groupBy("tree", "share").applyInArrow(merge, schema))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[feats].to_numpy(dtype=float)
-        return _grow(int(pdf["tree"].iloc[0]), x, seed, depth)
+        own = pdf.sort_values(["h", *cols], kind="stable").iloc[:max_samples]
+        depth = int(math.ceil(math.log2(max(len(own), 2))))
+        return _grow(int(own["tree"].iloc[0]), own[cols].to_numpy(dtype=float), seed, depth)
 
-    trees = sample.groupBy("tree").applyInPandas(grow, TREE_SCHEMA)
-    # bounded: n_trees * (2 * psi - 1) node rows
-    return IsolationForestModel(feats, trees.toPandas(), psi)
+    # bounded: n_trees * (2 * max_samples - 1) node rows
+    trees = sample.groupBy("tree").applyInPandas(grow, TREE_SCHEMA).toPandas()
+    psi = int(trees.loc[trees["node"] == 0, "size"].max()) if len(trees) else 1
+    return IsolationForestModel(feats, trees, psi)
 
 
 def score(model: IsolationForestModel, df: DataFrame, out: str = "iforest_score") -> DataFrame:
@@ -182,7 +207,7 @@ def fit_predict(df: DataFrame, features: Sequence[str], id_col: str, contaminati
                 score_col: str = "iforest_score", flag_col: str = "is_anomaly_iforest") -> DataFrame:
     """Scores every row and flags the top ``contamination`` share."""
     model = fit(df, features, id_col, n_trees, max_samples, seed)
-    scored = score(model, df, score_col).persist()
+    scored = cut_lineage(score(model, df, score_col))
     (thr,) = quantiles(scored, score_col, [1.0 - contamination])
     model.threshold = thr
     flag = F.coalesce(F.col(score_col) > F.lit(thr), F.lit(False)) if thr is not None else F.lit(False)

@@ -1,7 +1,8 @@
-"""Train/test splits, forests, least squares and their metrics on Spark ML.
+"""Train/test splits, forests, least squares and their metrics.
 
 Splits are decided per row by a seeded hash of the row's key, so they do not
-depend on partitioning or on the order rows arrive in.
+depend on partitioning or on the order rows arrive in. The hash is 60 bits of an
+MD5 sum, which any SQL engine can recompute.
 """
 
 from __future__ import annotations
@@ -9,102 +10,75 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from derrick.models import forest
 from derrick.operators.aggregates import regression_metrics
-from derrick.session import default_parallelism
 
-HASH_BUCKETS = 1_000_000
-MAX_CLASSES = 10_000
+#: 15 hexadecimal digits
+HASH_RANGE = 1 << 60
+#: cells a class's hashes are counted in to find its n-th smallest
+CELL_BITS = 16
 
 
-def _unit_hash(keys: Sequence[str | Column], seed: int) -> Column:
+def key_hash(keys: Sequence[str | Column], seed: int) -> Column:
+    """0 <= hash < HASH_RANGE of the keys as text, ``|`` between them and NULL as ``~``."""
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(HASH_BUCKETS)) / F.lit(float(HASH_BUCKETS))
+    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def split_train_test(df: DataFrame, keys: Sequence[str], test_share: float = 0.25,
                      seed: int = 42, out: str = "is_test") -> DataFrame:
     """Flag about ``test_share`` of rows as test by a seeded key hash."""
-    return df.withColumn(out, _unit_hash(keys, seed) < F.lit(test_share))
+    return df.withColumn(out, key_hash(keys, seed) < F.lit(int(test_share * HASH_RANGE)))
+
+
+def _same(a: Column, b: Column) -> Column:
+    return a.eqNullSafe(b)
 
 
 def split_stratified(df: DataFrame, keys: Sequence[str], label: str, test_share: float = 0.25,
                      seed: int = 42, out: str = "is_test") -> DataFrame:
-    """Test share kept within every class: per class, rows whose key hash is
-    below that class's ``test_share`` hash quantile. The per-class thresholds
-    come from one ``percentile_approx`` aggregate (one row per class)."""
-    h = df.withColumn("__u", _unit_hash(keys, seed))
-    # one threshold per class, fetched once: recomputing the plan after a
-    # lost executor cannot move the split
-    cuts = {r[0]: r[1] for r in h.groupBy(label).agg(
-        F.percentile_approx("__u", test_share, 100_000)).limit(MAX_CLASSES + 1).collect()}
-    if len(cuts) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    cut = None
-    for cls, value in cuts.items():
-        cond = F.col(label).isNull() if cls is None else F.col(label) == F.lit(cls)
-        cut = F.when(cond, F.lit(value)) if cut is None else cut.when(cond, F.lit(value))
-    return h.withColumn(out, F.col("__u") <= (cut if cut is not None else F.lit(-1.0))).drop("__u")
+    """Test share kept exactly within every class (NULL is one): the rows of the
+    floor(share n + 1/2) smallest key hashes of the class. Rows of one key share a side.
+
+    The n-th smallest hash of a class comes from mergeable counts: rows are counted
+    in 2^16 cells of the hash's upper bits (map-side combined, bounded per class), the
+    cell that holds the n-th is known from the running counts, and only that cell's
+    rows are ordered. Thresholds are joined as a table, whatever the number of classes.
+    """
+    h = df.select(F.col(label).alias("c"), key_hash(keys, seed).alias("h"))
+    cell = F.shiftright("h", 60 - CELL_BITS)
+    counts = h.groupBy("c", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("c").agg(F.floor(F.sum("n") * test_share + 0.5).cast("long").alias("want"))
+    running = Window.partitionBy("c").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("upto", F.sum("n").over(running))
+    s = sizes.select(F.col("c").alias("sc"), "want")
+    found = (counts.join(s, _same(F.col("c"), F.col("sc")))
+             .where((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("n") < F.col("want")))
+             .select("sc", F.col("cell").alias("s_cell"), (F.col("want") - F.col("upto") + F.col("n")).alias("nth")))
+    inside = Window.partitionBy("c").orderBy("h")
+    cuts = (h.join(found, _same(F.col("c"), F.col("sc")) & (cell == F.col("s_cell")))
+            .withColumn("rank", F.row_number().over(inside)).where("rank = nth")
+            .select(F.col("c").alias("__class"), F.col("h").alias("__cut")))
+    joined = df.join(cuts, _same(df[label], F.col("__class")), "left")
+    return joined.select(*[df[c] for c in df.columns if c != out],
+                         F.coalesce(key_hash([df[k] for k in keys], seed) <= F.col("__cut"),
+                                    F.lit(False)).alias(out))
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """scikit-learn ``class_weight="balanced"``: n / (k * n_class).
-
-    The class counts (one number per class) are fetched once."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()}
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    n, k = sum(counts.values()), len(counts)
-    w = None
-    for cls, nc in counts.items():
-        cond = F.col(label).isNull() if cls is None else F.col(label) == F.lit(cls)
-        val = F.lit(n / (k * nc))
-        w = F.when(cond, val) if w is None else w.when(cond, val)
-    return df.withColumn(out, w if w is not None else F.lit(None).cast("double"))
-
-
-def training_partitions(df: DataFrame, n_rows: int | None = None,
-                        rows_per_partition: int = 1_000_000) -> DataFrame:
-    """Spread training rows over max(cores, rows / rows_per_partition)
-    partitions. Forest training builds per-partition histograms for every
-    open node of every tree, so extra small partitions only add merge work;
-    fewer than one per core leaves cores idle."""
-    n = n_rows if n_rows is not None else df.count()
-    target = max(default_parallelism(df.sparkSession), -(-n // rows_per_partition))
-    return df.repartition(target)
-
-
-def _node_stats_mb(df: DataFrame) -> int:
-    """Per-task memory for one round of forest node statistics.
-
-    Every running task holds its own statistics, so a quarter of the heap of
-    the JVM that runs the tasks is shared by its concurrent tasks (the local
-    cores, or ``spark.executor.cores``); kept between 16 and 1024 MB.
-    """
-    try:
-        return _node_stats_mb_jvm(df.sparkSession)
-    except Exception:  # noqa: BLE001  (no JVM access, e.g. Spark Connect)
-        return 256
-
-
-def _node_stats_mb_jvm(spark) -> int:
-    sc = spark.sparkContext
-    conf = sc.getConf()
-    if sc.master.startswith("local") or not conf.contains("spark.executor.memory"):
-        heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory()
-        slots = sc.defaultParallelism if sc.master.startswith("local") else \
-            int(conf.get("spark.executor.cores", "1"))
-    else:
-        heap = sc._jvm.org.apache.spark.util.Utils.memoryStringToMb(
-            conf.get("spark.executor.memory")) * 1024 * 1024
-        slots = int(conf.get("spark.executor.cores", "1"))
-    return int(max(16, min(1024, heap / 4 / max(slots, 1) / 2 ** 20)))
+    """scikit-learn ``class_weight="balanced"``: n / (k * n_class), joined per class."""
+    counts = df.groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__n"))
+    whole = counts.agg(F.sum("__n").alias("__all"), F.count(F.lit(1)).alias("__k"))      # one row
+    weights = counts.join(F.broadcast(whole)).select(
+        "__class", (F.col("__all") / (F.col("__k") * F.col("__n"))).alias("__w"))
+    joined = df.join(weights, _same(df[label], F.col("__class")), "left")
+    return joined.select(*[df[c] for c in df.columns if c != out], F.col("__w").alias(out))
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -120,38 +94,25 @@ def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> Pipelin
 
 
 def fit_forest_regressor(train: DataFrame, features: Sequence[str], label: str,
-                         num_trees: int = 200, max_depth: int = 10, seed: int = 42) -> PipelineModel:
-    train = training_partitions(train)
-    rf = RandomForestRegressor(featuresCol="__features", labelCol=label, predictionCol="prediction",
-                               numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                               featureSubsetStrategy="all", subsamplingRate=1.0,
-                               cacheNodeIds=True, maxMemoryInMB=_node_stats_mb(train))
-    return Pipeline(stages=[_assembler(features), rf]).fit(train)
+                         num_trees: int = 200, seed: int = 42) -> forest.Forest:
+    """Fully grown trees; every feature competes at every node."""
+    return forest.fit(train, features, label, num_trees=num_trees, seed=seed)
 
 
 def fit_forest_classifier(train: DataFrame, features: Sequence[str], label: str,
-                          weight: str | None = None, num_trees: int = 300, max_depth: int = 10,
-                          seed: int = 42) -> PipelineModel:
-    kw = {"weightCol": weight} if weight else {}
-    train = training_partitions(train)
-    rf = RandomForestClassifier(featuresCol="__features", labelCol=label,
-                                predictionCol="prediction", probabilityCol="probability",
-                                numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                                featureSubsetStrategy="sqrt", cacheNodeIds=True,
-                                maxMemoryInMB=_node_stats_mb(train), **kw)
-    return Pipeline(stages=[_assembler(features), rf]).fit(train)
-
-
-def predict(model: PipelineModel, df: DataFrame, out: str = "prediction",
-            positive_probability: bool = False) -> DataFrame:
-    """Append the prediction (or the probability of class 1) as ``out``."""
-    scored = model.transform(df)
-    if positive_probability:
-        value = vector_to_array("probability")[1]
-    else:
-        value = F.col("prediction")
+                          weight: str | None = None, num_trees: int = 300,
+                          seed: int = 42) -> forest.Forest:
+    """Fully grown trees on a 0/1 label; the square root of the number of features
+    compete at a node. Predictions are the probability of class 1."""
+    return forest.fit(train, features, label, weight, num_trees, max(1, int(len(features) ** 0.5)), seed)
+
+
+def predict(model: PipelineModel | forest.Forest, df: DataFrame, out: str = "prediction") -> DataFrame:
+    """Append the prediction (of a classifier: the probability of class 1) as ``out``."""
+    if isinstance(model, forest.Forest):
+        return model.predict(df, out)
     keep = [c for c in df.columns if c != out]
-    return scored.select(*keep, value.cast("double").alias(out))
+    return model.transform(df).select(*keep, F.col("prediction").cast("double").alias(out))
 
 
 def evaluate(scored: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -16,6 +16,7 @@ from derrick.models import isolation_forest as iforest
 from derrick.models import training as M
 from derrick.operators.joins import join_next_event, join_time_range
 from derrick.operators.windows import latest_per_key, rank_pct
+from derrick.session import cut_lineage
 
 ANOMALY_FEATURES = ["temperature", "vibration", "current", "rpm"]
 RISK_FEATURES = ["temperature", "vibration", "current", "rpm", "pressure"]
@@ -125,7 +126,7 @@ def risk_heuristic(labelled: DataFrame) -> DataFrame:
     return _finish(r)
 
 
-def pump_risk(sensors: DataFrame, failures: DataFrame, num_trees: int = 300, max_depth: int = 10,
+def pump_risk(sensors: DataFrame, failures: DataFrame, num_trees: int = 300,
               seed: int = 42, min_rows: int = 20) -> tuple[DataFrame, DataFrame]:
     """Failure risk of each pump's latest reading and the model metrics.
 
@@ -133,7 +134,7 @@ def pump_risk(sensors: DataFrame, failures: DataFrame, num_trees: int = 300, max
     least ``min_rows`` rows; otherwise the rank heuristic.
     """
     spark = sensors.sparkSession
-    labelled = label_next_failure(sensors, failures).persist()
+    labelled = cut_lineage(label_next_failure(sensors, failures))
     stats = labelled.agg(F.count(F.lit(1)).alias("n"),
                          F.count_distinct("will_fail_24h").alias("k")).first()
     n, k = stats["n"], stats["k"]
@@ -145,13 +146,12 @@ def pump_risk(sensors: DataFrame, failures: DataFrame, num_trees: int = 300, max
     train = weighted.where(~F.col("is_test"))
     test = weighted.where(F.col("is_test"))
     model = M.fit_forest_classifier(train, RISK_FEATURES, "will_fail_24h", "weight",
-                                    num_trees=num_trees, max_depth=max_depth, seed=seed)
-    scored = M.predict(model, test, "p", positive_probability=True)
+                                    num_trees=num_trees, seed=seed)
+    scored = M.predict(model, test, "p")
     e = F.col("will_fail_24h").cast("double") - F.col("p")
     m = scored.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
     metrics = m.select(F.lit("RandomForestClassifier").alias("model"), "mae", "rmse",
                        F.lit(None).cast(T.DoubleType()).alias("r2"),
                        F.lit(n).cast("long").alias("rows_used"))
-    latest = M.predict(model, latest_readings(labelled), "risk_probability",
-                       positive_probability=True)
+    latest = M.predict(model, latest_readings(labelled), "risk_probability")
     return _finish(latest), metrics

@@ -11,6 +11,7 @@ from derrick.models import training as M
 from derrick.operators.aggregates import group_by_dropna, regression_metrics
 from derrick.operators.clean import impute_group_then_global
 from derrick.operators.joins import join_left_composite
+from derrick.session import cut_lineage
 
 TARGET_FEATURES = ["pressure", "temperature", "pump_power_kw", "pump_runtime_hours"]
 DATASET_COLUMNS = ["well_id", "date", "target_oil_ton", *TARGET_FEATURES]
@@ -73,7 +74,7 @@ def target_dataset(targets: DataFrame, telemetry: DataFrame, production: DataFra
     return ds.dropna(subset=["target_oil_ton"]).select(*DATASET_COLUMNS)
 
 
-def train_and_score(dataset: DataFrame, forest_trees: int = 300, max_depth: int = 10,
+def train_and_score(dataset: DataFrame, forest_trees: int = 300,
                     seed: int = 42, test_share: float = 0.25, min_rows: int = 12
                     ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Least squares and a forest on a seeded 75/25 split; every row scored
@@ -82,7 +83,7 @@ def train_and_score(dataset: DataFrame, forest_trees: int = 300, max_depth: int
     Returns (metrics, predictions, error_over_time).
     """
     spark = dataset.sparkSession
-    data = dataset.persist()
+    data = cut_lineage(dataset)
     n = data.count()
     if n < min_rows:
         metrics = spark.createDataFrame(
@@ -95,8 +96,7 @@ def train_and_score(dataset: DataFrame, forest_trees: int = 300, max_depth: int
     fitted = {
         "LinearRegression": M.fit_linear(train, TARGET_FEATURES, "target_oil_ton"),
         "RandomForestRegressor": M.fit_forest_regressor(train, TARGET_FEATURES, "target_oil_ton",
-                                                        num_trees=forest_trees,
-                                                        max_depth=max_depth, seed=seed),
+                                                        num_trees=forest_trees, seed=seed),
     }
     metrics, preds = None, None
     for name, model in fitted.items():
@@ -121,7 +121,7 @@ def error_over_time(preds: DataFrame) -> DataFrame:
         F.sqrt(F.avg("sq_error")).alias("rmse_day"))
 
 
-def production_forest_metrics(features: DataFrame, num_trees: int = 200, max_depth: int = 10,
+def production_forest_metrics(features: DataFrame, num_trees: int = 200,
                               seed: int = 42, test_share: float = 0.25,
                               min_rows: int = 10) -> DataFrame:
     """Forest of oil on seven production features: MAE and R^2 on the test
@@ -129,14 +129,15 @@ def production_forest_metrics(features: DataFrame, num_trees: int = 200, max_dep
     spark = features.sparkSession
     cols = ["avg_pressure", "avg_temperature", "energy_kwh", "downtime_coef", "avg_vibration",
             "avg_rpm", "avg_current"]
-    data = features.select("well_id", "date", "oil_ton", *cols).dropna().persist()
+    data = features.select("well_id", "date", "oil_ton", *cols).dropna()
+    data = cut_lineage(data)
     n = data.count()
     if n < min_rows:
         return spark.createDataFrame([("RandomForestRegressor", None, None, n)],
                                      "model string, mae double, r2 double, rows_used long")
     split = M.split_train_test(data, ["well_id", "date"], test_share, seed)
     model = M.fit_forest_regressor(split.where(~F.col("is_test")), cols, "oil_ton",
-                                   num_trees=num_trees, max_depth=max_depth, seed=seed)
+                                   num_trees=num_trees, seed=seed)
     scored = M.predict(model, split.where(F.col("is_test")), "pred")
     m = regression_metrics(scored, "oil_ton", "pred")
     return m.select(F.lit("RandomForestRegressor").alias("model"), "mae", "r2",

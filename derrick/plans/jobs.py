@@ -28,7 +28,6 @@ class JobSettings:
     target_forest_trees: int = 300
     classifier_trees: int = 300
     iforest_trees: int = 100
-    max_depth: int = 10
     seed: int = 42
     exact: bool = False            # decimal sums: order-independent results
     approx_quantiles: bool = False  # percentile_approx for IQR bounds and medians
@@ -58,12 +57,11 @@ def build_marts(inputs: dict[str, DataFrame], s: JobSettings | None = None) -> d
                                            inputs["production"],
                                            approx_medians=s.approx_quantiles))
     t_metrics, preds, errors = FC.train_and_score(target, forest_trees=s.target_forest_trees,
-                                                  max_depth=s.max_depth, seed=s.seed)
+                                                  seed=s.seed)
     enriched = cut_lineage(L.enrich_deliveries(inputs["deliveries"], inputs["drivers"],
                                                inputs["vehicles"]))
     risk, risk_metrics = EQ.pump_risk(inputs["pump_sensors"], inputs["pump_failures"],
-                                      num_trees=s.classifier_trees, max_depth=s.max_depth,
-                                      seed=s.seed)
+                                      num_trees=s.classifier_trees, seed=s.seed)
     return {
         "features": features,
         "daily_production": P.daily_production(features, exact=s.exact),
@@ -71,7 +69,7 @@ def build_marts(inputs: dict[str, DataFrame], s: JobSettings | None = None) -> d
         "best_worst_wells": P.best_worst_wells(kpi),
         "influence_factors": P.influence_factors(features),
         "ml_metrics": FC.production_forest_metrics(features, num_trees=s.forest_trees,
-                                                   max_depth=s.max_depth, seed=s.seed),
+                                                   seed=s.seed),
         "well_targets_features": target,
         "target_model_metrics": t_metrics,
         "actual_vs_predicted": preds,

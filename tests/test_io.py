@@ -91,8 +91,7 @@ def test_scan_table_parquet_enforces_schema(spark, tmp_dir):
 
 def test_run_all_small(spark, tmp_dir):
     from derrick.plans.jobs import JobSettings, run_all
-    s = JobSettings(forest_trees=3, target_forest_trees=3, classifier_trees=3, iforest_trees=10,
-                    max_depth=4)
+    s = JobSettings(forest_trees=3, target_forest_trees=3, classifier_trees=3, iforest_trees=10)
     marts = run_all(spark, tmp_dir, sf_dir="/root/testdata/sf0.001", settings=s)
     assert len(marts) == 19
     assert os.path.isdir(os.path.join(tmp_dir, "marts", "daily_production"))
@@ -162,8 +161,7 @@ def test_run_all_over_jdbc(spark, tmp_dir):
     cfg_app = LakeConfig(jdbc_url=cfg.jdbc_url, jdbc_driver=cfg.jdbc_driver, mart_schema="mart")
     prod = TB.scan_table(spark, cfg_app, "app.production", num_partitions=4)
     assert prod.rdd.getNumPartitions() == 4
-    s = JobSettings(forest_trees=3, target_forest_trees=3, classifier_trees=3, iforest_trees=10,
-                    max_depth=4)
+    s = JobSettings(forest_trees=3, target_forest_trees=3, classifier_trees=3, iforest_trees=10)
     inputs = {t: TB.scan_table(spark, cfg_app, f"app.{t}", num_partitions=4) for t in INPUT_TABLES}
     marts = build_marts(inputs, s)
     write_marts(marts, tmp_dir, cfg, tables=True)
