@@ -100,76 +100,86 @@ def middle(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((m >= a) & (m < b), m, a)
 
 
-def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, path: int, subset: int | None = None):
+def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, path: int, subset: int | None = None,
+         order: list[np.ndarray] | None = None):
     """(feature, value, left) of a fully grown tree, node 0 the root. Feature is -1 for
     a leaf, whose value is its mean; otherwise value is the threshold, rows up to it go
-    to node ``left``, the others to ``left`` + 1."""
+    to node ``left``, the others to ``left`` + 1. ``order`` are the rows sorted by each
+    feature, if they are known."""
     n, width = x.shape
-    wy = w * y
-    order = [np.argsort(x[:, j], kind="stable") for j in range(width)]
-    starts, ids, paths = np.array([0]), np.array([0]), np.array([path], np.uint64)
-    feature, value, left = [np.array([-1], np.int16)], [np.zeros(1)], [np.array([-1], np.int32)]
+    columns = [np.ascontiguousarray(x[:, j]) for j in range(width)]
+    if order is None:
+        order = [np.argsort(c, kind="stable").astype(np.int32) for c in columns]
+    order, wy = list(order), w * y
+    starts, paths = np.array([0]), np.array([path], np.uint64)
+    feature, value, left = [], [], []
     made = 1
-    while len(ids):
-        size = np.diff(np.append(starts, len(order[0])))
-        of = np.repeat(np.arange(len(ids)), size)
+    while len(paths):
         rows = order[0]
+        size = np.diff(np.append(starts, len(rows)))
+        of = np.repeat(np.arange(len(paths)), size)
         yy = y[rows]
         total, weight = np.add.reduceat(wy[rows], starts), np.add.reduceat(w[rows], starts)
         mixed = np.minimum.reduceat(yy, starts) < np.maximum.reduceat(yy, starts)
         ends = starts + size - 1
-        varies = np.stack([x[o[starts], j] < x[o[ends], j] for j, o in enumerate(order)], axis=1)
+        varies = np.stack([c[o[starts]] < c[o[ends]] for c, o in zip(columns, order)], axis=1)
         allowed = competing(paths, varies & mixed[:, None], subset)
-        best = np.full(len(ids), -np.inf)
-        bf, bt = np.full(len(ids), -1, np.int16), np.zeros(len(ids))
-        for j, o in enumerate(order):
-            if not allowed[:, j].any():
+        best = np.full(len(paths), -np.inf)
+        bf, bt = np.full(len(paths), -1, np.int16), np.zeros(len(paths))
+        for j, (c, o) in enumerate(zip(columns, order)):
+            use = allowed[:, j]
+            if not use.any():
                 continue
-            xs, cw, cs = x[o, j], np.cumsum(w[o]), np.cumsum(wy[o])
-            lw = cw - np.repeat(cw[starts] - w[o[starts]], size)
-            ls = cs - np.repeat(cs[starts] - wy[o[starts]], size)
-            tw, ts = np.repeat(lw[ends], size), np.repeat(ls[ends], size)
-            ok = np.zeros(len(o), bool)
-            ok[:-1] = (xs[:-1] < xs[1:]) & (of[:-1] == of[1:])
-            ok &= np.repeat(allowed[:, j], size)
-            gain = np.full(len(o), -np.inf)
-            a, b = ls[ok], lw[ok]
-            gain[ok] = a * a / b + (ts[ok] - a) ** 2 / (tw[ok] - b)
-            top = np.maximum.reduceat(gain, starts)
-            first = np.where(ok & (gain == np.repeat(top, size)), np.arange(len(o)), len(o))
-            at = np.minimum.reduceat(first, starts)
-            wins = (top > best) & (at < len(o))
-            i = at[wins]
-            best[wins], bf[wins] = top[wins], j
-            bt[wins] = middle(xs[i], xs[i + 1])
+            seg = of
+            if not use.all():
+                some = use[of]
+                o, seg = o[some], of[some]
+            # sums up to each row inside its node, and of the whole node
+            xs, cw, cs = c[o], np.cumsum(w[o]), np.cumsum(wy[o])
+            last = np.cumsum(size * use) - 1
+            first = last - size * use + 1
+            base_w = np.where(first > 0, cw[first - 1], 0.0)
+            base_s = np.where(first > 0, cs[first - 1], 0.0)
+            at = np.flatnonzero((xs[:-1] < xs[1:]) & (seg[:-1] == seg[1:]))
+            node = seg[at]
+            b, a = cw[at] - base_w[node], cs[at] - base_s[node]
+            tw, ts = (cw[last] - base_w)[node], (cs[last] - base_s)[node]
+            gain = a * a / b + (ts - a) ** 2 / (tw - b)
+            cut = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+            top = np.maximum.reduceat(gain, cut)
+            winners = np.flatnonzero(gain == np.repeat(top, np.diff(np.append(cut, len(gain)))))
+            here = node[winners]
+            winners = winners[np.append(True, here[1:] != here[:-1])]      # the smallest threshold of a tie
+            here = node[winners]
+            better = gain[winners] > best[here]
+            winners, here = winners[better], here[better]
+            best[here], bf[here] = gain[winners], j
+            bt[here] = middle(xs[at[winners]], xs[at[winners] + 1])
         split = bf >= 0
         kids = made + 2 * (np.cumsum(split) - 1)
         made += 2 * int(split.sum())
-        feature[-1], value[-1] = bf, np.where(split, bt, total / weight)
-        left[-1] = np.where(split, kids, -1).astype(np.int32)
+        feature.append(bf)
+        value.append(np.where(split, bt, total / weight))
+        left.append(np.where(split, kids, -1).astype(np.int32))
         if not split.any():
             break
-        goes = np.zeros(n, bool)
-        goes[rows] = x[rows, np.maximum(bf, 0)[of]] <= bt[of]
-        n_left = np.add.reduceat(goes[rows].astype(np.int64), starts)
-        parts = np.stack([np.where(split, n_left, 0), np.where(split, size - n_left, 0)], axis=1)
-        place = np.cumsum(parts.ravel()) - parts.ravel()
-        keep = split[of]
+        # 1: to the left child, 2: to the right, 0: in a leaf
+        kept = split[of]
+        own, nodes = rows[kept], of[kept]
+        side = np.zeros(n, np.int8)
+        side[own] = 2 - (x[own, bf[nodes]] <= bt[nodes])
+        n_left = np.add.reduceat((side[rows] == 1).astype(np.int64), starts)[split]
+        parts = np.stack([n_left, size[split] - n_left], axis=1)
+        starts = np.cumsum(parts.ravel()) - parts.ravel()
+        # where the left and the right rows of all nodes go, whatever the feature
+        lefts, rights = (np.arange(int(parts[:, k].sum())) + np.repeat(
+            starts[k::2] - (np.cumsum(parts[:, k]) - parts[:, k]), parts[:, k]) for k in (0, 1))
         for j, o in enumerate(order):
-            to_left = goes[o]
-            rank = np.cumsum(to_left)
-            rank -= np.repeat(rank[starts] - to_left[starts], size)
-            within = np.arange(len(o)) - np.repeat(starts, size) + 1
-            at = np.where(to_left, place[2 * of] + rank, place[2 * of + 1] + within - rank) - 1
-            new = np.empty(int(parts.sum()), o.dtype)
-            new[at[keep]] = o[keep]
+            to = side[o]
+            new = np.empty(len(own), np.int32)
+            new[lefts], new[rights] = o[to == 1], o[to == 2]
             order[j] = new
-        starts = place.reshape(-1, 2)[split].ravel()
-        ids = np.stack([kids[split], kids[split] + 1], axis=1).ravel()
         paths = np.stack([child_path(paths[split], 0), child_path(paths[split], 1)], axis=1).ravel()
-        feature.append(np.empty(0, np.int16))
-        value.append(np.empty(0))
-        left.append(np.empty(0, np.int32))
     return tuple(np.concatenate(c) for c in (feature, value, left))
 
 
@@ -221,9 +231,10 @@ def _matrix(batch, features: Sequence[str]) -> np.ndarray:
 
 
 def _canonical(x, y, w, key):
-    """Rows in an order that only depends on their content."""
+    """Rows in an order that only depends on their content, and sorted by each feature."""
     by = np.lexsort((w, y, *x.T, key))
-    return x[by], y[by], w[by], key[by]
+    x = x[by]
+    return x, y[by], w[by], key[by], [np.argsort(c, kind="stable") for c in x.T]
 
 
 class Forest:
@@ -304,13 +315,14 @@ def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None =
     uppers = [Upper(path=[root_path(t, seed)]) for t in range(num_trees)]
     schema = "tree int, node long, packed binary"
 
-    def finish(x, y, w, key, tree: int, path: int) -> bytes:
-        x, y, w, key = _canonical(x, y, w, key)
+    def finish(x, y, w, key, order, tree: int, path: int) -> bytes:
         times = bootstrap(key, tree, seed)
         own = times > 0
         if not own.any():                     # a sample can only be empty for a handful of rows
             own, times = np.ones(len(y), bool), np.ones(len(y))
-        return pack(*grow(x[own], y[own], (w * times)[own], path, subset))
+        number = (np.cumsum(own) - 1).astype(np.int32)
+        order = [number[o[own[o]]] for o in order]
+        return pack(*grow(x[own], y[own], (w * times)[own], path, subset, order))
 
     if n <= task_rows:
         t = rows.toArrow()
@@ -345,7 +357,7 @@ def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None =
 
     def subtree(table: pa.Table) -> pa.Table:
         tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        packed = finish(_matrix(table, cols), *(table.column(c).to_numpy() for c in ("y", "w", "key")),
+        packed = finish(*_canonical(_matrix(table, cols), *(table.column(c).to_numpy() for c in ("y", "w", "key"))),
                         tree, int(shared.value[tree][1][node]))
         return pa.table([pa.array([tree], pa.int32()), pa.array([node], pa.int64()), pa.array([packed], pa.binary())],
                         names=["tree", "node", "packed"])
