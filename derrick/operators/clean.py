@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from derrick.operators.group_stats import group_quantile
+from derrick.operators.group_stats import group_quantiles
 from derrick.operators.stats import quantiles, quantiles_multi
+from derrick.session import cut_lineage
 
 
 def iqr_filter(df: DataFrame, columns: Sequence[str], k: float = 1.5,
@@ -18,22 +18,12 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], k: float = 1.5,
 
     The bounds of each column are computed on the rows left by the previous
     column, as in the sequential pandas filter. NULLs fail the test and are
-    dropped. Bounds are two scalars per column (see :mod:`stats`); the input
-    is persisted because every column reads it again.
+    dropped. Bounds are two scalars per column (see :mod:`stats`); the input is
+    materialised once in the shared folder, because every column reads it again.
     """
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    bounds = None
-    if method == "exact":
-        # filtering only removes values: the distinct counts of the input
-        # bound those of every later step (one sketch pass for all columns)
-        row = out.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-        bounds = {c: int(row[c] * 1.05) + 1 for c in columns}
+    out = cut_lineage(df)
     for c in columns:
-        if method == "exact":
-            q1, q3 = quantiles_multi(out, {c: [0.25, 0.75]},
-                                     distinct_bounds={c: bounds[c]})[c]
-        else:
-            q1, q3 = quantiles(out, c, [0.25, 0.75], method=method)
+        q1, q3 = quantiles(out, c, [0.25, 0.75], method=method)
         if q1 is None:
             return out.where(F.lit(False))
         iqr = q3 - q1
@@ -42,34 +32,15 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], k: float = 1.5,
 
 
 def group_medians(df: DataFrame, key: str | Sequence[str], columns: Sequence[str],
-                  approx: bool = False, prefix: str = "__med_",
-                  max_values: int = 100_000) -> DataFrame:
-    """One row per non-null key with the median of each column.
-
-    A sketch pass finds each column's widest group (distinct values, HLL).
-    Columns whose groups all hold at most ``max_values`` distinct values use
-    the plain aggregate (partial aggregation map-side, bounded per-group
-    maps); wider columns go through :func:`group_stats.group_quantile`, which
-    narrows hot groups instead of gathering them. ``approx=True`` uses
-    ``percentile_approx`` (bounded sketch per group).
-    """
+                  approx: bool = False, prefix: str = "__med_") -> DataFrame:
+    """One row per non-null key with the median of each column. Exact medians come from
+    :func:`group_stats.group_quantiles`, which never gathers a group; ``approx=True``
+    uses ``percentile_approx`` (bounded sketch per group)."""
     keys = [key] if isinstance(key, str) else list(key)
-    cond = None
-    for k_ in keys:
-        cond = F.col(k_).isNotNull() if cond is None else cond & F.col(k_).isNotNull()
-    base = df.where(cond)
-    if approx:
-        return base.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5, 10_000).cast("double")
-                                         .alias(prefix + c) for c in columns])
-    widest = (base.groupBy(*keys).agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-              .agg(*[F.max(c).alias(c) for c in columns]).first())
-    narrow = [c for c in columns if (widest[c] or 0) <= max_values]
-    out = base.groupBy(*keys).agg(*[F.median(c).cast("double").alias(prefix + c) for c in narrow]) \
-        if narrow else base.select(*keys).distinct()
-    for c in columns:
-        if c not in narrow:
-            out = out.join(group_quantile(base, keys, c, 0.5, prefix + c, max_values), keys, "left")
-    return out.select(*keys, *[prefix + c for c in columns])
+    if not approx:
+        return group_quantiles(df, keys, columns, 0.5, prefix)
+    return df.dropna(subset=keys).groupBy(*keys).agg(
+        *[F.percentile_approx(c, 0.5, 10_000).cast("double").alias(prefix + c) for c in columns])
 
 
 def impute_group_median(df: DataFrame, key: str, columns: Sequence[str],
@@ -82,8 +53,8 @@ def impute_group_median(df: DataFrame, key: str, columns: Sequence[str],
     AQE broadcasts the per-key table when it is small at run time.
     """
     prefix = "__med_"
-    # read three times (sketch, medians, join back): keep it once
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # read by the passes of the medians and by the join back
+    df = cut_lineage(df)
     meds = group_medians(df, key, columns, approx=approx, prefix=prefix)
     joined = df.join(meds, on=key, how="left")
     filled = {c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(c), F.col(prefix + c)))
@@ -95,7 +66,7 @@ def impute_global_median(df: DataFrame, columns: Sequence[str],
                          method: str = "exact") -> DataFrame:
     """NULL -> median of the whole column (a scalar per column)."""
     # read by the median passes and again by the fill
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = cut_lineage(df)
     if method == "approx":
         meds = {c: quantiles(df, c, [0.5], method="approx")[0] for c in columns}
     else:

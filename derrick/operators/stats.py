@@ -2,18 +2,19 @@
 
 ``percentile``/``median`` aggregates keep a map of every distinct value of a
 group in one task. For a global quantile over billions of high-cardinality
-readings that map is unbounded, so the exact global quantile is found by
-bracketing instead:
-
-1. a sketch pass counts the non-null values of each column and estimates
-   their distinct values;
-2. columns with few distinct values send their (value, count) pairs to the
-   driver in one more pass (at most ``max_values`` pairs, a bounded
-   ``limit``) and the ranks are read off directly;
-3. a column with many distinct values is bracketed: ``percentile_approx``
-   brackets the wanted rank, the rows below the bracket are counted, and the
-   search continues inside the bracket, which shrinks by about ``accuracy``
-   per round.
+readings that map is unbounded, so the wanted ranks of all columns are selected
+together, by the same three passes at every size:
+
+1. one aggregate builds a mergeable KLL sketch per column (bounded size), whose
+   rank error gives a bracket around every wanted rank;
+2. one aggregate counts the rows below, at and between the ends of every bracket,
+   so the place of the rank is known exactly: at an end, inside, or, if the
+   sketch was off, beyond it;
+3. ranks at an end are done; the values strictly inside the brackets that hold at
+   most ``VALUES`` rows are read in one pass. A bracket with more rows, or one that
+   missed, is the next round's range. A round keeps about 2 ``ERROR`` of the rows of
+   the one before, and always fewer, as the ends themselves drop out: the search ends
+   without a limit of rounds.
 
 Interpolation is linear between the two neighbouring ranks (pandas
 ``quantile``, Spark ``percentile``, DuckDB ``quantile_cont``).
@@ -23,131 +24,152 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _walk(pairs, ranks, offset):
-    """Values at 0-based ``ranks`` from sorted (value, count) pairs."""
-    out, seen, i = {}, offset, 0
-    for k in sorted(ranks):
-        while seen + pairs[i][1] <= k:
-            seen += pairs[i][1]
-            i += 1
-        out[k] = pairs[i][0]
+#: size parameter of the sketches, and the rank error allowed for (about three times
+#: the sketch's own at 99 %)
+KLL_K, ERROR = 1024, 0.01
+#: rows of a bracket that are read
+VALUES = 20_000
+
+
+@dataclass
+class _Search:
+    """A wanted rank (0-based, over the non-null rows of column ``c``): it lies strictly
+    between ``low`` and ``high`` (None: open), below which ``below`` rows are, and among
+    ``inside`` rows."""
+    c: int
+    rank: int
+    low: float | None = None
+    high: float | None = None
+    below: int = 0
+    inside: int = 0
+    value: float | None = None
+
+    def within(self, v: Column) -> Column:
+        cond = v.isNotNull()
+        if self.low is not None:
+            cond = cond & (v > F.lit(self.low))
+        if self.high is not None:
+            cond = cond & (v < F.lit(self.high))
+        return cond
+
+
+def _value(column: str) -> Column:
+    return F.col(column).cast("double")
+
+
+def _ranges(open_: list[_Search]) -> dict[tuple, list[_Search]]:
+    out: dict[tuple, list[_Search]] = {}
+    for s in open_:
+        out.setdefault((s.c, s.low, s.high), []).append(s)
     return out
 
 
-def _bracket(values: DataFrame, ranks: Sequence[int], offset: int, m: int,
-             max_values: int, accuracy: int, depth: int = 0) -> dict[int, float]:
-    """Ranks of column ``v`` (``m`` rows, ``offset`` rows below) by bracketing."""
-    if depth >= 8:
-        # eight rounds shrink a bracket by about (accuracy / 8) ** 8; reaching
-        # here means the sketch did not narrow, so fetch only a bounded set
-        rows = values.groupBy("v").count().limit(max_values + 1).collect()
-        if len(rows) > max_values:
-            raise RuntimeError("quantile bracket did not narrow; use method='approx'")
-        return _walk(sorted((r["v"], r["count"]) for r in rows), ranks, offset)
-    out = {}
-    margin = 4.0 / accuracy
-    for k in ranks:
-        frac = (k - offset) / max(m - 1, 1)
-        lo_f, hi_f = max(frac - margin, 0.0), min(frac + margin, 1.0)
-        row = values.agg(F.percentile_approx("v", F.array(F.lit(lo_f), F.lit(hi_f)), accuracy),
-                         F.min("v"), F.max("v")).first()
-        lo = row[1] if lo_f == 0.0 else row[0][0]
-        hi = row[2] if hi_f == 1.0 else row[0][1]
-        if lo == hi:
-            out[k] = lo
+def _sketch_and_bracket(df: DataFrame, cols: list[str], open_: list[_Search]) -> list[tuple[float, float]]:
+    """Ends of a bracket around every search, from one sketch per range."""
+    ranges = _ranges(open_)
+    aggs, wanted = [], []
+    for i, own in enumerate(ranges.values()):
+        v = _value(cols[own[0].c])
+        aggs.append(F.kll_sketch_agg_double(F.when(own[0].within(v), v), KLL_K).alias(f"s{i}"))
+        for s in own:
+            at = (s.rank - s.below) / max(s.inside - 1, 1)
+            wanted.append((s, i, max(at - ERROR, 0.0), min(at + ERROR, 1.0)))
+    sketches = df.agg(*aggs)
+    row = sketches.select(*[F.kll_sketch_get_quantile_double(f"s{i}", F.lit(p)).alias(f"q{k}_{side}")
+                            for k, (_, i, a, b) in enumerate(wanted) for side, p in (("lo", a), ("hi", b))]).first()
+    ends = {id(s): (row[f"q{k}_lo"], row[f"q{k}_hi"]) for k, (s, *_) in enumerate(wanted)}
+    return [ends[id(s)] for s in open_]
+
+
+def _count(df: DataFrame, cols: list[str], open_: list[_Search], ends: list[tuple[float, float]]) -> None:
+    """Exact counts around the ends; settles or narrows every search."""
+    aggs = []
+    for k, (s, (lo, hi)) in enumerate(zip(open_, ends)):
+        v = _value(cols[s.c])
+        aggs += [F.count_if(s.within(v) & (v < F.lit(lo))).alias(f"a{k}"), F.count_if(v == F.lit(lo)).alias(f"b{k}"),
+                 F.count_if((v > F.lit(lo)) & (v < F.lit(hi))).alias(f"c{k}"),
+                 F.count_if(v == F.lit(hi)).alias(f"d{k}")]
+    row = df.agg(*aggs).first()
+    for k, (s, (lo, hi)) in enumerate(zip(open_, ends)):
+        at = s.below + row[f"a{k}"]                      # rows below lo
+        if s.rank < at:
+            s.high, s.inside = lo, row[f"a{k}"]
+            continue
+        if s.rank < at + row[f"b{k}"]:
+            s.value = lo
             continue
-        inner = values.where(F.col("v").between(lo, hi))
-        stats = values.agg(F.count_if(F.col("v") < lo).alias("below"),
-                           F.count_if(F.col("v").between(lo, hi)).alias("m"),
-                           F.approx_count_distinct(
-                               F.when(F.col("v").between(lo, hi), F.col("v"))).alias("d")).first()
-        rows = None
-        if stats["d"] <= max_values // 2:
-            # the distinct estimate decides; the limit makes the fetch bounded
-            rows = inner.groupBy("v").count().limit(max_values + 1).collect()
-            if len(rows) > max_values:
-                rows = None
-        if rows is not None:
-            pairs = sorted((r["v"], r["count"]) for r in rows)
-            out.update(_walk(pairs, [k], offset + stats["below"]))
+        inner = at + row[f"b{k}"]
+        if s.rank < inner + row[f"c{k}"]:
+            s.low, s.high, s.below, s.inside = lo, hi, inner, row[f"c{k}"]
+            continue
+        after = inner + row[f"c{k}"] + (row[f"d{k}"] if hi != lo else 0)
+        if s.rank < after:
+            s.value = hi
         else:
-            out.update(_bracket(inner, [k], offset + stats["below"], stats["m"], max_values,
-                                accuracy, depth + 1))
-    return out
-
-
-def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]],
-                    max_values: int = 200_000, accuracy: int = 10_000,
-                    distinct_bounds: Mapping[str, int] | None = None
-                    ) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns: ``{column: [q1, q2, ...]}``.
-
-    Pass 1 (sketches only, no shuffle of values): non-null count and a
-    distinct estimate per column. Pass 2: (column, value, count) pairs of
-    every column whose distinct values fit the budget, at most
-    ``max_values`` pairs in all. Wider columns are bracketed instead, so a
-    high-cardinality column is never aggregated value by value.
-    """
+            s.inside -= after - s.below
+            s.low, s.below = hi, after
+
+
+def _read(df: DataFrame, cols: list[str], open_: list[_Search]) -> None:
+    """Settle searches of few rows from the values inside their brackets."""
+    ranges = list(_ranges(open_).values())
+    held = F.array(*[F.struct(F.lit(i).alias("i"), F.when(own[0].within(_value(cols[own[0].c])),
+                                                          _value(cols[own[0].c])).alias("v"))
+                     for i, own in enumerate(ranges)])
+    pairs: dict[int, list] = {}
+    for r in (df.select(F.explode(F.filter(held, lambda x: x["v"].isNotNull())).alias("x")).select("x.i", "x.v")
+              .groupBy("i", "v").count().collect()):
+        pairs.setdefault(r["i"], []).append((r["v"], r["count"]))
+    for i, own in enumerate(ranges):
+        values = sorted(pairs[i])
+        for s in own:
+            seen = s.below
+            for v, n in values:
+                seen += n
+                if s.rank < seen:
+                    s.value = v
+                    break
+
+
+def select_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]], counts: Mapping[str, int]) -> dict[str, dict[int, float]]:
+    """The values at 0-based ranks of several columns, NULLs and NaN aside."""
+    cols = list(wanted)
+    df = df.select(*[F.nanvl(_value(c), F.lit(None).cast("double")).alias(c) for c in cols])
+    todo = [_Search(i, r, inside=counts[c]) for i, c in enumerate(cols) for r in wanted[c]]
+    open_ = list(todo)
+    while open_:
+        _count(df, cols, open_, _sketch_and_bracket(df, cols, open_))
+        open_ = [s for s in open_ if s.value is None]
+        few = [s for s in open_ if s.inside <= VALUES]
+        if few:
+            _read(df, cols, few)
+            open_ = [s for s in open_ if s.value is None]
+    return {c: {s.rank: s.value for s in todo if s.c == i} for i, c in enumerate(cols)}
+
+
+def quantiles_multi(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns: ``{column: [q1, q2, ...]}``; None without
+    any value. ``df`` is read about four times, whatever the number of columns."""
     cols = list(wanted)
     if not cols:
         return {}
-    counts: dict[str, int | None] = {}
-    small, budget = [], max_values // 2
-    if distinct_bounds is not None and sum(distinct_bounds[c] for c in cols) <= budget:
-        # known upper bounds (e.g. from an unfiltered superset): no sketch pass;
-        # the counts come from the pairs themselves
-        small = list(cols)
-        counts = {c: None for c in cols}
-    else:
-        stats = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                       *[F.approx_count_distinct(c).alias(f"d{i}")
-                         for i, c in enumerate(cols)]).first()
-        counts = {c: stats[f"n{i}"] for i, c in enumerate(cols)}
-        for i, c in enumerate(cols):
-            d = stats[f"d{i}"]
-            if counts[c] and d <= budget:
-                small.append(c)
-                budget -= d
-    got: dict[str, dict[int, float]] = {}
-    if small:
-        stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-            for i, c in enumerate(small)])).alias("s")).select("s.c", "s.v")
-        pairs = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
-                 .limit(max_values + 1).collect())
-        if len(pairs) <= max_values:
-            by_col: dict[int, list] = {i: [] for i in range(len(small))}
-            for r in pairs:
-                by_col[r["c"]].append((r["v"], r["count"]))
-            for i, c in enumerate(small):
-                if counts[c] is None:
-                    counts[c] = sum(k for _, k in by_col[i])
-                if counts[c]:
-                    got[c] = _walk(sorted(by_col[i]), _ranks(wanted[c], counts[c]), 0)
-    for c in cols:
-        if counts[c] is None:
-            counts[c] = df.where(F.col(c).isNotNull()).count()
-        if counts[c] and c not in got:
-            values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-            got[c] = _bracket(values, _ranks(wanted[c], counts[c]), 0, counts[c], max_values,
-                              accuracy)
+    row = df.agg(*[F.count(F.nanvl(_value(c), F.lit(None).cast("double"))).alias(f"n{i}")
+                   for i, c in enumerate(cols)]).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    got = select_ranks(df, {c: _ranks(wanted[c], counts[c]) for c in cols if counts[c]}, counts)
     out = {}
     for c in cols:
-        n = counts[c]
-        if not n:
-            out[c] = [None] * len(wanted[c])
-            continue
         res = []
-        for p in wanted[c]:
-            pos = p * (n - 1)
+        for p in wanted[c] if counts[c] else ():
+            pos = p * (counts[c] - 1)
             lo, hi = got[c][math.floor(pos)], got[c][math.ceil(pos)]
             res.append(lo + (hi - lo) * (pos - math.floor(pos)))
-        out[c] = res
+        out[c] = res if counts[c] else [None] * len(wanted[c])
     return out
 
 
@@ -160,7 +182,7 @@ def _ranks(probs: Sequence[float], n: int) -> list[int]:
 
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str = "exact",
-              max_values: int = 200_000, accuracy: int = 10_000) -> list[float | None]:
+              accuracy: int = 10_000) -> list[float | None]:
     """Quantiles of ``column`` (NULLs ignored) as Python floats.
 
     ``method="approx"`` is one ``percentile_approx`` pass (bounded memory,
@@ -171,7 +193,7 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str =
         row = values.agg(F.percentile_approx("v", F.array(*[F.lit(p) for p in probs]),
                                              accuracy)).first()[0]
         return list(row) if row is not None else [None] * len(probs)
-    return quantiles_multi(df, {column: list(probs)}, max_values, accuracy)[column]
+    return quantiles_multi(df, {column: list(probs)})[column]
 
 
 def median(df: DataFrame, column: str, **kw) -> float | None:

@@ -12,6 +12,7 @@ from derrick.operators import aggregates as AG
 from derrick.operators import clean as CL
 from derrick.operators import joins as J
 from derrick.operators import windows as WN
+from derrick.operators import group_stats, stats
 from derrick.operators.stats import quantiles, quantiles_multi
 from tests.conftest import rows
 
@@ -23,10 +24,22 @@ def test_quantiles_exact_small_and_bracketed(spark):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
     exp = list(np.quantile(vals, probs))
     got = quantiles(df, "x", probs)
-    # force the bracketing path with a tiny value budget
-    got_b = quantiles_multi(df, {"x": probs}, max_values=50, accuracy=100)["x"]
     assert np.allclose(got, exp, rtol=0, atol=1e-12)
-    assert np.allclose(got_b, exp, rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("k,error,values", [(1024, 0.01, 3), (8, 0.001, 3), (8, 0.2, 100)])
+def test_quantiles_in_several_rounds(spark, monkeypatch, k, error, values):
+    """Brackets that are too wide, or miss the rank as the sketch is bad, end exactly."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=4000).round(6), rng.integers(0, 3, 4000).astype(float)
+    b[:1500], b[1500:2990] = -7.0, 9.0                        # heavy ends around the middle
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "b": b}))
+    for name, v in (("KLL_K", k), ("ERROR", error), ("VALUES", values)):
+        monkeypatch.setattr(stats, name, v)
+    probs = [0.0, 0.01, 0.25, 0.37, 0.5, 0.62, 0.75, 1.0]
+    got = quantiles_multi(df, {"a": probs, "b": probs})
+    for c, v in (("a", a), ("b", b)):
+        assert np.allclose(got[c], np.quantile(v, probs), rtol=0, atol=1e-12)
 
 
 def test_quantiles_all_null_and_ties(spark):
@@ -187,13 +200,31 @@ def test_group_quantile_hot_group_exact(spark):
     pdf = pd.DataFrame({"k": k, "v": v, "w": (v * 0).round(1)})
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "k long, v double, w double")
     got = {r["k"]: (r["__med_v"], r["__med_w"]) for r in
-           group_medians(df, "k", ["v", "w"], max_values=300).collect()}
+           group_medians(df, "k", ["v", "w"]).collect()}
     exp_v, exp_w = pdf.groupby("k")["v"].median(), pdf.groupby("k")["w"].median()
     for kk in exp_v.index:
         assert abs(got[kk][0] - exp_v[kk]) < 1e-12
         assert got[kk][1] == exp_w[kk]
 
 
+@pytest.mark.parametrize("k,error,values", [(256, 0.03, 5), (8, 0.001, 5), (8, 0.3, 50)])
+def test_group_quantiles_in_several_rounds(spark, monkeypatch, k, error, values):
+    rng = np.random.default_rng(12)
+    n = 6000
+    g = np.where(rng.uniform(size=n) < 0.35, 0, rng.integers(1, 9, size=n))
+    pdf = pd.DataFrame({"k": g, "v": rng.normal(size=n).round(6), "t": rng.integers(0, 3, n).astype(float)})
+    pdf.loc[pdf.k == 8, "v"] = np.nan
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "k long, v double, t double")
+    for name, v in (("KLL_K", k), ("ERROR", error), ("VALUES", values)):
+        monkeypatch.setattr(group_stats, name, v)
+    for p in (0.0, 0.3, 0.5, 1.0):
+        got = {r["k"]: (r["v"], r["t"]) for r in group_stats.group_quantiles(df, ["k"], ["v", "t"], p).collect()}
+        assert len(got) == 9 and got[8][0] is None
+        for kk, own in pdf.groupby("k"):
+            assert got[kk][1] == own["t"].quantile(p)
+            assert kk == 8 or abs(got[kk][0] - own["v"].quantile(p)) < 1e-12
+
+
 def test_global_row_number_heavy_tie_split(spark):
     from derrick.operators.ranking import global_row_number
     rng = np.random.default_rng(9)
