@@ -1,6 +1,6 @@
 """Run the full batch.
 
-    python -m derrick <lake_root> [sf_dir] [--approx] [--exact] [--tables]
+    python -m derrick <lake_root> [sf_dir] [--approx] [--tables]
                       [--forest-trees N] [--classifier-trees N] [--iforest-trees N]
 
 Without ``sf_dir`` the nine input tables come from the database or source
@@ -22,8 +22,6 @@ def main(argv: list[str]) -> None:
                     help="driver tables read through the adapters (tests, benchmarks)")
     ap.add_argument("--approx", action="store_true",
                     help="percentile_approx for IQR bounds and medians (bounded memory)")
-    ap.add_argument("--exact", action="store_true",
-                    help="decimal sums: results independent of summation order")
     ap.add_argument("--tables", action="store_true", help="also replace the mart.* tables")
     ap.add_argument("--forest-trees", type=int, default=200)
     ap.add_argument("--target-forest-trees", type=int, default=300)
@@ -36,7 +34,7 @@ def main(argv: list[str]) -> None:
                            target_forest_trees=args.target_forest_trees,
                            classifier_trees=args.classifier_trees,
                            iforest_trees=args.iforest_trees,
-                           exact=args.exact, approx_quantiles=args.approx)
+                           approx_quantiles=args.approx)
     run_all(spark, args.lake_root, cfg, sf_dir=args.sf_dir, settings=settings,
             tables=args.tables)
     print("Pipeline completed successfully.")

@@ -17,7 +17,7 @@ __all__ = [
     "as_col", "cast_datetime", "coerce_numeric", "nan_to_null", "fill_const",
     "fallback", "clip", "safe_div", "concat_route", "bool_flag", "cut_right_closed",
     "bin_distance", "bin_risk", "case_action", "to_day", "date_parts",
-    "hours_between", "round_half_even", "row_max_abs", "exact_sum", "exact_avg",
+    "hours_between", "round_half_even", "row_max_abs", "double_parts", "double_of_parts",
     "DISTANCE_EDGES", "DISTANCE_LABELS", "RISK_EDGES", "RISK_LABELS", "ACTIONS",
 ]
 
@@ -144,12 +144,41 @@ def row_max_abs(cols: Sequence[str | Column]) -> Column:
     return F.greatest(*[F.abs(as_col(c)) for c in cols])
 
 
-def exact_sum(c: str | Column, scale: int = 4) -> Column:
-    """Sum of a fixed-scale measure, exact and order-independent."""
-    dec = as_col(c).cast(f"decimal(18,{scale})")
-    return F.sum(dec).cast("double")
-
-
-def exact_avg(c: str | Column, scale: int = 4) -> Column:
-    """Mean as exact decimal sum divided once by the count of non-null."""
-    return F.try_divide(exact_sum(c, scale), F.count(as_col(c)).cast("double"))
+#: width, in powers of two, of the bins of :func:`double_parts`
+PART_BITS = 8
+#: bin of infinite values
+INFINITE = 999
+
+
+def double_parts(c: str | Column) -> Column:
+    """A double without loss as struct(bin int, part long): value = part * 2^(8 bin),
+    NULL for NULL and NaN. Whole parts of one bin add up exactly in any order."""
+    x = nan_to_null(as_col(c).cast("double"))
+    size = F.floor(F.log2(F.abs(x)))                    # off by one at most, next to a power of two
+    at = F.floor((size - 53) / PART_BITS).cast("int")
+    shift = at * PART_BITS
+    half = F.floor(shift / 2)
+    part = x * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - shift)
+    finite = F.abs(x) < float("inf")
+    return F.when(x.isNotNull(), F.struct(
+        F.when(x == 0, F.lit(0)).when(finite, at).otherwise(F.lit(INFINITE)).alias("bin"),
+        F.when(x == 0, F.lit(0.0)).when(finite, part).otherwise(F.signum(x)).cast("long").alias("part")))
+
+
+def double_of_parts(parts: Column) -> Column:
+    """The double next to the sum of an array of struct(bin, s decimal(38,0)), sorted by
+    bin: added as one whole number if the bins lie within 48 powers of two of each other,
+    else from the smallest bin up. NULL for an empty array."""
+    low = F.get(parts, F.lit(0))["bin"]
+
+    def whole(acc, e):
+        gap = e["bin"] - low
+        scale = F.when(gap <= 6, F.pow(F.lit(2.0), F.least(gap, F.lit(6)) * PART_BITS).cast("long").cast("decimal(18,0)"))
+        return F.try_add(acc, F.try_multiply(e["s"], scale).cast("decimal(38,0)")).cast("decimal(38,0)")
+
+    def scaled(v, at):
+        half = F.floor(at * PART_BITS / 2)
+        return v * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), at * PART_BITS - half)
+    one = F.aggregate(parts, F.lit(0).cast("decimal(38,0)"), whole)
+    steps = F.aggregate(parts, F.lit(0.0), lambda acc, e: acc + scaled(e["s"].cast("double"), e["bin"]))
+    return F.when(F.size(parts) > 0, F.coalesce(scaled(one.cast("double"), low), steps))

@@ -3,12 +3,12 @@ sum of nothing is 0, ratios safe against zero spread)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from derrick.functions.exprs import as_col, exact_avg, exact_sum
+from derrick.functions.exprs import as_col, double_of_parts, double_parts
 
 
 def group_by_dropna(df: DataFrame, keys: Sequence[str]):
@@ -16,14 +16,51 @@ def group_by_dropna(df: DataFrame, keys: Sequence[str]):
     return df.dropna(subset=list(keys)).groupBy(*keys)
 
 
-def mean(c: str | Column, exact: bool = False, scale: int = 4) -> Column:
-    return exact_avg(c, scale) if exact else F.avg(as_col(c))
+def exact_agg(df: DataFrame, keys: Sequence[str], counts: Mapping[str, str] | None = None,
+              sums: Mapping[str, str | Column] | None = None,
+              means: Mapping[str, str | Column] | None = None) -> DataFrame:
+    """Grouped counts of non-null values, sums and means ({name: column}) that do not
+    depend on the order of the rows: doubles are added without any error and rounded
+    once. Rows with a NULL key are dropped; the sum of no values is 0 and their mean
+    NULL, as in pandas.
 
-
-def total(c: str | Column, exact: bool = False, scale: int = 4) -> Column:
-    """Sum where the sum of no values is 0, as in pandas."""
-    s = exact_sum(c, scale) if exact else F.sum(as_col(c))
-    return F.coalesce(s, F.lit(0.0))
+    Every value becomes a whole number in a bin of its size (:func:`double_parts`);
+    (keys, measure, bin) are added up as decimals, combined on the map side, and a
+    second aggregate of a few rows per group puts the bins together. One scan.
+    """
+    counts, sums, means = counts or {}, sums or {}, means or {}
+    measures = [("count", n, c) for n, c in counts.items()] + [("sum", n, c) for n, c in sums.items()] \
+        + [("mean", n, c) for n, c in means.items()]
+    cells = []
+    for i, (kind, _, c) in enumerate(measures):
+        part = (F.when(as_col(c).isNotNull(), F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("part")))
+                if kind == "count" else double_parts(c))
+        cells.append(F.struct(F.lit(i).alias("i"), part.alias("x")))
+    # a cell without a value keeps the group of rows that have none
+    cells.append(F.struct(F.lit(-1).alias("i"), F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("part"))
+                          .alias("x")))
+    stacked = (df.dropna(subset=list(keys)).select(*keys, F.explode(F.filter(
+        F.array(*cells), lambda e: e["x"].isNotNull())).alias("__e")))
+    binned = stacked.groupBy(*keys, F.col("__e.i").alias("__i"), F.col("__e.x.bin").alias("__bin")).agg(
+        F.sum(F.col("__e.x.part").cast("decimal(28,0)")).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    grouped = binned.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
+        F.col("__i").alias("i"), F.col("__bin").alias("bin"), F.col("__s").alias("s"), F.col("__n").alias("n"))))
+        .alias("__p"))
+    out = []
+    for i, (kind, name, _) in enumerate(measures):
+        own = _measure(i)
+        n = F.aggregate(own, F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
+        if kind == "count":
+            out.append(n.alias(name))
+        elif kind == "sum":
+            out.append(F.coalesce(double_of_parts(own), F.lit(0.0)).alias(name))
+        else:
+            out.append(F.try_divide(double_of_parts(own), n.cast("double")).alias(name))
+    return grouped.select(*keys, *out)
+
+
+def _measure(i: int) -> Column:
+    return F.filter("__p", lambda e: e["i"] == i)
 
 
 def rate_pct(flag: str | Column) -> Column:

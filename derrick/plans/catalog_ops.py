@@ -257,7 +257,7 @@ def q_join_inner(spark, sf):
 
 @register("join_using_limit")
 def q_join_using_limit(spark, sf):
-    kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
+    kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"))
     return NB.kpi_with_production(kpi, A.load(spark, sf, "production"), 1000)
 
 
@@ -307,7 +307,7 @@ def q_product_revenue(spark, sf):
 
 @register("pivot_mean")
 def q_pivot_mean(spark, sf):
-    kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
+    kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"))
     pairs = kpi.select("well_id", "avg_pressure", "avg_temperature").join(
         A.load(spark, sf, "production").select("well_id", "oil_ton"), "well_id")
     return NB.oil_pivot(pairs)
@@ -329,21 +329,21 @@ def q_impute_global(spark, sf):
 
 @register("row_number_rank")
 def q_row_number(spark, sf):
-    kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
+    kpi = L.driver_kpi(_enriched(spark, sf))
     r = WN.row_number_rank(kpi, "total_cost_usd", True, ["driver_id"], "cost_rank")
     return r.select("driver_id", "total_cost_usd", "cost_rank")
 
 
 @register("rank_pct")
 def q_rank_pct(spark, sf):
-    kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
+    kpi = L.driver_kpi(_enriched(spark, sf))
     r = WN.rank_pct(kpi, "avg_delay_hours", "delay_rank")
     return r.select("driver_id", "delay_rank")
 
 
 @register("weighted_risk_score")
 def q_weighted(spark, sf):
-    r = L.route_optimization(_enriched(spark, sf), exact=True)
+    r = L.route_optimization(_enriched(spark, sf))
     return r.select("route", "route_risk_score")
 
 
@@ -357,14 +357,14 @@ def q_topn(spark, sf):
 # ------------------------------------------------------------- sort / limit / union
 @register("sort_output")
 def q_sort(spark, sf):
-    kpi = L.driver_kpi(_enriched(spark, sf), exact=True)
+    kpi = L.driver_kpi(_enriched(spark, sf))
     return (kpi.orderBy(F.col("delay_rate_pct").asc_nulls_last(),
                                    F.col("avg_delay_hours").asc_nulls_last(), "driver_id"))
 
 
 @register("head_tail_segments")
 def q_head_tail(spark, sf):
-    r = L.route_optimization(_enriched(spark, sf), exact=True)
+    r = L.route_optimization(_enriched(spark, sf))
     seg = WN.head_tail_segments(r, [F.col("route_risk_score").desc(), F.col("route").asc()],
                                 [F.col("route_risk_score").asc(), F.col("route").desc()], n=3)
     return seg.select("route", "route_risk_score", "segment")
@@ -372,7 +372,7 @@ def q_head_tail(spark, sf):
 
 @register("limit_n")
 def q_limit(spark, sf):
-    kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"), exact=True)
+    kpi = P.well_kpi(_features(spark, sf), A.load(spark, sf, "wells"))
     return NB.top_wells(kpi, 10).select("well_id", "name", "avg_oil_ton")
 
 

@@ -29,7 +29,6 @@ class JobSettings:
     classifier_trees: int = 300
     iforest_trees: int = 100
     seed: int = 42
-    exact: bool = False            # decimal sums: order-independent results
     approx_quantiles: bool = False  # percentile_approx for IQR bounds and medians
 
 
@@ -52,7 +51,7 @@ def build_marts(inputs: dict[str, DataFrame], s: JobSettings | None = None) -> d
         P.clean_production(inputs["production"], quantile_method=q,
                            approx_medians=s.approx_quantiles),
         inputs["telemetry"], approx_medians=s.approx_quantiles))
-    kpi = P.well_kpi(features, inputs["wells"], exact=s.exact)
+    kpi = P.well_kpi(features, inputs["wells"])
     target = cut_lineage(FC.target_dataset(inputs["well_targets"], inputs["telemetry"],
                                            inputs["production"],
                                            approx_medians=s.approx_quantiles))
@@ -64,7 +63,7 @@ def build_marts(inputs: dict[str, DataFrame], s: JobSettings | None = None) -> d
                                       num_trees=s.classifier_trees, seed=s.seed)
     return {
         "features": features,
-        "daily_production": P.daily_production(features, exact=s.exact),
+        "daily_production": P.daily_production(features),
         "well_kpi": kpi,
         "best_worst_wells": P.best_worst_wells(kpi),
         "influence_factors": P.influence_factors(features),
@@ -80,11 +79,11 @@ def build_marts(inputs: dict[str, DataFrame], s: JobSettings | None = None) -> d
                                                       inputs["pump_failures"]),
         "pump_risk_scores": risk,
         "pump_risk_model_metrics": risk_metrics,
-        "delay_vs_weather": L.delay_vs_weather(enriched, exact=s.exact),
+        "delay_vs_weather": L.delay_vs_weather(enriched),
         "cost_vs_distance": L.cost_vs_distance(enriched),
-        "driver_kpi": L.driver_kpi(enriched, exact=s.exact),
-        "delay_factors": L.delay_factors(enriched, exact=s.exact),
-        "route_optimization": L.route_optimization(enriched, exact=s.exact),
+        "driver_kpi": L.driver_kpi(enriched),
+        "delay_factors": L.delay_factors(enriched),
+        "route_optimization": L.route_optimization(enriched),
     }
 
 

@@ -3,20 +3,18 @@ driver KPIs, delay factors and route priorities."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derrick.functions.exprs import (DISTANCE_LABELS, bin_distance, bin_risk, bool_flag,
                                      case_action, clip, coerce_numeric, concat_route,
-                                     exact_avg, exact_sum, round_half_even, safe_div)
-from derrick.operators.aggregates import group_by_dropna, rate_pct
+                                     round_half_even, safe_div)
+from derrick.operators.aggregates import exact_agg
 from derrick.operators.joins import join_left_dim
 from derrick.operators.windows import rank_pct
+from derrick.session import cut_lineage
 
 NUMERIC = ["volume_ton", "cost_usd", "delay_hours", "distance_km"]
-# decimals of each measure, for exact (order-independent) sums
-SCALES = {"volume_ton": 2, "cost_usd": 4, "delay_hours": 2, "distance_km": 5}
 COST_VS_DISTANCE = ["delivery_id", "date", "route", "source", "destination", "driver_name",
                     "weather_conditions", "distance_km", "volume_ton", "cost_usd",
                     "cost_per_km", "delay_hours"]
@@ -24,15 +22,6 @@ DRIVER_KEYS = ["driver_id", "driver_name", "experience_years", "driver_region"]
 ROUTE_KEYS = ["route", "source", "destination"]
 
 
-def _mean(c: str, exact: bool):
-    return exact_avg(c, SCALES[c]) if exact and c in SCALES else F.avg(c)
-
-
-def _sum(c: str, exact: bool):
-    s = exact_sum(c, SCALES[c]) if exact and c in SCALES else F.sum(c)
-    return F.coalesce(s, F.lit(0.0))
-
-
 def enrich_deliveries(deliveries: DataFrame, drivers: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Coerce measures, attach driver and vehicle, derive route, delay flag,
     cost per km, load factor and distance bucket."""
@@ -53,54 +42,42 @@ def enrich_deliveries(deliveries: DataFrame, drivers: DataFrame, vehicles: DataF
     })
 
 
-def delay_vs_weather(enriched: DataFrame, exact: bool = False) -> DataFrame:
-    return group_by_dropna(enriched, ["weather_conditions"]).agg(
-        F.count("delivery_id").alias("trips"),
-        _mean("delay_hours", exact).alias("avg_delay_hours"),
-        rate_pct("delay_flag").alias("delay_rate_pct"),
-        _mean("distance_km", exact).alias("avg_distance_km"))
+def delay_vs_weather(enriched: DataFrame) -> DataFrame:
+    return _percent(exact_agg(enriched, ["weather_conditions"], {"trips": "delivery_id"}, means={
+        "avg_delay_hours": "delay_hours", "delay_rate_pct": "delay_flag", "avg_distance_km": "distance_km"}))
+
+
+def _percent(df: DataFrame) -> DataFrame:
+    return df.withColumn("delay_rate_pct", F.col("delay_rate_pct") * 100.0)
 
 
 def cost_vs_distance(enriched: DataFrame) -> DataFrame:
     return enriched.select(*COST_VS_DISTANCE)
 
 
-def driver_kpi(enriched: DataFrame, exact: bool = False) -> DataFrame:
+def driver_kpi(enriched: DataFrame) -> DataFrame:
     """Per driver (deliveries without a known driver drop out)."""
-    return group_by_dropna(enriched, DRIVER_KEYS).agg(
-        F.count("delivery_id").alias("trips"),
-        _sum("volume_ton", exact).alias("total_volume_ton"),
-        _sum("cost_usd", exact).alias("total_cost_usd"),
-        _mean("delay_hours", exact).alias("avg_delay_hours"),
-        rate_pct("delay_flag").alias("delay_rate_pct"),
-        F.avg("cost_per_km").alias("avg_cost_per_km"),
-        _mean("distance_km", exact).alias("avg_distance_km"),
-        F.avg("load_factor").alias("avg_load_factor"))
-
-
-def delay_factors(enriched: DataFrame, exact: bool = False) -> DataFrame:
+    out = exact_agg(enriched, DRIVER_KEYS, {"trips": "delivery_id"},
+                    sums={"total_volume_ton": "volume_ton", "total_cost_usd": "cost_usd"},
+                    means={"avg_delay_hours": "delay_hours", "delay_rate_pct": "delay_flag",
+                           "avg_cost_per_km": "cost_per_km", "avg_distance_km": "distance_km",
+                           "avg_load_factor": "load_factor"})
+    return _percent(out)
+
+
+def delay_factors(enriched: DataFrame) -> DataFrame:
     """Trips and mean delay by weather, by distance bucket (all four buckets,
     empty ones with 0 trips) and by driver name, stacked long.
 
-    One scan and one shuffle: GROUPING SETS over the three keys; the NULL
-    group of each set is dropped (pandas drops NULL keys).
+    One scan: a delivery takes part once per factor that it has (pandas drops
+    NULL keys).
     """
-    keyed = enriched.select("weather_conditions", "distance_bucket", "driver_name",
-                            "delivery_id", "delay_hours")
-    g = keyed.groupingSets([["weather_conditions"], ["distance_bucket"], ["driver_name"]],
-                           "weather_conditions", "distance_bucket", "driver_name")
-    agg = g.agg(F.count("delivery_id").alias("trips"),
-                _mean("delay_hours", exact).alias("avg_delay_hours"),
-                F.grouping_id().alias("__gid"))
-    # grouping_id bits: weather=4, bucket=2, driver=1 (1 = aggregated away)
-    gid = F.col("__gid")
-    factor_value = F.when(gid == 3, F.col("weather_conditions")) \
-        .when(gid == 5, F.col("distance_bucket")).otherwise(F.col("driver_name"))
-    factor_type = F.when(gid == 3, "weather").when(gid == 5, "distance_bucket") \
-        .otherwise("driver")
-    long = (agg.select(factor_value.alias("factor_value"), "trips", "avg_delay_hours",
-                       factor_type.alias("factor_type"))
-            .where(F.col("factor_value").isNotNull()))
+    factors = F.array(*[F.struct(F.lit(t).alias("factor_type"), F.col(c).alias("factor_value")) for t, c in (
+        ("weather", "weather_conditions"), ("distance_bucket", "distance_bucket"), ("driver", "driver_name"))])
+    keyed = enriched.select(F.explode(factors).alias("f"), "delivery_id", "delay_hours").select(
+        "f.factor_type", "f.factor_value", "delivery_id", "delay_hours")
+    long = exact_agg(keyed, ["factor_value", "factor_type"], {"trips": "delivery_id"},
+                     means={"avg_delay_hours": "delay_hours"})
     # full bucket domain (observed=False): buckets without trips appear with
     # 0 trips; one outer join against the 4-row domain, so the aggregate above
     # is computed once
@@ -112,25 +89,17 @@ def delay_factors(enriched: DataFrame, exact: bool = False) -> DataFrame:
                     "avg_delay_hours", "factor_type"))
 
 
-def route_optimization(enriched: DataFrame, exact: bool = False) -> DataFrame:
+def route_optimization(enriched: DataFrame) -> DataFrame:
     """Per route: volume, distance, delay, delay rate, cost per km; risk score
     from percentile ranks of delay (60 %) and cost (40 %); priority and
     recommended action."""
-    routes = group_by_dropna(enriched, ROUTE_KEYS).agg(
-        F.count("delivery_id").alias("trips"),
-        _sum("volume_ton", exact).alias("total_volume_ton"),
-        _mean("distance_km", exact).alias("avg_distance_km"),
-        _mean("delay_hours", exact).alias("avg_delay_hours"),
-        rate_pct("delay_flag").alias("delay_rate_pct"),
-        F.avg("cost_per_km").alias("avg_cost_per_km"))
-    # one row per route, read by both rank passes
-    routes = routes.persist(StorageLevel.MEMORY_AND_DISK)
-    # ranks need ties that do not depend on summation order: the exact delay
-    # mean is bit-stable as it is; a mean of ratios is compared at 9 decimals
-    delay_key = F.col("avg_delay_hours") if exact else F.round("avg_delay_hours", 9)
-    ranked = rank_pct(routes, "avg_delay_hours", "__delay_norm", sort_key=delay_key)
-    ranked = rank_pct(ranked, "avg_cost_per_km", "__cost_norm",
-                      sort_key=F.round("avg_cost_per_km", 9))
+    # one row per route, read by both rank passes; exact means, so ties are ties
+    routes = cut_lineage(_percent(exact_agg(
+        enriched, ROUTE_KEYS, {"trips": "delivery_id"}, sums={"total_volume_ton": "volume_ton"},
+        means={"avg_distance_km": "distance_km", "avg_delay_hours": "delay_hours",
+               "delay_rate_pct": "delay_flag", "avg_cost_per_km": "cost_per_km"})))
+    ranked = rank_pct(routes, "avg_delay_hours", "__delay_norm")
+    ranked = rank_pct(ranked, "avg_cost_per_km", "__cost_norm")
     score = round_half_even((F.lit(0.6) * F.col("__delay_norm")
                              + F.lit(0.4) * F.col("__cost_norm")) * F.lit(100.0), 1)
     return (ranked.withColumn("route_risk_score", score)

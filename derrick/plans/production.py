@@ -6,9 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from derrick.functions.exprs import (clip, date_parts, exact_avg, exact_sum, fill_const,
-                                     nan_to_null, to_day)
-from derrick.operators.aggregates import corr_pairwise, group_by_dropna
+from derrick.functions.exprs import clip, date_parts, fill_const, nan_to_null, to_day
+from derrick.operators.aggregates import corr_pairwise, exact_agg, group_by_dropna
 from derrick.operators.clean import iqr_filter, impute_group_median
 from derrick.operators.joins import join_left_composite, join_left_dim
 from derrick.operators.windows import head_tail_segments, row_number_rank
@@ -58,27 +57,22 @@ def feature_table(production_clean: DataFrame, telemetry: DataFrame,
     return impute_group_median(joined, "well_id", list(TELEMETRY_FEATURES), approx=approx_medians)
 
 
-def daily_production(features: DataFrame, exact: bool = False) -> DataFrame:
+def daily_production(features: DataFrame) -> DataFrame:
     """Per day: total oil, mean pressure/temperature/downtime; plus year and
     month for partitioned output."""
-    total = exact_sum("oil_ton", 2) if exact else F.sum("oil_ton")
-    out = group_by_dropna(features, ["date"]).agg(
-        F.coalesce(total, F.lit(0.0)).alias("total_oil_ton"),
-        F.avg("avg_pressure").alias("avg_pressure"),
-        F.avg("avg_temperature").alias("avg_temperature"),
-        F.avg("downtime_coef").alias("avg_downtime_coef"))
+    out = exact_agg(features, ["date"], sums={"total_oil_ton": "oil_ton"}, means={
+        "avg_pressure": "avg_pressure", "avg_temperature": "avg_temperature",
+        "avg_downtime_coef": "downtime_coef"})
     return out.withColumns(date_parts("date")).select(*DAILY_COLUMNS)
 
 
-def well_kpi(features: DataFrame, wells: DataFrame, exact: bool = False) -> DataFrame:
+def well_kpi(features: DataFrame, wells: DataFrame) -> DataFrame:
     """Per well: mean oil, downtime share in %, mean pressure and temperature,
     the well's attributes, and a 1..n rank by mean oil (ties: lower id first)."""
-    oil = exact_avg("oil_ton", 2) if exact else F.avg("oil_ton")
-    kpi = group_by_dropna(features, ["well_id"]).agg(
-        oil.alias("avg_oil_ton"),
-        (F.avg("downtime_coef") * 100.0).alias("downtime_pct"),
-        F.avg("avg_pressure").alias("avg_pressure"),
-        F.avg("avg_temperature").alias("avg_temperature"))
+    kpi = exact_agg(features, ["well_id"], means={
+        "avg_oil_ton": "oil_ton", "downtime_pct": "downtime_coef", "avg_pressure": "avg_pressure",
+        "avg_temperature": "avg_temperature"})
+    kpi = kpi.withColumn("downtime_pct", F.col("downtime_pct") * 100.0)
     kpi = join_left_dim(kpi, wells, "well_id", ["name", "field_name", "region", "status"])
     ranked = row_number_rank(kpi, "avg_oil_ton", True, ["well_id"], "performance_rank")
     return ranked.select(*WELL_KPI_COLUMNS)

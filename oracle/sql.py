@@ -28,12 +28,18 @@ def R(expr: str, alias: str) -> str:
     return f"CAST(CAST(CAST({expr} AS DOUBLE) AS FLOAT) AS DOUBLE) AS {alias}"
 
 
-def EXACT_AVG(col: str, scale: int) -> str:
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE) / COUNT({col})"
+def EXACT_AVG(col: str) -> str:
+    return f"fsum({col}) / count({col})"
 
 
-def EXACT_SUM(col: str, scale: int) -> str:
-    return f"coalesce(CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE), 0)"
+def EXACT_SUM(col: str) -> str:
+    return f"coalesce(fsum({col}), 0)"
+
+
+def KEY_HASH(*keys: str, seed: int = 42) -> str:
+    """60 bits of the MD5 of the keys as text; NULL is ``~``."""
+    text = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '~')" for k in keys)
+    return f"CAST('0x' || substr(md5(concat_ws('|', {text}, '{seed}')), 1, 15) AS BIGINT)"
 
 
 # ---------------------------------------------------------------- production
@@ -92,7 +98,7 @@ ORACLE["clean_production"] = W("production") + CLEAN + f"SELECT {CLEAN_COLS} FRO
 ORACLE["feature_table"] = W("production", "telemetry") + FEATURES + f"SELECT {FEATURE_COLS} FROM features"
 
 ORACLE["mart_daily_production"] = W("production", "telemetry") + FEATURES + f"""
-SELECT date, {R(EXACT_SUM('oil_ton', 2), 'total_oil_ton')},
+SELECT date, {R(EXACT_SUM('oil_ton'), 'total_oil_ton')},
        {R('avg(avg_pressure)', 'avg_pressure')}, {R('avg(avg_temperature)', 'avg_temperature')},
        {R('avg(downtime_coef)', 'avg_downtime_coef')},
        CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
@@ -100,7 +106,7 @@ FROM features WHERE date IS NOT NULL GROUP BY date"""
 
 WELL_KPI = FEATURES + f""",
 kpi AS (
-  SELECT well_id, {EXACT_AVG('oil_ton', 2)} AS avg_oil_ton, avg(downtime_coef) * 100 AS downtime_pct,
+  SELECT well_id, {EXACT_AVG('oil_ton')} AS avg_oil_ton, avg(downtime_coef) * 100 AS downtime_pct,
          avg(avg_pressure) AS avg_pressure, avg(avg_temperature) AS avg_temperature
   FROM features WHERE well_id IS NOT NULL GROUP BY well_id),
 well_kpi AS (
@@ -156,9 +162,9 @@ ORACLE["enrich_deliveries"] = LOGI + "SELECT delivery_id, date, driver_id, vehic
 
 ORACLE["mart_delay_vs_weather"] = LOGI + f"""
 SELECT weather_conditions, count(delivery_id) AS trips,
-       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')},
+       {R(EXACT_AVG('delay_hours'), 'avg_delay_hours')},
        {R('avg(delay_flag) * 100', 'delay_rate_pct')},
-       {R(EXACT_AVG('distance_km', 5), 'avg_distance_km')}
+       {R(EXACT_AVG('distance_km'), 'avg_distance_km')}
 FROM enriched WHERE weather_conditions IS NOT NULL GROUP BY weather_conditions"""
 
 ORACLE["mart_cost_vs_distance"] = LOGI + "SELECT delivery_id, date, route, source, destination, " \
@@ -168,12 +174,12 @@ ORACLE["mart_cost_vs_distance"] = LOGI + "SELECT delivery_id, date, route, sourc
 
 ORACLE["mart_driver_kpi"] = LOGI + f"""
 SELECT driver_id, driver_name, experience_years, driver_region, count(delivery_id) AS trips,
-       {R(EXACT_SUM('volume_ton', 2), 'total_volume_ton')},
-       {R(EXACT_SUM('cost_usd', 4), 'total_cost_usd')},
-       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')},
+       {R(EXACT_SUM('volume_ton'), 'total_volume_ton')},
+       {R(EXACT_SUM('cost_usd'), 'total_cost_usd')},
+       {R(EXACT_AVG('delay_hours'), 'avg_delay_hours')},
        {R('avg(delay_flag) * 100', 'delay_rate_pct')},
        {R('avg(cost_per_km)', 'avg_cost_per_km')},
-       {R(EXACT_AVG('distance_km', 5), 'avg_distance_km')},
+       {R(EXACT_AVG('distance_km'), 'avg_distance_km')},
        {R('avg(load_factor)', 'avg_load_factor')}
 FROM enriched
 WHERE driver_id IS NOT NULL AND driver_name IS NOT NULL AND experience_years IS NOT NULL
@@ -184,18 +190,18 @@ FACTOR_BUCKETS = f"""
 SELECT b.factor_value, coalesce(a.trips, 0) AS trips, a.avg_delay_hours, 'distance_bucket' AS factor_type
 FROM (VALUES ('short'), ('medium'), ('long'), ('very_long')) AS b(factor_value)
 LEFT JOIN (SELECT distance_bucket, count(delivery_id) AS trips,
-                  {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')}
+                  {R(EXACT_AVG('delay_hours'), 'avg_delay_hours')}
            FROM enriched_f WHERE distance_bucket IS NOT NULL GROUP BY distance_bucket) a
   ON a.distance_bucket = b.factor_value"""
 
 ORACLE["agg_factor_long"] = LOGI + ", enriched_f AS (SELECT * FROM enriched)" + f"""
 SELECT weather_conditions AS factor_value, count(delivery_id) AS trips,
-       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')}, 'weather' AS factor_type
+       {R(EXACT_AVG('delay_hours'), 'avg_delay_hours')}, 'weather' AS factor_type
 FROM enriched WHERE weather_conditions IS NOT NULL GROUP BY weather_conditions
 UNION ALL {FACTOR_BUCKETS}
 UNION ALL
 SELECT driver_name AS factor_value, count(delivery_id) AS trips,
-       {R(EXACT_AVG('delay_hours', 2), 'avg_delay_hours')}, 'driver' AS factor_type
+       {R(EXACT_AVG('delay_hours'), 'avg_delay_hours')}, 'driver' AS factor_type
 FROM enriched WHERE driver_name IS NOT NULL GROUP BY driver_name"""
 
 ORACLE["agg_full_domain"] = LOGI + ", enriched_f AS (SELECT * FROM enriched)" \
@@ -205,15 +211,15 @@ ORACLE["agg_full_domain"] = LOGI + ", enriched_f AS (SELECT * FROM enriched)" \
 ORACLE["mart_route_optimization"] = LOGI + f""",
 routes AS (
   SELECT route, source, destination, count(delivery_id) AS trips,
-         {EXACT_SUM('volume_ton', 2)} AS total_volume_ton,
-         {EXACT_AVG('distance_km', 5)} AS avg_distance_km,
-         {EXACT_AVG('delay_hours', 2)} AS avg_delay_hours,
+         {EXACT_SUM('volume_ton')} AS total_volume_ton,
+         {EXACT_AVG('distance_km')} AS avg_distance_km,
+         {EXACT_AVG('delay_hours')} AS avg_delay_hours,
          avg(delay_flag) * 100 AS delay_rate_pct,
-         avg(cost_per_km) AS avg_cost_per_km
+         {EXACT_AVG('cost_per_km')} AS avg_cost_per_km
   FROM enriched
   WHERE route IS NOT NULL AND source IS NOT NULL AND destination IS NOT NULL
   GROUP BY route, source, destination),
-keyed AS (SELECT *, avg_delay_hours AS kd, round(avg_cost_per_km, 9) AS kc FROM routes),
+keyed AS (SELECT *, avg_delay_hours AS kd, avg_cost_per_km AS kc FROM routes),
 ranked AS (
   SELECT *,
     CASE WHEN kd IS NOT NULL THEN
@@ -396,6 +402,29 @@ SELECT {R('avg(abs(y - yhat))', 'mae')}, {R('sqrt(avg((y - yhat) * (y - yhat)))'
 FROM pairs"""
 
 
+ORACLE["split_train_test"] = TGT + f"""
+SELECT {KEY_HASH('well_id', 'date')} < {int(0.25 * (1 << 60))} AS is_test, count(*) AS rows
+FROM ds GROUP BY 1"""
+
+# the rows of the floor(n / 4 + 1 / 2) smallest hashes of each class
+ORACLE["split_stratified"] = PUMPS + LABELLED + f""",
+h AS (SELECT will_fail_24h, {KEY_HASH('record_id')} AS h FROM lab),
+r AS (SELECT *, row_number() OVER (PARTITION BY will_fail_24h ORDER BY h) AS place,
+             count(*) OVER (PARTITION BY will_fail_24h) AS n FROM h)
+SELECT will_fail_24h, place <= floor(n * 0.25 + 0.5) AS is_test, count(*) AS rows FROM r GROUP BY 1, 2"""
+
+ORACLE["error_over_time"] = W("well_targets", "production") + f""",
+t AS (SELECT well_id, date, daily_oil_ton AS y FROM well_targets
+      WHERE well_id IS NOT NULL AND date IS NOT NULL AND daily_oil_ton IS NOT NULL),
+e AS (SELECT 'reported' AS model, t.date, y - p.oil_ton AS e FROM t JOIN production p
+        ON t.well_id = p.well_id AND t.date = p.date
+      UNION ALL
+      SELECT 'day_before', t.date, t.y - b.y FROM t JOIN t b ON t.well_id = b.well_id AND t.date = b.date + 1)
+SELECT model, strftime(CAST(date AS DATE), '%Y-%m-%d') AS date, {R('avg(abs(e))', 'mae_day')},
+       {R('sqrt(avg(e * e))', 'rmse_day')}
+FROM e WHERE e IS NOT NULL GROUP BY model, date"""
+
+
 # ------------------------------------------------------------------- changes
 # Replay per id: an item exists from its first valid create up to the first
 # delete after it; updates/deletes outside that span are "not found", any

@@ -232,8 +232,8 @@ ORACLE["impute_group_then_global"] = W("well_targets", "telemetry", "production"
 
 DRIVER_KPI = f""",
 dk AS (
-  SELECT driver_id, {EXACT_SUM('cost_usd', 4)} AS total_cost_usd,
-         {EXACT_AVG('delay_hours', 2)} AS avg_delay_hours
+  SELECT driver_id, {EXACT_SUM('cost_usd')} AS total_cost_usd,
+         {EXACT_AVG('delay_hours')} AS avg_delay_hours
   FROM enriched
   WHERE driver_id IS NOT NULL AND driver_name IS NOT NULL AND experience_years IS NOT NULL
     AND driver_region IS NOT NULL

@@ -88,9 +88,36 @@ def test_row_max_abs_skips_null(spark):
     assert col_values(df.select("i", X.row_max_abs(["a", "b"]).alias("y"))) == [3.0, 2.0]
 
 
-def test_exact_avg_is_order_independent(spark):
-    vals = [0.1] * 7 + [0.2] * 3
-    df = one_col(spark, vals)
-    a = df.agg(X.exact_avg("x", 2).alias("y")).first()["y"]
-    b = df.orderBy(F.desc("i")).repartition(3).agg(X.exact_avg("x", 2).alias("y")).first()["y"]
-    assert a == b == 1.3 / 10
+def _agg(df, **kw):
+    from derrick.operators.aggregates import exact_agg
+    return exact_agg(df, ["k"], **kw)
+
+
+def test_exact_sums_need_no_scale(spark):
+    df = spark.createDataFrame([(1, 0.12345), (1, 0.12345), (2, 1e300), (2, 1.0), (2, -1e300), (2, 5e-324),
+                                (3, None), (None, 7.0), (4, float("inf")), (4, 1.0), (5, float("nan")), (5, -0.0)],
+                               "k int, x double")
+    got = {r.k: (r.s, r.m, r.n) for r in _agg(df, sums={"s": "x"}, means={"m": "x"}, counts={"n": "x"}).collect()}
+    assert got == {1: (0.2469, 0.12345, 2), 2: (1.0, 0.25, 4), 3: (0.0, None, 0),
+                   4: (float("inf"), float("inf"), 2), 5: (0.0, 0.0, 2)}
+
+
+def test_exact_sums_are_order_independent_and_correctly_rounded(spark):
+    import math
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=4000) * 10.0 ** rng.integers(-6, 7, 4000)
+    df = spark.createDataFrame([(int(i % 7), float(v)) for i, v in enumerate(x)], "k int, x double")
+    a = sorted(tuple(r) for r in _agg(df, sums={"s": "x"}).collect())
+    b = sorted(tuple(r) for r in _agg(df.orderBy("x").repartition(5), sums={"s": "x"}).collect())
+    assert a == b == [(k, math.fsum(x[k::7])) for k in range(7)]
+
+
+def test_double_parts_lose_nothing(spark):
+    from fractions import Fraction
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.integers(-2 ** 63, 2 ** 63 - 1, 3000).view(np.float64),
+                        2.0 ** np.arange(-1074, 1024), [0.0, 1.0, -1.0, 5e-324]])
+    x = x[np.isfinite(x)]
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").select("x", X.double_parts("x").alias("p"))
+    for r in df.collect():
+        assert Fraction(r.p.part) * Fraction(2) ** (8 * r.p.bin) == Fraction(r.x) and abs(r.p.part) < 2 ** 62
