@@ -13,9 +13,9 @@ item, items are dealt to groups of at most ``GROUP_BYTES``, and each group gets
 its own scan; hits of the groups are united per document. One group is one
 automaton and one scan.
 
-Defined results: null text and null items have no words; items without an id are
-left out; items that repeat count
-once per item_id; rows that repeat an id stay rows; empty tables give no hits (or
+Defined results: null text and null items have no words; items without an id hit
+and contaminate like any other, but are not among the items counted and named; items
+that repeat count once per item_id; rows that repeat an id stay rows; empty tables give no hits (or
 no rows); other columns are ignored.
 """
 
@@ -111,8 +111,9 @@ _HIT_SQL = ("struct<n_words:long,n_hit:long,n_items:long,items_sha256:string,con
 
 
 def _result(text: str | None, n: int, spans: list, items: set) -> dict:
-    names = ",".join(sorted(str(i) for i in items))
-    return {"n_words": n, "n_hit": sum(y - x for x, y in spans), "n_items": len(items),
+    named = sorted(str(i) for i in items if i is not None)
+    names = ",".join(named)
+    return {"n_words": n, "n_hit": sum(y - x for x, y in spans), "n_items": len(named),
             "items_sha256": hashlib.sha256(names.encode()).hexdigest(), "contaminated": bool(spans),
             "spans": original_spans(text, spans) if spans else []}
 
@@ -124,13 +125,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, name: str = "_hit", win
     spark = docs.sparkSession
     common.ship_package(spark)
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
-        "text is not null and item_id is not null")
+        "text is not null")
     # an item's windows take at most `window` times its own bytes
     total = bench.agg(F.sum(F.octet_length("text").cast("double") * window)).first()[0] or 0.0
     groups = common.groups_for(int(total), group_bytes)
     held = []
     for g in range(groups):
-        own = bench if groups == 1 else bench.where(common.hashed("item_id", groups) == g)
+        own = bench if groups == 1 else bench.where(common.hashed(F.struct("item_id", "text"), groups) == g)
         held.append(spark.sparkContext.broadcast([tuple(r) for r in own.collect()]))
     schema = T.StructType([*docs.schema.fields,
                            T.StructField(name, T._parse_datatype_string(_HIT_SQL))])
@@ -154,7 +155,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, name: str = "_hit", win
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("_th"),
                      pa.array([[{"start": x, "stop": y} for x, y in f[1]] for f in found], _SPAN),
-                     pa.array([sorted(f[2]) for f in found], pa.list_(pa.int64()))],
+                     pa.array([sorted(i for i in f[2] if i is not None) for f in found], pa.list_(pa.int64()))],
                     names=["doc_id", "_th", "_ranges", "_items"])
         return run
     parts = None

@@ -100,7 +100,7 @@ _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQR
 
 _OP6 = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 iw AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS g
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
@@ -117,7 +117,7 @@ hit AS (
   FROM (SELECT doc_id, unnest(range(pos, pos + k)) AS p FROM h) GROUP BY doc_id),
 it AS (
   SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated

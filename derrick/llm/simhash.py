@@ -13,15 +13,16 @@ side; those of distance mu + 1 .. mu + r overlap the boundary and also go to the
 inner side. By the triangle bound two halves within r then always meet in a leaf,
 and all other branches are pruned. Leaves are shards: inside, pairs are compared
 exactly on all 64 bits. A shard returns one link per linked fingerprint (to its
-group's smallest id), never all pairs; shards above ``SHARD`` fingerprints are cut
+group's smallest), never all pairs; shards above ``SHARD`` fingerprints are cut
 into tiles in which any two still meet.
 
 Trees are grown on a bounded sample of ``SAMPLE`` distinct fingerprints (smallest
 hash first); every fingerprint is routed.
 
 Defined results: a null or blank text has fingerprint 0 and links like any other;
-rows that repeat an id stay rows; a row with a null id gets its fingerprint and
-the component of the others with it (null if there is none); an empty table gives
+rows that repeat an id stay rows and are linked by their texts alone; a row with a
+null id links like any other and gets the smallest id of its group (null if there is
+none); an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -200,26 +201,28 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, _th, fingerprint (16 hex digits), component_id
     (smallest doc_id of its group of linked fingerprints), n_copies (rows with the
-    same fingerprint)."""
+    same fingerprint), _group (the group's smallest fingerprint, as a signed long)."""
     prints = common.shared_table(fingerprints(docs, words))
     distinct = common.shared_table(prints.groupBy("fp").agg(
-        F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n_copies")))
-    linked = components(links(distinct.where("id is not null").select("fp", "id"), max_bits))
-    groups = distinct.join(linked.withColumnRenamed("node", "id"), "id", "left").select(
-        "fp", "n_copies", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(groups, "fp").select(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies")))
+    # fingerprints are the nodes: ids may repeat or be null
+    linked = components(links(distinct.select("fp", F.col("fp").alias("id")), max_bits))
+    grouped = common.shared_table(distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
+        "fp", "least", "n_copies", F.coalesce("component", "fp").alias("_group")))
+    smallest = grouped.groupBy("_group").agg(F.min("least").alias("component_id"))
+    grouped = grouped.join(smallest, "_group").select("fp", "n_copies", "_group", "component_id")
+    return prints.join(grouped, "fp").select(
         "doc_id", "_th", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id", "n_copies")
+        "component_id", "n_copies", "_group")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: the one with the
-    smallest doc_id (without any id: the smallest text hash of a fingerprint)."""
+    smallest doc_id, ids before nulls, then the smallest text hash."""
     found = near_duplicates(docs, words, max_bits)
-    stays = found.where("doc_id <=> component_id").groupBy(
-        "component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("_fp")).agg(
-        F.min("_th").alias("_k_th")).select(F.coalesce("component_id", F.lit(0).cast("long")).alias("_k_id"),
-                                           F.col("component_id").isNull().alias("_k_null"), "_k_th")
+    stays = found.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th"))
+                                        .alias("k")).select(
+        F.coalesce("k.doc_id", F.lit(0).cast("long")), "k.none", "k._th")
     names = [common.free_name(docs, c) for c in ("_k_id", "_k_null", "_k_th")]
     stays = stays.toDF(*names)
     d = docs.withColumns({names[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),

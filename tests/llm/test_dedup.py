@@ -125,6 +125,29 @@ def test_simhash_edges(spark):
     assert kept.count() == len(set(brute_groups(prints, list(range(len(EDGE))))))
 
 
+def test_simhash_repeated_and_null_ids(spark):
+    """Unlinked texts under one id stay apart; rows without an id link and bridge."""
+    rnd = np.random.default_rng(9)
+
+    def text(n):
+        return " ".join(f"w{rnd.integers(0, 10 ** 6)}" for _ in range(n))
+    a, b, c = text(400), text(400), text(400)
+    rows = [(5, a), (5, b), (3, b + " end"), (None, c), (None, c + " z"), (None, a + " x"), (8, a + " x y"), (8, c)]
+    prints = [brute_print(t) for _, t in rows]
+    ids = [i for i, _ in rows]
+    df = make(spark, [t for _, t in rows], ids)
+    got = sorted(((r.fingerprint, r.component_id) for r in simhash.near_duplicates(df).collect()))
+    groups = brute_groups(prints, ids)
+    assert got == sorted((f"{p:016x}", g) for p, g in zip(prints, groups))
+    place = brute_groups(prints, list(range(len(rows))))
+    kept = sorted((r.doc_id is None, r.doc_id, r.text) for r in simhash.one_of_each(df).collect())
+    best = {}
+    for (i, t), g in zip(rows, place):
+        best.setdefault(g, []).append((i is None, i or 0))
+    assert len(kept) == len(best)
+    assert sorted((k[0], k[1] or 0) for k in kept) == sorted(min(v) for v in best.values())
+
+
 def test_trees_and_tiles_find_every_close_pair(spark, monkeypatch):
     rnd = np.random.default_rng(4)
     base = rnd.integers(0, 1 << 63, 60, dtype=np.uint64)

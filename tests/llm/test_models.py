@@ -28,7 +28,7 @@ def brute_hits(texts, items):
                 for k in range(len(w) - len(win) + 1):
                     if w[k:k + len(win)] == win:
                         hit.update(range(k, k + len(win)))
-                        found.add(str(item))
+                        found |= set() if item is None else {str(item)}
         out.append((len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
                     bool(hit)))
     return out
@@ -49,13 +49,15 @@ def test_decontamination(spark, sample):
 
 
 def test_decontamination_edges(spark):
-    items = [(1, "Word"), (2, "same text here"), (2, "same text here"), (3, None), (4, "--"), (None, "x"),
+    items = [(1, "Word"), (2, "same text here"), (2, "same text here"), (3, None), (4, "--"), (None, "x"), (None, "tail"),
              (10, "é ü"), (11, " ".join(["of text long words"] * 5))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     df = make(spark, EDGE, range(len(EDGE))).withColumn("n_hit", F.lit("clash"))
-    assert hits(df, bench) == brute_hits(EDGE, [i for i in items if i[0] is not None])
+    expected = brute_hits(EDGE, items)
+    assert expected[10][1:3] == (1, 0) and expected[10][4]          # hit by an item without an id
+    assert hits(df, bench) == expected and hits(df, bench, group_bytes=50) == expected
     spans = {r.doc_id: [tuple(s) for s in r._hit.spans] for r in decontaminate.decontaminate(df, bench).collect()}
-    assert spans[3] == [(0, 4)] and spans[4] == []          # upper-case non-ASCII letters stay as they are
+    assert spans[3] == [(0, 4)] and spans[4] == [(6, 7)]    # by an item without an id
     none = bench.limit(0)
     assert {r[4] for r in hits(df, none)} == {False} and hits(make(spark, []), bench) == []
 
