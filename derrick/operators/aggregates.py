@@ -59,6 +59,11 @@ def exact_agg(df: DataFrame, keys: Sequence[str], counts: Mapping[str, str] | No
     return grouped.select(*keys, *out)
 
 
+def total(c: str | Column) -> Column:
+    """Sum where the sum of no values is 0, as in pandas."""
+    return F.coalesce(F.sum(as_col(c)), F.lit(0.0))
+
+
 def _measure(i: int) -> Column:
     return F.filter("__p", lambda e: e["i"] == i)
 

@@ -1,10 +1,10 @@
 """Joins: size-checked dimension broadcast, composite left joins, the
 time-range join and the as-of "next event" join.
 
-The two temporal joins never pair all rows of a key with each other: both
-split a key's timeline into fixed buckets so that a hot key (one pump with a
-third of all readings) is spread over many tasks, and only rows that can
-match meet.
+The two temporal joins never pair all rows of a key with each other: the range
+join splits a key's timeline into fixed buckets, the as-of join into range
+partitions, so that a hot key (one pump with a third of all readings) is spread
+over many tasks, and only rows that can match meet.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from derrick.operators.ranking import stretches
+
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
@@ -99,60 +101,37 @@ def join_time_range(left: DataFrame, right: DataFrame, key: str, left_ts: str,
 
 def join_next_event(left: DataFrame, right: DataFrame, key: str, left_ts: str,
                     right_ts: str, out: str = "next_event_ts",
-                    bucket_hours: float = 24.0) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """As-of forward: for each left row, the earliest ``right_ts >= left_ts``
-    of the same key (NULL when none). Left rows are kept one-to-one.
-
-    Two levels, no row pairs:
-    * inside a (key, bucket) slot: union of left and right rows, ``min`` of
-      right times over a RANGE frame from the current time onwards (equal
-      times count);
-    * across slots: per (key, slot) the earliest right time and its suffix
-      minimum, spread over the slots up to the previous event slot (a table
-      built from the right side only, one row per (key, slot) of the key's
-      event span), joined back on (key, slot).
-    A hot key is split over its time slots, the left side is scanned and
-    shuffled once, and no window runs over the rows of a whole key.
+    of the same key (NULL when none, or without key or time). Left rows are kept
+    one-to-one.
+
+    Rows of both sides are range-partitioned and sorted on (key, time), so a hot key
+    is cut along its time. Inside a partition a RANGE frame from the row's time onwards
+    finds the next event (equal times count); beyond it, the first event of every later
+    partition of the key: a table of one row per (partition, key), at most as many as
+    there are keys and partitions, whatever the time span. Rows that can't match
+    never move.
     """
-    width = int(bucket_hours * 3.6e9)
     lt_type = left.schema[left_ts].dataType
-    l = left.withColumn("__slot", F.floor(epoch_micros(left, left_ts) / F.lit(width)).cast("long"))
-    r = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
-         .select(F.col(key), F.col(right_ts).cast(lt_type).alias("__rts"),
-                 F.floor(epoch_micros(right, right_ts) / F.lit(width)).cast("long").alias("__slot")))
-    # level 1: within a slot; right rows carry NULL for the left columns
-    left_cols = [c for c in left.columns if c != key]
-    lhs = l.select(*left.columns, "__slot", F.col(left_ts).alias("__t"),
-                   F.lit(True).alias("__is_left"), F.lit(None).cast(lt_type).alias("__rts"))
-    rhs = r.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left_cols],
-                   key, "__slot", F.col("__rts").alias("__t"),
-                   F.lit(False).alias("__is_left"), "__rts").select(*lhs.columns)
-    w = (Window.partitionBy(key, "__slot").orderBy("__t")
-         .rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    same_slot = (lhs.unionByName(rhs)
-                 .withColumn("__same", F.min("__rts").over(w))
-                 .where(F.col("__is_left")))
-    # level 2: earliest event in any later slot of the key, from the events
-    # alone. Per key, fs_1 < fs_2 < ... are the slots holding events; every
-    # slot s in [fs_{i-1}, fs_i) has as "later" minimum the suffix minimum at
-    # fs_i, and slots before fs_1 the suffix minimum at fs_1. The dense table
-    # has one row per (key, slot) between a key's first and last event slot:
-    # its size follows the time span, not the number of readings.
-    slot_min = r.groupBy(key, "__slot").agg(F.min("__rts").alias("__smin"))
-    by_slot = Window.partitionBy(key).orderBy("__slot")
-    suffix = (slot_min
-              .withColumn("__suf", F.min("__smin").over(
-                  by_slot.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-              .withColumn("__prev", F.lag("__slot").over(by_slot)))
-    dense = (suffix.where(F.col("__prev").isNotNull())
-             .select(key, F.explode(F.sequence("__prev", F.col("__slot") - 1)).alias("__slot"),
-                     F.col("__suf").alias("__later")))
-    first = (suffix.where(F.col("__prev").isNull())
-             .select(key, F.col("__slot").alias("__first"), F.col("__suf").alias("__before")))
-    later = dense
-    return (same_slot.join(later, [key, "__slot"], "left")
-            .join(first, key, "left")
-            .withColumn(out, F.coalesce(
-                "__same", "__later",
-                F.when(F.col("__slot") < F.col("__first"), F.col("__before"))))
-            .select(*left.columns, out))
+    can = F.col(key).isNotNull() & F.col(left_ts).isNotNull()
+    never = left.where(~can).withColumn(out, F.lit(None).cast(lt_type))
+    lhs = left.where(can).select(*left.columns, F.col(left_ts).alias("__t"), F.lit(False).alias("__event"),
+                                 F.lit(None).cast(lt_type).alias("__rts"))
+    rts = F.col(right_ts).cast(lt_type)
+    rhs = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).select(
+        *[F.col(c).cast(left.schema[c].dataType).alias(c) if c == key
+          else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns],
+        rts.alias("__t"), F.lit(True).alias("__event"), rts.alias("__rts"))
+    rows = stretches(lhs.unionByName(rhs), [F.col(key).asc(), F.col("__t").asc(), F.col("__event").asc()],
+                     partitions)
+    onwards = (Window.partitionBy("__part", key).orderBy("__t")
+               .rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    later = Window.partitionBy("__key").orderBy("__p").rowsBetween(1, Window.unboundedFollowing)
+    carried = (rows.groupBy(F.col("__part").alias("__p"), F.col(key).alias("__key"))
+               .agg(F.min("__rts").alias("__first"))
+               .select("__p", "__key", F.min("__first").over(later).alias("__later")))
+    found = rows.withColumn("__same", F.min("__rts").over(onwards)).where(~F.col("__event"))
+    return (found.join(carried, (found["__part"] == carried["__p"]) & (found[key] == carried["__key"]), "left")
+            .select(*[found[c] for c in left.columns], F.coalesce("__same", "__later").alias(out))
+            .unionByName(never))

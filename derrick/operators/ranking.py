@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from derrick.session import cut_lineage
 
 
-def _stretches(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
+def stretches(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
     """``df`` with ``__part`` (numbers of partitions follow the order) and ``__at``
     (0, 1, ... inside the partition), checkpointed. ``partitions`` is Spark's
     shuffle setting unless given."""
@@ -47,7 +47,7 @@ def global_row_number(df: DataFrame, column: str, descending: bool, tiebreak: Se
     order total: only rows equal in every column share a partition, so neither a
     heavy tie nor many NULLs land in one task."""
     lead = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
-    rows = _stretches(df, [lead, *[F.col(c).asc() for c in tiebreak]], partitions)
+    rows = stretches(df, [lead, *[F.col(c).asc() for c in tiebreak]], partitions)
     before = F.broadcast(_before(rows, F.lit(1)))       # one row per shuffle partition
     return rows.join(before, "__part").select(
         *df.columns, (F.col("__before") + F.col("__at") + 1).alias(out))
@@ -65,7 +65,7 @@ def global_rank_pct(df: DataFrame, key: Column, out: str, partitions: int | None
         keyed = keyed.withColumn("__rk", F.nanvl("__rk", F.lit(None).cast("double")))
     vals = (keyed.where(F.col("__rk").isNotNull()).groupBy("__rk")
             .agg(F.count(F.lit(1)).alias("__n")))
-    vals = _stretches(vals, [F.col("__rk").asc()], partitions)
+    vals = stretches(vals, [F.col("__rk").asc()], partitions)
     totals = _before(vals, F.col("__n"))
     n = vals.agg(F.sum("__n").alias("__total"))         # one row
     inside = F.coalesce(F.sum("__n").over(

@@ -104,17 +104,36 @@ def _sensor_frames(spark, n_pumps=5, n_sensors=400, n_fail=40, seed=3):
     return s, f, sens, fails
 
 
-@pytest.mark.parametrize("bucket", [1.0, 24.0, 500.0])
-def test_join_next_event_equals_theta_join(spark, bucket):
+@pytest.mark.parametrize("parts", [None, 1, 40])
+def test_join_next_event_equals_theta_join(spark, parts):
     s, f, sens, fails = _sensor_frames(spark)
     got = {r["record_id"]: r["nxt"] for r in
-           J.join_next_event(s, f, "pump_id", "timestamp", "failure_date", "nxt", bucket).collect()}
+           J.join_next_event(s, f, "pump_id", "timestamp", "failure_date", "nxt", parts).collect()}
     assert len(got) == len(sens)
     for rid, pump, ts in sens:
         cands = [fd for _, p, fd in fails if p == pump and fd >= ts]
         assert got[rid] == (min(cands) if cands else None)
 
 
+def test_join_next_event_far_events_and_null_keys(spark):
+    """An event in the year 2999, 40 % rows without a key, a row without a time, equal times,
+    and a key whose readings fill several partitions."""
+    from datetime import datetime
+    start = datetime(2024, 1, 1)
+    sens = [(i, None if i % 5 < 2 else (7 if i % 5 < 4 else i % 11), None if i == 44 else start + timedelta(hours=i))
+            for i in range(600)]
+    fails = [(7, datetime(2999, 1, 1)), (7, start + timedelta(hours=100)), (7, start + timedelta(hours=102)),
+             (3, start + timedelta(hours=64)), (None, start + timedelta(hours=300)), (8, None)]
+    s = spark.createDataFrame(sens, "rid long, k long, t timestamp_ntz")
+    f = spark.createDataFrame(fails, "k long, ft timestamp_ntz")
+    for parts in (1, 13):
+        got = {r.rid: r.n for r in J.join_next_event(s, f, "k", "t", "ft", "n", parts).collect()}
+        assert len(got) == 600
+        for rid, k, t in sens:
+            after = [x for fk, x in fails if k is not None and fk == k and t and x and x >= t]
+            assert got[rid] == (min(after) if after else None)
+
+
 def test_join_time_range_equals_brute_force(spark):
     s, f, sens, fails = _sensor_frames(spark)
     got = rows(J.join_time_range(s, f, "pump_id", "timestamp", "failure_date", 24.0)
@@ -270,7 +289,7 @@ def test_temporal_joins_with_a_hot_pump(spark):
     s = spark.createDataFrame(sens, "record_id long, pump_id long, timestamp timestamp_ntz")
     f = spark.createDataFrame(fails, "failure_id long, pump_id long, failure_date timestamp_ntz")
     got = {r["record_id"]: r["nxt"] for r in
-           J.join_next_event(s, f, "pump_id", "timestamp", "failure_date", "nxt", 6.0).collect()}
+           J.join_next_event(s, f, "pump_id", "timestamp", "failure_date", "nxt", 11).collect()}
     for rid, p, ts in sens:
         cands = [fd for _, fp, fd in fails if fp == p and fd >= ts]
         assert got[rid] == (min(cands) if cands else None)
