@@ -337,13 +337,14 @@ def q_changes_rejects(spark, sf):
 
 @register("lookup_by_id")
 def q_lookup(spark, sf):
-    """Every id an update or delete asked for: found or not. (``completed``
-    is left out of the check: a nullable boolean reaches pandas as object in
-    Spark but as an extension dtype in DuckDB.)"""
+    """Every id an update or delete asked for: found or not. (``completed`` is compared
+    as 0/1 text: a nullable boolean reaches pandas as object in Spark but as an
+    extension dtype in DuckDB.)"""
     ch = _changes(spark, sf)
     snap, _ = CH.changes_apply(ch)
     found = CH.lookup_by_id(snap, ch.where(F.col("op") != "create"))
-    return found.select("id", "found", "title", "description", "created_at")
+    return found.select("id", "found", "title", "description", "created_at",
+                        F.col("completed").cast("int").cast("string").alias("completed"))
 
 
 @register("snapshot_newest_first")

@@ -467,7 +467,8 @@ ORACLE["changes_apply"] = CHANGES + "SELECT * FROM snap"
 ORACLE["changes_rejects"] = CHANGES + \
     "SELECT seq, op, id, outcome AS reason FROM decided WHERE outcome IS NOT NULL"
 ORACLE["lookup_by_id"] = CHANGES + """
-SELECT r.id, s.title, s.description, s.created_at, s.id IS NOT NULL AS found
+SELECT r.id, s.title, s.description, s.created_at, s.id IS NOT NULL AS found,
+       CAST(CAST(CAST(s.completed AS BOOLEAN) AS INTEGER) AS VARCHAR) AS completed
 FROM (SELECT DISTINCT id FROM item_changes WHERE op <> 'create') r
 LEFT JOIN snap s ON r.id = s.id"""
 ORACLE["snapshot_newest_first"] = CHANGES + """
