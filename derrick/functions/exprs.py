@@ -17,7 +17,7 @@ __all__ = [
     "as_col", "cast_datetime", "coerce_numeric", "nan_to_null", "fill_const",
     "fallback", "clip", "safe_div", "concat_route", "bool_flag", "cut_right_closed",
     "bin_distance", "bin_risk", "case_action", "to_day", "date_parts",
-    "hours_between", "round_half_even", "row_max_abs", "double_parts", "double_of_parts",
+    "hours_between", "round_half_even", "row_max_abs", "double_size", "double_bin", "double_part", "double_of_parts",
     "DISTANCE_EDGES", "DISTANCE_LABELS", "RISK_EDGES", "RISK_LABELS", "ACTIONS",
 ]
 
@@ -144,25 +144,40 @@ def row_max_abs(cols: Sequence[str | Column]) -> Column:
     return F.greatest(*[F.abs(as_col(c)) for c in cols])
 
 
-#: width, in powers of two, of the bins of :func:`double_parts`
+#: width, in powers of two, of the bins of :func:`double_bin`
 PART_BITS = 8
 #: bin of infinite values
 INFINITE = 999
+#: bin of the smallest doubles
+LOWEST = -142
 
 
-def double_parts(c: str | Column) -> Column:
-    """A double without loss as struct(bin int, part long): value = part * 2^(8 bin),
-    NULL for NULL and NaN. Whole parts of one bin add up exactly in any order."""
-    x = nan_to_null(as_col(c).cast("double"))
-    size = F.floor(F.log2(F.abs(x)))                    # off by one at most, next to a power of two
-    at = F.floor((size - 53) / PART_BITS).cast("int")
-    shift = at * PART_BITS
-    half = F.floor(shift / 2)
-    part = x * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - shift)
-    finite = F.abs(x) < float("inf")
-    return F.when(x.isNotNull(), F.struct(
-        F.when(x == 0, F.lit(0)).when(finite, at).otherwise(F.lit(INFINITE)).alias("bin"),
-        F.when(x == 0, F.lit(0.0)).when(finite, part).otherwise(F.signum(x)).cast("long").alias("part")))
+def _powers(sign: int) -> tuple[Column, Column]:
+    """2^(sign 8 bin) for every bin from LOWEST on, as two arrays whose product it is
+    (the whole power may be beyond a double)."""
+    all_ = range(LOWEST, LOWEST + 266)
+    halves = [(sign * PART_BITS * b) // 2 for b in all_]
+    return (F.array(*[F.lit(2.0 ** h) for h in halves]),
+            F.array(*[F.lit(2.0 ** (sign * PART_BITS * b - h)) for b, h in zip(all_, halves)]))
+
+
+def double_size(x: Column) -> Column:
+    """The power of two a double lies next to, off by one at most; NULL for 0."""
+    return F.floor(F.log2(F.abs(x)))
+
+
+def double_bin(x: Column, size: Column) -> Column:
+    """The bin of a double that is neither NULL nor NaN, from its :func:`double_size`."""
+    return (F.when(x == 0, F.lit(0)).when(F.abs(x) < float("inf"), F.floor((size - 53) / PART_BITS).cast("int"))
+            .otherwise(F.lit(INFINITE)))
+
+
+def double_part(x: Column, bin_: Column) -> Column:
+    """The double without loss as a whole number: x = part * 2^(8 bin). Parts of one
+    bin add up exactly in any order."""
+    first, second = _powers(-1)
+    at = bin_ - F.lit(LOWEST)
+    return (F.when(bin_ == INFINITE, F.signum(x)).otherwise(x * F.get(first, at) * F.get(second, at))).cast("long")
 
 
 def double_of_parts(parts: Column) -> Column:

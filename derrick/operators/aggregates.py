@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from derrick.functions.exprs import as_col, double_of_parts, double_parts
+from derrick.functions.exprs import as_col, double_bin, double_of_parts, double_part, double_size
 
 
 def group_by_dropna(df: DataFrame, keys: Sequence[str]):
@@ -24,27 +24,35 @@ def exact_agg(df: DataFrame, keys: Sequence[str], counts: Mapping[str, str] | No
     once. Rows with a NULL key are dropped; the sum of no values is 0 and their mean
     NULL, as in pandas.
 
-    Every value becomes a whole number in a bin of its size (:func:`double_parts`);
-    (keys, measure, bin) are added up as decimals, combined on the map side, and a
-    second aggregate of a few rows per group puts the bins together. One scan.
+    Every value becomes a whole number in a bin of its size (:func:`double_part`);
+    (keys, measure, bin) are added up in three limbs of 21 bits, combined on the map
+    side and right for 4 * 10^12 rows a group, and a second aggregate of a few rows per
+    group puts limbs and bins together. One scan.
     """
     counts, sums, means = counts or {}, sums or {}, means or {}
     measures = [("count", n, c) for n, c in counts.items()] + [("sum", n, c) for n, c in sums.items()] \
         + [("mean", n, c) for n, c in means.items()]
-    cells = []
-    for i, (kind, _, c) in enumerate(measures):
-        part = (F.when(as_col(c).isNotNull(), F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("part")))
-                if kind == "count" else double_parts(c))
-        cells.append(F.struct(F.lit(i).alias("i"), part.alias("x")))
-    # a cell without a value keeps the group of rows that have none
-    cells.append(F.struct(F.lit(-1).alias("i"), F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("part"))
-                          .alias("x")))
-    stacked = (df.dropna(subset=list(keys)).select(*keys, F.explode(F.filter(
-        F.array(*cells), lambda e: e["x"].isNotNull())).alias("__e")))
-    binned = stacked.groupBy(*keys, F.col("__e.i").alias("__i"), F.col("__e.x.bin").alias("__bin")).agg(
-        F.sum(F.col("__e.x.part").cast("decimal(28,0)")).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    cells = [F.struct(F.lit(i).alias("i"), (F.when(as_col(c).isNotNull(), F.lit(0.0)) if kind == "count"
+                                            else as_col(c).cast("double")).alias("x"))
+             for i, (kind, _, c) in enumerate(measures)]
+    # a cell of its own keeps the group of rows that have no value
+    cells.append(F.struct(F.lit(-1).alias("i"), F.lit(0.0).alias("x")))
+    x, part = F.col("__x"), F.col("__part")
+    stacked = (df.dropna(subset=list(keys)).select(*keys, F.explode(F.array(*cells)).alias("__e"))
+               .select(*keys, F.col("__e.i").alias("__i"), F.col("__e.x").alias("__x"))
+               .where(x.isNotNull() & ~F.isnan(x))
+               .withColumn("__size", double_size(x)).withColumn("__bin", double_bin(x, F.col("__size")))
+               .withColumn("__part", double_part(x, F.col("__bin"))))
+    limb = F.lit((1 << 21) - 1).cast("long")
+    binned = stacked.groupBy(*keys, "__i", "__bin").agg(
+        F.sum(F.shiftright(part, 42)).alias("__a"), F.sum(F.shiftright(part, 21).bitwiseAND(limb)).alias("__b"),
+        F.sum(part.bitwiseAND(limb)).alias("__c"), F.count(F.lit(1)).alias("__n"))
+
+    def wide(c, bits):
+        return F.col(c).cast("decimal(20,0)") * F.lit(1 << bits).cast("decimal(16,0)")
+    total_ = (wide("__a", 42) + wide("__b", 21) + wide("__c", 0)).cast("decimal(38,0)")
     grouped = binned.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
-        F.col("__i").alias("i"), F.col("__bin").alias("bin"), F.col("__s").alias("s"), F.col("__n").alias("n"))))
+        F.col("__i").alias("i"), F.col("__bin").alias("bin"), total_.alias("s"), F.col("__n").alias("n"))))
         .alias("__p"))
     out = []
     for i, (kind, name, _) in enumerate(measures):

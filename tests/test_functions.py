@@ -118,6 +118,7 @@ def test_double_parts_lose_nothing(spark):
     x = np.concatenate([rng.integers(-2 ** 63, 2 ** 63 - 1, 3000).view(np.float64),
                         2.0 ** np.arange(-1074, 1024), [0.0, 1.0, -1.0, 5e-324]])
     x = x[np.isfinite(x)]
-    df = spark.createDataFrame([(float(v),) for v in x], "x double").select("x", X.double_parts("x").alias("p"))
-    for r in df.collect():
-        assert Fraction(r.p.part) * Fraction(2) ** (8 * r.p.bin) == Fraction(r.x) and abs(r.p.part) < 2 ** 62
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    b = X.double_bin(F.col("x"), X.double_size(F.col("x")))
+    for r in df.withColumn("b", b).withColumn("p", X.double_part(F.col("x"), F.col("b"))).collect():
+        assert Fraction(r.p) * Fraction(2) ** (8 * r.b) == Fraction(r.x) and abs(r.p) < 2 ** 62
