@@ -5,13 +5,20 @@ hash): a hierarchy of balanced two-way splits cuts it into lists of equal sample
 size, whose means are the centroids; a neighbour graph over the centroids is
 searched best-first in memory. Every row is indexed: a vector goes to its nearest
 list and, near a boundary, to further lists within ``REPLICA_RATIO`` of the
-nearest centroid's distance (at most ``REPLICAS``). A query visits the lists whose
+nearest centroid's distance (at most ``REPLICAS``). A query's lists are those whose
 centroid lies within ``PROBE_RATIO`` of its nearest one (at least ``LEAST_PROBES``,
-at most ``PROBE_SHARE`` of all lists or ``PROBES``, whichever is more). Distances inside the lists are exact, in double precision.
+at most ``PROBE_SHARE`` of all lists or ``PROBES``, whichever is more).
+
+They are searched in two rounds. The ``FIRST`` nearest lists give each query a bound,
+its k-th distance so far. In the second round a list is left out if its radius does
+not reach inside the bound, and only rows within the bound leave a task, so what the
+search puts out follows the queries and not the lists they visit. Distances are exact,
+in double precision. Neighbouring lists (leaves in tree order) share a task group of
+about ``PART`` rows, to which a query goes once; a longer list is searched in parts, and
+the queries of a group in blocks of ``QUERIES``, so that no task holds more.
 
 Equal vectors beyond the ``k`` + 1 smallest ids can't be in any answer (ties go to
-smaller ids), so a per-key top-k keeps a hot vector out of the lists. A list of
-more than ``PART`` rows is searched in parts, to each of which its queries go.
+smaller ids), so a per-key top-k keeps a hot vector out of the lists.
 
 Defined results: vectors that are null, zero, of another length than the most
 frequent one, or hold null or non-finite components take no part; identical rows
@@ -37,7 +44,9 @@ LIST, LEAST_SAMPLE = 100, 8
 REPLICAS, REPLICA_RATIO = 6, 1.15
 PROBES, PROBE_SHARE, LEAST_PROBES, PROBE_RATIO = 96, 0.25, 24, 1.6
 NEIGHBOURS, BEAM = 24, 128
-PART = 20_000
+#: lists that give a query its bound; rows and queries that meet in a task
+FIRST = 8
+PART, QUERIES = 10_000, 20_000
 
 
 def valid(rows: DataFrame) -> DataFrame:
@@ -123,9 +132,56 @@ def _matrix(col, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def nearest(table: pa.Table, dim: int, k: int) -> pa.Table:
+    """(query_id, vec_id, score): of the rows of one task group, the ``k`` nearest within
+    each query's bound in the lists that it names."""
+    out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+    asked = table.column("q").to_numpy(zero_copy_only=False).astype(bool)
+    if asked.any() and not asked.all():
+        rows, ask = table.filter(pa.array(~asked)), table.filter(pa.array(asked))
+        own = rows.column("list").to_numpy()
+        order = np.argsort(own, kind="stable")
+        own, ids = own[order], rows.column("vec_id").to_numpy()[order]
+        m, qm = _matrix(rows.column("v"), dim)[order], _matrix(ask.column("v"), dim)
+        qids, bound = ask.column("vec_id").to_numpy(), ask.column("bound").to_numpy()
+        wanted = ask.column("lists").combine_chunks()
+        who = np.repeat(np.arange(len(qm)), wanted.value_lengths().to_numpy())
+        lists = wanted.flatten().to_numpy()
+        sm, sq = (m * m).sum(axis=1), (qm * qm).sum(axis=1)
+        for one in np.unique(lists):
+            a, e = np.searchsorted(own, [one, one + 1])
+            if a == e:
+                continue
+            few, mine = min(e - a, 4 * k + 8), who[lists == one]
+            step = max(1, 2_000_000 // (e - a))
+            for at in range(0, len(mine), step):
+                q = mine[at:at + step]
+                d = sq[q][:, None] + sm[None, a:e] - 2 * qm[q] @ m[a:e].T
+                near = np.argpartition(d, few - 1, axis=1)[:, :few]
+                # the quick distance only preselects, with room for its rounding
+                room = bound[q] ** 2 * (1 + 1e-9) + 1e-9 * (sq[q] + sm[a:e].max())
+                i, j = np.nonzero(np.take_along_axis(d, near, axis=1) <= room[:, None])
+                r, i = a + near[i, j], q[i]
+                exact = np.sqrt(((m[r] - qm[i]) ** 2).sum(axis=1))
+                good = (ids[r] != qids[i]) & (exact <= bound[i])
+                for o, x in zip(out, (i[good], ids[r][good], exact[good])):
+                    o.append(x)
+    i, found, exact = (np.concatenate(o) for o in out)
+    # a replica may be met in several lists of the group
+    order = np.lexsort((exact, found, i))
+    order = order[np.diff(i[order], prepend=-1).astype(bool) | np.diff(found[order], prepend=0).astype(bool)]
+    order = order[np.lexsort((found[order], exact[order], i[order]))]
+    place = np.arange(len(order)) - np.searchsorted(i[order], i[order])
+    order = order[place < k]
+    names = qids[i[order]] if len(order) else np.zeros(0, np.int64)
+    return pa.table([pa.array(names, pa.int64()), pa.array(found[order], pa.int64()),
+                     pa.array(exact[order], pa.float64())], names=["query_id", "vec_id", "score"])
+
+
 def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows ``queries`` (a part of ``rows``)."""
-    common.ship_package(rows.sparkSession)
+    spark = rows.sparkSession
+    common.ship_package(spark)
     v = common.shared_table(valid(rows))
     wanted = queries.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
     n = v.count()
@@ -138,7 +194,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     c = balanced_centroids(x, leaf)
     graph = centroid_graph(c)
     probes_at_most = max(PROBES, math.ceil(PROBE_SHARE * len(c)))
-    bc = rows.sparkSession.sparkContext.broadcast((c, graph))
+    bc = spark.sparkContext.broadcast((c, graph))
 
     def rank_of(name):
         return F.row_number().over(Window.partitionBy(*name[0]).orderBy(*name[1]))
@@ -149,7 +205,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         cent, _ = bc.value
         for b in batches:
             m = _matrix(b.column("v"), dim)
-            row, lst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            row, lst, far = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
             for a in range(0, len(m), 1024):
                 d = distances(m[a:a + 1024], cent)
                 near = np.argsort(d, axis=1, kind="stable")[:, :REPLICAS]
@@ -157,64 +213,86 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                 i, j = np.nonzero(dn <= REPLICA_RATIO * dn[:, :1])
                 row.append(a + i)
                 lst.append(near[i, j])
-            row, lst = np.concatenate(row), np.concatenate(lst)
-            take = pa.array(row, pa.int64())
+                far.append(dn[i, j])
+            take = pa.array(np.concatenate(row), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lst, pa.int64()), b.column("vec_id").take(take), b.column("v").take(take)],
-                names=["list", "vec_id", "v"])
+                [pa.array(np.concatenate(lst), pa.int64()), b.column("vec_id").take(take),
+                 b.column("v").take(take), pa.array(np.concatenate(far), pa.float64())],
+                names=["list", "vec_id", "v", "far"])
 
     def probe(batches):
         cent, g = bc.value
         for b in batches:
             m = _matrix(b.column("v"), dim)
-            row, lst = [], []
+            lst, dist = [], []
             for i in range(len(m)):
                 who, far = graph_search(m[i], cent, g, probes_at_most)
                 few = max(LEAST_PROBES, int((far <= PROBE_RATIO * far[0]).sum())) if len(far) else 0
-                row += [i] * len(who[:few])
-                lst += who[:few].tolist()
-            take = pa.array(row, pa.int64())
+                lst.append(who[:few])
+                dist.append(far[:few])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lst, pa.int64()), b.column("vec_id").take(take), b.column("v").take(take)],
-                names=["list", "vec_id", "v"])
-
-    schema = "list long, vec_id long, v array<double>"
-    lists = common.shared_table(kept.mapInArrow(post, schema))
-    probes = v.join(wanted, "vec_id", "left_semi").repartition("vec_id").mapInArrow(probe, schema)
-    # parts of long lists; one row per list, so at most as many as centroids
-    parts = {r["list"]: math.ceil(r["n"] / PART) for r in
-             lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PART).collect()}
-    many = F.create_map(*[F.lit(y) for kv in parts.items() for y in kv]) if parts else None
-    k_of = F.coalesce(many[F.col("list")], F.lit(1)) if parts else F.lit(1)
-    lists = lists.withColumn("part", F.pmod(F.xxhash64("vec_id"), k_of)).withColumn("q", F.lit(False))
-    probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (k_of - 1).cast("long")))) \
-        .withColumn("q", F.lit(True))
-
-    def near(table: pa.Table) -> pa.Table:
-        q = table.column("q").to_numpy(zero_copy_only=False).astype(bool)
-        ids = table.column("vec_id").to_numpy()
-        out = [[], [], []]
-        if q.any() and not q.all():
-            m = _matrix(table.column("v"), dim)
-            qm, qi, vm, vi = m[q], ids[q], m[~q], ids[~q]
-            for a in range(0, len(qm), 256):
-                d = distances(qm[a:a + 256], vm)
-                d[qi[a:a + 256, None] == vi[None]] = np.inf
-                few = min(len(vm), 4 * k + 8)
-                near_ = np.argpartition(d, few - 1, axis=1)[:, :few]
-                for i, w in enumerate(near_):
-                    exact = np.sqrt(((vm[w] - qm[a + i]) ** 2).sum(axis=1))
-                    w, exact = w[vi[w] != qi[a + i]], exact[vi[w] != qi[a + i]]
-                    order = np.lexsort((vi[w], exact))[:k]
-                    out[0] += [qi[a + i]] * len(order)
-                    out[1] += vi[w][order].tolist()
-                    out[2] += exact[order].tolist()
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                         pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
-
-    found = (lists.unionByName(probes).groupBy("list", "part")
-             .applyInArrow(near, "query_id long, vec_id long, score double"))
-    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    return (best.withColumn("rank", rank_of((["query_id"], ["score", "vec_id"])))
-            .where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"),
-                                              "vec_id", "score"))
+                [b.column("vec_id"), b.column("v"), pa.array(lst, pa.list_(pa.int64())),
+                 pa.array(dist, pa.list_(pa.float64()))], names=["vec_id", "v", "lists", "far"])
+
+    lists = common.shared_table(kept.mapInArrow(post, "list long, vec_id long, v array<double>, far double"))
+    probes = common.shared_table(v.join(wanted, "vec_id", "left_semi").repartition("vec_id").mapInArrow(
+        probe, "vec_id long, v array<double>, lists array<long>, far array<double>"))
+    # size, radius, task group and parts of every list: one row per centroid
+    size, radius = np.zeros(len(c), np.int64), np.zeros(len(c))
+    for r in lists.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("r")).collect():
+        size[r["list"]], radius[r["list"]] = r["n"], r["r"]
+    group = (np.cumsum(size) - size) // PART
+    parts = np.maximum(1, -(-np.bincount(group, size).astype(np.int64) // (2 * PART)))
+    blocks = common.groups_for(probes.count(), QUERIES)
+    info = spark.createDataFrame([(i, int(g), int(parts[g])) for i, g in enumerate(group)],
+                                 "list long, grp long, parts long")
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    stored = (lists.drop("far").join(F.broadcast(info), "list")
+              .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).withColumn("block", block)
+              .select("grp", "part", "block", "list", "vec_id", "v", F.lit(False).alias("q"),
+                      F.lit(None).cast("double").alias("bound"), F.lit(None).cast("array<long>").alias("lists")))
+
+    def routed(first):
+        def route(batches):
+            for b in batches:
+                row, grp, own = [], [], []
+                for i, (lst, far, cut) in enumerate(zip(*(b.column(x).to_pylist() for x in ("lists", "far", "bound")))):
+                    lst, far = np.array(lst, np.int64), np.array(far, float)
+                    if first:
+                        lst = lst[:FIRST]
+                    else:
+                        lst, far = lst[FIRST:], far[FIRST:]
+                        # the triangle bound, with room for rounding
+                        lst = lst[far - radius[lst] <= cut + 1e-6 * (1 + far)]
+                    lst = np.sort(lst[size[lst] > 0])
+                    for part in np.split(lst, np.flatnonzero(np.diff(group[lst])) + 1) if len(lst) else ():
+                        row.append(i)
+                        grp.append(int(group[part[0]]))
+                        own.append(part)
+                take = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grp, pa.int64()), pa.array([int(parts[g]) for g in grp], pa.int64()),
+                     b.column("vec_id").take(take), b.column("v").take(take), b.column("bound").take(take),
+                     pa.array(own, pa.list_(pa.int64()))],
+                    names=["grp", "parts", "vec_id", "v", "bound", "lists"])
+        return route
+
+    def found(asked, first):
+        q = (asked.mapInArrow(routed(first), "grp long, parts long, vec_id long, v array<double>, bound double, "
+                                             "lists array<long>")
+             .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+             .select("grp", "part", "block", F.lit(None).cast("long").alias("list"), "vec_id", "v",
+                     F.lit(True).alias("q"), "bound", "lists"))
+        return (stored.unionByName(q).groupBy("grp", "part", "block")
+                .applyInArrow(lambda table: nearest(table, dim, k), "query_id long, vec_id long, score double"))
+
+    def best_of(df):
+        one = df.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        return one.withColumn("rank", rank_of((["query_id"], ["score", "vec_id"]))).where(F.col("rank") <= k)
+
+    near = common.shared_table(best_of(found(probes.withColumn("bound", F.lit(float("inf"))), True)))
+    cut = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
+    second = probes.join(cut, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    return (best_of(near.drop("rank").unionByName(found(second, False)))
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -99,6 +99,28 @@ def test_nearest_neighbours_recall_with_many_lists(spark):
     assert np.mean([i in got[q] for q, own in zip(asked.tolist(), best.tolist()) for i in own]) >= 0.95
 
 
+def test_nearest_neighbours_do_not_depend_on_parts_and_blocks(spark, monkeypatch):
+    """Small task groups, lists in parts and queries in blocks give the same rows, and
+    with all lists visited the answer is the brute-force one, ties to smaller ids."""
+    rnd = np.random.default_rng(4)
+    x = np.round(rnd.normal(size=(900, 3)) * 2) + [0.5, 0, 0]              # many ties
+    v = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x)}),
+                              "vec_id long, embedding array<double>")
+    asked = v.where("vec_id % 10 = 0")
+    run = lambda: sorted(map(tuple, ann.search(v, asked, 5).collect()))
+    whole = run()
+    monkeypatch.setattr(ann, "PART", 20)
+    monkeypatch.setattr(ann, "QUERIES", 7)
+    monkeypatch.setattr(ann, "FIRST", 2)
+    assert run() == whole
+    want = []
+    for q in range(0, len(x), 10):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        near = sorted((s, i) for i, s in enumerate(d.tolist()) if i != q)[:5]
+        want += [(q, r, i, s) for r, (s, i) in enumerate(near, 1)]
+    assert whole == sorted(want)
+
+
 def test_nearest_neighbours_edges(spark):
     rnd = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, 0.5]) for i in range(60)]                      # one vector, many ids
