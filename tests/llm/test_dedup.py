@@ -231,3 +231,20 @@ def test_lines_edges(spark):
     assert by_text[0] is None and by_text[1] == "" and by_text[5] == "same text here"
     assert by_text[7] == "long words of text \n"           # all but the first line go
     assert line_dedup.dedup(make(spark, [])).count() == 0
+
+
+def test_line_normalisation_and_token_order():
+    """The quick ways (even texts, radix sort) give what the plain ones give."""
+    rnd = np.random.default_rng(8)
+    for _ in range(300):
+        text = "".join(rnd.choice(list("Ab  \n\t\r\v\f\u0130\u00df."), size=rnd.integers(0, 40)).tolist())
+        raw = text.lower().encode()
+        assert line_dedup.normal_lines(text) == [b" ".join(x.split()) for x in raw.split(b"\n")]
+    rank = line_dedup.rarity(rnd.integers(0, 9, line_dedup.CELLS))
+    lines = [" ".join(rnd.choice(list("abc"), size=rnd.integers(1, 30))).encode() for _ in range(70_000)]
+    line, token = line_dedup.line_tokens(lines, 5)
+    got = line_dedup.ordered_sets(line, token, rank)
+    full = rank[line_dedup.cell(token)].astype(np.uint64) << np.uint64(56) | token
+    want = np.unique(np.array(list(zip(line.tolist(), full.tolist())), dtype=[("l", "i8"), ("t", "u8")]))
+    assert (got[0] == want["l"]).all() and (got[1] == want["t"]).all()
+    assert [len(x) for x in line_dedup.line_tokens([], 5)] == [0, 0]
