@@ -61,14 +61,29 @@ def write_table_replace(df: DataFrame, name: str, cfg: LakeConfig | None = None,
                         batch_rows: int = 10_000) -> None:
     """Replace ``schema.name``: over JDBC when configured, else in the catalog.
 
-    JDBC writes use at most ``max_connections`` parallel connections (Spark
+    In the catalog the rows are written whole under a name of their own, then the
+    tables change names: a write that fails leaves the old table as it was, and ``df``
+    may read the table that it replaces. A run stopped between the two renames is put
+    right by the next one. Over JDBC the table is overwritten in place. JDBC writes use at most ``max_connections`` parallel connections (Spark
     coalesces to that many partitions) and batched inserts."""
     if cfg is not None and cfg.jdbc_url:
         (df.write.mode("overwrite").format("jdbc").option("url", cfg.jdbc_url)
          .option("dbtable", f"{schema}.{name}").option("numPartitions", max_connections)
          .option("batchsize", batch_rows).options(**cfg.jdbc_properties()).save())
     else:
-        df.write.mode("overwrite").saveAsTable(f"{schema}.{name}")
+        spark, own = df.sparkSession, f"{schema}.{name}"
+        new, old = f"{own}__new", f"{own}__old"
+        if spark.catalog.tableExists(old):
+            if spark.catalog.tableExists(own):
+                spark.sql(f"DROP TABLE {old}")
+            else:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {own}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        df.write.mode("overwrite").saveAsTable(new)
+        if spark.catalog.tableExists(own):
+            spark.sql(f"ALTER TABLE {own} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {own}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def create_schema(spark: SparkSession, schema: str = "mart", location: str | None = None) -> None:

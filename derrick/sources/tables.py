@@ -4,6 +4,7 @@ seeding missing tables; renaming a table."""
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
     return reader.parquet(path)
 
 
-# numeric key each input table is split on for parallel JDBC reads
+# key each input table is split on for parallel JDBC reads
 SPLIT_COLUMNS = {
     "wells": "well_id", "production": "well_id", "telemetry": "well_id",
     "well_targets": "well_id", "pump_sensors": "record_id", "pump_failures": "failure_id",
@@ -54,11 +55,33 @@ def _quote(spark: SparkSession, url: str, column: str) -> str:
         return '"' + column.replace('"', '""') + '"'
 
 
-def jdbc_bounds(spark: SparkSession, cfg: LakeConfig, table: str, column: str):
-    """(min, max) of ``column``, computed by the database (one row back)."""
-    q = _quote(spark, cfg.jdbc_url, column)
-    row = scan_jdbc(spark, cfg, f"(SELECT MIN({q}) AS lo, MAX({q}) AS hi FROM {table}) b").first()
-    return row[0], row[1]
+def _literal(value) -> str:
+    """A split point as SQL: numbers plain, anything else in quotes, which databases
+    compare with a date, timestamp or text column (as Spark's own pushed filters)."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def jdbc_splits(spark: SparkSession, cfg: LakeConfig, table: str, column: str, num_partitions: int) -> list[str]:
+    """Disjoint predicates that cover ``table`` in up to ``num_partitions`` ranges of
+    equal row count: the database is asked for the values at the ranges' first rows
+    (one row each), for a number, date, timestamp or text key of a type
+    that the database can order. NULL keys go with the first
+    range; a value that fills several ranges makes one. An empty table has none."""
+    # the name as the database spells it, as Spark resolves a partition column
+    names = {c.lower(): c for c in scan_jdbc(spark, cfg, table).columns}
+    q = _quote(spark, cfg.jdbc_url, names.get(column.lower(), column))
+    n = scan_jdbc(spark, cfg, f"(SELECT COUNT({q}) AS n FROM {table}) b").first()[0]
+    at = sorted({n * i // num_partitions for i in range(1, num_partitions)} - {0})
+    if not at:
+        return []
+    parts = [f"SELECT * FROM (SELECT {q} AS p FROM {table} WHERE {q} IS NOT NULL ORDER BY {q} "
+             f"OFFSET {i} ROWS FETCH NEXT 1 ROWS ONLY) s{i}" for i in at]
+    rows = scan_jdbc(spark, cfg, f"({' UNION ALL '.join(parts)}) b").collect()
+    points = [_literal(x) for x in sorted({r[0] for r in rows})]
+    return ([f"{q} < {points[0]} OR {q} IS NULL"]
+            + [f"{q} >= {lo} AND {q} < {hi}" for lo, hi in zip(points, points[1:])] + [f"{q} >= {points[-1]}"])
 
 
 def scan_table(spark: SparkSession, cfg: LakeConfig, table: str, num_partitions: int = 64,
@@ -66,20 +89,19 @@ def scan_table(spark: SparkSession, cfg: LakeConfig, table: str, num_partitions:
     """An input table from JDBC or from ``source_root/table``, with the
     declared schema enforced (columns cast, extra columns kept).
 
-    Over JDBC a known table is read as ``num_partitions`` parallel range
-    queries on its key (bounds asked from the database); pass
-    ``partition_column``/``lower``/``upper`` to override."""
+    Over JDBC a known table is read as up to ``num_partitions`` parallel queries on
+    its key, of equal row count however skewed the key is (:func:`jdbc_splits`); pass
+    ``partition_column`` for another key, and ``lower``/``upper`` for ranges of equal width."""
     if cfg.jdbc_url:
         col = jdbc_kw.pop("partition_column", None) or SPLIT_COLUMNS.get(table.split(".")[-1])
-        if col is not None and "lower" not in jdbc_kw:
-            lo, hi = jdbc_bounds(spark, cfg, table, col)
-            if lo is None:                       # empty table: one plain read
-                col = None
-            else:
-                jdbc_kw.update(lower=int(lo), upper=int(hi) + 1)
-        if col is not None:
-            jdbc_kw.update(partition_column=col, num_partitions=num_partitions)
-        df = scan_jdbc(spark, cfg, table, **jdbc_kw)
+        splits = jdbc_splits(spark, cfg, table, col, num_partitions) if col and "lower" not in jdbc_kw else []
+        if splits:
+            df = spark.read.jdbc(cfg.jdbc_url, table, predicates=splits, properties={
+                "fetchsize": str(jdbc_kw.get("fetch_size", 10_000)), **cfg.jdbc_properties()})
+        else:
+            if "lower" in jdbc_kw:
+                jdbc_kw.update(partition_column=col, num_partitions=num_partitions)
+            df = scan_jdbc(spark, cfg, table, **jdbc_kw)
     else:
         df = spark.read.parquet(f"{cfg.source_root.rstrip('/')}/{table}")
     return enforce_schema(df, INPUTS.get(table.split(".")[-1]), table)
