@@ -9,30 +9,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from derrick.config import LakeConfig
-from derrick.session import default_parallelism
+from derrick.session import cut_lineage, default_parallelism
 
 __all__ = ["write_partitioned_parquet", "write_csv", "write_table_replace", "create_schema",
            "write_parquet_overwrite", "show_result", "layout_for_access"]
 
 
-
 MAX_RECORDS_PER_FILE = 5_000_000
+#: bytes of a partition value per writer, before Parquet's encoding; most write tasks
+TARGET_BYTES = 512 << 20
+MAX_WRITERS = 100_000
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """A row's size before encoding: text and binary by length, others by type."""
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            width = width + F.lit(8)
+    return width
 
 
 def write_partitioned_parquet(df: DataFrame, path: str, partition_cols: Sequence[str],
                               mode: str = "overwrite",
-                              max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+                              max_records_per_file: int = MAX_RECORDS_PER_FILE,
+                              target_bytes: int = TARGET_BYTES) -> None:
     """Hive-style ``col=value`` folders; only the partitions present in
     ``df`` are replaced (dynamic partition overwrite), others are kept.
 
-    No shuffle by the partition columns (that would send a whole month to one
-    task): every task sorts its own rows by them and writes one file per
-    value it holds, split at ``max_records_per_file`` rows.
+    The number of files follows the bytes: one aggregate adds up each partition
+    value's rows (:func:`row_bytes`), and a value is dealt by row hash to
+    ceil(bytes / ``target_bytes``) writers. A month with most of the rows is written by
+    many tasks, a small one by one; rows equal in every column share a writer, which
+    splits at ``max_records_per_file``. ``df`` is read twice.
     """
-    (df.sortWithinPartitions(*partition_cols).write.mode(mode)
+    cols = list(partition_cols)
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in ("_files", "_writer", *(f"_key{i}" for i in range(len(cols)))):
+        while name in taken:
+            name = "_" + name
+        names.append(name)
+    files, writer, *keys = names
+    size = df.groupBy(*cols).agg(F.ceil(F.sum(row_bytes(df)) / F.lit(float(target_bytes))).cast("long").alias(files))
+    size = cut_lineage(size.withColumnsRenamed(dict(zip(cols, keys))))
+    total = size.agg(F.sum(F.greatest(files, F.lit(1)))).first()[0] or 1
+    same = F.lit(True)
+    for c, k in zip(cols, keys):
+        same = same & df[c].eqNullSafe(size[k])
+    dealt = df.join(size, same, "left").withColumn(
+        writer, F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.greatest(F.col(files), F.lit(1))))
+    out = dealt.repartition(int(min(total, MAX_WRITERS)), *cols, writer).select(*df.columns)
+    (out.sortWithinPartitions(*cols).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(*partition_cols).parquet(path))
+     .partitionBy(*cols).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False,

@@ -24,6 +24,21 @@ def test_partitioned_parquet_hive_layout_and_dynamic_overwrite(spark, tmp_dir):
     assert back == {(1, 1.0), (2, 9.0)}
 
 
+def test_partitioned_parquet_files_follow_the_bytes(spark, tmp_dir):
+    """90 % of the rows in one month: many writers there, one file for each small month,
+    however many tasks hold the input; null and clashing names are kept."""
+    df = spark.range(0, 20_000, 1, 16).select(
+        F.col("id").alias("v"), F.lit("x" * 92).alias("_files"),
+        F.when(F.col("id") < 18_000, 1).when(F.col("id") < 19_000, 2).when(F.col("id") < 19_900, 3).alias("month"))
+    path = os.path.join(tmp_dir, "sized")
+    SK.write_partitioned_parquet(df, path, ["month"], target_bytes=200_000)
+    n = {d: len(glob.glob(os.path.join(path, f"month={d}", "part-*"))) for d in ("1", "2", "3")}
+    assert n["2"] == n["3"] == 1 and len(glob.glob(os.path.join(path, "month=__HIVE*", "part-*"))) == 1
+    assert 7 <= n["1"] <= 10                                     # 1.9 MB
+    assert rows(spark.read.parquet(path).select("v", "_files", "month")) == rows(df)
+    SK.write_partitioned_parquet(df.limit(0), os.path.join(tmp_dir, "empty"), ["month"])
+
+
 def test_csv_round_trip_single_file(spark, tmp_dir):
     df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, true AS c, "
                    "TIMESTAMP_NTZ'2024-01-01 00:03:52.824425' AS t")
