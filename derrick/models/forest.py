@@ -17,16 +17,18 @@ then to the smallest threshold. Nothing depends on partitioning or on row order.
    on presorted features, without a limit of depth.
 
 If all rows fit a task (a bound of ``task_rows`` rows of a few numbers), they are
-broadcast once and tasks grow trees; otherwise rows travel to their (tree, node). The
-trees stay a table of packed subtrees in the shared folder and never meet in one place;
-scoring broadcasts the rows in the same bound, else sends them to their subtrees.
+broadcast once and tasks grow trees; otherwise rows travel to their (tree, node), in one
+packet per task and node whose columns take the shortest numbers that keep them exact.
+The trees stay a table of packed subtrees in the shared folder and never meet in one
+place; scoring broadcasts the rows in the same bound, else sends such packets to the
+subtrees and packets of leaf values back to blocks of rows.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import uuid
-import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from derrick.operators.stats import quantiles_multi
+from derrick.operators.ranking import stretches
 from derrick.session import default_parallelism, ensure_checkpoint_dir, ship_package
 
 #: rows of a node that one task finishes
@@ -45,6 +47,11 @@ BINS = 64
 OPEN = 4_096
 #: trees whose predictions are added up in one task, in order
 TREES = 10
+#: rows that a task deals to the nodes at once; rows of a block that are scored together
+BLOCK_BITS = 16
+BLOCK = 1 << BLOCK_BITS
+#: subtrees grown or scored in a task, about
+SUBTREES = 8
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -100,54 +107,77 @@ def middle(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((m >= a) & (m < b), m, a)
 
 
+def _places(parts: np.ndarray, begin: np.ndarray, side: int) -> np.ndarray:
+    """Where the rows of all left (0) or right (1) children go, whatever the feature."""
+    own = parts[side::2]
+    return np.arange(int(own.sum())) + np.repeat(begin[side::2] - (np.cumsum(own) - own), own)
+
+
 def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, path: int, subset: int | None = None,
          order: list[np.ndarray] | None = None):
     """(feature, value, left) of a fully grown tree, node 0 the root. Feature is -1 for
     a leaf, whose value is its mean; otherwise value is the threshold, rows up to it go
     to node ``left``, the others to ``left`` + 1. ``order`` are the rows sorted by each
-    feature, if they are known."""
+    feature, if they are known. Rows of finished nodes leave all orders at once."""
     n, width = x.shape
     columns = [np.ascontiguousarray(x[:, j]) for j in range(width)]
     if order is None:
-        order = [np.argsort(c, kind="stable").astype(np.int32) for c in columns]
-    order, wy = list(order), w * y
-    starts, paths = np.array([0]), np.array([path], np.uint64)
+        order = [np.argsort(c, kind="stable") for c in columns]
+    order, wy = [np.asarray(o, np.intp) for o in order], w * y
+    both = np.empty(n, np.complex128)                     # weights and weighted labels add up in one pass
+    both.real, both.imag = w, wy
     feature, value, left = [], [], []
     made = 1
-    while len(paths):
-        rows = order[0]
-        size = np.diff(np.append(starts, len(rows)))
-        of = np.repeat(np.arange(len(paths)), size)
+
+    def look(rows, size):
+        """Mean of every node, and whether its labels differ."""
+        starts = np.cumsum(size) - size
         yy = y[rows]
-        total, weight = np.add.reduceat(wy[rows], starts), np.add.reduceat(w[rows], starts)
-        mixed = np.minimum.reduceat(yy, starts) < np.maximum.reduceat(yy, starts)
-        ends = starts + size - 1
+        return (np.add.reduceat(wy[rows], starts) / np.add.reduceat(w[rows], starts),
+                np.minimum.reduceat(yy, starts) < np.maximum.reduceat(yy, starts))
+    size, paths = np.array([n]), np.array([path], np.uint64)
+    mean, mixed = look(order[0], size)
+    while True:
+        feature.append(np.full(len(size), -1, np.int16))
+        value.append(mean)
+        left.append(np.full(len(size), -1, np.int32))
+        if not mixed.any():
+            break
+        # the orders hold the rows of mixed nodes only
+        level = np.flatnonzero(mixed)
+        size, paths = size[level], paths[level]
+        ends = np.cumsum(size) - 1
+        starts = ends + 1 - size
+        of = np.repeat(np.arange(len(size)), size)
         varies = np.stack([c[o[starts]] < c[o[ends]] for c, o in zip(columns, order)], axis=1)
-        allowed = competing(paths, varies & mixed[:, None], subset)
-        best = np.full(len(paths), -np.inf)
-        bf, bt = np.full(len(paths), -1, np.int16), np.zeros(len(paths))
+        allowed = competing(paths, varies, subset)
+        best = np.full(len(size), -np.inf)
+        bf, bt = np.full(len(size), -1, np.int16), np.zeros(len(size))
         for j, (c, o) in enumerate(zip(columns, order)):
             use = allowed[:, j]
             if not use.any():
                 continue
-            seg = of
+            seg, last, first = of, ends, starts
             if not use.all():
-                some = use[of]
+                some = np.repeat(use, size)
                 o, seg = o[some], of[some]
+                last = np.cumsum(size * use) - 1
+                first = last - size * use + 1
             # sums up to each row inside its node, and of the whole node
-            xs, cw, cs = c[o], np.cumsum(w[o]), np.cumsum(wy[o])
-            last = np.cumsum(size * use) - 1
-            first = last - size * use + 1
-            base_w = np.where(first > 0, cw[first - 1], 0.0)
-            base_s = np.where(first > 0, cs[first - 1], 0.0)
-            at = np.flatnonzero((xs[:-1] < xs[1:]) & (seg[:-1] == seg[1:]))
+            xs, sums = c[o], np.cumsum(both[o])
+            base = np.where(first > 0, sums[first - 1], 0.0)
+            up = np.empty(len(xs), bool)
+            np.less(xs[:-1], xs[1:], out=up[:-1])
+            up[last] = False
+            at = np.flatnonzero(up)
             node = seg[at]
-            b, a = cw[at] - base_w[node], cs[at] - base_s[node]
-            tw, ts = (cw[last] - base_w)[node], (cs[last] - base_s)[node]
-            gain = a * a / b + (ts - a) ** 2 / (tw - b)
             cut = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+            here, many = node[cut], np.diff(np.append(cut, len(node)))
+            part = sums[at] - np.repeat(base[here], many)
+            rest = np.repeat(sums[last[here]] - base[here], many) - part
+            gain = part.imag * part.imag / part.real + rest.imag ** 2 / rest.real
             top = np.maximum.reduceat(gain, cut)
-            winners = np.flatnonzero(gain == np.repeat(top, np.diff(np.append(cut, len(gain)))))
+            winners = np.flatnonzero(gain == np.repeat(top, many))
             here = node[winners]
             winners = winners[np.append(True, here[1:] != here[:-1])]      # the smallest threshold of a tie
             here = node[winners]
@@ -156,30 +186,35 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, path: int, subset: int | N
             best[here], bf[here] = gain[winners], j
             bt[here] = middle(xs[at[winners]], xs[at[winners] + 1])
         split = bf >= 0
-        kids = made + 2 * (np.cumsum(split) - 1)
-        made += 2 * int(split.sum())
-        feature.append(bf)
-        value.append(np.where(split, bt, total / weight))
-        left.append(np.where(split, kids, -1).astype(np.int32))
         if not split.any():
             break
+        parents = level[split]
+        feature[-1][parents], value[-1][parents] = bf[split], bt[split]
+        left[-1][parents] = made + 2 * np.arange(len(parents))
+        made += 2 * len(parents)
+        kept = np.repeat(split, size)
+        own, nodes = order[0][kept], of[kept]
+        right = x[own, bf[nodes]] > bt[nodes]
+        size, paths = size[split], paths[split]
+        n_right = np.add.reduceat(right.astype(np.int64), np.cumsum(size) - size)
+        size = np.stack([size - n_right, n_right], axis=1).ravel()
+        begin = np.cumsum(size) - size
+        rows = np.empty(len(own), np.intp)
+        rows[_places(size, begin, 0)], rows[_places(size, begin, 1)] = own[~right], own[right]
+        mean, mixed = look(rows, size)
+        order[0] = rows[np.repeat(mixed, size)]
         # 1: to the left child, 2: to the right, 0: in a leaf
-        kept = split[of]
-        own, nodes = rows[kept], of[kept]
+        stay = np.where(mixed, size, 0)
         side = np.zeros(n, np.int8)
-        side[own] = 2 - (x[own, bf[nodes]] <= bt[nodes])
-        n_left = np.add.reduceat((side[rows] == 1).astype(np.int64), starts)[split]
-        parts = np.stack([n_left, size[split] - n_left], axis=1)
-        starts = np.cumsum(parts.ravel()) - parts.ravel()
-        # where the left and the right rows of all nodes go, whatever the feature
-        lefts, rights = (np.arange(int(parts[:, k].sum())) + np.repeat(
-            starts[k::2] - (np.cumsum(parts[:, k]) - parts[:, k]), parts[:, k]) for k in (0, 1))
-        for j, o in enumerate(order):
-            to = side[o]
-            new = np.empty(len(own), np.int32)
-            new[lefts], new[rights] = o[to == 1], o[to == 2]
+        side[order[0]] = np.repeat(np.tile(np.array([1, 2], np.int8), len(size) // 2), stay)
+        begin = np.cumsum(stay) - stay
+        lefts, rights = _places(stay, begin, 0), _places(stay, begin, 1)
+        for j in range(1, width):
+            to = side[order[j]]
+            new = np.empty(len(order[0]), np.intp)
+            new[lefts], new[rights] = order[j][to == 1], order[j][to == 2]
             order[j] = new
-        paths = np.stack([child_path(paths[split], 0), child_path(paths[split], 1)], axis=1).ravel()
+        paths = np.stack([child_path(paths, 0), child_path(paths, 1)], axis=1).ravel()
     return tuple(np.concatenate(c) for c in (feature, value, left))
 
 
@@ -195,15 +230,80 @@ def descend(x: np.ndarray, feature: np.ndarray, value: np.ndarray, left: np.ndar
 
 
 def pack(feature, value, left) -> bytes:
-    return struct.pack("<q", len(feature)) + zlib.compress(
-        feature.astype("<i2").tobytes() + left.astype("<i4").tobytes() + value.astype("<f8").tobytes(), 1)
+    """A grown tree; children are numbered in the order of their parents, so ``left`` follows."""
+    raw = feature.astype("<i2").tobytes() + value.astype("<f8").tobytes()
+    return struct.pack("<q", len(feature)) + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpack(data: bytes):
     n, = struct.unpack_from("<q", data)
-    raw = zlib.decompress(data[8:])
-    return (np.frombuffer(raw, "<i2", n), np.frombuffer(raw, "<f8", n, offset=6 * n),
-            np.frombuffer(raw, "<i4", n, offset=2 * n))
+    raw = pa.decompress(data[8:], 10 * n, "zstd", asbytes=True)
+    feature = np.frombuffer(raw, "<i2", n)
+    split = feature >= 0
+    return (feature, np.frombuffer(raw, "<f8", n, offset=2 * n),
+            np.where(split, 2 * np.cumsum(split) - 1, -1).astype(np.int32))
+
+
+#: integer types a column of whole numbers, or of decimals by their scale, may take
+_INTS = ("<i1", "<i2", "<i4")
+_SCALES = (1.0, 100.0, 10_000.0)
+
+
+def narrow(a: np.ndarray) -> tuple[np.ndarray, float]:
+    """The shortest form that gives back every double exactly: (numbers, scale), the
+    values are numbers / scale; scale 0 for doubles as they are."""
+    if len(a) and np.isfinite(a).all() and not (np.signbit(a) & (a == 0)).any():
+        reach = np.abs(a).max()
+        for scale in _SCALES:
+            if reach * scale >= 2 ** 31 - 1:
+                break
+            whole = np.rint(a * scale)
+            if (whole / scale == a).all():
+                top = np.abs(whole).max()
+                return whole.astype(next(t for t in _INTS if top <= np.iinfo(t).max)), scale
+    return a.astype("<f8"), 0.0
+
+
+def _head(columns: list[tuple[np.ndarray, float]]) -> bytes:
+    return b"".join(struct.pack("<3sd", c.dtype.str.encode(), scale) for c, scale in columns)
+
+
+def wide(data: bytes, n: int, number: int) -> list[np.ndarray]:
+    """The ``number`` columns of ``n`` doubles in a packet: heads of :func:`narrow` columns, then their bytes."""
+    out, at = [], 11 * number
+    for k in range(number):
+        kind, scale = struct.unpack_from("<3sd", data, 11 * k)
+        c = np.frombuffer(data, kind.decode(), n, offset=at)
+        at += c.nbytes
+        out.append(c.astype(float) / scale if scale else c)
+    return out
+
+
+def _packets(nodes: np.ndarray, columns: list[tuple[np.ndarray, float]]):
+    """(node, rows, packet) of every node with rows; rows keep their order inside a packet."""
+    by = np.argsort(nodes, kind="stable")
+    nodes = nodes[by]
+    cut = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])) if len(nodes) else np.zeros(0, np.int64)
+    ends = np.append(cut[1:], len(nodes))
+    head, sorted_ = _head(columns), [c[by] for c, _ in columns]
+    return nodes[cut], ends - cut, [head + b"".join(c[a:b].tobytes() for c in sorted_) for a, b in zip(cut, ends)]
+
+
+def _blocks(batches, columns: Sequence[str]):
+    """Consecutive batches of a task as arrays of about ``BLOCK`` rows: {column: array}."""
+    held, n = [], 0
+
+    def join():
+        t = pa.Table.from_batches(held)
+        return {c: t.column(c).to_numpy() for c in columns}
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= BLOCK:
+            yield join()
+            held, n = [], 0
+    if n:
+        yield join()
 
 
 @dataclass
@@ -254,8 +354,8 @@ class Forest:
         slim = rows.select(row, *[F.col(c).cast("double").alias(f"__x{j}") for j, c in enumerate(feats)])
         cols = [f"__x{j}" for j in range(len(feats))]
         uppers = spark.sparkContext.broadcast([u.arrays() for u in self.uppers])
-        small = rows.count() <= self.task_rows
-        if small:
+        n = rows.count()
+        if n <= self.task_rows and not any(len(u.feature) > 1 for u in self.uppers):
             t = slim.toArrow()
             held = spark.sparkContext.broadcast((_matrix(t, cols), t.column(row).to_numpy()))
 
@@ -277,29 +377,109 @@ class Forest:
             sums = (self.trees.withColumn("group", F.floor(F.col("tree") / TREES).cast("int")).groupBy("group")
                     .applyInArrow(score, f"{row} long, group int, s double"))
         else:
-            def spread(batches):
-                for b in batches:
-                    x, ids = _matrix(b, cols), b.column(row).to_numpy()
-                    for tree in range(trees):
-                        nodes = descend(x, *uppers.value[tree])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(ids), tree, np.int32)), pa.array(nodes), pa.array(ids),
-                             *[pa.array(x[:, j]) for j in range(x.shape[1])]], names=["tree", "node", row, *cols])
-
-            def own(left: pa.Table, right: pa.Table) -> pa.Table:
-                arrays = unpack(right.column("packed")[0].as_py())
-                got = arrays[1][descend(_matrix(left, cols), *arrays)] if left.num_rows else np.zeros(0)
-                return pa.table([left.column(row), left.column("tree"), pa.array(got)], names=[row, "group", "s"])
-            asked = slim.mapInArrow(spread, f"tree int, node long, {row} long, "
-                                    + ", ".join(f"{c} double" for c in cols))
-            sums = (asked.groupBy("tree", "node").cogroup(self.trees.groupBy("tree", "node"))
-                    .applyInArrow(own, f"{row} long, group int, s double"))
+            return rows.join(self._scored(slim, row, cols, uppers, n, out), row).select(*names, out)
         # a fixed order of at most num_trees numbers per row
         mean = sums.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("group", "s"))).alias("p")).select(
             row, (F.aggregate("p", F.lit(0.0), lambda a, s: a + s["s"]) / float(trees)).alias(out))
         return rows.join(mean, row).select(*names, out)
 
 
+    def _scored(self, slim: DataFrame, row: str, cols: list[str], uppers, n: int, out: str) -> DataFrame:
+        """(row, ``out``) if rows or trees are too many for a task: packets of rows travel to
+        their subtrees (few rows are broadcast to where the subtrees lie), packets of leaf
+        values to the block of their rows, where the trees are added up in order."""
+        spark, trees, width = slim.sparkSession, self.num_trees, len(cols)
+        low = BLOCK - 1
+        schema = "block long, tree int, node long, n int, packed binary"
+        names = ["block", "tree", "node", "n", "packed"]
+
+        def answer(tree, node, block, at, values):
+            """Of one node: leaf values by block, rows by their distance from the one before."""
+            packet = [narrow(np.diff(at, prepend=0).astype(float)), narrow(values)]
+            return block, tree, node, len(at), _head(packet) + b"".join(c.tobytes() for c, _ in packet)
+
+        def table(rows_):
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+            return [pa.array(c, k) for c, k in zip(zip(*rows_) if rows_ else [[]] * 5, kinds)]
+
+        if n <= self.task_rows:
+            t = slim.orderBy(row).toArrow()
+            held = spark.sparkContext.broadcast((_matrix(t, cols), t.column(row).to_numpy()))
+
+            def visit(batches):
+                x, ids = held.value
+                last, nodes = None, None
+                for b in batches:
+                    for tree, node, packed in zip(*(b.column(c).to_pylist() for c in ("tree", "node", "packed"))):
+                        if tree != last:
+                            last, nodes = tree, descend(x, *uppers.value[tree])
+                        own = np.flatnonzero(nodes == node)
+                        if not len(own):
+                            continue
+                        arrays = unpack(packed)
+                        values, block = arrays[1][descend(x[own], *arrays)], ids[own] >> BLOCK_BITS
+                        cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                        found = [answer(tree, node, int(block[a]), ids[own[a:z]] & low, values[a:z])
+                                 for a, z in zip(cut, np.append(cut[1:], len(own)))]
+                        yield pa.RecordBatch.from_arrays(table(found), names=names)
+            answers = self.trees.mapInArrow(visit, schema)
+        else:
+            def spread(batches):
+                for held_ in _blocks(batches, [row, *cols]):
+                    by = np.argsort(held_[row], kind="stable")
+                    ids, x = held_[row][by], np.column_stack([held_[c][by] for c in cols])
+                    block = ids >> BLOCK_BITS
+                    cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                    for a, z in zip(cut, np.append(cut[1:], len(ids))):
+                        own = x[a:z]
+                        packet = [((ids[a:z] & low).astype("<i4"), 1.0), *(narrow(c) for c in own.T)]
+                        for tree in range(trees):
+                            node, many, packed = _packets(descend(own, *uppers.value[tree]), packet)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(node), block[a])), pa.array(np.full(len(node), tree, np.int32)),
+                                 pa.array(node), pa.array(many.astype(np.int32)), pa.array(packed, pa.binary())],
+                                names=names)
+
+            def own(left: pa.Table, right: pa.Table) -> pa.Table:
+                found = []
+                if left.num_rows:
+                    arrays = unpack(right.column("packed")[0].as_py())
+                    for i in range(left.num_rows):
+                        block, tree, node, n, packed = (left.column(c)[i].as_py() for c in names)
+                        at, *x = wide(packed, n, 1 + width)
+                        found.append(answer(tree, node, block, at, arrays[1][descend(np.column_stack(x), *arrays)]))
+                return pa.table(table(found), names=names)
+            parts = _parts(spark, self.uppers)
+            ranged = slim.repartitionByRange(_tasks(spark, n), row)
+            answers = (ranged.mapInArrow(spread, schema).repartition(parts, "tree", "node").groupBy("tree", "node")
+                       .cogroup(self.trees.repartition(parts, "tree", "node").groupBy("tree", "node"))
+                       .applyInArrow(own, schema))
+
+        def add(table_: pa.Table) -> pa.Table:
+            block = table_.column("block")[0].as_py()
+            total, seen = np.zeros(BLOCK), np.zeros(BLOCK, bool)
+            tree, node = (table_.column(c).to_numpy() for c in ("tree", "node"))
+            for i in np.lexsort((node, tree)).tolist():
+                steps, values = wide(table_.column("packed")[i].as_py(), table_.column("n")[i].as_py(), 2)
+                at = np.cumsum(steps).astype(np.int64)
+                total[at] += values
+                seen[at] = True
+            at = np.flatnonzero(seen)
+            return pa.table([pa.array((block << BLOCK_BITS) + at), pa.array(total[at] / trees)], names=[row, out])
+        return answers.groupBy("block").applyInArrow(add, f"{row} long, {out} double")
+
+
+def _tasks(spark, n: int) -> int:
+    """Tasks that ``n`` rows are dealt by."""
+    return max(2 * default_parallelism(spark), n >> BLOCK_BITS)
+
+
+def _parts(spark, uppers: list[Upper]) -> int:
+    """Tasks the subtrees are spread over: a task's time follows its rows, not its bytes."""
+    subtrees = sum(u.feature.count(-1) for u in uppers)
+    return max(min(subtrees, 4 * default_parallelism(spark)), subtrees // SUBTREES)
+
+
 def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None = None, num_trees: int = 100,
         subset: int | None = None, seed: int = 42, task_rows: int = TASK_ROWS) -> Forest:
     """Grow a forest on rows without nulls in ``features`` and ``label``."""
@@ -340,41 +520,75 @@ def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None =
         trees = _table(spark.range(0, num_trees, 1, per).mapInArrow(whole, schema))
         return Forest(list(features), num_trees, uppers, trees, task_rows)
 
+    # few files would mean few tasks: their time follows the trees, not the bytes
+    rows = _table(rows.repartition(_tasks(spark, n)))
     _grow_upper(rows, cols, uppers, subset, seed, task_rows)
     shared = spark.sparkContext.broadcast([(u.arrays(), np.array(u.path, np.uint64)) for u in uppers])
 
+    fields = (*cols, "y", "w")
+
     def deal(batches):
-        for b in batches:
-            x, key = _matrix(b, cols), b.column("key").to_numpy()
+        for held in _blocks(batches, [*fields, "key"]):
+            x, key = np.column_stack([held[c] for c in cols]), held["key"]
+            columns = [narrow(held[c]) for c in fields]
             for tree in range(num_trees):
-                own = np.flatnonzero(bootstrap(key, tree, seed))
-                take = pa.array(own)
-                nodes = descend(x[own], *shared.value[tree][0])
+                times = bootstrap(key, tree, seed)
+                own = np.flatnonzero(times)
+                node, many, packed = _packets(descend(x[own], *shared.value[tree][0]), [
+                    *((c[own], scale) for c, scale in columns), (times[own].astype("<i1"), 1.0)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), tree, np.int32)), pa.array(nodes),
-                     *[b.column(c).take(take) for c in (*cols, "y", "w", "key")]],
-                    names=["tree", "node", *cols, "y", "w", "key"])
+                    [pa.array(np.full(len(node), tree, np.int32)), pa.array(node), pa.array(np.full(len(node), key[0])),
+                     pa.array(many.astype(np.int32)), pa.array(packed, pa.binary())],
+                    names=["tree", "node", "first", "n", "packed"])
 
     def subtree(table: pa.Table) -> pa.Table:
         tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        packed = finish(*_canonical(_matrix(table, cols), *(table.column(c).to_numpy() for c in ("y", "w", "key"))),
-                        tree, int(shared.value[tree][1][node]))
+        counts, packets = table.column("n").to_pylist(), table.column("packed")
+        held = [wide(packets[i].as_py(), counts[i], width + 3)
+                for i in np.argsort(table.column("first").to_numpy(), kind="stable").tolist()]
+        *x, y, w, times = (np.concatenate(c) for c in zip(*held))
+        packed = pack(*grow(np.column_stack(x), y, w * times, int(shared.value[tree][1][node]), subset))
         return pa.table([pa.array([tree], pa.int32()), pa.array([node], pa.int64()), pa.array([packed], pa.binary())],
                         names=["tree", "node", "packed"])
-    dealt = rows.mapInArrow(deal, "tree int, node long, " + ", ".join(f"{c} double" for c in (*cols, "y", "w"))
-                            + ", key long")
-    trees = _table(dealt.groupBy("tree", "node").applyInArrow(subtree, schema))
+    # packets hold rows in the order of their content, so packets in order do as well; equal rows may share ranges
+    ranged = (rows.withColumn("__r", F.rand(seed)).repartitionByRange(_tasks(spark, n), "key", "__r").drop("__r")
+              .sortWithinPartitions("key", *reversed(cols), "y", "w"))
+    dealt = ranged.mapInArrow(deal, "tree int, node long, first long, n int, packed binary")
+    trees = _table(dealt.repartition(_parts(spark, uppers), "tree", "node").groupBy("tree", "node")
+                   .applyInArrow(subtree, schema))
     return Forest(list(features), num_trees, uppers, trees, task_rows)
 
 
+def _cuts(rows: DataFrame, cols: list[str]) -> list[np.ndarray]:
+    """The exact ``BINS``-quantiles of every feature, from one distributed sort of all of
+    them; a random number spreads equal values."""
+    spark = rows.sparkSession
+    cells = F.array(*[F.struct(F.lit(j).alias("j"), F.col(c).alias("v")) for j, c in enumerate(cols)])
+    values = rows.select(F.explode(cells).alias("e")).select("e.j", "e.v").withColumn("r", F.rand(0))
+    n = rows.count()
+    sorted_ = stretches(values, [F.col("j"), F.col("v"), F.col("r")], _tasks(spark, n))
+    size = {r["__part"]: r["count"] for r in sorted_.groupBy("__part").count().collect()}
+    parts = sorted(size)
+    ends = np.cumsum([size[k] for k in parts])
+    places = [k / BINS * (n - 1) for k in range(1, BINS)]
+    # a feature's place p is place j * n + p of all
+    ranks = sorted({j * n + r for j in range(len(cols)) for p in places for r in (math.floor(p), math.ceil(p))})
+    which = np.searchsorted(ends, ranks, side="right")
+    asked = spark.createDataFrame([(int(parts[k]), int(r - ends[k] + size[parts[k]]), int(r)) for k, r in
+                                   zip(which, ranks)], "__part long, __at long, rank long")
+    found = {r["rank"]: r["v"] for r in sorted_.join(F.broadcast(asked), ["__part", "__at"]).select("rank", "v").collect()}
+
+    def quantile(j, p):
+        lo, hi = found[j * n + math.floor(p)], found[j * n + math.ceil(p)]
+        return lo + (hi - lo) * (p - math.floor(p))
+    return [np.unique([quantile(j, p) for p in places]) for j in range(len(cols))]
+
+
 def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: int | None, seed: int,
                 task_rows: int) -> None:
     """Split all nodes of more than ``task_rows`` rows, level by level."""
     spark, width = rows.sparkSession, len(cols)
-    probs = [k / BINS for k in range(1, BINS)]
-    # a few quantiles of all features per call keep the aggregates short
-    found = [quantiles_multi(rows, {c: probs[a:a + 9] for c in cols}) for a in range(0, len(probs), 9)]
-    cuts = [np.unique(np.concatenate([f[c] for f in found])) for c in cols]
+    cuts = _cuts(rows, cols)
     top = rows.agg(F.min("y"), F.max("y"), F.max("w")).first()
     low, step, heavy = top[0], (top[1] - top[0]) / 2 ** 20 or 1.0, top[2] / 2 ** 8 or 1.0
     shape = (width, BINS, 3)
@@ -385,24 +599,30 @@ def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: i
         def run(batches):
             sums = np.zeros((len(todo), *shape), np.int64)
             ends = np.full((len(todo), width, 2), np.inf)
-            for b in batches:
-                x, key = _matrix(b, cols), b.column("key").to_numpy()
-                yq = np.rint((b.column("y").to_numpy() - low) / step).astype(np.int64)
-                wq = np.maximum(1, np.rint(b.column("w").to_numpy() / heavy)).astype(np.int64)
-                bins = np.column_stack([np.searchsorted(c, x[:, j]) for j, c in enumerate(cuts)])
+            for held in _blocks(batches, [*cols, "y", "w", "key"]):
+                x, key = np.column_stack([held[c] for c in cols]), held["key"]
+                yq = np.rint((held["y"] - low) / step)
+                wq = np.maximum(1.0, np.rint(held["w"] / heavy))
+                bins = [np.searchsorted(c, x[:, j]) for j, c in enumerate(cuts)]
                 for tree, of in index.items():
                     times = bootstrap(key, tree, seed)
-                    nodes = descend(x, *arrays.value[tree])
-                    for node, i in of.items():
-                        own = np.flatnonzero((nodes == node) & (times > 0))
-                        if not len(own):
-                            continue
-                        w = wq[own] * times[own]
-                        for j in range(width):
-                            for k, v in enumerate((w, w * yq[own], np.ones(len(own), np.int64))):
-                                np.add.at(sums[i, j, :, k], bins[own, j], v)
-                        ends[i, :, 0] = np.minimum(ends[i, :, 0], x[own].min(axis=0))
-                        ends[i, :, 1] = np.minimum(ends[i, :, 1], -x[own].max(axis=0))
+                    own = np.flatnonzero(times)
+                    nodes = descend(x[own], *arrays.value[tree])
+                    # the tree's open nodes are numbered in a row
+                    number = np.full(len(arrays.value[tree][0]), -1)
+                    number[list(of)] = np.arange(len(of))
+                    at = number[nodes]
+                    own, at = own[at >= 0], at[at >= 0]
+                    w, first = wq[own] * times[own], of[min(of)]
+                    # whole numbers below 2^53, so exact
+                    weights = (w, w * yq[own], None)
+                    for j in range(width):
+                        cell = at * BINS + bins[j][own]
+                        for k, v in enumerate(weights):
+                            sums[first:first + len(of), j, :, k] += np.bincount(
+                                cell, v, len(of) * BINS).reshape(len(of), BINS).astype(np.int64)
+                        np.minimum.at(ends[first:first + len(of), j, 0], at, x[own, j])
+                        np.minimum.at(ends[first:first + len(of), j, 1], at, -x[own, j])
             some = np.flatnonzero(sums[:, 0, :, 2].any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some), pa.array([sums[i].tobytes() for i in some], pa.binary()),

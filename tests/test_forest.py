@@ -121,3 +121,38 @@ def test_rows_that_share_every_bin(spark):
 def test_one_row_and_equal_labels(spark):
     assert predictions(spark, np.ones((1, 3)), np.array([4.0]), 1, num_trees=3).tolist() == [4.0]
     assert set(predictions(spark, data(50)[0], np.full(50, 2.0), 2, num_trees=3)) == {2.0}
+
+
+def test_packets_give_back_every_double():
+    """Columns travel in the shortest numbers that are exact: bit for bit, by node, in order."""
+    columns = [np.array(v) for v in ([1.0, 2, 3, -4], [29.27, 0.01, -3.5, 7.0], [0.1 + 0.2, 1e300, 5e-324, 2.0],
+                                     [-0.0, 0.0, 1.0, 2.0], [np.inf, 1.0, 2.0, 3.0], [3e9, 1.0, 2.0, 3.0])]
+    packed = [forest.narrow(c) for c in columns]
+    assert [c.dtype.itemsize for c, _ in packed] == [1, 2, 8, 8, 8, 8]
+    node, many, packets = forest._packets(np.array([7, 2, 7, 2]), packed)
+    assert node.tolist() == [2, 7] and many.tolist() == [2, 2]
+    for rows, data in zip(([1, 3], [0, 2]), packets):
+        for c, got in zip(columns, forest.wide(data, 2, len(columns))):
+            assert got.tobytes() == c[rows].tobytes()
+
+
+def test_packed_tree_is_the_tree():
+    x, y = data(200)
+    arrays = forest.grow(x, y, np.ones(200), 1)
+    assert all((a == b).all() for a, b in zip(arrays, forest.unpack(forest.pack(*arrays))))
+
+
+def test_scores_of_few_rows_and_cuts_of_dealt_forest(spark):
+    """Rows broadcast to the subtrees and rows sent to them get the same scores, in rows as
+    in the plan of a wide table; histogram cuts are exact quantiles of tied values."""
+    x, y = data(300, 6)
+    df = frame(spark, x, y).repartition(4)
+    model = forest.fit(df, ["a", "b", "c"], "y", num_trees=3, task_rows=100)
+    whole = {r["id"]: r["p"] for r in model.predict(df, "p").collect()}
+    few = {r["id"]: r["p"] for r in model.predict(df.where("id % 7 = 0"), "p").collect()}
+    assert len(whole) == 300 and len(few) == 43 and all(whole[k] == v for k, v in few.items())
+    assert model.predict(df.where("id < 0"), "p").collect() == []
+    cuts = forest._cuts(df, ["a", "c"])
+    for c, j in zip(cuts, (0, 2)):
+        want = np.unique(np.quantile(x[:, j], [k / forest.BINS for k in range(1, forest.BINS)]))
+        assert c == pytest.approx(want)
