@@ -297,3 +297,30 @@ def test_temporal_joins_with_a_hot_pump(spark):
                  .select("failure_id", "record_id"))
     assert pairs == sorted((fid, rid) for fid, fp, fd in fails for rid, sp, ts in sens
                            if sp == fp and fd - timedelta(hours=24) <= ts <= fd)
+
+
+def test_rank_pct_reads_its_input_once(spark):
+    """The ranked rows are joined back to what was ranked, not computed anew."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(40).selectExpr("id", "double(id % 5) AS x").mapInArrow(look, "id long, x double")
+    got = WN.rank_pct(df, "x", "r").collect()
+    assert len(got) == 40 and {r["r"] for r in got if r["x"] == 0} == {4.5 / 40}
+    assert seen.value == 40
+
+
+def test_exact_agg_of_many_groups(spark):
+    """Rows brought together first: the same sums, to the last bit, and one exchange of
+    rows instead of cells for every measure."""
+    from derrick.operators.aggregates import exact_agg
+    df = spark.range(500).selectExpr(
+        "IF(id % 11 = 0, NULL, id % 7) AS k", "IF(id % 5 = 0, NULL, id / 3 - 40) AS v",
+        "IF(id % 13 = 0, double('nan'), pow(2, id % 90 - 45)) AS w").repartition(5)
+    kw = {"counts": {"n": "v"}, "sums": {"s": "v", "t": "w"}, "means": {"m": "w"}}
+    few, many = exact_agg(df, ["k"], **kw), exact_agg(df, ["k"], **kw, many=True)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 7
+    assert exact_agg(df.where("k > 99"), ["k"], **kw, many=True).count() == 0
