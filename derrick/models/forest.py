@@ -26,6 +26,7 @@ subtrees and packets of leaf values back to blocks of rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 import struct
 import uuid
@@ -53,6 +54,9 @@ BLOCK = 1 << BLOCK_BITS
 #: subtrees grown or scored in a task, about
 SUBTREES = 8
 
+#: levels after which a grower puts the rows of a node side by side again
+RENUMBER = 3
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -73,13 +77,19 @@ def _poisson_steps() -> np.ndarray:
 
 
 _STEPS = _poisson_steps()
+#: steps below every 2^-16, and the 2^-16 that hold a step
+_GRID = np.searchsorted(_STEPS, np.arange(1 << 16) * 2.0 ** -16, side="right").astype(np.int64)
+_HOLDS = np.append(_GRID[1:], len(_STEPS)) > _GRID
 
 
 def bootstrap(key: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """How often each row is in the tree's sample; ``key`` is a hash of its content."""
     with np.errstate(over="ignore"):
         u = mix(key.view(np.uint64) + _ODD * np.uint64(seed * 1_000_003 + tree + 1))
-    return np.searchsorted(_STEPS, (u >> np.uint64(11)) * 2.0 ** -53, side="right").astype(np.int64)
+    cell = (u >> np.uint64(48)).astype(np.int64)
+    times, near = _GRID[cell], np.flatnonzero(_HOLDS[cell])
+    times[near] = np.searchsorted(_STEPS, (u[near] >> np.uint64(11)) * 2.0 ** -53, side="right")
+    return times
 
 
 def root_path(tree: int, seed: int) -> int:
@@ -120,92 +130,121 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, path: int, subset: int | N
     to node ``left``, the others to ``left`` + 1. ``order`` are the rows sorted by each
     feature, if they are known. Rows of finished nodes leave all orders at once."""
     n, width = x.shape
-    columns = [np.ascontiguousarray(x[:, j]) for j in range(width)]
     if order is None:
-        order = [np.argsort(c, kind="stable") for c in columns]
-    order, wy = [np.asarray(o, np.intp) for o in order], w * y
+        order = [np.argsort(x[:, j], kind="stable") for j in range(width)]
+    order = [np.asarray(o, np.intp) for o in order]
     both = np.empty(n, np.complex128)                     # weights and weighted labels add up in one pass
-    both.real, both.imag = w, wy
+    both.real, both.imag = w, w * y
+    # places of a feature's values among its distinct ones: shorter than the values, compared alike
+    ranks, distinct = np.empty((width, n), np.int32), []
+    for j, o in enumerate(order):
+        xs = x[o, j]
+        new = np.append(True, xs[:-1] < xs[1:])
+        ranks[j, o] = np.cumsum(new, dtype=np.int32) - 1
+        distinct.append(xs[new])
     feature, value, left = [], [], []
     made = 1
 
-    def look(rows, size):
-        """Mean of every node, and whether its labels differ."""
-        starts = np.cumsum(size) - size
-        yy = y[rows]
-        return (np.add.reduceat(wy[rows], starts) / np.add.reduceat(w[rows], starts),
-                np.minimum.reduceat(yy, starts) < np.maximum.reduceat(yy, starts))
-    size, paths = np.array([n]), np.array([path], np.uint64)
-    mean, mixed = look(order[0], size)
-    while True:
+    def means(rows, size):
+        starts, own = np.cumsum(size) - size, both[rows]
+        return np.add.reduceat(own.imag.copy(), starts) / np.add.reduceat(own.real.copy(), starts)
+
+    def differ(rows, size):
+        """Whether the labels of a node differ, for every node."""
+        yy, ends = y[rows], np.cumsum(size) - 1
+        seen = np.cumsum(np.append(False, yy[:-1] != yy[1:]))
+        return seen[ends] > seen[ends + 1 - size]
+    rows, size, paths = order[0], np.array([n]), np.array([path], np.uint64)
+    mixed = differ(rows, size) & ~np.isnan(y).any()
+    for depth in itertools.count():
         feature.append(np.full(len(size), -1, np.int16))
-        value.append(mean)
+        value.append(np.zeros(len(size)))
         left.append(np.full(len(size), -1, np.int32))
+        if not mixed.all():
+            value[-1][~mixed] = means(rows[np.repeat(~mixed, size)], size[~mixed])
         if not mixed.any():
             break
         # the orders hold the rows of mixed nodes only
         level = np.flatnonzero(mixed)
         size, paths = size[level], paths[level]
+        if depth % RENUMBER == 0:                         # rows of a node lie side by side
+            own = order[0]
+            place = np.empty(len(y), np.intp)
+            place[own] = np.arange(len(own))
+            ranks, both, y = np.take(ranks, own, axis=1), both[own], y[own]
+            order = [np.arange(len(own)), *(place[o] for o in order[1:])]
         ends = np.cumsum(size) - 1
         starts = ends + 1 - size
         of = np.repeat(np.arange(len(size)), size)
-        varies = np.stack([c[o[starts]] < c[o[ends]] for c, o in zip(columns, order)], axis=1)
+        varies = np.stack([r[o[starts]] < r[o[ends]] for r, o in zip(ranks, order)], axis=1)
         allowed = competing(paths, varies, subset)
         best = np.full(len(size), -np.inf)
         bf, bt = np.full(len(size), -1, np.int16), np.zeros(len(size))
-        for j, (c, o) in enumerate(zip(columns, order)):
-            use = allowed[:, j]
-            if not use.any():
+        upto = np.zeros(len(size), np.int32)              # the place of the last value to the left
+        for j, (r, o) in enumerate(zip(ranks, order)):
+            here = np.flatnonzero(allowed[:, j])
+            if not len(here):
                 continue
-            seg, last, first = of, ends, starts
-            if not use.all():
-                some = np.repeat(use, size)
-                o, seg = o[some], of[some]
-                last = np.cumsum(size * use) - 1
-                first = last - size * use + 1
+            own = size[here]
+            if len(here) < len(size):
+                o = o[np.repeat(allowed[:, j], size)]
+            last = np.cumsum(own) - 1
             # sums up to each row inside its node, and of the whole node
-            xs, sums = c[o], np.cumsum(both[o])
-            base = np.where(first > 0, sums[first - 1], 0.0)
+            xs, sums = r[o], np.cumsum(both[o])
+            base = np.append(0.0, sums[last[:-1]])
+            whole = sums[last] - base
             up = np.empty(len(xs), bool)
             np.less(xs[:-1], xs[1:], out=up[:-1])
             up[last] = False
             at = np.flatnonzero(up)
-            node = seg[at]
-            cut = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            here, many = node[cut], np.diff(np.append(cut, len(node)))
-            part = sums[at] - np.repeat(base[here], many)
-            rest = np.repeat(sums[last[here]] - base[here], many) - part
-            gain = part.imag * part.imag / part.real + rest.imag ** 2 / rest.real
+            # every node here varies, so it has a threshold
+            cut = np.searchsorted(at, last + 1 - own)
+            many = np.diff(np.append(cut, len(at)))
+            part = sums[at]
+            part -= np.repeat(base, many)
+            lw, ls = part.real.copy(), part.imag.copy()
+            rw = np.repeat(whole.real, many)
+            rw -= lw
+            rs = np.repeat(whole.imag, many)
+            rs -= ls
+            ls *= ls
+            ls /= lw
+            rs *= rs
+            rs /= rw
+            gain = ls
+            gain += rs
             top = np.maximum.reduceat(gain, cut)
             winners = np.flatnonzero(gain == np.repeat(top, many))
-            here = node[winners]
-            winners = winners[np.append(True, here[1:] != here[:-1])]      # the smallest threshold of a tie
-            here = node[winners]
+            of_node = np.searchsorted(cut, winners, side="right") - 1
+            first = np.append(True, of_node[1:] != of_node[:-1])
+            winners, here = winners[first], here[of_node[first]]           # the smallest threshold of a tie
             better = gain[winners] > best[here]
             winners, here = winners[better], here[better]
-            best[here], bf[here] = gain[winners], j
-            bt[here] = middle(xs[at[winners]], xs[at[winners] + 1])
+            best[here], bf[here], upto[here] = gain[winners], j, xs[at[winners]]
+            bt[here] = middle(distinct[j][xs[at[winners]]], distinct[j][xs[at[winners] + 1]])
         split = bf >= 0
+        kept = np.repeat(split, size)
+        if not split.all():
+            value[-1][level[~split]] = means(order[0][~kept], size[~split])
         if not split.any():
             break
         parents = level[split]
         feature[-1][parents], value[-1][parents] = bf[split], bt[split]
         left[-1][parents] = made + 2 * np.arange(len(parents))
         made += 2 * len(parents)
-        kept = np.repeat(split, size)
         own, nodes = order[0][kept], of[kept]
-        right = x[own, bf[nodes]] > bt[nodes]
+        right = ranks.ravel()[bf[nodes].astype(np.intp) * ranks.shape[1] + own] > upto[nodes]
         size, paths = size[split], paths[split]
-        n_right = np.add.reduceat(right.astype(np.int64), np.cumsum(size) - size)
+        n_right = np.diff(np.cumsum(right)[np.cumsum(size) - 1], prepend=0)
         size = np.stack([size - n_right, n_right], axis=1).ravel()
         begin = np.cumsum(size) - size
         rows = np.empty(len(own), np.intp)
         rows[_places(size, begin, 0)], rows[_places(size, begin, 1)] = own[~right], own[right]
-        mean, mixed = look(rows, size)
+        mixed = differ(rows, size)
         order[0] = rows[np.repeat(mixed, size)]
         # 1: to the left child, 2: to the right, 0: in a leaf
         stay = np.where(mixed, size, 0)
-        side = np.zeros(n, np.int8)
+        side = np.zeros(len(y), np.int8)
         side[order[0]] = np.repeat(np.tile(np.array([1, 2], np.int8), len(size) // 2), stay)
         begin = np.cumsum(stay) - stay
         lefts, rights = _places(stay, begin, 0), _places(stay, begin, 1)
@@ -224,8 +263,9 @@ def descend(x: np.ndarray, feature: np.ndarray, value: np.ndarray, left: np.ndar
     todo = np.flatnonzero(feature[node] >= 0)
     while len(todo):
         at = node[todo]
-        node[todo] = left[at] + (x[todo, feature[at]] > value[at])
-        todo = todo[feature[node[todo]] >= 0]
+        at = left[at] + (x[todo, feature[at]] > value[at])
+        node[todo] = at
+        todo = todo[feature[at] >= 0]
     return node
 
 
@@ -257,6 +297,9 @@ def narrow(a: np.ndarray) -> tuple[np.ndarray, float]:
         for scale in _SCALES:
             if reach * scale >= 2 ** 31 - 1:
                 break
+            some = a[:64]                                 # most columns that need doubles show it soon
+            if (np.rint(some * scale) / scale != some).any():
+                continue
             whole = np.rint(a * scale)
             if (whole / scale == a).all():
                 top = np.abs(whole).max()
@@ -281,7 +324,8 @@ def wide(data: bytes, n: int, number: int) -> list[np.ndarray]:
 
 def _packets(nodes: np.ndarray, columns: list[tuple[np.ndarray, float]]):
     """(node, rows, packet) of every node with rows; rows keep their order inside a packet."""
-    by = np.argsort(nodes, kind="stable")
+    few = len(nodes) and nodes.max() < 1 << 15            # short keys sort in linear time
+    by = np.argsort(nodes.astype(np.int16) if few else nodes, kind="stable")
     nodes = nodes[by]
     cut = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])) if len(nodes) else np.zeros(0, np.int64)
     ends = np.append(cut[1:], len(nodes))
@@ -444,10 +488,16 @@ class Forest:
                 found = []
                 if left.num_rows:
                     arrays = unpack(right.column("packed")[0].as_py())
-                    for i in range(left.num_rows):
-                        block, tree, node, n, packed = (left.column(c)[i].as_py() for c in names)
-                        at, *x = wide(packed, n, 1 + width)
-                        found.append(answer(tree, node, block, at, arrays[1][descend(np.column_stack(x), *arrays)]))
+                    block, tree, node, n, packed = (left.column(c) for c in names)
+                    tree, node, n = tree[0].as_py(), node[0].as_py(), n.to_numpy()
+                    # small packets are scored together
+                    batch = (np.cumsum(n) - n) >> BLOCK_BITS
+                    for some in np.split(np.arange(len(n)), np.flatnonzero(np.diff(batch)) + 1):
+                        rows_ = [wide(packed[int(i)].as_py(), int(n[i]), 1 + width) for i in some]
+                        x = np.column_stack([np.concatenate(c) for c in list(zip(*rows_))[1:]])
+                        values = np.split(arrays[1][descend(x, *arrays)], np.cumsum(n[some])[:-1])
+                        found += [answer(tree, node, block[int(i)].as_py(), r[0], v)
+                                  for i, r, v in zip(some, rows_, values)]
                 return pa.table(table(found), names=names)
             parts = _parts(spark, self.uppers)
             ranged = slim.repartitionByRange(_tasks(spark, n), row)
@@ -616,13 +666,18 @@ def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: i
                     w, first = wq[own] * times[own], of[min(of)]
                     # whole numbers below 2^53, so exact
                     weights = (w, w * yq[own], None)
+                    by = np.argsort(at.astype(np.int16), kind="stable")        # at most OPEN
+                    cut = np.flatnonzero(np.diff(at[by], prepend=-1))
+                    seen = first + at[by[cut]]
                     for j in range(width):
                         cell = at * BINS + bins[j][own]
                         for k, v in enumerate(weights):
                             sums[first:first + len(of), j, :, k] += np.bincount(
                                 cell, v, len(of) * BINS).reshape(len(of), BINS).astype(np.int64)
-                        np.minimum.at(ends[first:first + len(of), j, 0], at, x[own, j])
-                        np.minimum.at(ends[first:first + len(of), j, 1], at, -x[own, j])
+                        if len(cut):
+                            xs = x[own[by], j]
+                            ends[seen, j, 0] = np.minimum(ends[seen, j, 0], np.minimum.reduceat(xs, cut))
+                            ends[seen, j, 1] = np.minimum(ends[seen, j, 1], -np.maximum.reduceat(xs, cut))
             some = np.flatnonzero(sums[:, 0, :, 2].any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some), pa.array([sums[i].tobytes() for i in some], pa.binary()),
@@ -636,19 +691,20 @@ def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: i
             e = np.minimum.reduce([np.frombuffer(v).reshape(width, 2) for v in table.column("ends").to_pylist()])
             lo, hi = e[:, 0], -e[:, 1]
             allowed = competing(np.array([paths[i]], np.uint64), (lo < hi)[None], subset)[0]
-            best, cut = -np.inf, (-1, 0.0)
+            best, cut, small = -np.inf, (-1, 0.0), -1       # rows to the left; -1: not known
             for j in np.flatnonzero(allowed):
                 w, sy = (np.cumsum(s[j, :, k]).astype(float) for k in (0, 1))
                 for k in range(len(cuts[j])):
                     if 0 < w[k] < w[-1]:
                         gain = sy[k] ** 2 / w[k] + (sy[-1] - sy[k]) ** 2 / (w[-1] - w[k])
                         if gain > best:
-                            best, cut = gain, (int(j), float(cuts[j][k]))
+                            best, cut, small = gain, (int(j), float(cuts[j][k])), int(s[j, :k + 1, 2].sum())
             if cut[0] < 0 and allowed.any():                # one bin holds them all: halve the widest
                 j = int(np.argmax(np.where(allowed, hi - lo, -1.0)))
                 cut = j, float(middle(lo[j], hi[j]))
             return pa.table([pa.array([i]), pa.array([cut[0]]), pa.array([cut[1]]),
-                             pa.array([int(s[0, :, 2].sum())])], names=["i", "feature", "value", "n"])
+                             pa.array([int(s[0, :, 2].sum())]), pa.array([small])],
+                            names=["i", "feature", "value", "n", "n_left"])
         return run
 
     while any(u.open for u in uppers):
@@ -658,7 +714,7 @@ def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: i
             todo = everything[a:a + OPEN]
             paths = [uppers[t].path[node] for t, node in todo]
             found = histograms(todo, arrays).groupBy("i").applyInArrow(
-                choose(paths), "i long, feature long, value double, n long").collect()
+                choose(paths), "i long, feature long, value double, n long, n_left long").collect()
             for t, node in todo:
                 uppers[t].open.discard(node)
             for r in found:
@@ -669,7 +725,9 @@ def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: i
                 u.feature[node], u.value[node], u.left[node] = r["feature"], r["value"], len(u.feature)
                 own = np.array([u.path[node]], np.uint64)
                 for side in (0, 1):
-                    u.open.add(len(u.feature))
+                    # rows on each side of a cut are counted already: only nodes over the bound stay open
+                    if r["n_left"] < 0 or (r["n"] - r["n_left"] if side else r["n_left"]) > task_rows:
+                        u.open.add(len(u.feature))
                     u.feature.append(-1)
                     u.value.append(0.0)
                     u.left.append(-1)

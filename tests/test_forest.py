@@ -108,6 +108,28 @@ def test_upper_levels_on_spark(spark):
     assert model.trees.count() > 6 * 700 // 60 // 4 and all(len(u.feature) > 1 for u in model.uppers)
 
 
+def test_upper_levels_look_at_large_nodes_only(spark, monkeypatch):
+    """The histogram that splits a node also counts both sides, so rows are not read again
+    to find that a node fits a task: every node looked at is split."""
+    class Opened(set):
+        def add(self, node):
+            opened.append(node)
+            super().add(node)
+    opened, upper = [], forest.Upper
+    monkeypatch.setattr(forest, "Upper", lambda path: upper(path=path, open=Opened({0})))
+    x, y = data(700, 4)
+    model = forest.fit(frame(spark, x, y), ["a", "b", "c"], "y", num_trees=3, task_rows=60)
+    assert 3 + len(opened) == sum(f >= 0 for u in model.uppers for f in u.feature)
+
+
+def test_bootstrap_table_is_the_distribution():
+    key = np.random.default_rng(5).integers(-2 ** 63, 2 ** 63 - 1, 200_000)
+    with np.errstate(over="ignore"):
+        u = forest.mix(key.view(np.uint64) + forest._ODD * np.uint64(7 * 1_000_003 + 3))
+    want = np.searchsorted(forest._STEPS, (u >> np.uint64(11)) * 2.0 ** -53, side="right")
+    assert (forest.bootstrap(key, 2, 7) == want).all()
+
+
 def test_rows_that_share_every_bin(spark):
     """Over 60 rows crowd into one bin of every feature; equal rows end in one leaf."""
     x = np.full((400, 3), 5.0)
