@@ -1,6 +1,8 @@
 import hashlib
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from derrick.llm import line_dedup, simhash, suffix_dedup
 from derrick.llm.components import components
+from derrick.session import ensure_checkpoint_dir
 from tests.llm.conftest import EDGE, EDGE_IDS, make
 
 
@@ -223,6 +226,25 @@ def test_lines_that_repeat_a_phrase(spark):
     assert removed(make(spark, texts), 1) == brute_lines(docs, 1)
 
 
+def test_lines_leave_no_tables_or_shuffles_behind(spark, sample):
+    """Disk holds one step's shuffles at a time; the tables of the steps go with the last one."""
+    def shuffles():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return set(re.findall(r"shuffle_[0-9_]+", held.mkString(" ")))
+
+    def tables():
+        at = ensure_checkpoint_dir(spark).removeprefix("file:")
+        return {os.path.join(d, f) for d, _, files in os.walk(at) for f in files if f.endswith(".parquet")}
+    old, kept = shuffles(), tables()
+    gone = line_dedup.removed_lines(sample[1])
+    for _ in range(100):                                   # files are removed in the background
+        if not (left := shuffles() - old):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert len({os.path.dirname(t) for t in tables() - kept}) == 1 and gone.count() > 0
+
+
 def test_lines_edges(spark):
     df = make(spark, EDGE, EDGE_IDS).withColumn("_th", F.lit(1)).withColumn("_n_removed", F.lit("x"))
     out = line_dedup.dedup(df).collect()
