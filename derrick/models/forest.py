@@ -7,13 +7,14 @@ labels that is the Gini index, and a leaf's mean the probability. ``subset`` fea
 drawn per node by hash among those that vary, compete; ties go to the first feature,
 then to the smallest threshold. Nothing depends on partitioning or on row order.
 
-1. As long as a node holds more than ``task_rows`` rows, its tree grows level by level
-   on Spark: tasks send histograms of its rows over ``BINS`` exact quantiles per feature
-   in whole numbers (labels and weights in fixed steps, so sums don't depend on order),
-   grouped tasks add them up and choose the split. If all rows of a node share a bin of
-   every feature, the widest feature is halved. Only these upper nodes, about 2 n /
-   ``task_rows`` per tree, are held by the driver.
-2. A node that fits a task is finished there, exactly: all nodes of a level at a time,
+1. A node of more than ``task_rows`` rows is split by histograms of its rows over ``BINS``
+   exact quantiles per feature in whole numbers (labels and weights in fixed steps, so
+   sums don't depend on order). If all rows of a node share a bin of every feature, the
+   widest feature is halved. As long as a node holds more than ``node_rows`` rows, its tree
+   grows level by level on Spark: tasks send histograms, grouped tasks add them up and
+   choose the split. Only these upper nodes, about 2 n / ``node_rows`` per tree, are held
+   by the driver. A smaller one travels to one task, which splits it the same way.
+2. A node of at most ``task_rows`` rows is finished exactly: all nodes of a level at a time,
    on presorted features, without a limit of depth.
 
 If all rows fit a task (a bound of ``task_rows`` rows of a few numbers), they are
@@ -21,7 +22,8 @@ broadcast once and tasks grow trees; otherwise rows travel to their (tree, node)
 packet per task and node whose columns take the shortest numbers that keep them exact.
 The trees stay a table of packed subtrees in the shared folder and never meet in one
 place; scoring broadcasts the rows in the same bound, else sends such packets to the
-subtrees and packets of leaf values back to blocks of rows.
+subtrees and packets of leaf values back to blocks of rows. Trees are grown and scored in
+batches of about ``PAIRS`` (row, tree) pairs, so that disks hold one batch's packets.
 """
 
 from __future__ import annotations
@@ -39,10 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derrick.operators.ranking import stretches
-from derrick.session import default_parallelism, ensure_checkpoint_dir, ship_package
+from derrick.session import default_parallelism, drop_folder, ensure_checkpoint_dir, ship_package, shuffles_dropped
 
-#: rows of a node that one task finishes
+#: rows of a node that are split exactly
 TASK_ROWS = 200_000
+#: rows of a node that one task finishes: about 80 bytes each
+NODE_ROWS = 4_000_000
+#: (row, tree) pairs whose packets are on the disks at a time
+PAIRS = 1 << 28
 BINS = 64
 #: open (tree, node) pairs whose histograms one pass collects
 OPEN = 4_096
@@ -284,6 +290,38 @@ def unpack(data: bytes):
             np.where(split, 2 * np.cumsum(split) - 1, -1).astype(np.int32))
 
 
+def bundle(upper: bytes, parts: list[bytes]) -> bytes:
+    """A tree in packed parts: its leaves, in the order of their numbers, are the roots of ``parts``."""
+    sizes = [len(upper), *map(len, parts)]
+    return struct.pack(f"<q{len(sizes)}q", -len(parts), *sizes) + upper + b"".join(parts)
+
+
+def opened(data: bytes) -> tuple:
+    """The arrays of a packed tree, and those of its parts (none: it came in one)."""
+    many, = struct.unpack_from("<q", data)
+    if many >= 0:
+        return unpack(data), []
+    sizes = struct.unpack_from(f"<{1 - many}q", data, 8)
+    ends = np.cumsum([8 * (2 - many), *sizes])
+    upper, *parts = [unpack(data[a:z]) for a, z in zip(ends[:-1], ends[1:])]
+    return upper, parts
+
+
+def leaf_values(x: np.ndarray, tree: tuple) -> np.ndarray:
+    """The value of every row's leaf in an :func:`opened` tree."""
+    upper, parts = tree
+    leaf = descend(x, *upper)
+    if not parts:
+        return upper[1][leaf]
+    part = (np.cumsum(upper[0] < 0) - 1)[leaf]
+    out = np.empty(len(x))
+    by = np.argsort(part, kind="stable")
+    for own in np.split(by, np.flatnonzero(np.diff(part[by])) + 1) if len(by) else ():
+        arrays = parts[part[own[0]]]
+        out[own] = arrays[1][descend(x[own], *arrays)]
+    return out
+
+
 #: integer types a column of whole numbers, or of decimals by their scale, may take
 _INTS = ("<i1", "<i2", "<i4")
 _SCALES = (1.0, 100.0, 10_000.0)
@@ -364,9 +402,14 @@ class Upper:
         return np.array(self.feature, np.int16), np.array(self.value), np.array(self.left, np.int32)
 
 
-def _table(df: DataFrame) -> DataFrame:
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/forest-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def _folder(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/forest-{uuid.uuid4().hex}"
+
+
+def _table(df: DataFrame, path: str | None = None) -> DataFrame:
+    path = path or _folder(df.sparkSession)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -414,8 +457,7 @@ class Forest:
                     if tree != last:
                         nodes, last = descend(x, *uppers.value[tree]), tree
                     own = np.flatnonzero(nodes == table.column("node")[i].as_py())
-                    arrays = unpack(table.column("packed")[i].as_py())
-                    total[own] += arrays[1][descend(x[own], *arrays)]
+                    total[own] += leaf_values(x[own], opened(table.column("packed")[i].as_py()))
                 return pa.table([pa.array(ids), pa.array(np.full(len(ids), group), pa.int32()), pa.array(total)],
                                 names=[row, "group", "s"])
             sums = (self.trees.withColumn("group", F.floor(F.col("tree") / TREES).cast("int")).groupBy("group")
@@ -460,15 +502,14 @@ class Forest:
                         own = np.flatnonzero(nodes == node)
                         if not len(own):
                             continue
-                        arrays = unpack(packed)
-                        values, block = arrays[1][descend(x[own], *arrays)], ids[own] >> BLOCK_BITS
+                        values, block = leaf_values(x[own], opened(packed)), ids[own] >> BLOCK_BITS
                         cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
                         found = [answer(tree, node, int(block[a]), ids[own[a:z]] & low, values[a:z])
                                  for a, z in zip(cut, np.append(cut[1:], len(own)))]
                         yield pa.RecordBatch.from_arrays(table(found), names=names)
             answers = self.trees.mapInArrow(visit, schema)
         else:
-            def spread(batches):
+            def spread(batches, some_trees):
                 for held_ in _blocks(batches, [row, *cols]):
                     by = np.argsort(held_[row], kind="stable")
                     ids, x = held_[row][by], np.column_stack([held_[c][by] for c in cols])
@@ -477,7 +518,7 @@ class Forest:
                     for a, z in zip(cut, np.append(cut[1:], len(ids))):
                         own = x[a:z]
                         packet = [((ids[a:z] & low).astype("<i4"), 1.0), *(narrow(c) for c in own.T)]
-                        for tree in range(trees):
+                        for tree in some_trees:
                             node, many, packed = _packets(descend(own, *uppers.value[tree]), packet)
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(np.full(len(node), block[a])), pa.array(np.full(len(node), tree, np.int32)),
@@ -487,7 +528,7 @@ class Forest:
             def own(left: pa.Table, right: pa.Table) -> pa.Table:
                 found = []
                 if left.num_rows:
-                    arrays = unpack(right.column("packed")[0].as_py())
+                    grown = opened(right.column("packed")[0].as_py())
                     block, tree, node, n, packed = (left.column(c) for c in names)
                     tree, node, n = tree[0].as_py(), node[0].as_py(), n.to_numpy()
                     # small packets are scored together
@@ -495,28 +536,58 @@ class Forest:
                     for some in np.split(np.arange(len(n)), np.flatnonzero(np.diff(batch)) + 1):
                         rows_ = [wide(packed[int(i)].as_py(), int(n[i]), 1 + width) for i in some]
                         x = np.column_stack([np.concatenate(c) for c in list(zip(*rows_))[1:]])
-                        values = np.split(arrays[1][descend(x, *arrays)], np.cumsum(n[some])[:-1])
+                        values = np.split(leaf_values(x, grown), np.cumsum(n[some])[:-1])
                         found += [answer(tree, node, block[int(i)].as_py(), r[0], v)
                                   for i, r, v in zip(some, rows_, values)]
                 return pa.table(table(found), names=names)
-            parts = _parts(spark, self.uppers)
             ranged = slim.repartitionByRange(_tasks(spark, n), row)
-            answers = (ranged.mapInArrow(spread, schema).repartition(parts, "tree", "node").groupBy("tree", "node")
-                       .cogroup(self.trees.repartition(parts, "tree", "node").groupBy("tree", "node"))
-                       .applyInArrow(own, schema))
 
-        def add(table_: pa.Table) -> pa.Table:
-            block = table_.column("block")[0].as_py()
-            total, seen = np.zeros(BLOCK), np.zeros(BLOCK, bool)
+            def answered(some_trees):
+                parts = _parts(spark, [self.uppers[t] for t in some_trees])
+                grown = self.trees.where(F.col("tree").between(some_trees[0], some_trees[-1]))
+                return (ranged.mapInArrow(lambda batches: spread(batches, some_trees), schema)
+                        .repartition(parts, "tree", "node").groupBy("tree", "node")
+                        .cogroup(grown.repartition(parts, "tree", "node").groupBy("tree", "node"))
+                        .applyInArrow(own, schema))
+
+        def add(table_: pa.Table, held_: pa.Table | None = None) -> pa.Table:
+            if held_ is not None and held_.num_rows:
+                block = held_.column("block")[0].as_py()
+                total = np.frombuffer(held_.column("total")[0].as_py()).copy()
+                seen = np.unpackbits(np.frombuffer(held_.column("seen")[0].as_py(), np.uint8)).astype(bool)
+            else:
+                block = table_.column("block")[0].as_py()
+                total, seen = np.zeros(BLOCK), np.zeros(BLOCK, bool)
             tree, node = (table_.column(c).to_numpy() for c in ("tree", "node"))
             for i in np.lexsort((node, tree)).tolist():
                 steps, values = wide(table_.column("packed")[i].as_py(), table_.column("n")[i].as_py(), 2)
                 at = np.cumsum(steps).astype(np.int64)
                 total[at] += values
                 seen[at] = True
-            at = np.flatnonzero(seen)
-            return pa.table([pa.array((block << BLOCK_BITS) + at), pa.array(total[at] / trees)], names=[row, out])
-        return answers.groupBy("block").applyInArrow(add, f"{row} long, {out} double")
+            return pa.table([pa.array([block]), pa.array([np.packbits(seen).tobytes()], pa.binary()),
+                             pa.array([total.tobytes()], pa.binary())], names=["block", "seen", "total"])
+
+        def means(batches):
+            for b in batches:
+                for block, seen, total in zip(*(b.column(c).to_pylist() for c in ("block", "seen", "total"))):
+                    at = np.flatnonzero(np.unpackbits(np.frombuffer(seen, np.uint8)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((block << BLOCK_BITS) + at), pa.array(np.frombuffer(total)[at] / trees)], names=[row, out])
+        # the sums so far travel from batch to batch, so that a row's trees are added up in order
+        sums, kept = "block long, seen binary, total binary", None
+        per = trees if n <= self.task_rows else max(1, PAIRS // n)
+        for a in range(0, trees, per):
+            found = (answers if n <= self.task_rows else answered(range(a, min(a + per, trees)))).groupBy("block")
+            if kept is None:
+                added = found.applyInArrow(lambda t: add(t), sums)
+            else:
+                added = found.cogroup(kept.groupBy("block")).applyInArrow(lambda t, h: add(t, h), sums)
+            if a + per < trees:
+                before, path = (path if kept is not None else None), _folder(spark)
+                kept = _table(added, path)
+                if before:
+                    drop_folder(spark, before)
+        return added.mapInArrow(means, f"{row} long, {out} double")
 
 
 def _tasks(spark, n: int) -> int:
@@ -527,12 +598,17 @@ def _tasks(spark, n: int) -> int:
 def _parts(spark, uppers: list[Upper]) -> int:
     """Tasks the subtrees are spread over: a task's time follows its rows, not its bytes."""
     subtrees = sum(u.feature.count(-1) for u in uppers)
-    return max(min(subtrees, 4 * default_parallelism(spark)), subtrees // SUBTREES)
+    # hashes deal few subtrees unevenly, so there are more tasks than those
+    return max(min(8 * subtrees, 16 * default_parallelism(spark)), subtrees // SUBTREES)
 
 
 def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None = None, num_trees: int = 100,
-        subset: int | None = None, seed: int = 42, task_rows: int = TASK_ROWS) -> Forest:
-    """Grow a forest on rows without nulls in ``features`` and ``label``."""
+        subset: int | None = None, seed: int = 42, task_rows: int = TASK_ROWS,
+        node_rows: int | None = None) -> Forest:
+    """Grow a forest on rows without nulls in ``features`` and ``label``. ``node_rows``
+    (:data:`NODE_ROWS`, or ``task_rows`` if that is another than usual) only moves work:
+    the trees are the same."""
+    node_rows = node_rows or (NODE_ROWS if task_rows == TASK_ROWS else task_rows)
     spark = df.sparkSession
     ship_package(spark)
     width = len(features)
@@ -540,7 +616,8 @@ def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None =
     rows = df.select(*[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(features)],
                      F.col(label).cast("double").alias("y"),
                      (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"))
-    rows = _table(rows.withColumn("key", F.xxhash64(*rows.columns)))
+    plain = _folder(spark)
+    rows = _table(rows.withColumn("key", F.xxhash64(*rows.columns)), plain)
     n = rows.count()
     uppers = [Upper(path=[root_path(t, seed)]) for t in range(num_trees)]
     schema = "tree int, node long, packed binary"
@@ -572,16 +649,22 @@ def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None =
 
     # few files would mean few tasks: their time follows the trees, not the bytes
     rows = _table(rows.repartition(_tasks(spark, n)))
-    _grow_upper(rows, cols, uppers, subset, seed, task_rows)
+    drop_folder(spark, plain)
+    rule = _rule(rows, cols)
+    # a tree's sample holds 0.63 of the rows
+    if 0.65 * n <= node_rows:
+        for u in uppers:
+            u.open.clear()
+    _grow_upper(rows, cols, uppers, subset, seed, node_rows, rule)
     shared = spark.sparkContext.broadcast([(u.arrays(), np.array(u.path, np.uint64)) for u in uppers])
 
     fields = (*cols, "y", "w")
 
-    def deal(batches):
+    def deal(batches, some_trees):
         for held in _blocks(batches, [*fields, "key"]):
             x, key = np.column_stack([held[c] for c in cols]), held["key"]
             columns = [narrow(held[c]) for c in fields]
-            for tree in range(num_trees):
+            for tree in some_trees:
                 times = bootstrap(key, tree, seed)
                 own = np.flatnonzero(times)
                 node, many, packed = _packets(descend(x[own], *shared.value[tree][0]), [
@@ -594,18 +677,30 @@ def fit(df: DataFrame, features: Sequence[str], label: str, weight: str | None =
     def subtree(table: pa.Table) -> pa.Table:
         tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
         counts, packets = table.column("n").to_pylist(), table.column("packed")
-        held = [wide(packets[i].as_py(), counts[i], width + 3)
-                for i in np.argsort(table.column("first").to_numpy(), kind="stable").tolist()]
-        *x, y, w, times = (np.concatenate(c) for c in zip(*held))
-        packed = pack(*grow(np.column_stack(x), y, w * times, int(shared.value[tree][1][node]), subset))
+        held = np.empty((width + 3, sum(counts)))
+        at = 0
+        for i in np.argsort(table.column("first").to_numpy(), kind="stable").tolist():
+            for k, c in enumerate(wide(packets[i].as_py(), counts[i], width + 3)):
+                held[k, at:at + counts[i]] = c
+            at += counts[i]
+        packed = _grown(held[:width], *held[width:], int(shared.value[tree][1][node]), subset, task_rows, rule)
         return pa.table([pa.array([tree], pa.int32()), pa.array([node], pa.int64()), pa.array([packed], pa.binary())],
                         names=["tree", "node", "packed"])
     # packets hold rows in the order of their content, so packets in order do as well; equal rows may share ranges
     ranged = (rows.withColumn("__r", F.rand(seed)).repartitionByRange(_tasks(spark, n), "key", "__r").drop("__r")
               .sortWithinPartitions("key", *reversed(cols), "y", "w"))
-    dealt = ranged.mapInArrow(deal, "tree int, node long, first long, n int, packed binary")
-    trees = _table(dealt.repartition(_parts(spark, uppers), "tree", "node").groupBy("tree", "node")
-                   .applyInArrow(subtree, schema))
+    path = _folder(spark)
+    per = max(1, 2 * PAIRS // n)                          # a packet takes half the bytes of a scored one and its answer
+    for a in range(0, num_trees, per):
+        some = range(a, min(a + per, num_trees))
+        dealt = ranged.mapInArrow(lambda batches, some=some: deal(batches, some),
+                                  "tree int, node long, first long, n int, packed binary")
+        grown = (dealt.repartition(_parts(spark, uppers[a:a + per]), "tree", "node").groupBy("tree", "node")
+                 .applyInArrow(subtree, schema))
+        with shuffles_dropped(spark):
+            # a folder for each tree, so that a batch of scores reads its trees only
+            grown.select("*").write.mode("append").partitionBy("tree").parquet(path)
+    trees = spark.read.schema(schema).parquet(path).select("tree", "node", "packed")
     return Forest(list(features), num_trees, uppers, trees, task_rows)
 
 
@@ -634,13 +729,89 @@ def _cuts(rows: DataFrame, cols: list[str]) -> list[np.ndarray]:
     return [np.unique([quantile(j, p) for p in places]) for j in range(len(cols))]
 
 
+@dataclass
+class Rule:
+    """What histograms are made with: cuts per feature, lowest label and the steps of labels and weights."""
+    cuts: list[np.ndarray]
+    low: float
+    step: float
+    heavy: float
+
+    def labels(self, y: np.ndarray) -> np.ndarray:
+        return np.rint((y - self.low) / self.step)
+
+    def weights(self, w: np.ndarray) -> np.ndarray:
+        return np.maximum(1.0, np.rint(w / self.heavy))
+
+    def best(self, s: np.ndarray, allowed: np.ndarray) -> tuple[int, float, int]:
+        """(feature, threshold, rows to the left) of the best cut of a node's histograms, or feature -1."""
+        best, cut = -np.inf, (-1, 0.0, -1)
+        for j in np.flatnonzero(allowed):
+            w, sy = (np.cumsum(s[j, :, k]).astype(float) for k in (0, 1))
+            for k in range(len(self.cuts[j])):
+                if 0 < w[k] < w[-1]:
+                    gain = sy[k] ** 2 / w[k] + (sy[-1] - sy[k]) ** 2 / (w[-1] - w[k])
+                    if gain > best:
+                        best, cut = gain, (int(j), float(self.cuts[j][k]), int(s[j, :k + 1, 2].sum()))
+        return cut
+
+
+def _rule(rows: DataFrame, cols: list[str]) -> Rule:
+    top = rows.agg(F.min("y"), F.max("y"), F.max("w")).first()
+    return Rule(_cuts(rows, cols), top[0], (top[1] - top[0]) / 2 ** 20 or 1.0, top[2] / 2 ** 8 or 1.0)
+
+
+def _halved(lo: np.ndarray, hi: np.ndarray, allowed: np.ndarray) -> tuple[int, float]:
+    """One bin of every feature holds all rows: the middle of the widest."""
+    j = int(np.argmax(np.where(allowed, hi - lo, -1.0)))
+    return j, float(middle(lo[j], hi[j]))
+
+
+def _grown(x: np.ndarray, y: np.ndarray, w: np.ndarray, times: np.ndarray, path: int, subset: int | None,
+           task_rows: int, rule: Rule) -> bytes:
+    """A node's tree, packed; rows of ``x`` are features. Nodes of over ``task_rows`` rows are
+    split as :func:`_grow_upper` does, whose rows are here at hand."""
+    if len(y) <= task_rows:
+        return pack(*grow(np.ascontiguousarray(x.T), y, w * times, path, subset))
+    bins = [np.searchsorted(c, v).astype(np.uint8) for c, v in zip(rule.cuts, x)]
+    weight = rule.weights(w) * times
+    label = weight * rule.labels(y)
+    feature, value, left, parts = [], [], [], []
+    todo, made = [(np.arange(len(y), dtype=np.int32), path)], 1
+    while todo:                                           # nodes in the order of their numbers
+        own, path = todo.pop(0)
+        cut = -1, 0.0
+        if len(own) > task_rows:
+            at = [b[own] for b in bins]
+            varies = np.array([b.min() < b.max() or v[own].min() < v[own].max() for b, v in zip(at, x)])
+            allowed = competing(np.array([path], np.uint64), varies[None], subset)[0]
+            s = np.zeros((len(x), BINS, 3), np.int64)
+            for a in range(0, len(own), 1 << 20):         # whole numbers below 2^53, so exact
+                some = own[a:a + (1 << 20)]
+                sums = weight[some], label[some], None
+                for j in np.flatnonzero(allowed):
+                    cell = at[j][a:a + (1 << 20)]
+                    for k, v in enumerate(sums):
+                        s[j, :, k] += np.bincount(cell, v, BINS).astype(np.int64)
+            cut = rule.best(s, allowed)[:2]
+            if cut[0] < 0 and allowed.any():
+                cut = _halved(*(np.array([f(v[own]) for v in x]) for f in (np.min, np.max)), allowed)
+        feature.append(cut[0])
+        value.append(cut[1])
+        left.append(-1 if cut[0] < 0 else made)
+        if cut[0] < 0:
+            parts.append(pack(*grow(np.stack([v[own] for v in x], axis=1), y[own], w[own] * times[own], path, subset)))
+            continue
+        right, child = x[cut[0]][own] > cut[1], np.array([path], np.uint64)
+        todo += [(own[right == side], int(child_path(child, side)[0])) for side in (0, 1)]
+        made += 2
+    return bundle(pack(np.array(feature, np.int16), np.array(value), np.array(left, np.int32)), parts)
+
+
 def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: int | None, seed: int,
-                task_rows: int) -> None:
+                task_rows: int, rule: Rule) -> None:
     """Split all nodes of more than ``task_rows`` rows, level by level."""
-    spark, width = rows.sparkSession, len(cols)
-    cuts = _cuts(rows, cols)
-    top = rows.agg(F.min("y"), F.max("y"), F.max("w")).first()
-    low, step, heavy = top[0], (top[1] - top[0]) / 2 ** 20 or 1.0, top[2] / 2 ** 8 or 1.0
+    spark, width, cuts = rows.sparkSession, len(cols), rule.cuts
     shape = (width, BINS, 3)
 
     def histograms(todo, arrays):
@@ -651,8 +822,7 @@ def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: i
             ends = np.full((len(todo), width, 2), np.inf)
             for held in _blocks(batches, [*cols, "y", "w", "key"]):
                 x, key = np.column_stack([held[c] for c in cols]), held["key"]
-                yq = np.rint((held["y"] - low) / step)
-                wq = np.maximum(1.0, np.rint(held["w"] / heavy))
+                yq, wq = rule.labels(held["y"]), rule.weights(held["w"])
                 bins = [np.searchsorted(c, x[:, j]) for j, c in enumerate(cuts)]
                 for tree, of in index.items():
                     times = bootstrap(key, tree, seed)
@@ -691,17 +861,9 @@ def _grow_upper(rows: DataFrame, cols: list[str], uppers: list[Upper], subset: i
             e = np.minimum.reduce([np.frombuffer(v).reshape(width, 2) for v in table.column("ends").to_pylist()])
             lo, hi = e[:, 0], -e[:, 1]
             allowed = competing(np.array([paths[i]], np.uint64), (lo < hi)[None], subset)[0]
-            best, cut, small = -np.inf, (-1, 0.0), -1       # rows to the left; -1: not known
-            for j in np.flatnonzero(allowed):
-                w, sy = (np.cumsum(s[j, :, k]).astype(float) for k in (0, 1))
-                for k in range(len(cuts[j])):
-                    if 0 < w[k] < w[-1]:
-                        gain = sy[k] ** 2 / w[k] + (sy[-1] - sy[k]) ** 2 / (w[-1] - w[k])
-                        if gain > best:
-                            best, cut, small = gain, (int(j), float(cuts[j][k])), int(s[j, :k + 1, 2].sum())
-            if cut[0] < 0 and allowed.any():                # one bin holds them all: halve the widest
-                j = int(np.argmax(np.where(allowed, hi - lo, -1.0)))
-                cut = j, float(middle(lo[j], hi[j]))
+            *cut, small = rule.best(s, allowed)             # rows to the left; -1: not known
+            if cut[0] < 0 and allowed.any():
+                cut = _halved(lo, hi, allowed)
             return pa.table([pa.array([i]), pa.array([cut[0]]), pa.array([cut[1]]),
                              pa.array([int(s[0, :, 2].sum())]), pa.array([small])],
                             names=["i", "feature", "value", "n", "n_left"])

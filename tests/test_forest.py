@@ -1,10 +1,14 @@
 """Forests of unlimited depth against a plain recursive grower."""
 
+import re
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
 
 from derrick.models import forest
+from derrick.session import cut_lineage
 
 
 def plain(x, y, w, path, subset):
@@ -178,3 +182,45 @@ def test_scores_of_few_rows_and_cuts_of_dealt_forest(spark):
     for c, j in zip(cuts, (0, 2)):
         want = np.unique(np.quantile(x[:, j], [k / forest.BINS for k in range(1, forest.BINS)]))
         assert c == pytest.approx(want)
+
+
+@pytest.mark.parametrize("subset,classes", [(None, False), (2, True)])
+def test_upper_levels_in_a_task_are_those_on_spark(spark, subset, classes):
+    """A node of up to ``node_rows`` rows travels to one task, which splits it like the passes on Spark."""
+    x, y = data(900, 8, classes)
+    x[600:, 1] = 7.0
+    kw = {"num_trees": 4, "task_rows": 60, "subset": subset}
+    want = predictions(spark, x, y, 3, **kw)
+    for rows in (150, 10_000):
+        assert (predictions(spark, x, y, 2, node_rows=rows, **kw) == want).all()
+    df = frame(spark, x, y)
+    model = forest.fit(df, ["a", "b", "c"], "y", node_rows=10_000, **kw)
+    assert model.trees.count() == 4 and all(len(u.feature) == 1 for u in model.uppers)
+    few = model.predict(df.where("id % 19 = 0"), "p").toPandas().set_index("id")["p"]
+    assert (few.to_numpy() == want[few.index]).all()
+
+
+def test_batches_of_trees_leave_no_shuffles_and_change_nothing(spark, monkeypatch):
+    """Disks hold the packets of some trees at a time; sums go on from batch to batch."""
+    x, y = data(500, 9)
+    kw = {"num_trees": 7, "task_rows": 60}
+    want = predictions(spark, x, y, 3, **kw)
+    monkeypatch.setattr(forest, "PAIRS", 1000)
+    dealt, packets = [], forest._parts
+    monkeypatch.setattr(forest, "_parts", lambda s, uppers: dealt.append(len(uppers)) or packets(s, uppers))
+    assert (predictions(spark, x, y, 3, **kw) == want).all()
+    assert dealt == [4, 3, 2, 2, 2, 1]
+
+
+def test_table_removes_its_shuffles(spark):
+    def shuffles():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return set(re.findall(r"shuffle_[0-9_]+", held.mkString(" ")))
+    old = shuffles()
+    df = spark.range(1000).repartition(3, "id")
+    made = forest._table(df), cut_lineage(df)
+    for _ in range(100):                                   # files are removed in the background
+        if not (left := shuffles() - old):
+            break
+        time.sleep(0.1)
+    assert not left and [t.count() for t in made] == [1000, 1000]
